@@ -1,0 +1,30 @@
+"""Join helpers shared by the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: default bound on rows of a side that may be broadcast
+BROADCAST_MAX_ROWS = 200_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` to a side expected to be small.
+
+    The small side is broadcast only after a bounded count proves it has at
+    most ``max_rows`` rows (the count stops reading at ``max_rows + 1``).
+    Beyond that it is an ordinary shuffle join, where AQE's skew handling
+    splits hot keys of the big side."""
+    n = small.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
+
+
+def one_row(big: DataFrame, stats: DataFrame) -> DataFrame:
+    """Attach a one-row statistics frame (an aggregate without grouping keys)
+    to every row.  The side has exactly one row by construction, so it is
+    broadcast; no key is shuffled."""
+    return big.join(F.broadcast(stats), how="inner", on=F.lit(True))
