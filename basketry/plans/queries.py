@@ -87,3 +87,73 @@ def q_features(spark, sf_dir):
 @query("customer_features_one_row")
 def q_features_one_row(spark, sf_dir):
     return marts.customer_features(_in(spark, sf_dir), mode="corrected")
+
+
+# --- summaries and fills -------------------------------------------------------
+
+from basketry.operators import fills, summaries  # noqa: E402
+
+
+@query("items_per_order")
+def q_items_per_order(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return summaries.items_per_order(i["order_items"], i["products_dim"])
+
+
+@query("returns_per_order")
+def q_returns_per_order(spark, sf_dir):
+    return summaries.returns_per_order(_in(spark, sf_dir)["returns_refunds"])
+
+
+@query("interactions_per_customer")
+def q_interactions_per_customer(spark, sf_dir):
+    return summaries.interactions_per_customer(_in(spark, sf_dir)["customer_interactions"])
+
+
+@query("marketing_per_channel")
+def q_marketing_per_channel(spark, sf_dir):
+    return summaries.marketing_per_channel(_in(spark, sf_dir)["marketing_spend"])
+
+
+@query("orders_per_customer")
+def q_orders_per_customer(spark, sf_dir):
+    return summaries.orders_per_customer(_in(spark, sf_dir)["orders_fact"])
+
+
+@query("items_per_customer")
+def q_items_per_customer(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return summaries.items_per_customer(i["order_items"], i["orders_fact"])
+
+
+@query("returns_per_customer")
+def q_returns_per_customer(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return summaries.returns_per_customer(i["returns_refunds"], i["orders_fact"])
+
+
+@query("order_summary")
+def q_order_summary(spark, sf_dir):
+    return summaries.order_summary(_in(spark, sf_dir))
+
+
+@query("customer_summary")
+def q_customer_summary(spark, sf_dir):
+    return summaries.customer_summary(_in(spark, sf_dir))
+
+
+@query("median_fill")
+def q_median_fill(spark, sf_dir):
+    raw = summaries.customer_summary(_in(spark, sf_dir), fill="none")
+    return fills.median_fill(raw, summaries.CUSTOMER_NUMERIC_FILL)
+
+
+@query("mode_fill")
+def q_mode_fill(spark, sf_dir):
+    raw = summaries.order_summary(_in(spark, sf_dir), fill="none")
+    return fills.mode_fill(raw, summaries.ORDER_MODE_FILL)
+
+
+@query("null_profile")
+def q_null_profile(spark, sf_dir):
+    return fills.null_profile(summaries.order_summary(_in(spark, sf_dir), fill="none"))
