@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 
 def medians(df: DataFrame, cols: list[str], approx: bool = False) -> dict[str, float | None]:
-    """A-26: exact median (linear interpolation) per column, nulls skipped.
-    ``approx=True`` uses ``percentile_approx`` for columns with very many
-    distinct values."""
+    """A-26: exact median (linear interpolation) per column, nulls skipped,
+    rounded to 6 decimals (so the last bit does not depend on the
+    interpolation formula).  ``approx=True`` uses ``percentile_approx`` for
+    columns with very many distinct values."""
     if not cols:
         return {}
     if approx:
         aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in cols]
     else:
-        aggs = [F.median(F.col(c).cast("double")).alias(c) for c in cols]
+        aggs = [F.round(F.median(F.col(c).cast("double")), 6).alias(c) for c in cols]
     row = df.agg(*aggs).first()
     return {c: row[c] for c in cols}
 

@@ -157,3 +157,117 @@ def q_mode_fill(spark, sf_dir):
 @query("null_profile")
 def q_null_profile(spark, sf_dir):
     return fills.null_profile(summaries.order_summary(_in(spark, sf_dir), fill="none"))
+
+
+# --- cleaning, features, exploration -------------------------------------------
+
+from basketry.operators import clean, explore, features  # noqa: E402
+
+
+def _cs(spark, sf_dir):
+    return summaries.customer_summary(_in(spark, sf_dir))
+
+
+def _os(spark, sf_dir):
+    return summaries.order_summary(_in(spark, sf_dir))
+
+
+@query("clean_customers")
+def q_clean_customers(spark, sf_dir):
+    return clean.clean_customers(_cs(spark, sf_dir))
+
+
+@query("clean_orders")
+def q_clean_orders(spark, sf_dir):
+    return clean.clean_orders(_os(spark, sf_dir))
+
+
+@query("last_order_date")
+def q_last_order_date(spark, sf_dir):
+    return features.last_order_date(_in(spark, sf_dir)["orders_fact"])
+
+
+@query("customer_ratio_features")
+def q_ratio_features(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return features.customer_ratio_features(summaries.customer_summary(i), i["orders_fact"])
+
+
+@query("ltv_buckets")
+def q_ltv_buckets(spark, sf_dir):
+    return features.ltv_buckets(_cs(spark, sf_dir))
+
+
+@query("ltv_bucket_box")
+def q_ltv_bucket_box(spark, sf_dir):
+    return features.ltv_bucket_box(_cs(spark, sf_dir))
+
+
+@query("order_kpis")
+def q_order_kpis(spark, sf_dir):
+    return explore.order_kpis(_os(spark, sf_dir))
+
+
+@query("customer_describe")
+def q_customer_describe(spark, sf_dir):
+    return explore.customer_describe(_cs(spark, sf_dir))
+
+
+@query("num_orders_histogram")
+def q_num_orders_hist(spark, sf_dir):
+    return explore.histogram(_cs(spark, sf_dir), "num_orders")
+
+
+@query("order_amount_histogram")
+def q_order_amount_hist(spark, sf_dir):
+    return explore.histogram(_cs(spark, sf_dir), "total_order_amount")
+
+
+@query("order_status_counts")
+def q_order_status_counts(spark, sf_dir):
+    return explore.value_counts(_os(spark, sf_dir), "order_status")
+
+
+@query("cohort_counts")
+def q_cohort_counts(spark, sf_dir):
+    return explore.value_counts(_cs(spark, sf_dir), "cohort")
+
+
+@query("cohort_sizes")
+def q_cohort_sizes(spark, sf_dir):
+    return explore.cohort_sizes(_in(spark, sf_dir)["customers_dim"])
+
+
+@query("revenue_by_day")
+def q_revenue_by_day(spark, sf_dir):
+    return explore.revenue_by_period(_os(spark, sf_dir), "D")
+
+
+@query("revenue_by_week")
+def q_revenue_by_week(spark, sf_dir):
+    return explore.revenue_by_period(_os(spark, sf_dir), "W")
+
+
+@query("revenue_by_month")
+def q_revenue_by_month(spark, sf_dir):
+    return explore.revenue_by_period(_os(spark, sf_dir), "M")
+
+
+@query("orders_by_day")
+def q_orders_by_day(spark, sf_dir):
+    return explore.orders_by_period(_os(spark, sf_dir), "D")
+
+
+@query("top_categories")
+def q_top_categories(spark, sf_dir):
+    return explore.top_categories(_os(spark, sf_dir), n=20)
+
+
+@query("returns_by_reason")
+def q_returns_by_reason(spark, sf_dir):
+    return explore.returns_by_reason(_os(spark, sf_dir), n=15)
+
+
+@query("returns_by_reason_corrected")
+def q_returns_by_reason_corrected(spark, sf_dir):
+    return explore.returns_by_reason(_os(spark, sf_dir), n=15, sep=",", mode="corrected")
