@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.operators import marts
 from basketry.sources.testdata import test_inputs
@@ -271,3 +272,85 @@ def q_returns_by_reason(spark, sf_dir):
 @query("returns_by_reason_corrected")
 def q_returns_by_reason_corrected(spark, sf_dir):
     return explore.returns_by_reason(_os(spark, sf_dir), n=15, sep=",", mode="corrected")
+
+
+# --- churn -------------------------------------------------------------------------
+
+from basketry.operators import churn  # noqa: E402
+
+
+def _churn_inputs(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return summaries.customer_summary(i), summaries.order_summary(i)
+
+
+def _training(spark, sf_dir, leaky=False):
+    cs, os_ = _churn_inputs(spark, sf_dir)
+    return churn.churn_training_set(cs, os_, leaky=leaky)
+
+
+@query("churn_labels")
+def q_churn_labels(spark, sf_dir):
+    return churn.churn_labels(_churn_inputs(spark, sf_dir)[1])
+
+
+@query("churn_features")
+def q_churn_features(spark, sf_dir):
+    return churn.churn_features(*_churn_inputs(spark, sf_dir))
+
+
+@query("churn_features_leaky")
+def q_churn_features_leaky(spark, sf_dir):
+    return churn.churn_features(*_churn_inputs(spark, sf_dir), leaky=True)
+
+
+@query("churn_training_set")
+def q_churn_training_set(spark, sf_dir):
+    return _training(spark, sf_dir)
+
+
+@query("churn_split")
+def q_churn_split(spark, sf_dir):
+    return churn.churn_split(_training(spark, sf_dir)).select(
+        "customer_id", churn.LABEL, "is_validation")
+
+
+@query("auc_from_scores")
+def q_auc(spark, sf_dir):
+    return churn.auc(churn.rule_scores(_training(spark, sf_dir)))
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf_dir):
+    return churn.confusion_matrix(churn.rule_scores(_training(spark, sf_dir)))
+
+
+@query("classification_report")
+def q_report(spark, sf_dir):
+    return churn.classification_report(churn.rule_scores(_training(spark, sf_dir)))
+
+
+def _split_training(spark, sf_dir):
+    return churn.churn_split(_training(spark, sf_dir))
+
+
+@query("churn_scores")
+def q_churn_scores(spark, sf_dir):
+    data = _split_training(spark, sf_dir)
+    model = churn.train_churn(data)
+    return churn.churn_scores(model, data.where(F.col("is_validation")))
+
+
+@query("churn_logreg")
+def q_churn_logreg(spark, sf_dir):
+    data = _split_training(spark, sf_dir)
+    model = churn.train_churn(data, model="logreg")
+    return churn.churn_scores(model, data.where(F.col("is_validation")))
+
+
+@query("churn_risk_bands")
+def q_churn_risk_bands(spark, sf_dir):
+    data = _split_training(spark, sf_dir)
+    model = churn.train_churn(data)
+    scores = churn.churn_scores(model, data)
+    return churn.churn_risk_bands(scores, _in(spark, sf_dir)["customers_dim"])
