@@ -354,3 +354,109 @@ def q_churn_risk_bands(spark, sf_dir):
     model = churn.train_churn(data)
     scores = churn.churn_scores(model, data)
     return churn.churn_risk_bands(scores, _in(spark, sf_dir)["customers_dim"])
+
+
+# --- lifetime value ----------------------------------------------------------------
+
+from basketry.operators import clv  # noqa: E402
+
+#: fixed model parameters for the checkable scoring queries (time in days)
+BGNBD_FIXED = {"r": 0.8, "alpha": 40.0, "a": 0.9, "b": 2.5}
+GG_FIXED = {"p": 6.0, "q": 4.0, "v": 150000.0}
+
+
+def _purchase_summary(spark, sf_dir):
+    return clv.purchase_summary(_os(spark, sf_dir))
+
+
+@query("purchase_summary")
+def q_purchase_summary(spark, sf_dir):
+    return _purchase_summary(spark, sf_dir)
+
+
+@query("clv_fit_input")
+def q_clv_fit_input(spark, sf_dir):
+    return clv.clv_fit_input(_purchase_summary(spark, sf_dir))
+
+
+@query("bgnbd_fit")
+def q_bgnbd_fit(spark, sf_dir):
+    return clv.fit_bgnbd(clv.clv_fit_input(_purchase_summary(spark, sf_dir)), ridge=1.0)
+
+
+@query("gamma_gamma_fit")
+def q_gamma_gamma_fit(spark, sf_dir):
+    return clv.fit_gamma_gamma(clv.clv_fit_input(_purchase_summary(spark, sf_dir)), ridge=0.01)
+
+
+@query("p_alive")
+def q_p_alive(spark, sf_dir):
+    return clv.p_alive(_purchase_summary(spark, sf_dir), **BGNBD_FIXED)
+
+
+@query("expected_spend")
+def q_expected_spend(spark, sf_dir):
+    return clv.expected_spend(_purchase_summary(spark, sf_dir), **GG_FIXED)
+
+
+@query("expected_purchases")
+def q_expected_purchases(spark, sf_dir):
+    return clv.expected_purchases(_purchase_summary(spark, sf_dir), 365.0, **BGNBD_FIXED)
+
+
+@query("clv_by_cohort")
+def q_clv_by_cohort(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    summary = clv.purchase_summary(summaries.order_summary(i))
+    scores = clv.clv_scores(summary, BGNBD_FIXED, GG_FIXED)
+    return clv.clv_by_cohort(scores, i["customers_dim"])
+
+
+# --- statistics ---------------------------------------------------------------------
+
+from basketry.operators import stats  # noqa: E402
+
+
+@query("welch_t")
+def q_welch_t(spark, sf_dir):
+    return stats.welch_t(_cs(spark, sf_dir), "total_order_amount", "gender", "F", "M")
+
+
+@query("chi_square")
+def q_chi_square(spark, sf_dir):
+    return stats.chi_square(_in(spark, sf_dir)["orders_fact"], "order_status", "payment_method")
+
+
+@query("ab_two_proportion")
+def q_ab(spark, sf_dir):
+    # zero fill: with the median fill every customer has returns (D8)
+    cs = summaries.customer_summary(_in(spark, sf_dir), fill="zero")
+    return stats.ab_two_proportion(cs, "gender", F.col("total_returns") > 0, "F", "M")
+
+
+@query("stratified_effect")
+def q_stratified_effect(spark, sf_dir):
+    return stats.stratified_effect(_cs(spark, sf_dir), "total_order_amount",
+                                   F.col("loyalty_status").isNotNull(), "age_group")
+
+
+@query("cohort_retention")
+def q_cohort_retention(spark, sf_dir):
+    return stats.cohort_retention(_in(spark, sf_dir)["orders_fact"])
+
+
+@query("channel_performance")
+def q_channel_performance(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return stats.channel_performance(i["customers_dim"], i["orders_fact"], i["marketing_spend"])
+
+
+@query("return_drivers")
+def q_return_drivers(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return stats.return_drivers(i["orders_fact"], i["order_items"], i["products_dim"], i["returns_refunds"])
+
+
+@query("revenue_pivot")
+def q_revenue_pivot(spark, sf_dir):
+    return stats.revenue_pivot(_os(spark, sf_dir))
