@@ -45,6 +45,46 @@ def modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
     return {c: found.get(c) for c in cols}
 
 
+def fill_statistics(df: DataFrame, numeric: list[str], text: list[str],
+                    approx: bool = False) -> tuple[dict, dict]:
+    """Medians of ``numeric`` and modes of ``text`` from one job: both are
+    aggregates over the same rows, unioned into one small result."""
+    numeric = [c for c in numeric if c in df.columns]
+    text = [c for c in text if c in df.columns]
+    parts = []
+    if numeric:
+        nums = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x"))
+                                   for c in numeric]))
+        med = (F.percentile_approx("x", 0.5, 100_000) if approx else F.median("x")).cast("double")
+        parts.append(df.select(nums.alias("p")).select("p.c", "p.x").where(F.col("x").isNotNull())
+                     .groupBy("c").agg(F.round(med, 6).alias("num"))
+                     .select("c", "num", F.lit(None).cast("string").alias("txt")))
+    if text:
+        txts = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                   for c in text]))
+        counted = (df.select(txts.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
+                   .groupBy("c", "v").count())
+        parts.append(counted.groupBy("c").agg(F.min(F.struct((-F.col("count")).alias("n"), "v")).alias("b"))
+                     .select("c", F.lit(None).cast("double").alias("num"), F.col("b.v").alias("txt")))
+    if not parts:
+        return {}, {}
+    stats = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    got = {r["c"]: r for r in stats.collect()}
+    med = {c: (got[c]["num"] if c in got else None) for c in numeric}
+    mode = {c: (got[c]["txt"] if c in got else None) for c in text}
+    return med, mode
+
+
+def stat_fill(df: DataFrame, numeric: list[str], text: list[str], approx: bool = False) -> DataFrame:
+    """C-03 + C-04 together: numeric nulls -> median (as double), text
+    nulls -> mode, statistics from one job."""
+    med, mode = fill_statistics(df, numeric, text, approx)
+    types = dict(df.dtypes)
+    fixes = {c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in med.items()}
+    fixes.update({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in mode.items()})
+    return df.withColumns(fixes) if fixes else df
+
+
 def median_fill(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
     """C-03: nulls of each listed numeric column replaced by the column's
     median; the filled columns become double."""

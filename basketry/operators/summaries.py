@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators import fills
+from basketry.session import ensure_checkpoint_dir
 from basketry.operators.joins import join_small
 
 
@@ -155,7 +156,10 @@ def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def _fill(df: DataFrame, numeric: list[str], text: list[str], fill: str) -> DataFrame:
     if fill == "stat":
-        return fills.mode_fill(fills.median_fill(df, numeric), text)
+        # the statistics and the output both read the joined rows: write them
+        # once to the checkpoint folder instead of joining everything twice
+        ensure_checkpoint_dir(df.sparkSession)
+        return fills.stat_fill(df.checkpoint(eager=True), numeric, text)
     if fill == "zero":
         return fills.zero_fill(df, numeric)
     if fill == "none":

@@ -36,8 +36,19 @@ def _map(col: F.Column, mapping: dict, default=None) -> F.Column:
     return expr.otherwise(default if default is not None else F.lit(None).cast("string"))
 
 
+_SCANS: dict = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one test table.  The (lazy, data-free) DataFrame is
+    kept per session and path, so file listing and footer reading happen
+    once instead of once per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
 
 
 def customers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +151,35 @@ ADAPTERS = {
 }
 
 
+class _Inputs(dict):
+    """The seven inputs keyed by table name, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in ADAPTERS:
+            raise KeyError(name)
+        df = self[name] = ADAPTERS[name](self._spark, self._dir)
+        return df
+
+    def keys(self):
+        return ADAPTERS.keys()
+
+    def __iter__(self):
+        return iter(ADAPTERS)
+
+    def __len__(self):
+        return len(ADAPTERS)
+
+    def items(self):
+        return [(n, self[n]) for n in ADAPTERS]
+
+    def values(self):
+        return [self[n] for n in ADAPTERS]
+
+
 def test_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All seven inputs, lazily, keyed by table name."""
-    return {name: fn(spark, sf_dir) for name, fn in ADAPTERS.items()}
+    """All seven inputs keyed by table name; each is built when first used."""
+    return _Inputs(spark, sf_dir)
