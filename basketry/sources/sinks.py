@@ -33,8 +33,10 @@ def register_inputs(inputs: dict[str, DataFrame]) -> None:
 
 def drop_table(spark: SparkSession, name: str) -> None:
     """IO-08: drop a view or table of that name if one exists."""
-    spark.sql(f"DROP VIEW IF EXISTS {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.dropTempView(name)
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} IF EXISTS {name}")
 
 
 def publish(df: DataFrame, name: str, path: str | None = None,
