@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads each input file once; it has no stream, watermark,
+window or state, so there is no streaming operator to rebuild.  Every batch
+operator here is a lazy DataFrame function, so it can be applied per
+micro-batch with ``foreachBatch`` if a caller needs that.
+"""
