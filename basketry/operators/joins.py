@@ -28,3 +28,33 @@ def one_row(big: DataFrame, stats: DataFrame) -> DataFrame:
     to every row.  The side has exactly one row by construction, so it is
     broadcast; no key is shuffled."""
     return big.join(F.broadcast(stats), how="inner", on=F.lit(True))
+
+
+#: a key with more fact rows than this is joined apart from the rest
+HOT_KEY_ROWS = 1_000_000
+#: at most this many hot keys are split out (keys beyond it, each smaller than
+#: the ones split out, go through the ordinary join, which is exact too)
+MAX_HOT_KEYS = 10_000
+
+
+def skew_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
+              hot_rows: int = HOT_KEY_ROWS, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """Many-to-one join of a fact table to a dimension (one row per key)
+    that stays balanced when a few keys hold a large share of the facts.
+
+    One partial aggregate counts fact rows per key.  Keys above ``hot_rows``
+    (at most ``max_hot`` of them) are joined against a broadcast copy of just
+    their dimension rows, so their facts never gather in one task; all other
+    keys take the ordinary shuffle join.  The two results are unioned, which
+    is exact for inner and left joins."""
+    if how not in ("left", "inner"):
+        raise ValueError("skew_join supports 'left' and 'inner'")
+    hot = [r[0] for r in (facts.where(F.col(key).isNotNull()).groupBy(key).count()
+                          .where(F.col("count") > hot_rows)
+                          .orderBy(F.desc("count")).limit(max_hot).collect())]
+    if not hot:
+        return facts.join(dim, key, how)
+    is_hot = F.col(key).isin(hot)
+    hot_part = facts.where(is_hot).join(F.broadcast(dim.where(is_hot)), key, how)
+    cold_part = facts.where(~is_hot | F.col(key).isNull()).join(dim.where(~is_hot), key, how)
+    return hot_part.unionByName(cold_part)

@@ -105,17 +105,17 @@ def segment_profitability(customers: DataFrame, orders: DataFrame) -> DataFrame:
             .join(per_customer, "customer_id", "inner"))
 
 
+def _payment_pairs(orders: DataFrame) -> DataFrame:
+    return (_delivered(orders).groupBy("customer_id", "payment_method")
+            .agg(_dbl(F.sum(_net())).alias("revenue_payment_method")))
+
+
 def revenue_by_payment(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """A-04: delivered net revenue per customer and payment method."""
-    per_pair = (_delivered(orders).groupBy("customer_id", "payment_method")
-                .agg(_dbl(F.sum(_net())).alias("revenue_payment_method")))
-    return per_pair.join(customers.select("customer_id"), "customer_id", "left_semi")
+    return _payment_pairs(orders).join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
-def top_payment_method(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """A-04, one row per customer: the payment method with the most delivered
-    revenue (ties -> smallest name) and that revenue."""
-    pairs = revenue_by_payment(customers, orders)
+def _top_payment(pairs: DataFrame) -> DataFrame:
     rev = F.col("revenue_payment_method")
     rank_key = F.coalesce(-rev, F.lit(float("inf")))
     best = pairs.groupBy("customer_id").agg(
@@ -125,6 +125,12 @@ def top_payment_method(customers: DataFrame, orders: DataFrame) -> DataFrame:
                        F.col("_best.r").alias("revenue_payment_method"))
 
 
+def top_payment_method(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """A-04, one row per customer: the payment method with the most delivered
+    revenue (ties -> smallest name) and that revenue."""
+    return _top_payment(revenue_by_payment(customers, orders))
+
+
 def repeat_purchase(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """A-05: 1 when a customer has more than one delivered order, else 0;
     customers without a delivered order have no row (D6)."""
@@ -203,10 +209,9 @@ def customer_features(inputs: dict[str, DataFrame], mode: str = "compat",
                          _dbl(F.sum(F.when(delivered, _net()))).alias("segment_profit"),
                          F.count(F.when(delivered, F.lit(1))).alias("_delivered_rows"),
                          F.count(F.when(delivered, F.col("order_id"))).alias("_delivered_ids")))
-    if mode == "compat":
-        payment = revenue_by_payment(customers, orders)
-    else:
-        payment = top_payment_method(customers, orders)
+    # the left join from customers already keeps known customers only
+    pairs = _payment_pairs(orders)
+    payment = pairs if mode == "compat" else _top_payment(pairs)
     engagement = inputs["customer_interactions"].groupBy("customer_id").agg(*_engagement_aggs())
     per_channel = marketing_per_channel_totals(inputs["marketing_spend"]).withColumnRenamed(
         "channel", "acquisition_channel")

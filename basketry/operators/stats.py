@@ -98,29 +98,31 @@ def stratified_effect(df: DataFrame, outcome: str, treated: F.Column, stratum: s
 
 def cohort_retention(orders: DataFrame) -> DataFrame:
     """X-08: share of each first-order-month cohort that orders again k
-    months later.  (customer, month) pairs are de-duplicated first, so the
-    work per customer is bounded by the calendar."""
+    months later.  (customer, month) pairs are de-duplicated first, so a
+    customer's rows are bounded by the calendar; the cohort of a customer is
+    a window over those pairs, and the cohort size is the month-0 count."""
+    from pyspark.sql import Window
     month = F.trunc(F.to_date("order_date"), "month")
     active = (orders.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
               .select("customer_id", month.alias("month")).distinct())
-    first = active.groupBy("customer_id").agg(F.min("month").alias("cohort"))
-    joined = active.join(first, "customer_id")
+    tagged = active.withColumn("cohort", F.min("month").over(Window.partitionBy("customer_id")))
     k = F.months_between("month", "cohort").cast("int")
-    counts = joined.groupBy("cohort", k.alias("months_since")).agg(F.count(F.lit(1)).alias("active_customers"))
-    sizes = first.groupBy("cohort").agg(F.count(F.lit(1)).alias("cohort_size"))
-    return (counts.join(sizes, "cohort")
-            .select(F.date_format("cohort", "yyyy-MM").alias("cohort_month"), "months_since",
-                    "active_customers", "cohort_size",
-                    F.round(F.col("active_customers") / F.col("cohort_size"), 6).alias("retention")))
+    counts = tagged.groupBy("cohort", k.alias("months_since")).agg(F.count(F.lit(1)).alias("active_customers"))
+    size = F.max(F.when(F.col("months_since") == 0, F.col("active_customers"))).over(Window.partitionBy("cohort"))
+    return counts.select(F.date_format("cohort", "yyyy-MM").alias("cohort_month"), "months_since",
+                         "active_customers", size.alias("cohort_size"),
+                         F.round(F.col("active_customers") / size, 6).alias("retention"))
 
 
 def channel_performance(customers: DataFrame, orders: DataFrame, marketing: DataFrame) -> DataFrame:
     """X-11: per acquisition channel: campaigns, spend, impressions, clicks,
     click-through rate, cost per click, revenue of the channel's customers and
     revenue per unit of spend (null where undefined)."""
-    revenue = (orders.join(customers.select("customer_id", "acquisition_channel"), "customer_id")
+    per_customer = orders.groupBy("customer_id").agg(
+        F.sum(F.col("order_amount").cast("decimal(18,2)")).alias("_rev"))
+    revenue = (per_customer.join(customers.select("customer_id", "acquisition_channel"), "customer_id")
                .groupBy(F.col("acquisition_channel").alias("channel"))
-               .agg(F.sum(F.col("order_amount").cast("decimal(18,2)")).alias("_rev")))
+               .agg(F.sum("_rev").alias("_rev")))
     mk = (marketing.where(F.col("channel").isNotNull()).groupBy("channel")
           .agg(F.count("campaign_id").alias("campaigns"), F.sum("spend").alias("_spend"),
                F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks")))

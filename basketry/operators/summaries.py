@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import fills
 from basketry.session import ensure_checkpoint_dir
-from basketry.operators.joins import join_small
+from basketry.operators.joins import join_small, skew_join
 
 
 def _psum(c: str) -> F.Column:
@@ -34,7 +34,7 @@ def _text_set(c: str, sep: str) -> F.Column:
 def items_per_order(items: DataFrame, products: DataFrame) -> DataFrame:
     """A-09: items and their products per order."""
     prod = products.select("product_id", "category", "subcategory")
-    joined = items.where(F.col("order_id").isNotNull()).join(prod, "product_id", "left")
+    joined = skew_join(items.where(F.col("order_id").isNotNull()), prod, "product_id", "left")
     return joined.groupBy("order_id").agg(
         F.count("order_item_id").alias("num_items"),
         _text_set("product_id", ",").alias("products_in_order"),
@@ -111,9 +111,12 @@ def items_per_customer(items: DataFrame, orders: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("total_items"),
                  F.coalesce(F.sum("q"), F.lit(0)).cast("bigint").alias("total_quantity"),
                  F.coalesce(F.sum("p"), F.lit(0)).cast("double").alias("total_item_price")))
+    # (order, product) pairs are de-duplicated before the link join; the
+    # distinct count per customer then needs one shuffle on customer_id, and a
+    # busy customer holds at most one entry per product
     pairs = items.select("order_id", "product_id").distinct()
-    products = (pairs.join(link, "order_id", "inner").select("customer_id", "product_id").distinct()
-                .groupBy("customer_id").agg(F.count(F.lit(1)).alias("unique_products")))
+    products = (pairs.join(link, "order_id", "inner").groupBy("customer_id")
+                .agg(F.count_distinct("product_id").alias("unique_products")))
     return (sums.join(products, "customer_id", "left")
             .select("customer_id", "total_items", "unique_products", "total_quantity",
                     "total_item_price")
@@ -192,7 +195,7 @@ def order_summary(inputs: dict[str, DataFrame], fill: str = "stat") -> DataFrame
     customer_side = _with_marketing(
         customers.join(interactions_per_customer(inputs["customer_interactions"]), "customer_id", "left"),
         inputs["marketing_spend"])
-    joined = per_order.join(customer_side, "customer_id", "left")
+    joined = skew_join(per_order, customer_side, "customer_id", "left")
     cols = (orders.columns + [c for c in customers.columns if c != "customer_id"]
             + ["num_items", "products_in_order", "total_quantity", "total_item_price",
                "categories", "subcategories", "num_returns", "return_date", "return_reasons",

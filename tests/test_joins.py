@@ -1,0 +1,48 @@
+from pyspark.sql import functions as F
+
+from basketry.operators.joins import join_small, skew_join
+from basketry.operators.scan import running_sums
+
+
+def _facts(spark):
+    # key 'h' holds most rows; 'x' has no dimension row; one null key
+    rows = [(i, "h") for i in range(300)] + [(1000 + i, f"k{i % 7}") for i in range(50)]
+    rows += [(2000, "x"), (2001, None)]
+    return spark.createDataFrame(rows, "id int, k string")
+
+
+def _dim(spark):
+    return spark.createDataFrame([("h", "hot")] + [(f"k{i}", f"v{i}") for i in range(7)], "k string, v string")
+
+
+def _rows(df):
+    return sorted((tuple("" if x is None else str(x) for x in r) for r in df.collect()))
+
+
+def test_skew_join_equals_plain_join(spark):
+    facts, dim = _facts(spark), _dim(spark)
+    for how in ("left", "inner"):
+        want = _rows(facts.join(dim, "k", how))
+        assert _rows(skew_join(facts, dim, "k", how, hot_rows=100)) == want
+        assert _rows(skew_join(facts, dim, "k", how, hot_rows=10_000)) == want
+
+
+def test_skew_join_broadcasts_only_hot_rows(spark):
+    plan = skew_join(_facts(spark), _dim(spark), "k", hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastExchange" in plan
+
+
+def test_join_small_falls_back(spark):
+    big = spark.range(100).withColumn("k", F.col("id") % 5)
+    small = spark.range(5).withColumnRenamed("id", "k")
+    assert join_small(big, small, "k", max_rows=10).count() == 100
+    assert join_small(big, small, "k", max_rows=2).count() == 100
+
+
+def test_running_sums_exact(spark):
+    df = spark.range(1, 2001).select(F.col("id").alias("s"), (F.col("id") % 3).alias("v"))
+    got = {r["s"]: r["v_before"] for r in running_sums(df, "s", ["v"], buckets=16).collect()}
+    acc = 0
+    for s in range(1, 2001):
+        assert got[s] == acc
+        acc += s % 3
