@@ -167,6 +167,21 @@ def churn_scores(model: PipelineModel, data: DataFrame) -> DataFrame:
                          p.alias("score"), (p > 0.5).cast("int").alias("prediction"))
 
 
+def churn_probability(model: PipelineModel, data: DataFrame, customer_id: str) -> float | None:
+    """M-13, the reference's single-customer call: the probability for one
+    customer (one row reaches the driver)."""
+    row = churn_scores(model, data.where(F.col("customer_id") == customer_id)).first()
+    return None if row is None else float(row["score"])
+
+
+def churn_metrics(scores: DataFrame) -> dict[str, DataFrame]:
+    """M-08 .. M-10 on validation scores: AUC, confusion matrix, report."""
+    if has(scores, "is_validation"):
+        scores = scores.where(F.col("is_validation"))
+    return {"auc": auc(scores), "confusion_matrix": confusion_matrix(scores),
+            "classification_report": classification_report(scores)}
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """M-12."""
     model.write().overwrite().save(path)

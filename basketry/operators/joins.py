@@ -37,18 +37,33 @@ HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
+def _aqe_splits_skew(spark) -> bool:
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
 def skew_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-              hot_rows: int = HOT_KEY_ROWS, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+              hot_rows: int = HOT_KEY_ROWS, max_hot: int = MAX_HOT_KEYS,
+              split: bool | None = None) -> DataFrame:
     """Many-to-one join of a fact table to a dimension (one row per key)
     that stays balanced when a few keys hold a large share of the facts.
 
-    One partial aggregate counts fact rows per key.  Keys above ``hot_rows``
-    (at most ``max_hot`` of them) are joined against a broadcast copy of just
-    their dimension rows, so their facts never gather in one task; all other
-    keys take the ordinary shuffle join.  The two results are unioned, which
-    is exact for inner and left joins."""
+    With AQE's skew-join handling on (the default), the plain join is
+    returned: AQE measures the shuffle and splits an oversized partition of
+    the fact side at run time, without another pass over the data.  Otherwise
+    (or with ``split=True``) the split is explicit: one partial aggregate
+    counts fact rows per key; keys above ``hot_rows`` (at most ``max_hot``)
+    are joined against a broadcast copy of just their dimension rows, so
+    their facts never gather in one task; all other keys take the ordinary
+    shuffle join.  The union of both parts is exact for inner and left
+    joins."""
     if how not in ("left", "inner"):
         raise ValueError("skew_join supports 'left' and 'inner'")
+    if split is None:
+        split = not _aqe_splits_skew(facts.sparkSession)
+    if not split:
+        return facts.join(dim, key, how)
     hot = [r[0] for r in (facts.where(F.col(key).isNotNull()).groupBy(key).count()
                           .where(F.col("count") > hot_rows)
                           .orderBy(F.desc("count")).limit(max_hot).collect())]

@@ -471,3 +471,28 @@ def q_return_drivers(spark, sf_dir):
 @query("revenue_pivot")
 def q_revenue_pivot(spark, sf_dir):
     return stats.revenue_pivot(_os(spark, sf_dir))
+
+
+# --- sources and sinks ----------------------------------------------------------------
+
+from basketry.plans.publish import scratch_folder  # noqa: E402
+from basketry.sources import readers, sinks  # noqa: E402
+
+
+@query("typed_csv_scan")
+def q_typed_csv_scan(spark, sf_dir):
+    """IO-02 / IO-04: orders written as CSV with a header, read back with the
+    fixed schema (typed timestamps and money)."""
+    folder = scratch_folder(spark, "orders-csv")
+    sinks.write_csv(_in(spark, sf_dir)["orders_fact"], folder)
+    back = readers.read_input(spark, "orders_fact", folder)
+    # money as double, like every other query result
+    return back.withColumns({c: F.col(c).cast("double") for c in ("order_amount", "discount_amount")})
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf_dir):
+    """IO-05: cleaned customers stored as Parquet and read back."""
+    folder = scratch_folder(spark, "customers-clean")
+    sinks.write_parquet(clean.clean_customers(_cs(spark, sf_dir)), folder)
+    return spark.read.parquet(folder)

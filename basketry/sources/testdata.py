@@ -51,6 +51,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+
 def customers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     signup = F.date_sub(F.lit(SIGNUP_BASE).cast("date"), (F.col("c_custkey") % 720).cast("int"))

@@ -23,12 +23,12 @@ def test_skew_join_equals_plain_join(spark):
     facts, dim = _facts(spark), _dim(spark)
     for how in ("left", "inner"):
         want = _rows(facts.join(dim, "k", how))
-        assert _rows(skew_join(facts, dim, "k", how, hot_rows=100)) == want
-        assert _rows(skew_join(facts, dim, "k", how, hot_rows=10_000)) == want
+        assert _rows(skew_join(facts, dim, "k", how, hot_rows=100, split=True)) == want
+        assert _rows(skew_join(facts, dim, "k", how, hot_rows=10_000, split=True)) == want
 
 
 def test_skew_join_broadcasts_only_hot_rows(spark):
-    plan = skew_join(_facts(spark), _dim(spark), "k", hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+    plan = skew_join(_facts(spark), _dim(spark), "k", hot_rows=100, split=True)._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan and "BroadcastExchange" in plan
 
 

@@ -51,3 +51,21 @@ def test_clean_and_publish(spark, small_inputs, tmp_path):
                                       summaries.order_summary(small_inputs), str(tmp_path / "processed"))
     assert cs.where("gender IS NULL").count() == 0
     assert os_.count() == small_inputs["orders_fact"].count()
+
+
+def test_publish_marts_idempotent(spark, small_inputs, tmp_path):
+    from basketry.plans.publish import publish_marts
+    for _ in range(2):
+        names = publish_marts(spark, small_inputs, base_path=str(tmp_path / "wh"), prefix="t_", buckets=4)
+    assert len(names) == 8
+    n_customers = small_inputs["customers_dim"].count()
+    assert spark.table("t_customer_rfm").count() == n_customers
+    for n in names:
+        sources.drop_table(spark, n)
+
+
+def test_write_summaries_csv(spark, small_inputs, tmp_path):
+    from basketry.plans.publish import write_summaries
+    o, c = write_summaries(small_inputs, str(tmp_path / "data"))
+    assert sources.read_orders(spark, o).count() == small_inputs["orders_fact"].count()
+    assert sources.read_customers(spark, c).count() == small_inputs["customers_dim"].count()
