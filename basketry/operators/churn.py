@@ -144,7 +144,7 @@ def churn_pipeline(data: DataFrame, rounds: int = 300, step: float = 0.05, depth
     if model == "gbt":
         stages.append(GBTClassifier(labelCol=LABEL, featuresCol="features", stepSize=step,
                                     maxDepth=depth, maxIter=rounds, seed=seed,
-                                    validationIndicatorCol="is_validation", validationTol=1e-4))
+                                    validationIndicatorCol="is_validation"))
     elif model == "logreg":
         stages.append(LogisticRegression(labelCol=LABEL, featuresCol="features", maxIter=100))
     else:

@@ -2,9 +2,10 @@
 
 The driver holds only the parameter vector.  Each round evaluates the
 objective at a stencil of trial points (value, gradient and Hessian by
-central differences in log-parameter space) in one Spark job, takes a
-damped Newton step, and tries several step lengths together in a second
-job.  Only one number per trial point comes back to the driver.
+central differences in log-parameter space) in one Spark job and takes a
+damped Newton step; the stencil at the new point is the next round's job,
+and only a step that fails to lower the objective costs extra jobs (one per
+shorter step).  Only one number per trial point comes back to the driver.
 """
 
 from __future__ import annotations
@@ -54,18 +55,22 @@ def derivatives(values: list[float], k: int, h: float):
     return f0, g, H
 
 
-def newton_minimise(objective: Objective, theta0, max_rounds: int = 30, h: float = 1e-3,
-                    grad_tol: float = 1e-6, max_step: float = 1.5, eig_floor: float = 1e-4):
+def newton_minimise(objective: Objective, theta0, max_rounds: int = 40, h: float = 1e-3,
+                    grad_tol: float = 1e-6, rel_tol: float = 1e-10, max_step: float = 1.5,
+                    eig_floor: float = 1e-4):
     """Minimise ``objective`` over log-parameters.  Returns (theta, value,
-    converged, rounds)."""
+    converged, rounds).
+
+    A round is one Spark job: the full stencil is evaluated at the Newton
+    point, and its centre value decides acceptance.  Only a step that does
+    not lower the objective costs more jobs, one per shorter step length."""
     theta = np.asarray(theta0, dtype=float)
     k = len(theta)
-    value = math.inf
+    vals = objective(stencil(theta, h))
+    if not all(math.isfinite(v) for v in vals):
+        return theta, vals[0], False, 1
+    value, g, H = derivatives(vals, k, h)
     for rnd in range(1, max_rounds + 1):
-        vals = objective(stencil(theta, h))
-        if not all(math.isfinite(v) for v in vals):
-            return theta, vals[0], False, rnd
-        value, g, H = derivatives(vals, k, h)
         if np.max(np.abs(g)) < grad_tol:
             return theta, value, True, rnd
         w, V = np.linalg.eigh(H)
@@ -74,14 +79,17 @@ def newton_minimise(objective: Objective, theta0, max_rounds: int = 30, h: float
         norm = np.linalg.norm(step)
         if norm > max_step:
             step *= max_step / norm
-        trials = [theta + s * step for s in STEP_LENGTHS]
-        tvals = objective(trials)
-        best = int(np.nanargmin([v if math.isfinite(v) else np.inf for v in tvals]))
-        if not math.isfinite(tvals[best]) or tvals[best] >= value:
-            # no step length improves: as far as the differences can tell
+        for length in STEP_LENGTHS:
+            cand = theta + length * step
+            cvals = objective(stencil(cand, h))
+            if all(math.isfinite(v) for v in cvals) and cvals[0] < value:
+                break
+        else:
+            # no step length lowers the objective: as far as differences tell
             return theta, value, bool(np.max(np.abs(g)) < 1e-4), rnd
-        improvement = value - tvals[best]
-        theta, value = trials[best], tvals[best]
-        if improvement < 1e-13 * max(1.0, abs(value)):
+        improvement = value - cvals[0]
+        theta = cand
+        value, g, H = derivatives(cvals, k, h)
+        if improvement < rel_tol * max(1.0, abs(value)):
             return theta, value, True, rnd
     return theta, value, False, max_rounds

@@ -302,7 +302,8 @@ def _training(spark, sf_dir, leaky=False):
 
 @query("churn_labels")
 def q_churn_labels(spark, sf_dir):
-    return churn.churn_labels(_churn_inputs(spark, sf_dir)[1])
+    # reads customer_id and order_date only: none is filled
+    return churn.churn_labels(_os_unfilled(spark, sf_dir))
 
 
 @query("churn_features")
@@ -377,7 +378,8 @@ GG_FIXED = {"p": 6.0, "q": 4.0, "v": 150000.0}
 
 
 def _purchase_summary(spark, sf_dir):
-    return clv.purchase_summary(_os(spark, sf_dir))
+    # reads customer_id, order_date and order_amount only: none is filled
+    return clv.purchase_summary(_os_unfilled(spark, sf_dir))
 
 
 @query("purchase_summary")
@@ -418,7 +420,7 @@ def q_expected_purchases(spark, sf_dir):
 @query("clv_by_cohort")
 def q_clv_by_cohort(spark, sf_dir):
     i = _in(spark, sf_dir)
-    summary = clv.purchase_summary(summaries.order_summary(i))
+    summary = clv.purchase_summary(summaries.order_summary(i, fill="none"))
     scores = clv.clv_scores(summary, BGNBD_FIXED, GG_FIXED)
     return clv.clv_by_cohort(scores, i["customers_dim"])
 
