@@ -101,26 +101,22 @@ def _order_link(orders: DataFrame) -> DataFrame:
 def items_per_customer(items: DataFrame, orders: DataFrame) -> DataFrame:
     """A-14: item rows, distinct products, quantity and price per customer.
 
-    Items are summed per order before the link join to orders, and distinct
-    products are reduced to (order, product) pairs before it, so an order
-    with very many items never reaches the join as many rows."""
-    link = _order_link(orders)
-    per_order = items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("n"), F.sum("quantity").alias("q"), F.sum("price").alias("p"))
-    sums = (per_order.join(link, "order_id", "inner").groupBy("customer_id")
+    Items are first reduced to one row per (order, product) with their counts
+    and sums (partial aggregation absorbs an order or product with very many
+    rows); those rows meet the order -> customer link once, and one
+    aggregation per customer gives the sums and the distinct product count
+    (a busy customer holds at most one entry per product)."""
+    pairs = (items.where(F.col("order_id").isNotNull())
+             .groupBy("order_id", "product_id")
+             .agg(F.count("order_item_id").alias("n"), F.sum("quantity").alias("q"),
+                  F.sum("price").alias("p")))
+    return (pairs.join(_order_link(orders), "order_id", "inner")
+            .where(F.col("customer_id").isNotNull())
+            .groupBy("customer_id")
             .agg(F.sum("n").alias("total_items"),
+                 F.count_distinct("product_id").alias("unique_products"),
                  F.coalesce(F.sum("q"), F.lit(0)).cast("bigint").alias("total_quantity"),
                  F.coalesce(F.sum("p"), F.lit(0)).cast("double").alias("total_item_price")))
-    # (order, product) pairs are de-duplicated before the link join; the
-    # distinct count per customer then needs one shuffle on customer_id, and a
-    # busy customer holds at most one entry per product
-    pairs = items.select("order_id", "product_id").distinct()
-    products = (pairs.join(link, "order_id", "inner").groupBy("customer_id")
-                .agg(F.count_distinct("product_id").alias("unique_products")))
-    return (sums.join(products, "customer_id", "left")
-            .select("customer_id", "total_items", "unique_products", "total_quantity",
-                    "total_item_price")
-            .where(F.col("customer_id").isNotNull()))
 
 
 def returns_per_customer(returns: DataFrame, orders: DataFrame) -> DataFrame:
