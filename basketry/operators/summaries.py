@@ -154,6 +154,8 @@ def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _fill(df: DataFrame, numeric: list[str], text: list[str], fill: str) -> DataFrame:
+    if fill == "stat" and not (numeric or text):
+        return df
     if fill == "stat":
         # the statistics and the output both read the joined rows: write them
         # once to the checkpoint folder instead of joining everything twice
@@ -172,7 +174,13 @@ def _with_marketing(df: DataFrame, marketing: DataFrame) -> DataFrame:
     return join_small(df, keyed, "acquisition_channel", "left")
 
 
-def order_summary(inputs: dict[str, DataFrame], fill: str = "stat") -> DataFrame:
+ORDER_SIDE_ITEMS = ["num_items", "products_in_order", "total_quantity", "total_item_price",
+                    "categories", "subcategories"]
+ORDER_SIDE_RETURNS = ["num_returns", "return_date", "return_reasons"]
+
+
+def order_summary(inputs: dict[str, DataFrame], fill: str = "stat",
+                  columns: list[str] | None = None) -> DataFrame:
     """A-16: one row per order with customer, item, return, interaction and
     channel-marketing columns, then the fills of the reference (D8:
     ``fill="stat"`` gives unreturned orders the median return count and the
@@ -182,23 +190,36 @@ def order_summary(inputs: dict[str, DataFrame], fill: str = "stat") -> DataFrame
     already one row per order and share that partitioning), then one join on
     ``customer_id`` brings a pre-joined customer side (customer columns,
     interactions, channel marketing), so the order rows are shuffled twice
-    whatever the number of sides."""
+    whatever the number of sides.  ``columns`` limits the output (and the
+    sides built and filled) to the listed columns; every side is one row per
+    order or customer, so the rows - and the fill statistics - are the same."""
     orders = inputs["orders_fact"]
     customers = inputs["customers_dim"]
-    per_order = (orders
-                 .join(items_per_order(inputs["order_items"], inputs["products_dim"]), "order_id", "left")
-                 .join(returns_per_order(inputs["returns_refunds"]), "order_id", "left"))
-    customer_side = _with_marketing(
-        customers.join(interactions_per_customer(inputs["customer_interactions"]), "customer_id", "left"),
-        inputs["marketing_spend"])
-    joined = skew_join(per_order, customer_side, "customer_id", "left")
     cols = (orders.columns + [c for c in customers.columns if c != "customer_id"]
-            + ["num_items", "products_in_order", "total_quantity", "total_item_price",
-               "categories", "subcategories", "num_returns", "return_date", "return_reasons",
-               "num_interactions", "interaction_types", "interaction_texts",
+            + ORDER_SIDE_ITEMS + ORDER_SIDE_RETURNS
+            + ["num_interactions", "interaction_types", "interaction_texts",
                "channel", "num_campaigns", "total_spend", "total_impressions", "total_clicks"])
-    return _fill(_as_double(joined.select(*cols), ORDER_DOUBLE), ORDER_NUMERIC_FILL,
-                 ORDER_MODE_FILL, fill)
+    if columns is not None:
+        unknown = set(columns) - set(cols)
+        if unknown:
+            raise ValueError(f"unknown order summary columns: {sorted(unknown)}")
+        cols = [c for c in cols if c in columns]
+    wanted = set(cols)
+    per_order = orders
+    if wanted & set(ORDER_SIDE_ITEMS):
+        per_order = per_order.join(items_per_order(inputs["order_items"], inputs["products_dim"]),
+                                   "order_id", "left")
+    if wanted & set(ORDER_SIDE_RETURNS):
+        per_order = per_order.join(returns_per_order(inputs["returns_refunds"]), "order_id", "left")
+    joined = per_order
+    if wanted - set(orders.columns) - set(ORDER_SIDE_ITEMS) - set(ORDER_SIDE_RETURNS):
+        customer_side = _with_marketing(
+            customers.join(interactions_per_customer(inputs["customer_interactions"]), "customer_id", "left"),
+            inputs["marketing_spend"])
+        joined = skew_join(per_order, customer_side, "customer_id", "left")
+    out = _as_double(joined.select(*cols), [c for c in ORDER_DOUBLE if c in wanted])
+    return _fill(out, [c for c in ORDER_NUMERIC_FILL if c in wanted],
+                 [c for c in ORDER_MODE_FILL if c in wanted], fill)
 
 
 def customer_summary(inputs: dict[str, DataFrame], fill: str = "stat") -> DataFrame:

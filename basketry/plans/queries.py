@@ -290,9 +290,15 @@ def q_returns_by_reason_corrected(spark, sf_dir):
 from basketry.operators import churn  # noqa: E402
 
 
+#: order summary columns the churn features read (num_returns is filled)
+CHURN_ORDER_COLUMNS = ["order_id", "customer_id", "order_date", "order_amount",
+                       "num_returns", "total_quantity"]
+
+
 def _churn_inputs(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return summaries.customer_summary(i), summaries.order_summary(i)
+    return (summaries.customer_summary(i),
+            summaries.order_summary(i, columns=CHURN_ORDER_COLUMNS))
 
 
 def _training(spark, sf_dir, leaky=False):
