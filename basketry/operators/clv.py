@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import lgamma
 from basketry.operators.fit import newton_minimise
+from basketry.operators.quantiles import column_quantiles
 from basketry.session import ensure_checkpoint_dir
 
 
@@ -48,9 +49,10 @@ def purchase_summary(orders: DataFrame, value: str = "order_amount", end=None) -
         F.when(freq > 0, repeat_total / freq.cast("double")).otherwise(F.lit(0.0)).alias("monetary_value"))
 
 
-def monetary_cap(summary: DataFrame, q: float = 0.99) -> float:
-    row = summary.agg(F.round(F.percentile(F.col("monetary_value"), q), 6).alias("c")).first()
-    return row["c"]
+def monetary_cap(summary: DataFrame, q: float = 0.99) -> float | None:
+    """The ``q`` quantile of monetary value (exact, distributed), 6 decimals."""
+    v = column_quantiles(summary, ["monetary_value"], [q])["monetary_value"][0]
+    return None if v is None else round(v, 6)
 
 
 def clv_fit_input(summary: DataFrame, cap_quantile: float = 0.99) -> DataFrame:

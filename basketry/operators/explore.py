@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import has
+from basketry.operators.quantiles import column_quantiles
 
 HIST_BINS = 50
 
@@ -33,23 +34,24 @@ def order_kpis(orders: DataFrame) -> DataFrame:
 
 def customer_describe(customers: DataFrame, cols=("num_orders", "total_order_amount")) -> DataFrame:
     """A-19: count, mean, sample std, min, quartiles and max per column, one
-    row per column (exact quartiles, linear interpolation).  Mean and std are
-    rounded to 6 decimals."""
+    row per column (exact quartiles by the distributed quantile, linear
+    interpolation).  Mean, std and quartiles are rounded to 6 decimals."""
+    cols = list(cols)
+    quart = column_quantiles(customers, cols, [0.25, 0.5, 0.75])
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
+        qv = [None if v is None else round(v, 6) for v in quart[c]]
         parts.append(customers.agg(
             F.lit(c).alias("column"), F.count(x).alias("count"),
             F.round(F.sum(F.col(c).cast("decimal(38,6)")).cast("double") / F.count(x), 6).alias("mean"),
             F.round(F.stddev_samp(x), 6).alias("std"), F.min(x).alias("min"),
-            F.transform(F.percentile(x, [0.25, 0.5, 0.75]), lambda e: F.round(e, 6)).alias("_q"),
-            F.max(x).alias("max")))
+            F.lit(qv[0]).cast("double").alias("p25"), F.lit(qv[1]).cast("double").alias("p50"),
+            F.lit(qv[2]).cast("double").alias("p75"), F.max(x).alias("max")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("column", "count", "mean", "std", "min",
-                      F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                      F.col("_q")[2].alias("p75"), "max")
+    return out
 
 
 def histogram(df: DataFrame, col: str, bins: int = HIST_BINS) -> DataFrame:

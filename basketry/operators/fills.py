@@ -12,20 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.operators.quantiles import column_quantiles
+
 
 def medians(df: DataFrame, cols: list[str], approx: bool = False) -> dict[str, float | None]:
     """A-26: exact median (linear interpolation) per column, nulls skipped,
     rounded to 6 decimals (so the last bit does not depend on the
-    interpolation formula).  ``approx=True`` uses ``percentile_approx`` for
-    columns with very many distinct values."""
+    interpolation formula).  Exact medians come from the distributed
+    quantile (no buffer of all values); ``approx=True`` uses
+    ``percentile_approx`` in one job instead."""
     if not cols:
         return {}
     if approx:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in cols]
-    else:
-        aggs = [F.round(F.median(F.col(c).cast("double")), 6).alias(c) for c in cols]
-    row = df.agg(*aggs).first()
-    return {c: row[c] for c in cols}
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c)
+                       for c in cols]).first()
+        return {c: (None if row[c] is None else round(float(row[c]), 6)) for c in cols}
+    got = column_quantiles(df, cols, [0.5])
+    return {c: (None if got[c][0] is None else round(got[c][0], 6)) for c in cols}
 
 
 def modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
@@ -47,18 +50,12 @@ def modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
 
 def fill_statistics(df: DataFrame, numeric: list[str], text: list[str],
                     approx: bool = False) -> tuple[dict, dict]:
-    """Medians of ``numeric`` and modes of ``text`` from one job: both are
-    aggregates over the same rows, unioned into one small result."""
+    """Medians of ``numeric`` (distributed exact quantiles, a few small
+    jobs for all columns together) and modes of ``text`` (one job)."""
     numeric = [c for c in numeric if c in df.columns]
     text = [c for c in text if c in df.columns]
+    med = medians(df, numeric, approx)
     parts = []
-    if numeric:
-        nums = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x"))
-                                   for c in numeric]))
-        med = (F.percentile_approx("x", 0.5, 100_000) if approx else F.median("x")).cast("double")
-        parts.append(df.select(nums.alias("p")).select("p.c", "p.x").where(F.col("x").isNotNull())
-                     .groupBy("c").agg(F.round(med, 6).alias("num"))
-                     .select("c", "num", F.lit(None).cast("string").alias("txt")))
     if text:
         txts = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
                                    for c in text]))
@@ -66,11 +63,7 @@ def fill_statistics(df: DataFrame, numeric: list[str], text: list[str],
                    .groupBy("c", "v").count())
         parts.append(counted.groupBy("c").agg(F.min(F.struct((-F.col("count")).alias("n"), "v")).alias("b"))
                      .select("c", F.lit(None).cast("double").alias("num"), F.col("b.v").alias("txt")))
-    if not parts:
-        return {}, {}
-    stats = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    got = {r["c"]: r for r in stats.collect()}
-    med = {c: (got[c]["num"] if c in got else None) for c in numeric}
+    got = {r["c"]: r for r in parts[0].collect()} if parts else {}
     mode = {c: (got[c]["txt"] if c in got else None) for c in text}
     return med, mode
 
