@@ -30,12 +30,15 @@ def grouped_quantiles(pairs: DataFrame, qs: list[float], small: int = SMALL_DIST
     {g: [quantile per q]} over the non-null ``v`` of each group."""
     counted = (pairs.where(F.col("v").isNotNull())
                .groupBy("g", F.col("v").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")))
-    cuts = F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10_000)
-    meta = {r["g"]: r for r in counted.groupBy("g").agg(
-        F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"), cuts.alias("cuts")).collect()}
+    meta = {r["g"]: r.asDict() for r in counted.groupBy("g").agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
     out = {}
     small_groups = [g for g, r in meta.items() if r["d"] <= small]
     large_groups = [g for g, r in meta.items() if r["d"] > small]
+    if large_groups:
+        cuts = F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10_000)
+        for r in counted.where(F.col("g").isin(large_groups)).groupBy("g").agg(cuts.alias("cuts")).collect():
+            meta[r["g"]]["cuts"] = r["cuts"]
     if small_groups:
         rows = (counted.where(F.col("g").isin(small_groups)).groupBy("g")
                 .agg(F.percentile("v", list(qs), F.col("c")).alias("q")).collect())
