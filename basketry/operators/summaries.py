@@ -129,10 +129,12 @@ def returns_per_customer(returns: DataFrame, orders: DataFrame) -> DataFrame:
         F.count("return_id").alias("n"), F.collect_set("reason").alias("r"))
     linked = (per_order.join(_order_link(orders), "order_id", "inner")
               .where(F.col("customer_id").isNotNull()))
-    counts = linked.groupBy("customer_id").agg(F.sum("n").alias("total_returns"))
-    reasons = (linked.select("customer_id", F.explode_outer("r").alias("reason"))
-               .groupBy("customer_id").agg(_text_set("reason", ",").alias("return_reasons")))
-    return counts.join(reasons, "customer_id", "inner")
+    # one row per (order, reason); the order's count rides on its first row
+    rows = linked.select("customer_id", "n", F.posexplode_outer("r").alias("pos", "reason"))
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    return rows.groupBy("customer_id").agg(
+        F.sum(F.when(first, F.col("n"))).alias("total_returns"),
+        _text_set("reason", ",").alias("return_reasons"))
 
 
 ORDER_NUMERIC_FILL = ["num_returns", "num_interactions", "num_campaigns",

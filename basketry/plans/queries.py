@@ -176,8 +176,8 @@ def _os(spark, sf_dir):
 # The fills only touch their listed columns.  Exploration that reads none of
 # them gets the same rows from the unfilled summary, whose plan Catalyst
 # prunes to the joins actually used (unused one-row-per-key sides vanish).
-def _os_unfilled(spark, sf_dir):
-    return summaries.order_summary(_in(spark, sf_dir), fill="none")
+def _os_unfilled(spark, sf_dir, columns=None):
+    return summaries.order_summary(_in(spark, sf_dir), fill="none", columns=columns)
 
 
 def _cs_unfilled(spark, sf_dir):
@@ -237,7 +237,7 @@ def q_order_amount_hist(spark, sf_dir):
 
 @query("order_status_counts")
 def q_order_status_counts(spark, sf_dir):
-    return explore.value_counts(_os_unfilled(spark, sf_dir), "order_status")
+    return explore.value_counts(_os_unfilled(spark, sf_dir, ["order_status"]), "order_status")
 
 
 @query("cohort_counts")
@@ -252,27 +252,27 @@ def q_cohort_sizes(spark, sf_dir):
 
 @query("revenue_by_day")
 def q_revenue_by_day(spark, sf_dir):
-    return explore.revenue_by_period(_os_unfilled(spark, sf_dir), "D")
+    return explore.revenue_by_period(_os_unfilled(spark, sf_dir, ["order_date", "order_amount"]), "D")
 
 
 @query("revenue_by_week")
 def q_revenue_by_week(spark, sf_dir):
-    return explore.revenue_by_period(_os_unfilled(spark, sf_dir), "W")
+    return explore.revenue_by_period(_os_unfilled(spark, sf_dir, ["order_date", "order_amount"]), "W")
 
 
 @query("revenue_by_month")
 def q_revenue_by_month(spark, sf_dir):
-    return explore.revenue_by_period(_os_unfilled(spark, sf_dir), "M")
+    return explore.revenue_by_period(_os_unfilled(spark, sf_dir, ["order_date", "order_amount"]), "M")
 
 
 @query("orders_by_day")
 def q_orders_by_day(spark, sf_dir):
-    return explore.orders_by_period(_os_unfilled(spark, sf_dir), "D")
+    return explore.orders_by_period(_os_unfilled(spark, sf_dir, ["order_date"]), "D")
 
 
 @query("top_categories")
 def q_top_categories(spark, sf_dir):
-    return explore.top_categories(_os_unfilled(spark, sf_dir), n=20)
+    return explore.top_categories(_os_unfilled(spark, sf_dir, ["categories", "order_amount"]), n=20)
 
 
 @query("returns_by_reason")
@@ -309,7 +309,7 @@ def _training(spark, sf_dir, leaky=False):
 @query("churn_labels")
 def q_churn_labels(spark, sf_dir):
     # reads customer_id and order_date only: none is filled
-    return churn.churn_labels(_os_unfilled(spark, sf_dir))
+    return churn.churn_labels(_os_unfilled(spark, sf_dir, ["customer_id", "order_date"]))
 
 
 @query("churn_features")
@@ -383,9 +383,12 @@ BGNBD_FIXED = {"r": 0.8, "alpha": 40.0, "a": 0.9, "b": 2.5}
 GG_FIXED = {"p": 6.0, "q": 4.0, "v": 150000.0}
 
 
+PURCHASE_COLUMNS = ["customer_id", "order_date", "order_amount"]
+
+
 def _purchase_summary(spark, sf_dir):
     # reads customer_id, order_date and order_amount only: none is filled
-    return clv.purchase_summary(_os_unfilled(spark, sf_dir))
+    return clv.purchase_summary(_os_unfilled(spark, sf_dir, PURCHASE_COLUMNS))
 
 
 @query("purchase_summary")
@@ -426,7 +429,7 @@ def q_expected_purchases(spark, sf_dir):
 @query("clv_by_cohort")
 def q_clv_by_cohort(spark, sf_dir):
     i = _in(spark, sf_dir)
-    summary = clv.purchase_summary(summaries.order_summary(i, fill="none"))
+    summary = clv.purchase_summary(summaries.order_summary(i, fill="none", columns=PURCHASE_COLUMNS))
     scores = clv.clv_scores(summary, BGNBD_FIXED, GG_FIXED)
     return clv.clv_by_cohort(scores, i["customers_dim"])
 
