@@ -23,13 +23,6 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(small, on, how)
 
 
-def one_row(big: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame (an aggregate without grouping keys)
-    to every row.  The side has exactly one row by construction, so it is
-    broadcast; no key is shuffled."""
-    return big.join(F.broadcast(stats), how="inner", on=F.lit(True))
-
-
 #: a key with more fact rows than this is joined apart from the rest
 HOT_KEY_ROWS = 1_000_000
 #: at most this many hot keys are split out (keys beyond it, each smaller than
