@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import has, safe_div, whole_days_between
 from basketry.operators.scan import running_sums
+from basketry.session import ensure_checkpoint_dir
 
 LABEL = "churn_next_30d"
 ONE_HOT = ["gender", "cohort", "acquisition_channel", "loyalty_status"]
@@ -144,7 +145,7 @@ def churn_pipeline(data: DataFrame, rounds: int = 300, step: float = 0.05, depth
     if model == "gbt":
         stages.append(GBTClassifier(labelCol=LABEL, featuresCol="features", stepSize=step,
                                     maxDepth=depth, maxIter=rounds, seed=seed,
-                                    validationIndicatorCol="is_validation"))
+                                    validationIndicatorCol="is_validation", checkpointInterval=10))
     elif model == "logreg":
         stages.append(LogisticRegression(labelCol=LABEL, featuresCol="features", maxIter=100))
     else:
@@ -155,6 +156,11 @@ def churn_pipeline(data: DataFrame, rounds: int = 300, step: float = 0.05, depth
 def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", **kw) -> PipelineModel:
     """M-11: fit on the split training set (validation rows only steer early
     stopping).  ``data`` comes from ``churn_split``."""
+    # boosting keeps a growing lineage of per-round predictions; with a
+    # checkpoint folder (the shared spark.checkpoint.dir) Spark ML cuts it
+    # every ``checkpointInterval`` rounds, so a lost executor does not replay
+    # the whole ensemble
+    ensure_checkpoint_dir(data.sparkSession)
     fit_on = data if model == "gbt" else data.where(~F.col("is_validation"))
     return churn_pipeline(data, rounds=rounds, model=model, **kw).fit(fit_on)
 
