@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.operators.joins import skew_join
+
 
 def welch_t(df: DataFrame, value: str, group: str, a: str, b: str) -> DataFrame:
     """X-01: Welch two-sample t statistic and degrees of freedom of ``value``
@@ -150,11 +152,16 @@ def return_drivers(orders: DataFrame, items: DataFrame, products: DataFrame,
     by_pay = o.where(F.col("payment_method").isNotNull()).groupBy(
         F.lit("payment_method").alias("dimension"), F.col("payment_method").alias("value")
     ).agg(F.count(F.lit(1)).alias("orders"), F.sum("_ret").alias("returned_orders"))
-    cats = (items.select("order_id", "product_id").join(products.select("product_id", "category"), "product_id")
-            .where(F.col("category").isNotNull()).select("order_id", "category").distinct())
-    by_cat = cats.join(o.select("order_id", "_ret"), "order_id").groupBy(
-        F.lit("category").alias("dimension"), F.col("category").alias("value")
-    ).agg(F.count(F.lit(1)).alias("orders"), F.sum("_ret").alias("returned_orders"))
+    # categories per order as a set (bounded by the catalogue), partitioned
+    # by order_id like ``o``: the join below needs no further shuffle
+    cats = (skew_join(items.select("order_id", "product_id"), products.select("product_id", "category"),
+                      "product_id", "inner")
+            .where(F.col("category").isNotNull())
+            .groupBy("order_id").agg(F.collect_set("category").alias("cats")))
+    by_cat = (cats.join(o.select("order_id", "_ret"), "order_id")
+              .select(F.explode("cats").alias("value"), "_ret")
+              .groupBy(F.lit("category").alias("dimension"), "value")
+              .agg(F.count(F.lit(1)).alias("orders"), F.sum("_ret").alias("returned_orders")))
     both = by_pay.unionByName(by_cat)
     return both.withColumn("return_rate", F.round(F.col("returned_orders") / F.col("orders"), 6))
 
