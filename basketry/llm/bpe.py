@@ -222,7 +222,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = Merges.load(path)
-        for batch in batches(rows):
+        for batch in batches(rows, text=1):
             words, offsets = split_words(texts(batch.column(1)))
             codes, vocabulary = encode(words)
             ids, at = merges.encode_chunks(vocabulary.to_pylist()) if len(vocabulary) else (

@@ -10,14 +10,16 @@ array arithmetic on word codes.  A batch holds at most
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel  # noqa: F401  (kept importable for callers)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +46,30 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (once per context).
+
+    The sources go as a zip to the shared folder and from there to the executors
+    by ``addPyFile``; a cluster that installs the package needs no call.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_basketry_shipped", False):
+        return
+    root, packed = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, str(source.relative_to(root.parent)))
+    path = f"{scratch(spark, 'package')}/basketry.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(path)
+    sc._basketry_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -146,10 +171,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def batches(rows: Iterator[pa.RecordBatch], text: int | None = None,
+            max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches that have rows; with ``text`` (a column's number) cut into runs
+    of rows with at most ``max_bytes`` of it, or one longer text."""
     for batch in rows:
-        if batch.num_rows:
+        if text is None and batch.num_rows:
             yield batch
+        if text is None or not batch.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -> str:

@@ -153,7 +153,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
             segment, start, total, doc_ids, held, sizes = segment + 1, start + len(ids), 0, [], [], []
             return out
 
-        for batch in batches(rows):
+        for batch in batches(rows, text=1):
             words, offsets = split_words(texts(batch.column(1)))
             codes, vocabulary = encode(words)
             ids, at = library_ids(path, vocabulary.to_pylist()) if len(vocabulary) else (
