@@ -14,7 +14,6 @@ document directory and its levels.
 from __future__ import annotations
 
 import os
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.bpe import Merges
+from basketry.llm.bpe import Merges, byte_chars
 from basketry.llm.common import batches, encode, pick, split_words, spread, texts, tokenizer_path
 
 BLOCK_BITS = 512
@@ -66,6 +65,18 @@ class Dac:
                 break
         return out
 
+    def all(self) -> np.ndarray:
+        """Every id in order: each level fills in the ids that go on."""
+        out, live = np.zeros(len(self.levels[0][0]), np.uint32), None
+        for k, (chunks, bitmap, _) in enumerate(self.levels):
+            part = chunks.astype(np.uint32) << np.uint32(8 * k)
+            if live is None:
+                out, live = part, np.arange(len(part))
+            else:
+                out[live] |= part
+            live = live[np.unpackbits(bitmap, bitorder="little")[:len(live)] == 1]
+        return out
+
     @staticmethod
     def _rank(bitmap: np.ndarray, ranks: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Ones before each position: the block's count, then whole bytes, then bits."""
@@ -92,13 +103,14 @@ class Dac:
 
 
 _LIBRARY: dict = {}
+_BYTES = dict(enumerate(byte_chars()))
 
 
 def library_ids(path: str, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids the tokenizers library gives white-space-free chunks, and their offsets.
 
-    The library encodes each distinct pre-token once; a chunk that is not stable
-    under normalization is left whole to the library.
+    The library's BPE model encodes each distinct pre-token once, as byte
+    characters; special tokens have their ids.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _LIBRARY:
@@ -107,14 +119,11 @@ def library_ids(path: str, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     tokenizer = _LIBRARY[path]
     merges = Merges.load(path)
     pieces, per_chunk = merges.pretokens(chunks)
-    if not unicodedata.is_normalized("NFC", "\n".join(pieces)):
-        pieces, per_chunk = chunks, np.ones(len(chunks), np.int64)
     codes: dict[str, int] = {}
     which = np.fromiter((codes.setdefault(p, len(codes)) for p in pieces), np.int64, len(pieces))
-    words = list(codes)
-    plain = [w for w in words if w[0] != "\x0b"]
-    encoded = iter(tokenizer.encode_batch(plain, add_special_tokens=False))
-    own = [next(encoded).ids if w[0] != "\x0b" else [int(w[1:-1])] for w in words]
+    words, model = list(codes), tokenizer.model
+    own = [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(_BYTES))] if w[0] != "\x0b"
+           else [int(w[1:-1])] for w in words]
     counts = np.fromiter(map(len, own), np.int64, len(own))
     ids = np.fromiter((i for x in own for i in x), np.int64, int(counts.sum()))
     at = np.cumsum(counts) - counts
@@ -180,13 +189,13 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
 def open_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """The segments with ``first``: ids in all files before each segment.
 
-    Totals are summed per part (as many rows as range partitions) and only those
-    are put in order.
+    Totals are summed per part and only those are put in order; they are as many
+    rows as the writer had partitions, which bounds their broadcast.
     """
     segments = spark.read.schema(SEGMENT).parquet(folder)
     totals = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    return segments.join(before, "part").withColumn("first", F.col("before") + F.col("start")).drop("before")
+    return segments.join(F.broadcast(before), "part").withColumn("first", F.col("before") + F.col("start")).drop("before")
 
 
 def read_tokens(spark: SparkSession, folder: str, keep_ids: bool = False) -> DataFrame:
@@ -199,7 +208,7 @@ def read_tokens(spark: SparkSession, folder: str, keep_ids: bool = False) -> Dat
             for row in range(batch.num_rows):
                 first, size, docs, starts, levels = (batch.column(k)[row].as_py() for k in range(5))
                 dac, ends = Dac.unpack(levels), [*starts[1:], size]
-                ids = dac.access(np.arange(size)).astype("<u4")
+                ids = dac.all().astype("<u4")
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)]
                 own = np.array(starts, np.int64)
                 out = [pa.array(docs, pa.int64()), pa.array(own + first), pa.array(np.array(ends, np.int64) - own),
