@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, dac, decontaminate, licenses, line_spread, quality, sharding, simhash, suffix_tree
+from basketry.llm import bpe, dac, decontaminate, licenses, line_spread, quality, repeats, sharding, simhash, suffix_tree
 from basketry.llm.common import scratch, table
 
 
@@ -45,13 +45,17 @@ def op8_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_tokens(spark, folder)
 
 
+def op9_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("t")
 
 
 QUERIES = {f.__name__: f for f in (
     op1_extendible_shards, op2_suffix_tree_scores, op3_line_spread, op4_bpe_segment_tree, op5_quality_bands,
-    op6_license_scan, op7_simhash_covering, op8_dac_tokens, op10_template_leaks)}
+    op6_license_scan, op7_simhash_covering, op8_dac_tokens, op9_bwt_repeats, op10_template_leaks)}
 
 SQL: dict[str, str] = {
     "op1_extendible_shards": sharding.shard_sql(),
