@@ -10,6 +10,8 @@ array arithmetic on word codes.  A batch holds at most
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import os
 import uuid
@@ -25,6 +27,12 @@ from pyspark.sql import functions as F
 
 from basketry.session import ensure_checkpoint_dir
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018  (absent outside glibc)
+except (OSError, AttributeError):
+    _LIBC = None
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder, deleted when the JVM ends."""
@@ -35,14 +43,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str = "zstd", free: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and return it read back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation, and
-    each later reader sees the same rows.
+    each later reader sees the same rows.  ``free`` is for steps with a large
+    shuffle: its files serve nothing once the table is written, and Spark drops
+    them as soon as the driver has collected their handles.
     """
     path = scratch(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
+    if free:
+        gc.collect()
+        df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -164,11 +177,20 @@ def bare_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer (uint64 in, uint64 out)."""
-    h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    with np.errstate(over="ignore"):
+        h = h ^ (h >> np.uint64(30))
+        h = h * np.uint64(0xBF58476D1CE4E5B9)
+        h = h ^ (h >> np.uint64(27))
+        h = h * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(31))
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on between tasks,
+    and what it keeps is missing to the executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def batches(rows: Iterator[pa.RecordBatch], text: int | None = None,
@@ -178,6 +200,7 @@ def batches(rows: Iterator[pa.RecordBatch], text: int | None = None,
     for batch in rows:
         if text is None and batch.num_rows:
             yield batch
+            continue
         if text is None or not batch.num_rows:
             continue
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -186,7 +209,9 @@ def batches(rows: Iterator[pa.RecordBatch], text: int | None = None,
             before = int(ends[at - 1]) if at else 0
             stop = max(at + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
             yield batch.slice(at, stop - at)
+            give_back()
             at = stop
+    give_back()
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -> str:

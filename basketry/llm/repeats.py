@@ -273,7 +273,7 @@ def repeated_windows(segments: list[bytes], length: int) -> tuple[np.ndarray, np
     return group[many], own, place - starts[own]
 
 
-def _expand(length: int, hold: int = 4 << 20):
+def _expand(length: int, hold: int = 1 << 18):
     """Segments sorted by bucket -> spans of windows with an earlier equal window."""
 
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
@@ -376,20 +376,20 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     own = pick(docs, doc_id=f"{id_col}:long", text=f"{text_col}:string").withColumn("t", F.xxhash64("text")).select(
         "doc_id", "t", F.col("text").cast("binary").alias("text"))
     runs = own.withColumn("at", F.lit(0).cast("long")).mapInArrow(_deal(length), RUNS)
-    marked = materialise(_classes(runs, length), "runs")
+    marked = materialise(_classes(runs, length), "runs", free=True)
     spans = marked.where("span").select("doc_id", "t", "pos", "n")
     asked = marked.where("asks").groupBy("doc_id", "t").agg(F.collect_list(F.struct("h", "pos", "n")).alias("runs"))
     renamed = asked.select(F.col("doc_id").alias("d"), F.col("t").alias("u"), "runs")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("u"))
     segments = materialise(own.join(renamed, same).select("doc_id", "t", "text", "runs").mapInArrow(
-        _cut(length), SEGMENTS), "segments")
+        _cut(length), SEGMENTS), "segments", free=True)
     seed = 0
     while True:
         sizes = segments.groupBy("h").agg(F.sum(F.octet_length("text")).alias("b"))
         crowded = materialise(sizes.where(F.col("b") > bucket_bytes).select("h"), "crowded")
         last = seed >= 8 or crowded.isEmpty()
         calm = segments if last else segments.join(crowded, "h", "left_anti")
-        found = materialise(calm.repartition("h").sortWithinPartitions("h").mapInArrow(_expand(length), SPANS), "spans")
+        found = materialise(calm.repartition("h").sortWithinPartitions("h").mapInArrow(_expand(length), SPANS), "spans", free=True)
         spans = spans.union(found)
         if last:
             break
