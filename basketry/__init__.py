@@ -7,7 +7,6 @@ functions/  column-level helpers (safe division, day arithmetic, lgamma, ...)
 operators/  DataFrame -> DataFrame operators (marts, summaries, cleaning,
             exploration, features, churn, lifetime value, statistics)
 plans/      query registry used by ``__spark_entry__`` and ``bench.py``
-streaming/  incremental runs of the batch operators over file streams
 """
 
 __version__ = "0.1.0"

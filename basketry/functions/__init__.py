@@ -1,4 +1,3 @@
 from basketry.functions.columns import (  # noqa: F401
-    days_between, distinct_join, first_existing, has, lgamma, lgamma_ratio,
-    list_size, money, safe_div, whole_days_between,
+    days_between, distinct_join, has, lgamma, list_size, safe_div, whole_days_between,
 )

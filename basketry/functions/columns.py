@@ -16,16 +16,6 @@ def has(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
 
-def first_existing(df: DataFrame, name: str, dtype: str = "string") -> Column:
-    """The column if present, else an all-null column of ``dtype``."""
-    return F.col(name) if has(df, name) else F.lit(None).cast(dtype)
-
-
-def money(c) -> Column:
-    """Exact money arithmetic: operands as decimal(18,2)."""
-    return F.col(c).cast("decimal(18,2)") if isinstance(c, str) else c.cast("decimal(18,2)")
-
-
 def safe_div(num, den, zero=0.0) -> Column:
     """``num / den`` with a zero or null denominator giving ``zero``
     (``None`` keeps the null)."""
@@ -39,8 +29,17 @@ def days_between(later, earlier) -> Column:
     """Fractional days ``later - earlier`` (a half day is 0.5)."""
     later = F.col(later) if isinstance(later, str) else later
     earlier = F.col(earlier) if isinstance(earlier, str) else earlier
-    return (F.unix_micros(later.cast("timestamp"))
-            - F.unix_micros(earlier.cast("timestamp"))) / F.lit(MICROS_PER_DAY)
+    return (_wall_micros(later) - _wall_micros(earlier)) / F.lit(MICROS_PER_DAY)
+
+
+def _wall_micros(c: Column) -> Column:
+    """Microseconds of the wall clock, so a session zone with summer time does
+    not shift a difference: the time of day is read in the zone it is shown in."""
+    wall = c.cast("timestamp_ntz")
+    day = F.datediff(wall.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return day * F.lit(86_400_000_000) + F.extract(F.lit("HOUR"), wall) * F.lit(3_600_000_000) + \
+        F.extract(F.lit("MINUTE"), wall) * F.lit(60_000_000) + \
+        (F.extract(F.lit("SECOND"), wall) * 1_000_000).cast("bigint")
 
 
 def whole_days_between(later, earlier) -> Column:
@@ -83,9 +82,3 @@ def lgamma(z) -> Column:
     for k in range(1, 8):
         shift = shift + F.log(z + F.lit(float(k)))
     return series - shift
-
-
-def lgamma_ratio(z: float, n) -> Column:
-    """ln Gamma(z + n) - ln Gamma(z) for a constant ``z`` and a column ``n``."""
-    n = F.col(n) if isinstance(n, str) else n
-    return lgamma(F.lit(float(z)) + n.cast("double")) - F.lit(math.lgamma(z))

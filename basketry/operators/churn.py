@@ -1,22 +1,26 @@
 """Churn model M-01 .. M-13 (and X-09, X-10).
 
-Labels and features are lazy aggregates; the time bounds are two scalars
-from one aggregate job.  Training is a Spark ML ``Pipeline``; metrics are
-DataFrame aggregates (exact AUC by a distributed running sum).
+Labels and features are lazy aggregates; the time bounds are scalar subqueries
+of the plan.  Training is a Spark ML ``Pipeline``; metrics are DataFrame
+aggregates (exact AUC by a distributed running sum).
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import has, safe_div, whole_days_between
+from basketry.operators.quantiles import range_count
 from basketry.operators.scan import running_sums
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import ensure_checkpoint_dir, materialise
 
 LABEL = "churn_next_30d"
 ONE_HOT = ["gender", "cohort", "acquisition_channel", "loyalty_status"]
@@ -27,16 +31,14 @@ LEAKY = ["num_orders", "total_order_amount", "total_discounts", "total_items",
          "unique_products", "total_quantity", "total_item_price", "total_returns"]
 TRAIN_NUMERIC = ["train_num_orders", "train_total_sales", "train_avg_order_value",
                  "train_num_returns", "train_total_quantity", "recency_days"]
-MAX_LEVELS = 10_000
 
 
 def label_bounds(orders: DataFrame, label_days: int = 30):
-    """Snapshot (last order) and cutoff (snapshot - ``label_days`` days)."""
-    snap = orders.agg(F.max("order_date").alias("s")).first()["s"]
-    if snap is None:
-        raise ValueError("no orders")
-    import datetime as _dt
-    return snap - _dt.timedelta(days=label_days), snap
+    """Cutoff (snapshot - ``label_days`` days) and snapshot (last order) as
+    scalar subqueries: no job runs while the plan is built."""
+    last = orders.agg(F.max(F.col("order_date").cast("timestamp_ntz")).alias("s"))
+    gap = F.make_dt_interval(F.lit(label_days))
+    return (last.select((F.col("s") - gap).cast("timestamp")).scalar(), last.select(F.col("s").cast("timestamp")).scalar())
 
 
 def churn_labels(orders: DataFrame, label_days: int = 30, bounds=None) -> DataFrame:
@@ -47,24 +49,22 @@ def churn_labels(orders: DataFrame, label_days: int = 30, bounds=None) -> DataFr
             .groupBy(F.col("customer_id").cast("string").alias("customer_id"))
             .agg(F.max("order_date").alias("_last")))
     return last.select(
-        "customer_id",
-        F.when(F.col("_last") > F.lit(cutoff), 0).otherwise(1).alias(LABEL),
-        F.lit(cutoff).cast("timestamp").alias("label_cutoff"),
-        F.lit(snap).cast("timestamp").alias("snapshot_date"))
+        "customer_id", F.when(F.col("_last") > cutoff, 0).otherwise(1).alias(LABEL),
+        cutoff.alias("label_cutoff"), snap.alias("snapshot_date"))
 
 
 def one_hot_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null levels per column, in one small job."""
+    """Sorted distinct non-null levels per column, for ``one_hot``.  The levels
+    become columns of the plan, so they pass the driver; for columns of
+    unknown width use ``churn_pipeline``, which encodes them sparsely."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
                                 for c in cols]))
     rows = (df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
-            .distinct().groupBy("c").agg(F.array_sort(F.collect_list("v")).alias("levels"))
-            .collect())
-    levels = {r["c"]: list(r["levels"]) for r in rows}
-    for c, lv in levels.items():
-        if len(lv) > MAX_LEVELS:
-            raise ValueError(f"{c} has {len(lv)} levels; index it with StringIndexer instead")
-    return {c: levels.get(c, []) for c in cols}
+            .distinct().orderBy("c", "v").collect())
+    levels: dict[str, list[str]] = {c: [] for c in cols}
+    for r in rows:
+        levels[r["c"]].append(r["v"])
+    return levels
 
 
 def one_hot(df: DataFrame, cols: list[str], drop_first: bool = True,
@@ -82,12 +82,14 @@ def one_hot(df: DataFrame, cols: list[str], drop_first: bool = True,
 
 
 def churn_features(customers: DataFrame, orders: DataFrame, label_days: int = 30,
-                   leaky: bool = False, bounds=None, levels=None) -> DataFrame:
+                   leaky: bool = False, bounds=None, levels=None, wide: bool = True) -> DataFrame:
     """M-02: features from orders up to the cutoff, joined to the customer
     summary; missing -> 0; returns per order; one-hot; ids and long text
-    dropped.  ``leaky=True`` keeps the whole-history totals (D12)."""
+    dropped.  ``leaky=True`` keeps the whole-history totals (D12);
+    ``wide=False`` leaves the categories as they are, for ``churn_pipeline``
+    to encode."""
     cutoff, _ = bounds or label_bounds(orders, label_days)
-    train = orders.where(F.col("order_date") <= F.lit(cutoff))
+    train = orders.where(F.col("order_date") <= cutoff)
     agg = (train.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("train_num_orders"),
         F.sum(F.col("order_amount").cast("decimal(18,2)")).cast("double").alias("train_total_sales"),
@@ -95,34 +97,50 @@ def churn_features(customers: DataFrame, orders: DataFrame, label_days: int = 30
          / F.count("order_amount")).alias("train_avg_order_value"),
         F.sum(F.col("num_returns").cast("double")).alias("train_num_returns"),
         F.sum(F.col("total_quantity").cast("double")).alias("train_total_quantity"),
-        whole_days_between(F.lit(cutoff).cast("timestamp"), F.max("order_date")).alias("recency_days"),
+        whole_days_between(F.max(cutoff), F.max("order_date")).alias("recency_days"),
     ))
     feat = customers.join(agg, "customer_id", "left")
     feat = feat.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in TRAIN_NUMERIC})
     feat = feat.withColumn("returns_per_order", safe_div("train_num_returns", "train_num_orders"))
-    feat = one_hot(feat, ONE_HOT, levels=levels)
+    if wide:
+        feat = one_hot(feat, ONE_HOT, levels=levels)
     drop = DROP + ([] if leaky else LEAKY)
     feat = feat.drop(*[c for c in drop if has(feat, c)])
     return feat.withColumn("customer_id", F.col("customer_id").cast("string"))
 
 
 def churn_training_set(customers: DataFrame, orders: DataFrame, label_days: int = 30,
-                       leaky: bool = False) -> DataFrame:
+                       leaky: bool = False, levels=None, wide: bool = True) -> DataFrame:
     """M-03: features with the label; a customer without any order counts as
     churned (label 1)."""
     bounds = label_bounds(orders, label_days)
     labels = churn_labels(orders, label_days, bounds).select("customer_id", LABEL)
-    feat = churn_features(customers, orders, label_days, leaky, bounds)
+    feat = churn_features(customers, orders, label_days, leaky, bounds, levels, wide)
     return (feat.join(labels, "customer_id", "left")
             .withColumn(LABEL, F.coalesce(F.col(LABEL), F.lit(1)).cast("int")))
 
 
 def churn_split(data: DataFrame, validation: float = 0.2, seed: int = 42) -> DataFrame:
-    """M-06: stable train / validation flag by a hash of the id (no global
-    sort, same rows at any partitioning; each label is split in the same
-    proportion in expectation)."""
-    h = F.pmod(F.xxhash64(F.col("customer_id"), F.lit(seed)), F.lit(10_000))
-    return data.withColumn("is_validation", h < F.lit(int(validation * 10_000)))
+    """M-06: stratified split.  Within each label the ``validation`` share
+    (rounded) with the smallest hash of (id, seed) is the validation part.
+
+    The rank of a hash is exact without a global sort: rows are counted per
+    label and hash range (the leading bits, as many ranges as a shuffle has
+    partitions), the counts before each range come from those, and only rows of
+    one range are ordered together."""
+    bits = max(1, min(28, math.ceil(math.log2(range_count(data)))))
+    h = F.md5(F.concat(F.col("customer_id"), F.lit(f":{seed}")))
+    tagged = data.withColumn("_h", h).withColumn(
+        "_r", F.shiftright(F.conv(F.substring("_h", 1, 7), 16, 10).cast("bigint"), 28 - bits))
+    counts = tagged.groupBy(F.col(LABEL).alias("_l"), F.col("_r").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_l").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_l", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"),
+                            F.sum("_n").over(Window.partitionBy("_l")).alias("_t"))
+    inside = Window.partitionBy(LABEL, "_r").orderBy("_h", "customer_id")
+    ranked = tagged.withColumn("_i", F.row_number().over(inside)).join(
+        offsets, (F.col(LABEL) == F.col("_l")) & (F.col("_r") == F.col("_b")))
+    return ranked.select(*data.columns, (F.col("_o") + F.col("_i") <= F.round(F.col("_t") * validation)).alias(
+        "is_validation"))
 
 
 def feature_columns(data: DataFrame) -> list[str]:
@@ -133,19 +151,25 @@ def feature_columns(data: DataFrame) -> list[str]:
 def churn_pipeline(data: DataFrame, rounds: int = 300, step: float = 0.05, depth: int = 6,
                    seed: int = 42, model: str = "gbt") -> Pipeline:
     """M-05 + M-07 / X-09: index ``age_group`` (alphabetical, unseen -> own
-    code, fitted on the training part only), assemble, then boosted trees
-    (early stop on the validation flag) or logistic regression."""
-    stages = []
-    inputs = feature_columns(data)
+    code), one-hot the categories that are still text as sparse vectors (any
+    number of levels, no column per level), assemble, then boosted trees or
+    logistic regression.  To be fitted on training rows only (D14)."""
+    stages, inputs = [], feature_columns(data)
+    texts = [c for c in ONE_HOT if has(data, c)]
     if has(data, "age_group"):
         stages.append(StringIndexer(inputCol="age_group", outputCol="age_group_idx",
                                     stringOrderType="alphabetAsc", handleInvalid="keep"))
         inputs = inputs + ["age_group_idx"]
+    if texts:
+        stages.append(StringIndexer(inputCols=texts, outputCols=[f"{c}_idx" for c in texts],
+                                    stringOrderType="alphabetAsc", handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in texts], outputCols=[f"{c}_vec" for c in texts],
+                                    handleInvalid="keep"))
+        inputs = inputs + [f"{c}_vec" for c in texts]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     if model == "gbt":
         stages.append(GBTClassifier(labelCol=LABEL, featuresCol="features", stepSize=step,
-                                    maxDepth=depth, maxIter=rounds, seed=seed,
-                                    validationIndicatorCol="is_validation", checkpointInterval=10))
+                                    maxDepth=depth, maxIter=rounds, seed=seed, checkpointInterval=10))
     elif model == "logreg":
         stages.append(LogisticRegression(labelCol=LABEL, featuresCol="features", maxIter=100))
     else:
@@ -153,16 +177,49 @@ def churn_pipeline(data: DataFrame, rounds: int = 300, step: float = 0.05, depth
     return Pipeline(stages=stages)
 
 
-def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", **kw) -> PipelineModel:
-    """M-11: fit on the split training set (validation rows only steer early
-    stopping).  ``data`` comes from ``churn_split``."""
+def best_round(losses: list[float], patience: int = 20) -> int:
+    """Rounds to keep: the best one before ``patience`` rounds without gain."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
+def _first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The ensemble's first ``n`` trees as a model of its own."""
+    java, sc = model._java_obj, SparkContext.getOrCreate()
+    jvm, gateway = sc._jvm, sc._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    for k in range(n):
+        trees[k], weights[k] = java.trees()[k], java.treeWeights()[k]
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    cut.setFeaturesCol(java.getFeaturesCol())
+    return GBTClassificationModel(cut)
+
+
+def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", patience: int = 20, **kw) -> PipelineModel:
+    """M-11: fit on the training rows of ``churn_split``.  Boosting runs all
+    ``rounds`` there; the loss of every prefix of the ensemble on the validation
+    rows then decides how many trees stay (``patience`` rounds without gain end
+    the search)."""
     # boosting keeps a growing lineage of per-round predictions; with a
-    # checkpoint folder (the shared spark.checkpoint.dir) Spark ML cuts it
-    # every ``checkpointInterval`` rounds, so a lost executor does not replay
-    # the whole ensemble
+    # checkpoint folder Spark ML cuts it every ``checkpointInterval`` rounds
     ensure_checkpoint_dir(data.sparkSession)
-    fit_on = data if model == "gbt" else data.where(~F.col("is_validation"))
-    return churn_pipeline(data, rounds=rounds, model=model, **kw).fit(fit_on)
+    data = materialise(data, "training")
+    fitted = churn_pipeline(data, rounds=rounds, model=model, **kw).fit(data.where(~F.col("is_validation")))
+    if model != "gbt":
+        return fitted
+    *prepare, trees = fitted.stages
+    held = PipelineModel(prepare).transform(data.where(F.col("is_validation")))
+    if held.isEmpty():
+        return fitted
+    keep = best_round(trees.evaluateEachIteration(held), patience)
+    return PipelineModel([*prepare, _first_trees(trees, keep)])
 
 
 def churn_scores(model: PipelineModel, data: DataFrame) -> DataFrame:
@@ -188,6 +245,23 @@ def churn_metrics(scores: DataFrame) -> dict[str, DataFrame]:
             "classification_report": classification_report(scores)}
 
 
+def training_metrics(scores: DataFrame) -> DataFrame:
+    """M-11: the metrics of a training run as one table (metric, class, value)."""
+    got = churn_metrics(scores)
+    line = lambda metric, cls, v: F.struct(F.lit(metric).alias("metric"), cls.cast("string").alias("class"),
+                                           v.cast("double").alias("value"))
+    none = F.lit(None)
+    parts = [got["auc"].select(line("auc", none, F.col("auc")).alias("m"))]
+    cell = F.concat_ws("/", F.col(LABEL), F.col("prediction"))
+    parts.append(got["confusion_matrix"].select(line("count", cell, F.col("count")).alias("m")))
+    for c in ("precision", "recall", "f1_score", "support"):
+        parts.append(got["classification_report"].select(line(c, F.col("class"), F.col(c)).alias("m")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("m.*")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """M-12."""
     model.write().overwrite().save(path)
@@ -209,8 +283,9 @@ def rule_scores(data: DataFrame, days: float = 730.0) -> DataFrame:
 def auc(scores: DataFrame, label: str = LABEL, score: str = "score") -> DataFrame:
     """M-08: exact area under the ROC curve (ties count one half), one row.
 
-    Scores are counted per distinct value; the negatives below each value
-    come from a distributed running sum, so no task sees all scores."""
+    Scores are counted per distinct value (written once: the running sum
+    reads them several times); the negatives below each value come from a
+    distributed running sum, so no task sees all scores."""
     per = scores.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("bigint").alias("neg"))

@@ -6,16 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import has
+from basketry.schemas import CLEAN_CUSTOMER_NUMERIC, CLEAN_ORDER_NUMERIC
 from basketry.sources.sinks import write_parquet
 
-CUSTOMER_NUMERIC = ["num_orders", "total_order_amount", "total_discounts", "total_items",
-                    "unique_products", "total_quantity", "total_item_price", "total_returns",
-                    "num_interactions", "num_campaigns", "total_spend", "total_impressions",
-                    "total_clicks"]
-ORDER_NUMERIC = ["order_amount", "discount_amount", "num_items", "total_quantity",
-                 "total_item_price", "num_returns"]
-
-
 def _coerce_zero(df: DataFrame, c: str) -> F.Column:
     """Text or number -> double; unparsable or null -> 0."""
     x = F.col(c)
@@ -34,19 +27,19 @@ def _text_or(df: DataFrame, c: str, word: str) -> F.Column:
 def clean_customers(df: DataFrame) -> DataFrame:
     """C-01: numeric columns coerced (bad or missing -> 0); gender null ->
     'Unknown', loyalty_status null -> 'None'."""
-    fixes = {c: _coerce_zero(df, c) for c in CUSTOMER_NUMERIC if has(df, c)}
+    fixes = {c: _coerce_zero(df, c) for c in CLEAN_CUSTOMER_NUMERIC if has(df, c)}
     fixes["gender"] = _text_or(df, "gender", "Unknown")
     fixes["loyalty_status"] = _text_or(df, "loyalty_status", "None")
     return df.withColumns(fixes)
 
 
 def clean_orders(df: DataFrame) -> DataFrame:
-    """C-02: numeric columns coerced, categories / subcategories null ->
-    'Unknown'."""
-    fixes = {c: _coerce_zero(df, c) for c in ORDER_NUMERIC if has(df, c)}
+    """C-02: numeric columns coerced; missing categories / subcategories ->
+    'Unknown' (an empty list is missing, as after a trip through CSV)."""
+    fixes = {c: _coerce_zero(df, c) for c in CLEAN_ORDER_NUMERIC if has(df, c)}
     for c in ("categories", "subcategories"):
         if has(df, c):
-            fixes[c] = F.coalesce(F.col(c).cast("string"), F.lit("Unknown"))
+            fixes[c] = F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("Unknown"))
     return df.withColumns(fixes)
 
 

@@ -2,9 +2,9 @@
 
 The purchase history is reduced to day grain per customer in two partial
 aggregations (customer x day, then customer), with no window.  The model
-fits sum their likelihood in Spark over the history compressed to distinct
-(frequency, recency, T) or (frequency, monetary) rows with a count; the
-compressed table is checkpointed once, since every fit round reads it.
+fits sum their likelihood in Spark over the history, written once since every
+fit round reads it: BG/NBD over distinct (frequency, recency, T) with a count,
+Gamma-Gamma over the buyers as they are (amounts hardly repeat).
 BG/NBD: Fader, Hardie & Lee (2005).  Gamma-Gamma: Fader & Hardie (2013).
 """
 
@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import lgamma
-from basketry.operators.fit import newton_minimise
+from basketry.operators.fit import minimise
 from basketry.operators.quantiles import column_quantiles
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import materialise
 
 
 def purchase_summary(orders: DataFrame, value: str = "order_amount", end=None) -> DataFrame:
@@ -35,8 +35,8 @@ def purchase_summary(orders: DataFrame, value: str = "order_amount", end=None) -
         F.count(F.lit(1)).alias("_days"), F.min("day").alias("_first"), F.max("day").alias("_last"),
         F.sum("v").alias("_total"), F.min_by("v", "day").alias("_first_v"))
     if end is None:
-        last = orders.agg(F.max(F.to_date("order_date")).alias("e")).first()["e"]
-        end_date = F.date_add(F.lit(last), 1)
+        # a scalar subquery: no job runs while the plan is built
+        end_date = F.date_add(orders.agg(F.max(F.to_date("order_date"))).scalar(), 1)
     else:
         end_date = F.to_date(F.lit(end))
     freq = (F.col("_days") - 1).cast("bigint")
@@ -50,15 +50,14 @@ def purchase_summary(orders: DataFrame, value: str = "order_amount", end=None) -
 
 
 def monetary_cap(summary: DataFrame, q: float = 0.99) -> float | None:
-    """The ``q`` quantile of monetary value (exact, distributed), 6 decimals."""
-    v = column_quantiles(summary, ["monetary_value"], [q])["monetary_value"][0]
-    return None if v is None else round(v, 6)
+    """The ``q`` quantile of monetary value (exact, distributed)."""
+    return column_quantiles(summary, ["monetary_value"], [q])["monetary_value"][0]
 
 
 def clv_fit_input(summary: DataFrame, cap_quantile: float = 0.99) -> DataFrame:
     """V-02: repeat buyers with positive value; monetary value capped at its
     ``cap_quantile`` quantile (over those buyers)."""
-    kept = summary.where((F.col("monetary_value") > 0) & (F.col("frequency") > 0))
+    kept = materialise(summary.where((F.col("monetary_value") > 0) & (F.col("frequency") > 0)), "repeat-buyers")
     cap = monetary_cap(kept, cap_quantile)
     if cap is None:
         return kept
@@ -67,35 +66,28 @@ def clv_fit_input(summary: DataFrame, cap_quantile: float = 0.99) -> DataFrame:
 
 # --- fits -------------------------------------------------------------------------
 
-def _compress(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct rows with their count, materialised and cut from lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    return grouped.checkpoint(eager=True)
+def mean_by_point(data: DataFrame, likelihood, points: list[dict]) -> list[float]:
+    """Count-weighted mean log-likelihood at each point, in one job.  A row holds
+    its values at all points in one small array, so no row is repeated and the
+    formula stands in the plan once."""
+    fields = list(points[0])
+    trial = F.array(*[F.struct(*[F.lit(float(p[f])).alias(f) for f in fields]) for p in points])
+    rows = data.select("n", F.transform(trial, lambda p: likelihood({f: p[f] for f in fields})).alias("_ll"))
+    row = rows.agg(F.sum("n").alias("_n"), *[
+        F.sum(F.col("_ll")[i] * F.col("n")).alias(f"s{i}") for i in range(len(points))]).first()
+    return [math.nan if row[f"s{i}"] is None else row[f"s{i}"] / row["_n"] for i in range(len(points))]
 
 
-def _trial_rows(data: DataFrame, points: list[dict]) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(i).alias("i"), *[F.lit(float(v)).alias(k) for k, v in p.items()])
-                    for i, p in enumerate(points)])
-    return data.select("*", F.explode(arr).alias("p"))
+def _number(v) -> F.Column:
+    return v if isinstance(v, F.Column) else F.lit(float(v))
 
 
-def _sum_by_trial(rows: DataFrame, ll: F.Column, n_points: int) -> list[float]:
-    res = rows.groupBy(F.col("p.i").alias("i")).agg(
-        (F.sum(ll * F.col("n")) / F.sum("n")).alias("mean_ll")).collect()
-    out = [math.nan] * n_points
-    for r in res:
-        v = r["mean_ll"]
-        out[r["i"]] = v if v is not None else math.nan
-    return out
-
-
-def bgnbd_log_likelihood(x: F.Column, t: F.Column, T: F.Column) -> F.Column:
-    """Per-customer BG/NBD log-likelihood with the trial parameters in the
-    struct column ``p`` (r, alpha, a, b) and the constant part in ``p.c``."""
-    r, alpha, a, b = F.col("p.r"), F.col("p.alpha"), F.col("p.a"), F.col("p.b")
+def bgnbd_log_likelihood(x: F.Column, t: F.Column, T: F.Column, p: dict) -> F.Column:
+    """Per-customer BG/NBD log-likelihood at the point ``p`` (r, alpha, a, b and
+    the part ``c`` that no customer changes)."""
+    r, alpha, a, b, c = (_number(p[k]) for k in ("r", "alpha", "a", "b", "c"))
     xd = x.cast("double")
-    a12 = lgamma(r + xd) + lgamma(b + xd) - lgamma(a + b + xd) + F.col("p.c")
+    a12 = lgamma(r + xd) + lgamma(b + xd) - lgamma(a + b + xd) + c
     a3 = -(r + xd) * F.log(alpha + T)
     a4 = F.log(a) - F.log(b + F.greatest(xd, F.lit(1.0)) - 1) - (r + xd) * F.log(alpha + t)
     m = F.greatest(a3, a4)
@@ -103,95 +95,110 @@ def bgnbd_log_likelihood(x: F.Column, t: F.Column, T: F.Column) -> F.Column:
     return a12 + F.log(both) + m
 
 
-def _bgnbd_point(theta: np.ndarray) -> dict:
-    r, alpha, a, b = np.exp(theta)
+def bgnbd_point(r: float, alpha: float, a: float, b: float) -> dict:
     c = -math.lgamma(r) + r * math.log(alpha) + math.lgamma(a + b) - math.lgamma(b)
     return {"r": r, "alpha": alpha, "a": a, "b": b, "c": c}
 
 
-def _spark(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def bgnbd_likelihood(summary: DataFrame, r: float, alpha: float, a: float, b: float) -> DataFrame:
+    """Sum of the BG/NBD log-likelihood at given parameters, and the customers."""
+    ll = bgnbd_log_likelihood(F.col("frequency"), F.col("recency").cast("double"), F.col("T").cast("double"),
+                              bgnbd_point(r, alpha, a, b))
+    return summary.agg(F.round(F.sum(ll), 4).alias("log_likelihood"), F.count(F.lit(1)).alias("customers"))
 
 
-def fit_bgnbd(summary: DataFrame, ridge: float = 1.0, max_rounds: int = 30) -> DataFrame:
+def fit_bgnbd(summary: DataFrame, ridge: float = 1.0, max_rounds: int = 60) -> DataFrame:
     """V-03: BG/NBD by penalised maximum likelihood: minimise
     -mean ln L + ridge * sum(theta^2) over (r, alpha, a, b) with time scaled
     so the largest T is 10 (the scale is stored; alpha is reported in days).
-    One row: r, alpha, a, b, scale, ridge, neg_log_likelihood, converged,
-    rounds, customers."""
+    One row: model, params, scale, ridge, neg_log_likelihood, converged,
+    rounds, customers, gradient (largest absolute slope at the end)."""
     # (column names are case-insensitive: recency -> rec, T -> age)
-    data = _compress(summary.select(F.col("frequency").alias("x"),
-                                    F.col("recency").cast("double").alias("rec"),
-                                    F.col("T").cast("double").alias("age")), ["x", "rec", "age"])
+    data = materialise(summary.groupBy(
+        F.col("frequency").alias("x"), F.col("recency").cast("double").alias("rec"),
+        F.col("T").cast("double").alias("age")).agg(F.count(F.lit(1)).cast("double").alias("n")), "history")
     stats = data.agg(F.max("age").alias("mt"), F.sum("n").alias("n")).first()
     if not stats["n"]:
-        raise ValueError("empty purchase summary")
+        return _params(summary, "bgnbd", {}, 1.0, ridge, math.nan, False, 0, 0, math.nan)
     scale = 10.0 / stats["mt"] if stats["mt"] else 1.0
-    scaled = data.select("x", (F.col("rec") * scale).alias("rec"), (F.col("age") * scale).alias("age"), "n")
-    ll = bgnbd_log_likelihood(F.col("x"), F.col("rec"), F.col("age"))
+    x, rec, age = F.col("x"), F.col("rec") * scale, F.col("age") * scale
 
     def objective(thetas):
-        pts = [_bgnbd_point(th) for th in thetas]
-        means = _sum_by_trial(_trial_rows(scaled, pts), ll, len(pts))
+        means = mean_by_point(data, lambda p: bgnbd_log_likelihood(x, rec, age, p),
+                              [bgnbd_point(*np.exp(th)) for th in thetas])
         return [-m + ridge * float(np.sum(np.exp(th) ** 2)) for m, th in zip(means, thetas)]
 
-    theta, value, converged, rounds = newton_minimise(objective, np.zeros(4), max_rounds=max_rounds)
+    theta, value, converged, rounds, slope = minimise(objective, np.zeros(4), max_rounds=max_rounds)
     r, alpha, a, b = np.exp(theta)
-    data.unpersist()
     return _params(summary, "bgnbd", {"r": r, "alpha": alpha / scale, "a": a, "b": b},
-                   scale, ridge, value, converged, rounds, stats["n"])
+                   scale, ridge, value, converged, rounds, stats["n"], slope)
 
 
-def gamma_gamma_log_likelihood(x: F.Column, m: F.Column) -> F.Column:
-    """Per-customer Gamma-Gamma log-likelihood with trial (p, q, v) and the
-    constant part in ``p.c``."""
-    p, q, v = F.col("p.p"), F.col("p.q"), F.col("p.v")
+def gamma_gamma_log_likelihood(x: F.Column, m: F.Column, p: dict) -> F.Column:
+    """Per-customer Gamma-Gamma log-likelihood at the point ``p`` (p, q, v, c)."""
+    q, v = _number(p["q"]), _number(p["v"])
     xd = x.cast("double")
-    px = p * xd
-    return (lgamma(px + q) - lgamma(px) + F.col("p.c") + (px - 1) * F.log(m)
+    px = _number(p["p"]) * xd
+    return (lgamma(px + q) - lgamma(px) + _number(p["c"]) + (px - 1) * F.log(m)
             + px * F.log(xd) - (px + q) * F.log(xd * m + v))
 
 
-def _gg_point(theta: np.ndarray) -> dict:
-    p, q, v = np.exp(theta)
+def gamma_gamma_point(p: float, q: float, v: float) -> dict:
     return {"p": p, "q": q, "v": v, "c": -math.lgamma(q) + q * math.log(v)}
 
 
-def fit_gamma_gamma(summary: DataFrame, ridge: float = 0.01, max_rounds: int = 30) -> DataFrame:
-    """V-04: Gamma-Gamma spend model (p, q, v) on repeat buyers, monetary
-    value scaled by its mean (v is reported unscaled).  A fit that does not
-    converge is reported with ``converged = false`` instead of failing."""
-    data = _compress(summary.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
-                     .select(F.col("frequency").alias("x"), F.col("monetary_value").alias("m")),
-                     ["x", "m"])
-    stats = data.agg((F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("mean"),
-                     F.sum("n").alias("n")).first()
+def _spenders(summary: DataFrame) -> DataFrame:
+    return summary.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0)).select(
+        F.col("frequency").alias("x"), F.col("monetary_value").cast("double").alias("m"), F.lit(1.0).alias("n"))
+
+
+def gamma_gamma_likelihood(summary: DataFrame, p: float, q: float, v: float) -> DataFrame:
+    """Sum of the Gamma-Gamma log-likelihood at given parameters over repeat
+    buyers with positive value, and their number."""
+    ll = gamma_gamma_log_likelihood(F.col("x"), F.col("m"), gamma_gamma_point(p, q, v))
+    return _spenders(summary).agg(F.round(F.sum(ll), 4).alias("log_likelihood"), F.count(F.lit(1)).alias("customers"))
+
+
+def fit_gamma_gamma(summary: DataFrame, ridge: float = 0.01, max_rounds: int = 60, scale_money: bool = True) -> DataFrame:
+    """V-04: Gamma-Gamma spend model (p, q, v) on repeat buyers.
+
+    ``scale_money`` (default) divides amounts by their mean during the fit and
+    reports v in money: the ridge then weighs p, q and v alike whatever the
+    currency.  Without it the same ridge number acts on v in money.  A fit that
+    does not converge, or has no buyers, has ``converged = false``."""
+    data = materialise(_spenders(summary), "spenders")
+    stats = data.agg(F.avg("m").alias("mean"), F.sum("n").alias("n")).first()
     if not stats["n"]:
-        raise ValueError("no repeat buyers with positive value")
-    scale = 1.0 / stats["mean"]
-    scaled = data.select("x", (F.col("m") * scale).alias("m"), "n")
-    ll = gamma_gamma_log_likelihood(F.col("x"), F.col("m"))
+        return _params(summary, "gamma_gamma", {}, 1.0, ridge, math.nan, False, 0, 0, math.nan)
+    scale = 1.0 / stats["mean"] if scale_money else 1.0
+    x, m = F.col("x"), F.col("m") * scale
 
     def objective(thetas):
-        pts = [_gg_point(th) for th in thetas]
-        means = _sum_by_trial(_trial_rows(scaled, pts), ll, len(pts))
-        return [-m + ridge * float(np.sum(np.exp(th) ** 2)) for m, th in zip(means, thetas)]
+        means = mean_by_point(data, lambda p: gamma_gamma_log_likelihood(x, m, p),
+                              [gamma_gamma_point(*np.exp(th)) for th in thetas])
+        return [-v + ridge * float(np.sum(np.exp(th) ** 2)) for v, th in zip(means, thetas)]
 
-    theta, value, converged, rounds = newton_minimise(objective, np.zeros(3), max_rounds=max_rounds)
+    theta, value, converged, rounds, slope = minimise(objective, np.zeros(3), max_rounds=max_rounds)
     p, q, v = np.exp(theta)
-    data.unpersist()
     return _params(summary, "gamma_gamma", {"p": p, "q": q, "v": v / scale},
-                   scale, ridge, value, converged, rounds, stats["n"])
+                   scale, ridge, value, converged, rounds, stats["n"], slope)
+
+
+def fit_value_models(summary: DataFrame, bg_ridge: float = 1.0, gg_ridge: float = 0.01) -> DataFrame:
+    """V-05: both models, one row each.  A Gamma-Gamma fit without buyers or
+    without convergence is a row with ``converged = false``; the BG/NBD row
+    stands."""
+    return fit_bgnbd(summary, bg_ridge).unionByName(fit_gamma_gamma(summary, gg_ridge))
 
 
 PARAM_SCHEMA = ("model string, params map<string,double>, scale double, ridge double, "
-                "neg_log_likelihood double, converged boolean, rounds int, customers bigint")
+                "neg_log_likelihood double, converged boolean, rounds int, customers bigint, gradient double")
 
 
-def _params(summary, model, params, scale, ridge, value, converged, rounds, n) -> DataFrame:
+def _params(summary, model, params, scale, ridge, value, converged, rounds, n, slope) -> DataFrame:
     row = [(model, {k: float(v) for k, v in params.items()}, float(scale), float(ridge),
-            float(value), bool(converged), int(rounds), int(n))]
-    return _spark(summary).createDataFrame(row, PARAM_SCHEMA)
+            float(value), bool(converged), int(rounds), int(n), float(slope))]
+    return summary.sparkSession.createDataFrame(row, PARAM_SCHEMA)
 
 
 def save_parameters(params: DataFrame, path: str) -> None:
@@ -226,59 +233,84 @@ def p_alive(summary: DataFrame, r: float, alpha: float, a: float, b: float) -> D
 def expected_spend(summary: DataFrame, p: float, q: float, v: float) -> DataFrame:
     """X-06: expected average order value given the history,
     p (v + x m) / (p x + q - 1); null unless q > 1.  Rounded to 6 decimals."""
-    x = F.col("frequency").cast("double")
-    m = F.col("monetary_value").cast("double")
-    e = (F.lit(p) * (F.lit(v) + x * m)) / (F.lit(p) * x + F.lit(q) - 1)
     return summary.select("customer_id", "frequency", "monetary_value",
-                          F.round(e, 6).alias("expected_spend") if q > 1
-                          else F.lit(None).cast("double").alias("expected_spend"))
+                          F.round(_spend(p, q, v), 6).alias("expected_spend"))
 
 
-def _hyp2f1(a: F.Column, b: F.Column, c: F.Column, z: F.Column, terms: int = 400) -> F.Column:
-    """Gauss hypergeometric series for |z| < 1, summed as a column (the k-th
-    term from the previous one)."""
-    init = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-    ks = F.sequence(F.lit(0), F.lit(terms - 1))
+def _terms(alpha: float, beta: float, c: float, z: float) -> int:
+    """Terms after which the series of 2F1(alpha, beta; c; z), with the least
+    ``c`` and the largest ``z`` that can occur, is below double precision."""
+    size, total, k = 1.0, 1.0, 0
+    while k < 10_000_000:
+        ratio = abs((alpha + k) * (beta + k) / ((c + k) * (k + 1)) * z)
+        size, k = size * ratio, k + 1
+        total += size
+        if size == 0.0 or (ratio < 1 and size * ratio / (1 - ratio) < 1e-17 * total):
+            return k + 1
+    raise ValueError("the series does not converge for these parameters")
+
+
+def _hyp2f1(alpha: float, beta: float, c: F.Column, z: F.Column, terms: int) -> F.Column:
+    """Gauss hypergeometric series as a column (each term from the last one)."""
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
 
     def step(acc, k):
         kd = k.cast("double")
-        term = acc["term"] * (a + kd) * (b + kd) / ((c + kd) * (kd + 1)) * z
+        term = acc["term"] * (F.lit(alpha) + kd) * (F.lit(beta) + kd) / ((c + kd) * (kd + 1)) * z
         return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
-    return F.aggregate(ks, init, step, lambda acc: acc["total"])
+    return F.aggregate(F.sequence(F.lit(0), F.lit(terms - 1)), start, step, lambda acc: acc["total"])
+
+
+def _purchases(horizon: float, r: float, alpha: float, a: float, b: float) -> F.Column:
+    """Conditional expectation of BG/NBD.
+
+    2F1(r + x, b + x; a + b + x - 1; z) = (1 - z)^(a - 1 - r - x) times
+    2F1(a + b - 1 - r, a - 1; a + b + x - 1; z): the second series has small
+    constant numerators, so the number of terms that double precision needs
+    follows from the parameters and the horizon (x = 0, T = 0 is the slowest
+    customer) and holds for every customer."""
+    if a == 1.0:
+        raise ValueError("the expectation is not defined for a = 1")
+    x = F.col("frequency").cast("double")
+    t, T = F.col("recency").cast("double"), F.col("T").cast("double")
+    h = float(horizon)
+    z = F.lit(h) / (F.lit(alpha) + T + F.lit(h))
+    up, low = a + b - 1 - r, a - 1
+    series = _hyp2f1(up, low, F.lit(a + b - 1) + x, z, _terms(up, low, a + b - 1, h / (alpha + h)))
+    # (1 - z)^(r + x) of the formula cancels against the transformed power
+    first = ((F.lit(a + b - 1) + x) / F.lit(a - 1)) * (1 - F.pow(1 - z, F.lit(a - 1.0)) * series)
+    den = 1 + F.when(x > 0, (F.lit(a) / (F.lit(b) + x - 1)) * F.pow((F.lit(alpha) + T) / (F.lit(alpha) + t),
+                                                                   F.lit(r) + x)).otherwise(F.lit(0.0))
+    return first / den
+
+
+def _spend(p: float, q: float, v: float) -> F.Column:
+    x, m = F.col("frequency").cast("double"), F.col("monetary_value").cast("double")
+    if q <= 1:
+        return F.lit(None).cast("double")
+    return (F.lit(p) * (F.lit(v) + x * m)) / (F.lit(p) * x + F.lit(q) - 1)
 
 
 def expected_purchases(summary: DataFrame, horizon: float, r: float, alpha: float,
                        a: float, b: float) -> DataFrame:
     """X-06: expected purchases in the next ``horizon`` days given the
-    history (BG/NBD conditional expectation)."""
-    x = F.col("frequency").cast("double")
-    t, T = F.col("recency").cast("double"), F.col("T").cast("double")
-    r_, al, a_, b_ = F.lit(r), F.lit(alpha), F.lit(a), F.lit(b)
-    h = F.lit(float(horizon))
-    z = h / (al + T + h)
-    hyp = _hyp2f1(r_ + x, b_ + x, a_ + b_ + x - 1, z)
-    first = ((a_ + b_ + x - 1) / (a_ - 1)) * (1 - F.pow((al + T) / (al + T + h), r_ + x) * hyp)
-    den = 1 + F.when(x > 0, (a_ / (b_ + x - 1)) * F.pow((al + T) / (al + t), r_ + x)).otherwise(F.lit(0.0))
+    history (BG/NBD conditional expectation), rounded to 6 decimals."""
     return summary.select("customer_id", "frequency", "recency", "T", "monetary_value",
-                          (first / den).alias("expected_purchases"))
+                          F.round(_purchases(horizon, r, alpha, a, b), 6).alias("expected_purchases"))
 
 
 def clv_scores(summary: DataFrame, bg: dict, gg: dict, horizon: float = 365.0) -> DataFrame:
     """Customer value over ``horizon`` days: expected purchases x expected
     spend (spend falls back to the population mean without repeat days)."""
-    ep = expected_purchases(summary, horizon, bg["r"], bg["alpha"], bg["a"], bg["b"])
-    p, q, v = gg["p"], gg["q"], gg["v"]
-    x = F.col("frequency").cast("double")
-    m = F.col("monetary_value").cast("double")
-    spend = (F.lit(p) * (F.lit(v) + x * m)) / (F.lit(p) * x + F.lit(q) - 1) if q > 1 else F.lit(None)
-    return ep.withColumn("expected_spend", spend.cast("double")) \
-             .withColumn("clv", F.col("expected_purchases") * F.col("expected_spend"))
+    return (summary.withColumn("expected_purchases", _purchases(horizon, bg["r"], bg["alpha"], bg["a"], bg["b"]))
+            .withColumn("expected_spend", _spend(gg["p"], gg["q"], gg["v"]))
+            .withColumn("clv", F.col("expected_purchases") * F.col("expected_spend")))
 
 
 def clv_by_cohort(scores: DataFrame, customers: DataFrame) -> DataFrame:
-    """X-07: mean value per signup cohort."""
+    """X-07: mean and total value per signup cohort (rounded to 2 and 1 decimals)."""
     return (scores.join(customers.select("customer_id", "cohort"), "customer_id", "left")
             .groupBy("cohort").agg(F.count(F.lit(1)).alias("customers"),
-                                   F.avg("clv").alias("mean_clv"),
-                                   F.sum("clv").alias("total_clv")))
+                                   F.round(F.avg("clv"), 2).alias("mean_clv"),
+                                   F.round(F.sum("clv"), 1).alias("total_clv")))

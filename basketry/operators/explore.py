@@ -38,20 +38,16 @@ def customer_describe(customers: DataFrame, cols=("num_orders", "total_order_amo
     interpolation).  Mean, std and quartiles are rounded to 6 decimals."""
     cols = list(cols)
     quart = column_quantiles(customers, cols, [0.25, 0.5, 0.75])
-    parts = []
+    six = lambda v: F.lit(None if v is None else round(v, 6)).cast("double")
+    aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        qv = [None if v is None else round(v, 6) for v in quart[c]]
-        parts.append(customers.agg(
+        aggs.append(F.struct(
             F.lit(c).alias("column"), F.count(x).alias("count"),
             F.round(F.sum(F.col(c).cast("decimal(38,6)")).cast("double") / F.count(x), 6).alias("mean"),
-            F.round(F.stddev_samp(x), 6).alias("std"), F.min(x).alias("min"),
-            F.lit(qv[0]).cast("double").alias("p25"), F.lit(qv[1]).cast("double").alias("p50"),
-            F.lit(qv[2]).cast("double").alias("p75"), F.max(x).alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            F.round(F.stddev_samp(x), 6).alias("std"), F.min(x).alias("min"), six(quart[c][0]).alias("p25"),
+            six(quart[c][1]).alias("p50"), six(quart[c][2]).alias("p75"), F.max(x).alias("max")))
+    return customers.agg(F.array(*aggs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
 
 
 def histogram(df: DataFrame, col: str, bins: int = HIST_BINS) -> DataFrame:
@@ -104,18 +100,18 @@ def _by_period(orders: DataFrame, freq: str, value: F.Column, name: str) -> Data
     label, step = _period(freq)
     per = (orders.where(F.col("order_date").isNotNull())
            .groupBy(label.alias("period")).agg(value.alias(name)))
-    # calendar spine from the first to the last label; its length is the
-    # span of the calendar, not the amount of data
-    span = per.agg(F.min("period").alias("a"), F.max("period").alias("b"))
+    # one row holds all periods (as many as the calendar has, whatever the
+    # amount of data): bounds, spine and values come from one pass
+    whole = per.agg(F.min("period").alias("a"), F.max("period").alias("b"),
+                    F.map_from_entries(F.collect_list(F.struct("period", name))).alias("values"))
     if step is None:
         seq = F.transform(F.sequence(F.trunc("a", "month"), F.trunc("b", "month"),
                                      F.expr("INTERVAL 1 MONTH")), lambda m: F.last_day(m))
     else:
         seq = F.sequence("a", "b", F.expr(step))
-    spine = span.select(F.explode(seq).alias("period"))
-    return (spine.join(per, "period", "left")
+    return (whole.select(F.explode(seq).alias("period"), "values")
             .select(F.col("period").cast("timestamp").alias("order_date"),
-                    F.coalesce(F.col(name), F.lit(0)).alias(name))
+                    F.coalesce(F.col("values")[F.col("period")], F.lit(0)).alias(name))
             .orderBy("order_date"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import has, safe_div
 from basketry.operators.quantiles import column_quantiles, grouped_quantiles
 
+# Bucket labels and cut points.
 BUCKET_LABELS = ["low", "mid", "high", "very_high"]
 QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
 
@@ -39,11 +40,7 @@ def quartile_edges(df: DataFrame, col: str = "total_order_amount") -> list[float
     """Quartile edges (0, 25, 50, 75, 100 %, linear interpolation) of a
     column, duplicates dropped (distributed exact quantiles)."""
     qs = column_quantiles(df, [col], QUARTILES)[col]
-    edges = []
-    for e in (round(x, 6) if x is not None else None for x in qs):
-        if e is not None and e not in edges:
-            edges.append(float(e))
-    return edges
+    return sorted({float(x) for x in qs if x is not None})
 
 
 def bucket_column(x: F.Column, edges: list[float], labels: list[str]) -> F.Column:

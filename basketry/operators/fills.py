@@ -1,10 +1,11 @@
 """Null fills from global statistics (C-03 median fill, C-04 mode fill) and
 the null profile (A-31).
 
-Statistics come from one small job each: medians in one aggregate, all modes
-in one ``groupBy(column, value).count()``.  Only a handful of scalars reach
-the driver; they are put back into the plan as literals, so the fill itself
-is a plain projection with no join.
+Medians are numbers and return to the plan as literals.  Modes may be texts of
+any size: they stay in a small written table (one row per column) and reach the
+fill as scalar subqueries, so no text passes the driver.  Statistics can be
+taken from narrow weighted rows ``(g, v, w)`` instead of the table that is
+filled, so a wide join need not run for them.
 """
 
 from __future__ import annotations
@@ -12,88 +13,72 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.quantiles import column_quantiles
+from basketry.operators.quantiles import column_quantiles, grouped_quantiles
+from basketry.session import materialise
+
+
+def stacked(df: DataFrame, cols: list[str], kind: str, weight: str | None = None) -> DataFrame:
+    """Rows (g = column name, v = its value cast to ``kind``, w) of several columns."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("g"), F.col(c).cast(kind).alias("v")) for c in cols]))
+    w = F.col(weight) if weight else F.lit(1).cast("bigint")
+    return df.select(pairs.alias("p"), w.alias("w")).select("p.g", "p.v", "w")
 
 
 def medians(df: DataFrame, cols: list[str], approx: bool = False) -> dict[str, float | None]:
-    """A-26: exact median (linear interpolation) per column, nulls skipped,
-    rounded to 6 decimals (so the last bit does not depend on the
-    interpolation formula).  Exact medians come from the distributed
-    quantile (no buffer of all values); ``approx=True`` uses
-    ``percentile_approx`` in one job instead."""
+    """A-26: exact median (linear interpolation) per column, nulls skipped.
+    ``approx=True`` uses ``percentile_approx`` in one job instead."""
     if not cols:
         return {}
     if approx:
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c)
-                       for c in cols]).first()
-        return {c: (None if row[c] is None else round(float(row[c]), 6)) for c in cols}
-    got = column_quantiles(df, cols, [0.5])
-    return {c: (None if got[c][0] is None else round(got[c][0], 6)) for c in cols}
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in cols]).first()
+        return {c: row[c] for c in cols}
+    return {c: v[0] for c, v in column_quantiles(df, cols, [0.5]).items()}
 
 
-def modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
-    """A-27: most frequent non-null value per column, ties -> smallest.
+def weighted_medians(pairs: DataFrame) -> dict[str, float]:
+    """Medians of weighted rows (g, v, w), by group."""
+    return {g: v[0] for g, v in grouped_quantiles(pairs, [0.5]).items()}
 
-    All columns are counted in one shuffle: rows become (column, value)
-    pairs, counted per pair (partial aggregation absorbs hot values), then the
-    best pair per column is picked by ``min(struct(-count, value))``."""
-    if not cols:
-        return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                                for c in cols]))
-    counted = (df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
-               .groupBy("c", "v").count())
-    best = counted.groupBy("c").agg(F.min(F.struct((-F.col("count")).alias("n"), "v")).alias("b"))
-    found = {r["c"]: r["b"]["v"] for r in best.collect()}
-    return {c: found.get(c) for c in cols}
-
-
-def fill_statistics(df: DataFrame, numeric: list[str], text: list[str],
-                    approx: bool = False) -> tuple[dict, dict]:
-    """Medians of ``numeric`` (distributed exact quantiles, a few small
-    jobs for all columns together) and modes of ``text`` (one job)."""
-    numeric = [c for c in numeric if c in df.columns]
-    text = [c for c in text if c in df.columns]
-    med = medians(df, numeric, approx)
-    parts = []
-    if text:
-        txts = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                                   for c in text]))
-        counted = (df.select(txts.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
-                   .groupBy("c", "v").count())
-        parts.append(counted.groupBy("c").agg(F.min(F.struct((-F.col("count")).alias("n"), "v")).alias("b"))
-                     .select("c", F.lit(None).cast("double").alias("num"), F.col("b.v").alias("txt")))
-    got = {r["c"]: r for r in parts[0].collect()} if parts else {}
-    mode = {c: (got[c]["txt"] if c in got else None) for c in text}
-    return med, mode
-
-
-def stat_fill(df: DataFrame, numeric: list[str], text: list[str], approx: bool = False) -> DataFrame:
-    """C-03 + C-04 together: numeric nulls -> median (as double), text
-    nulls -> mode, statistics from one job."""
-    med, mode = fill_statistics(df, numeric, text, approx)
+
+def mode_table(pairs: DataFrame) -> DataFrame:
+    """A-27: (g, v) with the value of most weight per group of (g, v, w), nulls
+    skipped, ties -> smallest.  Values are counted by a 128-bit hash; only the
+    values that win or tie are looked up again as texts."""
+    rows = pairs.where(F.col("v").isNotNull()).withColumn("h", F.unhex(F.md5("v")))
+    counted = materialise(rows.groupBy("g", "h").agg(F.sum("w").alias("n")), "mode-counts")
+    best = counted.groupBy("g").agg(F.max("n").alias("n"))
+    winners = counted.join(best, ["g", "n"]).select("g", "h")
+    return rows.join(winners, ["g", "h"], "left_semi").groupBy("g").agg(F.min("v").alias("v"))
+
+
+def modes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A-27 for the columns of a table: (g, v), one row per column with a value."""
+    return mode_table(stacked(df, cols, "string"))
+
+
+def fill_medians(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
+    """C-03 with given medians: nulls -> median, the columns become double."""
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in values.items()})
+
+
+def fill_modes(df: DataFrame, table: DataFrame, cols: list[str]) -> DataFrame:
+    """C-04 with a table (g, v) of modes: nulls -> mode, cast to the column's type."""
     types = dict(df.dtypes)
-    fixes = {c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in med.items()}
-    fixes.update({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in mode.items()})
-    return df.withColumns(fixes) if fixes else df
+    table = materialise(table, "modes")
+    return df.withColumns({c: F.coalesce(F.col(c), table.where(F.col("g") == c).select("v").scalar().cast(types[c]))
+                           for c in cols})
 
 
 def median_fill(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
-    """C-03: nulls of each listed numeric column replaced by the column's
-    median; the filled columns become double."""
+    """C-03: nulls of each listed numeric column replaced by its median."""
     cols = [c for c in cols if c in df.columns]
-    med = medians(df, cols, approx)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double"))
-                           for c in cols})
+    return fill_medians(df, medians(df, cols, approx))
 
 
 def mode_fill(df: DataFrame, cols: list[str]) -> DataFrame:
-    """C-04: nulls of each listed column replaced by the column's mode (as
-    text, then cast back to the column's type)."""
+    """C-04: nulls of each listed column replaced by its mode."""
     cols = [c for c in cols if c in df.columns]
-    types = dict(df.dtypes)
-    mode = modes(df, cols)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(mode[c]).cast(types[c])) for c in cols})
+    return fill_modes(df, modes(df, cols), cols)
 
 
 def zero_fill(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import days_between
-from basketry.operators.joins import join_small
 
 AS_OF = "2025-01-01"
 DELIVERED = "Delivered"
@@ -115,22 +114,6 @@ def revenue_by_payment(customers: DataFrame, orders: DataFrame) -> DataFrame:
     return _payment_pairs(orders).join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
-def _top_payment(pairs: DataFrame) -> DataFrame:
-    rev = F.col("revenue_payment_method")
-    rank_key = F.coalesce(-rev, F.lit(float("inf")))
-    best = pairs.groupBy("customer_id").agg(
-        F.min(F.struct(rank_key.alias("k"), F.col("payment_method").alias("m"),
-                       rev.alias("r"))).alias("_best"))
-    return best.select("customer_id", F.col("_best.m").alias("payment_method"),
-                       F.col("_best.r").alias("revenue_payment_method"))
-
-
-def top_payment_method(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """A-04, one row per customer: the payment method with the most delivered
-    revenue (ties -> smallest name) and that revenue."""
-    return _top_payment(revenue_by_payment(customers, orders))
-
-
 def repeat_purchase(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """A-05: 1 when a customer has more than one delivered order, else 0;
     customers without a delivered order have no row (D6)."""
@@ -174,63 +157,55 @@ def marketing_influence(customers: DataFrame, marketing: DataFrame) -> DataFrame
     joined once, which gives the same sums without the many-to-many join."""
     per_channel = marketing_per_channel_totals(marketing).withColumnRenamed(
         "channel", "acquisition_channel")
-    joined = join_small(customers.select("customer_id", "acquisition_channel"),
-                        per_channel, "acquisition_channel", "left")
+    joined = customers.select("customer_id", "acquisition_channel").join(per_channel, "acquisition_channel", "left")
     return joined.select("customer_id", "acquisition_channel",
                          F.col("_spend").cast("double").alias("total_spend"),
                          F.col("_impressions").cast("bigint").alias("total_impressions"),
                          F.col("_clicks").cast("bigint").alias("total_clicks"))
 
 
-FEATURE_COLS = [
-    *CUSTOMER_COLS, "recency_days", "frequency", "monetary", "total_revenue",
-    "total_profit", "segment_profit", "payment_method", "revenue_payment_method",
-    "repeat_buyer", "total_interactions", "support_tickets", "returns", "reviews",
-    "marketing_spend", "total_impressions", "total_clicks",
-]
-
-
 def customer_features(inputs: dict[str, DataFrame], mode: str = "compat",
                       as_of: str = AS_OF) -> DataFrame:
     """A-08: all marts side by side, one plan.
 
-    The order-grain marts (RFM, lifetime value, segment profit, repeat buyer)
-    come from a single aggregation over orders instead of four, so orders are
-    scanned and shuffled once.  ``compat`` keeps one row per delivered payment
-    method (D7); ``corrected`` keeps the top payment method only."""
+    Orders are scanned once and grouped by (customer, payment method); those
+    rows, one per method a customer uses, roll up to the customer, who keeps
+    the delivered revenue per method as a list.  ``compat`` keeps one row per
+    delivered payment method (D7); ``corrected`` the method with most delivered
+    revenue only (ties -> smallest name)."""
     customers = inputs["customers_dim"]
-    orders = inputs["orders_fact"]
     delivered = F.col("order_status") == DELIVERED
     revenue, profit = _clv_terms(mode)
-    per_customer = (_orders_with_items(orders, inputs["order_items"]).groupBy("customer_id")
-                    .agg(*_rfm_aggs(as_of)[:3],
-                         _dbl(F.sum(revenue)).alias("total_revenue"),
-                         _dbl(F.sum(profit)).alias("total_profit"),
-                         _dbl(F.sum(F.when(delivered, _net()))).alias("segment_profit"),
-                         F.count(F.when(delivered, F.lit(1))).alias("_delivered_rows"),
-                         F.count(F.when(delivered, F.col("order_id"))).alias("_delivered_ids")))
-    # the left join from customers already keeps known customers only
-    pairs = _payment_pairs(orders)
-    payment = pairs if mode == "compat" else _top_payment(pairs)
+    net = _net()
+    by_method = (_orders_with_items(inputs["orders_fact"], inputs["order_items"])
+                 .groupBy("customer_id", "payment_method")
+                 .agg(F.max("order_date").alias("last"), F.count("order_id").alias("n"), F.sum(net).alias("net"),
+                      F.sum(revenue).alias("revenue"), F.sum(profit).alias("profit"),
+                      F.sum(F.when(delivered, net)).alias("d_net"), F.count(F.when(delivered, F.lit(1))).alias("d_rows"),
+                      F.count(F.when(delivered, F.col("order_id"))).alias("d_ids")))
+    method = F.struct(F.coalesce(-F.col("d_net").cast("double"), F.lit(float("inf"))).alias("k"),
+                      F.col("payment_method").alias("m"), _dbl(F.col("d_net")).alias("r"))
+    per_customer = by_method.groupBy("customer_id").agg(
+        days_between(F.lit(as_of).cast("timestamp"), F.max("last")).alias("recency_days"),
+        F.sum("n").alias("frequency"), _dbl(F.sum("net")).alias("monetary"),
+        _dbl(F.sum("revenue")).alias("total_revenue"), _dbl(F.sum("profit")).alias("total_profit"),
+        _dbl(F.sum("d_net")).alias("segment_profit"), F.sum("d_rows").alias("_rows"), F.sum("d_ids").alias("_ids"),
+        F.collect_list(F.when(F.col("d_rows") > 0, method)).alias("_methods"))
+    best = F.col("_methods") if mode == "compat" else F.slice(F.array_sort("_methods"), 1, 1)
+    per_customer = per_customer.withColumn("_method", F.explode_outer(best))
     engagement = inputs["customer_interactions"].groupBy("customer_id").agg(*_engagement_aggs())
     per_channel = marketing_per_channel_totals(inputs["marketing_spend"]).withColumnRenamed(
         "channel", "acquisition_channel")
-
-    base = join_small(customers.select(*CUSTOMER_COLS), per_channel, "acquisition_channel", "left")
-    has_delivered = F.col("_delivered_rows") > 0
-    out = (base.join(per_customer, "customer_id", "left")
-           .join(payment, "customer_id", "left")
-           .join(engagement, "customer_id", "left"))
+    out = (customers.select(*CUSTOMER_COLS).join(per_channel, "acquisition_channel", "left")
+           .join(per_customer, "customer_id", "left").join(engagement, "customer_id", "left"))
     return out.select(
         *CUSTOMER_COLS, "recency_days",
         F.coalesce("frequency", F.lit(0)).alias("frequency"), "monetary",
-        "total_revenue", "total_profit",
-        F.when(has_delivered, F.col("segment_profit")).alias("segment_profit"),
-        "payment_method", "revenue_payment_method",
-        F.when(has_delivered, F.when(F.col("_delivered_ids") > 1, 1).otherwise(0)).alias("repeat_buyer"),
+        "total_revenue", "total_profit", F.when(F.col("_rows") > 0, F.col("segment_profit")).alias("segment_profit"),
+        F.col("_method.m").alias("payment_method"), F.col("_method.r").alias("revenue_payment_method"),
+        F.when(F.col("_rows") > 0, F.when(F.col("_ids") > 1, 1).otherwise(0)).alias("repeat_buyer"),
         *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
           for c in ("total_interactions", *INTERACTION_KINDS)],
         F.col("_spend").cast("double").alias("marketing_spend"),
         F.col("_impressions").cast("bigint").alias("total_impressions"),
-        F.col("_clicks").cast("bigint").alias("total_clicks"),
-    )
+        F.col("_clicks").cast("bigint").alias("total_clicks"))

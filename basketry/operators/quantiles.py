@@ -1,117 +1,78 @@
 """Exact quantiles without one unbounded buffer.
 
-``percentile`` keeps a value -> count map of every distinct value of a group
-in one aggregation buffer; for a continuous column over billions of rows that
-is one task holding everything.  Here values are first counted per distinct
-value (a shuffle with partial counts).  A group with at most
-``SMALL_DISTINCT`` distinct values is then finished by ``percentile`` over
-those counts (a bounded buffer).  A larger group is cut into ``BUCKETS``
-value ranges at approximate quantiles; the rank each quantile needs is
-located in its range from the (small) per-range totals, and only those
-ranges are ordered, each by its own window task.  Results equal the
-linear-interpolation quantile (pandas' default, SQL ``quantile_cont``).
+Values are counted per distinct value (a shuffle with partial sums; a weight
+counts a value several times) and written once.  Each group's values are cut
+into ranges at approximate quantiles; the range totals say in which range each
+wanted rank lies, and only those ranges are ordered, each by its own window
+task.  Results equal the linear-interpolation quantile (pandas' default, SQL
+``quantile_cont``).
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_DISTINCT = 100_000
-BUCKETS = 256
+from basketry.session import materialise
 
 
-def grouped_quantiles(pairs: DataFrame, qs: list[float], small: int = SMALL_DISTINCT,
-                      buckets: int = BUCKETS) -> dict:
-    """``pairs`` has columns ``g`` (group key) and ``v`` (number).  Returns
-    {g: [quantile per q]} over the non-null ``v`` of each group."""
-    counted = (pairs.where(F.col("v").isNotNull())
-               .groupBy("g", F.col("v").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")))
-    meta = {r["g"]: r.asDict() for r in counted.groupBy("g").agg(
-        F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
-    out = {}
-    small_groups = [g for g, r in meta.items() if r["d"] <= small]
-    large_groups = [g for g, r in meta.items() if r["d"] > small]
-    if large_groups:
-        cuts = F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10_000)
-        for r in counted.where(F.col("g").isin(large_groups)).groupBy("g").agg(cuts.alias("cuts")).collect():
-            meta[r["g"]]["cuts"] = r["cuts"]
-    if small_groups:
-        rows = (counted.where(F.col("g").isin(small_groups)).groupBy("g")
-                .agg(F.percentile("v", list(qs), F.col("c")).alias("q")).collect())
-        out.update({r["g"]: list(r["q"]) for r in rows})
-    if large_groups:
-        out.update(_ranked(counted, {g: meta[g] for g in large_groups}, qs))
-    return out
+def range_count(df: DataFrame) -> int:
+    """Ranges to cut a table into: as many as a shuffle has partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _ranked(counted: DataFrame, meta: dict, qs: list[float]) -> dict:
+def grouped_quantiles(pairs: DataFrame, qs: list[float], ranges: int | None = None) -> dict:
+    """``pairs`` has columns ``g`` (group key, as few values as a caller asks
+    statistics for), ``v`` (number) and optionally ``w`` (how often it counts).
+    Returns {g: [quantile per q]} over the non-null ``v`` of each group."""
+    weight = F.col("w") if "w" in pairs.columns else F.lit(1)
+    counted = materialise(
+        pairs.where(F.col("v").isNotNull()).groupBy("g", F.col("v").cast("double").alias("v"))
+        .agg(F.sum(weight.cast("bigint")).alias("c")).where(F.col("c") > 0), "value-counts")
+    k = ranges or range_count(pairs)
+    cuts = F.percentile_approx("v", [i / k for i in range(1, k)], 10_000)
+    meta = {r["g"]: r for r in counted.groupBy("g").agg(F.sum("c").alias("n"), cuts.alias("cuts")).collect()}
+    if not meta:
+        return {}
     spark = counted.sparkSession
-    cut_rows = [(g, sorted(set(r["cuts"] or []))) for g, r in meta.items()]
-    cuts_df = spark.createDataFrame(cut_rows, "g " + _type(counted, "g") + ", cuts array<double>")
-    # one row per large group: broadcast by construction
-    tagged = (counted.join(F.broadcast(cuts_df), "g")
-              .withColumn("b", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts"))
-    totals = defaultdict(dict)
-    for r in tagged.groupBy("g", "b").agg(F.sum("c").alias("t")).collect():
-        totals[r["g"]][r["b"]] = r["t"]
-    wanted = {}  # (g, b) -> list of (rank)
-    targets = {}
+    kind = f"g {dict(counted.dtypes)['g']}"
+    # one row per group asked for, each with fewer cuts than ranges
+    edges = spark.createDataFrame([(g, sorted(set(r["cuts"]))) for g, r in meta.items()], f"{kind}, cuts array<double>")
+    tagged = counted.join(edges, "g").withColumn("b", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts")
+    totals: dict = {}
+    for r in tagged.groupBy("g", "b").agg(F.sum("c").alias("t")).orderBy("g", "b").collect():
+        totals.setdefault(r["g"], []).append((r["b"], r["t"]))
+    wanted, asked = set(), {}
     for g, r in meta.items():
-        n = r["n"]
-        offsets, acc = {}, 0
-        for b in sorted(totals[g]):
-            offsets[b] = acc
-            acc += totals[g][b]
-        ranks = []
-        for q in qs:
-            pos = q * (n - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            ranks.append((pos, lo, hi))
-            for rank in (lo, hi):
-                b = max(b for b in offsets if offsets[b] <= rank)
-                wanted.setdefault((g, b), offsets[b])
-        targets[g] = ranks
-    keys = spark.createDataFrame([(g, b, off) for (g, b), off in wanted.items()],
-                                 "g " + _type(counted, "g") + ", b int, off bigint")
-    w = Window.partitionBy("g", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (tagged.join(F.broadcast(keys), ["g", "b"])
-              .withColumn("start", F.col("off") + F.coalesce(F.sum("c").over(w), F.lit(0))))
-    need = [(g, rank) for g, rs in targets.items() for _, lo, hi in rs for rank in (lo, hi)]
-    cond = None
-    for g, rank in set(need):
-        c = (F.col("g") == F.lit(g)) & (F.col("start") <= rank) & (F.col("start") + F.col("c") > rank)
-        cond = c if cond is None else cond | c
-    found = [(r["g"], r["start"], r["c"], r["v"]) for r in ranked.where(cond).select("g", "start", "c", "v").collect()]
-
-    def value_at(g, rank):
-        for gg, start, c, v in found:
-            if gg == g and start <= rank < start + c:
-                return v
-        return None
-
+        asked[g] = [(q * (r["n"] - 1), math.floor(q * (r["n"] - 1)), math.ceil(q * (r["n"] - 1))) for q in qs]
+        before = 0
+        for b, t in totals[g]:
+            for rank in {x for _, lo, hi in asked[g] for x in (lo, hi)}:
+                if before <= rank < before + t:
+                    wanted.add((g, b, before, rank))
+            before += t
+    ranks = spark.createDataFrame(sorted(wanted, key=str), f"{kind}, b int, before bigint, rank bigint")
+    inside = Window.partitionBy("g", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (tagged.join(ranks.select("g", "b").distinct(), ["g", "b"], "left_semi")
+              .withColumn("start", F.coalesce(F.sum("c").over(inside), F.lit(0))).join(ranks, ["g", "b"]))
+    start = F.col("before") + F.col("start")
+    found = {(r["g"], r["rank"]): r["v"] for r in placed.where(
+        (start <= F.col("rank")) & (F.col("rank") < start + F.col("c"))).select("g", "rank", "v").collect()}
     out = {}
-    for g, rs in targets.items():
-        vals = []
-        for pos, lo, hi in rs:
-            a, b = value_at(g, lo), value_at(g, hi)
-            vals.append(a + (b - a) * (pos - lo))
-        out[g] = vals
+    for g, targets in asked.items():
+        out[g] = []
+        for at, lo, hi in targets:
+            a, b = found[g, lo], found[g, hi]
+            out[g].append(a + (b - a) * (at - lo))
     return out
 
 
-def _type(df: DataFrame, col: str) -> str:
-    return dict(df.dtypes)[col]
-
-
 def column_quantiles(df: DataFrame, cols: list[str], qs: list[float], **kw) -> dict:
     """{column: [quantile per q]} for several numeric columns at once."""
     if not cols:
         return {}
-    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("g"), F.col(c).cast("double").alias("v"))
-                                  for c in cols]))
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("g"), F.col(c).cast("double").alias("v")) for c in cols]))
     got = grouped_quantiles(df.select(stacked.alias("p")).select("p.g", "p.v"), qs, **kw)
     return {c: got.get(c, [None] * len(qs)) for c in cols}

@@ -1,10 +1,10 @@
 """Distributed running sums over an ordered key.
 
 A window ordered over a whole table runs in one task.  Here the keys are cut
-into ``buckets`` ranges at approximate quantiles; each range is summed on its
-own, the (few) range totals give each range its starting offset, and the
-running sum inside a range is a window partitioned by range.  Exact, and no
-task holds more than about 1/``buckets`` of the keys.
+into ranges (as many as a shuffle has partitions) at approximate quantiles;
+each range is summed on its own, the range totals give each range its starting
+offset, and the running sum inside a range is a window partitioned by range.
+The input is written once, since the cuts, the totals and the result read it.
 """
 
 from __future__ import annotations
@@ -12,27 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.operators.quantiles import range_count
+from basketry.session import materialise
 
-def running_sums(df: DataFrame, order_col: str, value_cols: list[str],
-                 buckets: int = 64) -> DataFrame:
+
+def running_sums(df: DataFrame, order_col: str, value_cols: list[str], ranges: int | None = None) -> DataFrame:
     """Add ``<v>_before`` = sum of ``v`` over rows with a strictly smaller
     ``order_col`` for each value column.  ``order_col`` must be unique per
     row (group by it first)."""
-    cuts = df.agg(F.percentile_approx(order_col, [i / buckets for i in range(1, buckets)],
-                                      10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    key = F.col(order_col)
-    bucket = F.lit(0)
-    for c in cuts:
-        bucket = bucket + F.when(key > F.lit(c), 1).otherwise(0)
-    tagged = df.withColumn("_bucket", bucket)
-    totals = tagged.groupBy("_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    # at most ``buckets`` rows: the running offset over buckets is tiny
-    w_all = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{v}").over(w_all), F.lit(0))
-                                         .alias(f"_o_{v}") for v in value_cols])
-    w_in = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = tagged.join(F.broadcast(offsets), "_bucket", "left")
+    df = materialise(df, "running")
+    k = ranges or range_count(df)
+    cuts = df.agg(F.percentile_approx(order_col, [i / k for i in range(1, k)], 10_000).alias("c")).first()["c"]
+    cuts = sorted(set(cuts or []))
+    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
+    tagged = df.withColumn("_range", F.size(F.filter(edges, lambda x: x < F.col(order_col))))
+    totals = tagged.groupBy("_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    # one row per range
+    over = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{v}").over(over), F.lit(0)).alias(f"_o_{v}")
+                                        for v in value_cols])
+    inside = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    out = tagged.join(F.broadcast(offsets), "_range", "left")
     return out.select(*df.columns, *[
-        (F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(w_in), F.lit(0))).alias(f"{v}_before")
-        for v in value_cols])
+        (F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_before") for v in value_cols])

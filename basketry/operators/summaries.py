@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators import fills
-from basketry.session import ensure_checkpoint_dir
-from basketry.operators.joins import join_small, skew_join
+from basketry.schemas import (CUSTOMER_MODE_FILL, CUSTOMER_NUMERIC_FILL, ORDER_DOUBLE, ORDER_MODE_FILL,
+                              ORDER_NUMERIC_FILL, ORDER_SIDE_ITEMS, ORDER_SIDE_RETURNS, SIDE_CHANNEL,
+                              SIDE_CUSTOMER_ITEMS, SIDE_CUSTOMER_ORDERS, SIDE_CUSTOMER_RETURNS, SIDE_INTERACTIONS)
 
 
 def _psum(c: str) -> F.Column:
@@ -34,7 +35,7 @@ def _text_set(c: str, sep: str) -> F.Column:
 def items_per_order(items: DataFrame, products: DataFrame) -> DataFrame:
     """A-09: items and their products per order."""
     prod = products.select("product_id", "category", "subcategory")
-    joined = skew_join(items.where(F.col("order_id").isNotNull()), prod, "product_id", "left")
+    joined = items.where(F.col("order_id").isNotNull()).join(prod, "product_id", "left")
     return joined.groupBy("order_id").agg(
         F.count("order_item_id").alias("num_items"),
         _text_set("product_id", ",").alias("products_in_order"),
@@ -137,52 +138,53 @@ def returns_per_customer(returns: DataFrame, orders: DataFrame) -> DataFrame:
         _text_set("reason", ",").alias("return_reasons"))
 
 
-ORDER_NUMERIC_FILL = ["num_returns", "num_interactions", "num_campaigns",
-                      "total_spend", "total_impressions", "total_clicks"]
-ORDER_MODE_FILL = ["return_date", "return_reasons", "interaction_types",
-                   "interaction_texts", "channel"]
-
-CUSTOMER_NUMERIC_FILL = ["num_orders", "total_order_amount", "total_discounts", "total_items",
-                         "unique_products", "total_quantity", "total_item_price",
-                         "total_returns", "num_interactions", "num_campaigns",
-                         "total_spend", "total_impressions", "total_clicks"]
-CUSTOMER_MODE_FILL = ["return_reasons", "interaction_types", "interaction_texts", "channel"]
-
-
-# Columns that a left join can leave null are double, as in a pandas frame
-# after a left merge; money is double too.
-ORDER_DOUBLE = ["order_amount", "discount_amount", "num_items", "total_quantity",
-                "total_item_price", *ORDER_NUMERIC_FILL]
-
-
 def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Columns that a left join can leave null, and money, as double (as in a
+    pandas frame after a left merge)."""
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
 
-def _fill(df: DataFrame, numeric: list[str], text: list[str], fill: str) -> DataFrame:
-    if fill == "stat" and not (numeric or text):
-        return df
-    if fill == "stat":
-        # the statistics and the output both read the joined rows: write them
-        # once to the checkpoint folder instead of joining everything twice
-        ensure_checkpoint_dir(df.sparkSession)
-        return fills.stat_fill(df.checkpoint(eager=True), numeric, text)
-    if fill == "zero":
-        return fills.zero_fill(df, numeric)
-    if fill == "none":
-        return df
-    raise ValueError(f"fill must be 'stat', 'zero' or 'none', not {fill!r}")
+FILLS = ("stat", "median", "mode", "zero", "none")
 
 
-def _with_marketing(df: DataFrame, marketing: DataFrame) -> DataFrame:
+def _fill(df: DataFrame, numeric: list[str], text: list[str], fill: str, narrow) -> DataFrame:
+    """Fill the listed columns.  ``narrow`` yields (weighted rows, their columns)
+    per side; medians and modes come from those, before any wide join."""
+    if fill not in FILLS:
+        raise ValueError(f"fill must be one of {FILLS}, not {fill!r}")
+    if fill == "zero":
+        return fills.zero_fill(df, numeric)
+    if fill in ("stat", "median") and numeric:
+        rows = _united(narrow, numeric, "double")
+        found = fills.weighted_medians(rows)
+        df = fills.fill_medians(df, {c: found.get(c) for c in numeric})
+    if fill in ("stat", "mode") and text:
+        df = fills.fill_modes(df, fills.mode_table(_united(narrow, text, "string")), text)
+    return df
+
+
+def _united(narrow, cols: list[str], kind: str) -> DataFrame:
+    out = None
+    for side, own in narrow:
+        mine = [c for c in cols if c in own]
+        if mine:
+            part = fills.stacked(side(), mine, kind, "_w")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _channels(marketing: DataFrame) -> DataFrame:
     per_channel = marketing_per_channel(marketing)
-    keyed = per_channel.withColumn("acquisition_channel", F.col("channel"))
-    return join_small(df, keyed, "acquisition_channel", "left")
+    return per_channel.withColumn("acquisition_channel", F.col("channel"))
 
 
-ORDER_SIDE_ITEMS = ["num_items", "products_in_order", "total_quantity", "total_item_price",
-                    "categories", "subcategories"]
-ORDER_SIDE_RETURNS = ["num_returns", "return_date", "return_reasons"]
+def _limited(cols: list[str], columns: list[str] | None, what: str) -> list[str]:
+    if columns is None:
+        return cols
+    unknown = set(columns) - set(cols)
+    if unknown:
+        raise ValueError(f"unknown {what} summary columns: {sorted(unknown)}")
+    return [c for c in cols if c in columns]
 
 
 def order_summary(inputs: dict[str, DataFrame], fill: str = "stat",
@@ -190,59 +192,80 @@ def order_summary(inputs: dict[str, DataFrame], fill: str = "stat",
     """A-16: one row per order with customer, item, return, interaction and
     channel-marketing columns, then the fills of the reference (D8:
     ``fill="stat"`` gives unreturned orders the median return count and the
-    most common return date and reason; ``fill="zero"`` does not).
+    most common return date and reason; ``fill="zero"`` does not; "median" and
+    "mode" fill numbers or texts only).
 
     Plan: order-grain sides join on ``order_id`` (items and returns are
     already one row per order and share that partitioning), then one join on
     ``customer_id`` brings a pre-joined customer side (customer columns,
-    interactions, channel marketing), so the order rows are shuffled twice
-    whatever the number of sides.  ``columns`` limits the output (and the
-    sides built and filled) to the listed columns; every side is one row per
-    order or customer, so the rows - and the fill statistics - are the same."""
-    orders = inputs["orders_fact"]
-    customers = inputs["customers_dim"]
-    cols = (orders.columns + [c for c in customers.columns if c != "customer_id"]
-            + ORDER_SIDE_ITEMS + ORDER_SIDE_RETURNS
-            + ["num_interactions", "interaction_types", "interaction_texts",
-               "channel", "num_campaigns", "total_spend", "total_impressions", "total_clicks"])
-    if columns is not None:
-        unknown = set(columns) - set(cols)
-        if unknown:
-            raise ValueError(f"unknown order summary columns: {sorted(unknown)}")
-        cols = [c for c in cols if c in columns]
+    interactions, channel marketing).  ``columns`` limits the output and the
+    sides built; every side is one row per order or customer, so the rows and
+    the fill values stay the same.  Fill values of a side are taken from that
+    side alone, weighted by the orders that meet it."""
+    orders, customers = inputs["orders_fact"], inputs["customers_dim"]
+    cols = _limited(orders.columns + [c for c in customers.columns if c != "customer_id"]
+                    + ORDER_SIDE_ITEMS + ORDER_SIDE_RETURNS + SIDE_INTERACTIONS + SIDE_CHANNEL, columns, "order")
     wanted = set(cols)
-    per_order = orders
+
+    def returns():
+        return returns_per_order(inputs["returns_refunds"])
+
+    def interactions():
+        return interactions_per_customer(inputs["customer_interactions"])
+
+    joined = orders
     if wanted & set(ORDER_SIDE_ITEMS):
-        per_order = per_order.join(items_per_order(inputs["order_items"], inputs["products_dim"]),
-                                   "order_id", "left")
+        joined = joined.join(items_per_order(inputs["order_items"], inputs["products_dim"]), "order_id", "left")
     if wanted & set(ORDER_SIDE_RETURNS):
-        per_order = per_order.join(returns_per_order(inputs["returns_refunds"]), "order_id", "left")
-    joined = per_order
+        joined = joined.join(returns(), "order_id", "left")
     if wanted - set(orders.columns) - set(ORDER_SIDE_ITEMS) - set(ORDER_SIDE_RETURNS):
-        customer_side = _with_marketing(
-            customers.join(interactions_per_customer(inputs["customer_interactions"]), "customer_id", "left"),
-            inputs["marketing_spend"])
-        joined = skew_join(per_order, customer_side, "customer_id", "left")
+        side = customers
+        if wanted & set(SIDE_INTERACTIONS):
+            side = side.join(interactions(), "customer_id", "left")
+        if wanted & set(SIDE_CHANNEL):
+            side = side.join(_channels(inputs["marketing_spend"]), "acquisition_channel", "left")
+        joined = joined.join(side, "customer_id", "left")
     out = _as_double(joined.select(*cols), [c for c in ORDER_DOUBLE if c in wanted])
-    return _fill(out, [c for c in ORDER_NUMERIC_FILL if c in wanted],
-                 [c for c in ORDER_MODE_FILL if c in wanted], fill)
 
+    def per_customer():
+        return orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_w")).join(
+            customers.select("customer_id", "acquisition_channel"), "customer_id")
 
-def customer_summary(inputs: dict[str, DataFrame], fill: str = "stat") -> DataFrame:
+    narrow = [
+        (lambda: orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("_w")).join(returns(), "order_id"), ORDER_SIDE_RETURNS),
+        (lambda: per_customer().join(interactions(), "customer_id"), SIDE_INTERACTIONS),
+        (lambda: per_customer().groupBy("acquisition_channel").agg(F.sum("_w").alias("_w")).join(
+            _channels(inputs["marketing_spend"]), "acquisition_channel"), SIDE_CHANNEL)]
+    return _fill(out, [c for c in ORDER_NUMERIC_FILL if c in wanted], [c for c in ORDER_MODE_FILL if c in wanted],
+                 fill, narrow)
+
+
+def customer_summary(inputs: dict[str, DataFrame], fill: str = "stat",
+                     columns: list[str] | None = None) -> DataFrame:
     """A-17: one row per customer with order, item, return, interaction and
-    channel-marketing totals, then the reference's median / mode fills."""
-    customers = inputs["customers_dim"]
-    orders = inputs["orders_fact"]
-    joined = (customers
-              .join(orders_per_customer(orders), "customer_id", "left")
-              .join(items_per_customer(inputs["order_items"], orders), "customer_id", "left")
-              .join(returns_per_customer(inputs["returns_refunds"], orders), "customer_id", "left")
-              .join(interactions_per_customer(inputs["customer_interactions"]), "customer_id", "left"))
-    joined = _with_marketing(joined, inputs["marketing_spend"])
-    cols = (customers.columns
-            + ["num_orders", "total_order_amount", "total_discounts", "total_items",
-               "unique_products", "total_quantity", "total_item_price", "total_returns",
-               "return_reasons", "num_interactions", "interaction_types", "interaction_texts",
-               "channel", "num_campaigns", "total_spend", "total_impressions", "total_clicks"])
-    return _fill(_as_double(joined.select(*cols), CUSTOMER_NUMERIC_FILL), CUSTOMER_NUMERIC_FILL,
-                 CUSTOMER_MODE_FILL, fill)
+    channel-marketing totals, then the reference's median / mode fills.
+    ``columns`` and the fills work as in ``order_summary``."""
+    customers, orders = inputs["customers_dim"], inputs["orders_fact"]
+    sides = [
+        (lambda: orders_per_customer(orders), SIDE_CUSTOMER_ORDERS),
+        (lambda: items_per_customer(inputs["order_items"], orders), SIDE_CUSTOMER_ITEMS),
+        (lambda: returns_per_customer(inputs["returns_refunds"], orders), SIDE_CUSTOMER_RETURNS),
+        (lambda: interactions_per_customer(inputs["customer_interactions"]), SIDE_INTERACTIONS)]
+    cols = _limited(customers.columns + [c for _, own in sides for c in own] + SIDE_CHANNEL, columns, "customer")
+    wanted = set(cols)
+    joined = customers
+    for side, own in sides:
+        if wanted & set(own):
+            joined = joined.join(side(), "customer_id", "left")
+    if wanted & set(SIDE_CHANNEL):
+        joined = joined.join(_channels(inputs["marketing_spend"]), "acquisition_channel", "left")
+    numeric = [c for c in CUSTOMER_NUMERIC_FILL if c in wanted]
+    out = _as_double(joined.select(*cols), numeric)
+
+    def counted(key: str):
+        return customers.groupBy(key).agg(F.count(F.lit(1)).alias("_w"))
+
+    narrow = [(lambda side=side: counted("customer_id").join(side(), "customer_id"), own) for side, own in sides]
+    narrow.append((lambda: counted("acquisition_channel").join(_channels(inputs["marketing_spend"]),
+                                                               "acquisition_channel"), SIDE_CHANNEL))
+    return _fill(out, numeric, [c for c in CUSTOMER_MODE_FILL if c in wanted], fill, narrow)

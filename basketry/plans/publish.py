@@ -4,17 +4,13 @@
                       (IO-06 .. IO-09), replacing older ones (D3).
 ``write_summaries``   the merge script: order and customer summaries to
                       CSV or Parquet (IO-04, IO-05).
-``scratch_folder``    a fresh folder under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import marts, summaries
-from basketry.session import ensure_checkpoint_dir
 from basketry.sources.sinks import drop_table, publish, register_inputs, write_csv, write_parquet
 
 MART_NAMES = ["customer_rfm", "customer_lifetime_value", "segment_profitability",
@@ -64,9 +60,3 @@ def write_summaries(inputs: dict[str, DataFrame], directory: str, fmt: str = "cs
         (write_csv if fmt == "csv" else write_parquet)(df, path)
         out.append(path)
     return out[0], out[1]
-
-
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder under the shared checkpoint folder (never a machine-local
-    temporary folder on a cluster)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -145,14 +145,12 @@ def q_customer_summary(spark, sf_dir):
 
 @query("median_fill")
 def q_median_fill(spark, sf_dir):
-    raw = summaries.customer_summary(_in(spark, sf_dir), fill="none")
-    return fills.median_fill(raw, summaries.CUSTOMER_NUMERIC_FILL)
+    return summaries.customer_summary(_in(spark, sf_dir), fill="median")
 
 
 @query("mode_fill")
 def q_mode_fill(spark, sf_dir):
-    raw = summaries.order_summary(_in(spark, sf_dir), fill="none")
-    return fills.mode_fill(raw, summaries.ORDER_MODE_FILL)
+    return summaries.order_summary(_in(spark, sf_dir), fill="mode")
 
 
 @query("null_profile")
@@ -165,23 +163,18 @@ def q_null_profile(spark, sf_dir):
 from basketry.operators import clean, explore, features  # noqa: E402
 
 
-def _cs(spark, sf_dir):
-    return summaries.customer_summary(_in(spark, sf_dir))
-
+def _cs(spark, sf_dir, columns=None, fill="stat"):
+    return summaries.customer_summary(_in(spark, sf_dir), fill=fill, columns=columns)
 
-def _os(spark, sf_dir):
-    return summaries.order_summary(_in(spark, sf_dir))
 
+def _os(spark, sf_dir, columns=None, fill="stat"):
+    return summaries.order_summary(_in(spark, sf_dir), fill=fill, columns=columns)
 
-# The fills only touch their listed columns.  Exploration that reads none of
-# them gets the same rows from the unfilled summary, whose plan Catalyst
-# prunes to the joins actually used (unused one-row-per-key sides vanish).
-def _os_unfilled(spark, sf_dir, columns=None):
-    return summaries.order_summary(_in(spark, sf_dir), fill="none", columns=columns)
 
-
-def _cs_unfilled(spark, sf_dir):
-    return summaries.customer_summary(_in(spark, sf_dir), fill="none")
+# The fills only touch their listed columns: queries that read none of them
+# take the unfilled summary.
+def _os_unfilled(spark, sf_dir, columns):
+    return _os(spark, sf_dir, columns, "none")
 
 
 @query("clean_customers")
@@ -207,32 +200,32 @@ def q_ratio_features(spark, sf_dir):
 
 @query("ltv_buckets")
 def q_ltv_buckets(spark, sf_dir):
-    return features.ltv_buckets(_cs(spark, sf_dir))
+    return features.ltv_buckets(_cs(spark, sf_dir, ["customer_id", "total_order_amount", "num_orders"]))
 
 
 @query("ltv_bucket_box")
 def q_ltv_bucket_box(spark, sf_dir):
-    return features.ltv_bucket_box(_cs(spark, sf_dir))
+    return features.ltv_bucket_box(_cs(spark, sf_dir, ["customer_id", "total_order_amount", "num_orders"]))
 
 
 @query("order_kpis")
 def q_order_kpis(spark, sf_dir):
-    return explore.order_kpis(_os(spark, sf_dir))
+    return explore.order_kpis(_os(spark, sf_dir, ["order_amount", "num_returns"]))
 
 
 @query("customer_describe")
 def q_customer_describe(spark, sf_dir):
-    return explore.customer_describe(_cs(spark, sf_dir))
+    return explore.customer_describe(_cs(spark, sf_dir, ["num_orders", "total_order_amount"]))
 
 
 @query("num_orders_histogram")
 def q_num_orders_hist(spark, sf_dir):
-    return explore.histogram(_cs(spark, sf_dir), "num_orders")
+    return explore.histogram(_cs(spark, sf_dir, ["num_orders"]), "num_orders")
 
 
 @query("order_amount_histogram")
 def q_order_amount_hist(spark, sf_dir):
-    return explore.histogram(_cs(spark, sf_dir), "total_order_amount")
+    return explore.histogram(_cs(spark, sf_dir, ["total_order_amount"]), "total_order_amount")
 
 
 @query("order_status_counts")
@@ -242,7 +235,7 @@ def q_order_status_counts(spark, sf_dir):
 
 @query("cohort_counts")
 def q_cohort_counts(spark, sf_dir):
-    return explore.value_counts(_cs_unfilled(spark, sf_dir), "cohort")
+    return explore.value_counts(_cs(spark, sf_dir, ["cohort"]), "cohort")
 
 
 @query("cohort_sizes")
@@ -277,12 +270,12 @@ def q_top_categories(spark, sf_dir):
 
 @query("returns_by_reason")
 def q_returns_by_reason(spark, sf_dir):
-    return explore.returns_by_reason(_os(spark, sf_dir), n=15)
+    return explore.returns_by_reason(_os(spark, sf_dir, ["return_reasons"]), n=15)
 
 
 @query("returns_by_reason_corrected")
 def q_returns_by_reason_corrected(spark, sf_dir):
-    return explore.returns_by_reason(_os(spark, sf_dir), n=15, sep=",", mode="corrected")
+    return explore.returns_by_reason(_os(spark, sf_dir, ["return_reasons"]), n=15, sep=",", mode="corrected")
 
 
 # --- churn -------------------------------------------------------------------------
@@ -295,15 +288,27 @@ CHURN_ORDER_COLUMNS = ["order_id", "customer_id", "order_date", "order_amount",
                        "num_returns", "total_quantity"]
 
 
-def _churn_inputs(spark, sf_dir):
+CHURN_CUSTOMER_COLUMNS = ["customer_id", "age_group", *churn.ONE_HOT, "num_interactions", "num_campaigns",
+                          "total_spend", "total_impressions", "total_clicks"]
+
+
+def _churn_inputs(spark, sf_dir, leaky=False):
     i = _in(spark, sf_dir)
-    return (summaries.customer_summary(i),
+    columns = CHURN_CUSTOMER_COLUMNS + (churn.LEAKY if leaky else [])
+    return (summaries.customer_summary(i, columns=columns),
             summaries.order_summary(i, columns=CHURN_ORDER_COLUMNS))
 
 
-def _training(spark, sf_dir, leaky=False):
-    cs, os_ = _churn_inputs(spark, sf_dir)
-    return churn.churn_training_set(cs, os_, leaky=leaky)
+def _training(spark, sf_dir, leaky=False, wide=True):
+    cs, os_ = _churn_inputs(spark, sf_dir, leaky)
+    return churn.churn_training_set(cs, os_, leaky=leaky, wide=wide)
+
+
+def _labelled(spark, sf_dir):
+    """Labels and recency only: no filled or categorical column is built."""
+    i = _in(spark, sf_dir)
+    cs = summaries.customer_summary(i, fill="none", columns=["customer_id"])
+    return churn.churn_training_set(cs, summaries.order_summary(i, fill="none", columns=CHURN_ORDER_COLUMNS), wide=False)
 
 
 @query("churn_labels")
@@ -319,7 +324,7 @@ def q_churn_features(spark, sf_dir):
 
 @query("churn_features_leaky")
 def q_churn_features_leaky(spark, sf_dir):
-    return churn.churn_features(*_churn_inputs(spark, sf_dir), leaky=True)
+    return churn.churn_features(*_churn_inputs(spark, sf_dir, True), leaky=True)
 
 
 @query("churn_training_set")
@@ -329,27 +334,27 @@ def q_churn_training_set(spark, sf_dir):
 
 @query("churn_split")
 def q_churn_split(spark, sf_dir):
-    return churn.churn_split(_training(spark, sf_dir)).select(
+    return churn.churn_split(_labelled(spark, sf_dir)).select(
         "customer_id", churn.LABEL, "is_validation")
 
 
 @query("auc_from_scores")
 def q_auc(spark, sf_dir):
-    return churn.auc(churn.rule_scores(_training(spark, sf_dir)))
+    return churn.auc(churn.rule_scores(_labelled(spark, sf_dir)))
 
 
 @query("confusion_matrix")
 def q_confusion(spark, sf_dir):
-    return churn.confusion_matrix(churn.rule_scores(_training(spark, sf_dir)))
+    return churn.confusion_matrix(churn.rule_scores(_labelled(spark, sf_dir)))
 
 
 @query("classification_report")
 def q_report(spark, sf_dir):
-    return churn.classification_report(churn.rule_scores(_training(spark, sf_dir)))
+    return churn.classification_report(churn.rule_scores(_labelled(spark, sf_dir)))
 
 
 def _split_training(spark, sf_dir):
-    return churn.churn_split(_training(spark, sf_dir))
+    return churn.churn_split(_training(spark, sf_dir, wide=False))
 
 
 @query("churn_scores")
@@ -359,6 +364,12 @@ def q_churn_scores(spark, sf_dir):
     return churn.churn_scores(model, data.where(F.col("is_validation")))
 
 
+@query("churn_metrics")
+def q_churn_metrics(spark, sf_dir):
+    data = _split_training(spark, sf_dir)
+    return churn.training_metrics(churn.churn_scores(churn.train_churn(data), data))
+
+
 @query("churn_logreg")
 def q_churn_logreg(spark, sf_dir):
     data = _split_training(spark, sf_dir)
@@ -411,6 +422,21 @@ def q_gamma_gamma_fit(spark, sf_dir):
     return clv.fit_gamma_gamma(clv.clv_fit_input(_purchase_summary(spark, sf_dir)), ridge=0.01)
 
 
+@query("value_models_fit")
+def q_value_models_fit(spark, sf_dir):
+    return clv.fit_value_models(clv.clv_fit_input(_purchase_summary(spark, sf_dir)))
+
+
+@query("bgnbd_likelihood")
+def q_bgnbd_likelihood(spark, sf_dir):
+    return clv.bgnbd_likelihood(_purchase_summary(spark, sf_dir), **BGNBD_FIXED)
+
+
+@query("gamma_gamma_likelihood")
+def q_gamma_gamma_likelihood(spark, sf_dir):
+    return clv.gamma_gamma_likelihood(_purchase_summary(spark, sf_dir), **GG_FIXED)
+
+
 @query("p_alive")
 def q_p_alive(spark, sf_dir):
     return clv.p_alive(_purchase_summary(spark, sf_dir), **BGNBD_FIXED)
@@ -441,7 +467,7 @@ from basketry.operators import stats  # noqa: E402
 
 @query("welch_t")
 def q_welch_t(spark, sf_dir):
-    return stats.welch_t(_cs(spark, sf_dir), "total_order_amount", "gender", "F", "M")
+    return stats.welch_t(_cs(spark, sf_dir, ["gender", "total_order_amount"]), "total_order_amount", "gender", "F", "M")
 
 
 @query("chi_square")
@@ -452,13 +478,13 @@ def q_chi_square(spark, sf_dir):
 @query("ab_two_proportion")
 def q_ab(spark, sf_dir):
     # zero fill: with the median fill every customer has returns (D8)
-    cs = summaries.customer_summary(_in(spark, sf_dir), fill="zero")
+    cs = _cs(spark, sf_dir, ["gender", "total_returns"], "zero")
     return stats.ab_two_proportion(cs, "gender", F.col("total_returns") > 0, "F", "M")
 
 
 @query("stratified_effect")
 def q_stratified_effect(spark, sf_dir):
-    return stats.stratified_effect(_cs(spark, sf_dir), "total_order_amount",
+    return stats.stratified_effect(_cs(spark, sf_dir, ["total_order_amount", "loyalty_status", "age_group"]), "total_order_amount",
                                    F.col("loyalty_status").isNotNull(), "age_group")
 
 
@@ -481,12 +507,14 @@ def q_return_drivers(spark, sf_dir):
 
 @query("revenue_pivot")
 def q_revenue_pivot(spark, sf_dir):
-    return stats.revenue_pivot(_os(spark, sf_dir))
+    return stats.revenue_pivot(
+        _os_unfilled(spark, sf_dir, ["acquisition_channel", "order_status", "order_amount"]),
+        ["Cancelled", "Delivered", "Shipped"])
 
 
 # --- sources and sinks ----------------------------------------------------------------
 
-from basketry.plans.publish import scratch_folder  # noqa: E402
+from basketry.session import scratch_folder  # noqa: E402
 from basketry.sources import readers, sinks  # noqa: E402
 
 

@@ -51,6 +51,22 @@ INPUTS = {
     "returns_refunds": RETURNS,
 }
 
-PURCHASE_SUMMARY = _schema(
-    ("customer_id", S), ("frequency", LONG), ("recency", T.IntegerType()),
-    ("T", T.IntegerType()), ("monetary_value", T.DoubleType()))
+# Columns of the two summaries, by the side they come from, and
+# the columns the reference fills, cleans and drops.
+ORDER_SIDE_ITEMS = ["num_items", "products_in_order", "total_quantity", "total_item_price", "categories", "subcategories"]
+ORDER_SIDE_RETURNS = ["num_returns", "return_date", "return_reasons"]
+SIDE_CUSTOMER_ORDERS = ["num_orders", "total_order_amount", "total_discounts"]
+SIDE_CUSTOMER_ITEMS = ["total_items", "unique_products", "total_quantity", "total_item_price"]
+SIDE_CUSTOMER_RETURNS = ["total_returns", "return_reasons"]
+SIDE_INTERACTIONS = ["num_interactions", "interaction_types", "interaction_texts"]
+SIDE_CHANNEL = ["channel", "num_campaigns", "total_spend", "total_impressions", "total_clicks"]
+
+_CHANNEL_NUMERIC = SIDE_CHANNEL[1:]
+ORDER_NUMERIC_FILL = ["num_returns", "num_interactions", *_CHANNEL_NUMERIC]
+ORDER_MODE_FILL = ["return_date", "return_reasons", "interaction_types", "interaction_texts", "channel"]
+CUSTOMER_NUMERIC_FILL = [*SIDE_CUSTOMER_ORDERS, *SIDE_CUSTOMER_ITEMS, "total_returns", "num_interactions", *_CHANNEL_NUMERIC]
+CUSTOMER_MODE_FILL = ["return_reasons", "interaction_types", "interaction_texts", "channel"]
+#: numeric columns cleaning coerces
+CLEAN_CUSTOMER_NUMERIC = CUSTOMER_NUMERIC_FILL
+CLEAN_ORDER_NUMERIC = ["order_amount", "discount_amount", "num_items", "total_quantity", "total_item_price", "num_returns"]
+ORDER_DOUBLE = ["order_amount", "discount_amount", "num_items", "total_quantity", "total_item_price", *ORDER_NUMERIC_FILL]

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -57,3 +58,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="basketry-ckpt-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new path under the shared checkpoint folder (never a machine-local
+    temporary folder on a cluster); it is deleted when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read back: several jobs
+    can read it, scans of it prune columns, and a lost executor costs a re-read."""
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

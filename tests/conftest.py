@@ -12,7 +12,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from basketry.session import local_session
-    s = local_session(cores=4, shuffle_partitions=4, app="basketry-tests")
+    s = local_session(cores=int(os.environ.get("TEST_CPUS", "4")), shuffle_partitions=4, app="basketry-tests")
     yield s
 
 

@@ -50,10 +50,13 @@ def test_auc_matches_evaluator(spark):
 
 
 def test_split_stable_across_partitions(spark):
-    df = spark.range(5000).selectExpr("cast(id as string) as customer_id")
+    df = spark.range(5000).selectExpr("cast(id as string) as customer_id", "int(id % 7 = 0) as churn_next_30d")
     a = {r[0] for r in churn.churn_split(df.repartition(3)).where("is_validation").collect()}
     b = {r[0] for r in churn.churn_split(df.repartition(11)).where("is_validation").collect()}
-    assert a == b and 800 < len(a) < 1200
+    assert a == b
+    # exactly a fifth of each label
+    assert len([i for i in a if int(i) % 7 == 0]) == round(0.2 * 715)
+    assert len([i for i in a if int(i) % 7]) == round(0.2 * 4285)
 
 
 def test_confusion_and_report(spark):
@@ -82,3 +85,55 @@ def test_train_save_load_score(spark, tmp_path):
     b = churn.churn_scores(again, data).orderBy("customer_id").collect()
     assert [r["score"] for r in a] == [r["score"] for r in b]
     assert churn.auc(churn.churn_scores(model, data)).first()["auc"] > 0.8
+
+
+def _hard(spark, n=1500):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(n):
+        rec, orders, size = rnd.uniform(0, 400), rnd.uniform(0, 8), rnd.uniform(0, 50)
+        wave = 60 * ((rec // 50) % 2) + 25 * (orders > 3) * (size < 20) - 0.1 * rec
+        rows.append((str(i), rec, orders, size, "18-25" if i % 2 else "26-35", f"cohort{rnd.randint(0, 30)}",
+                     1 if wave + rnd.gauss(0, 30) > 12 else 0))
+    return churn.churn_split(spark.createDataFrame(
+        rows, "customer_id string, recency_days double, train_num_orders double, total_spend double, age_group string, "
+              "cohort string, churn_next_30d int"))
+
+
+def test_boosting_keeps_many_trees_and_beats_one(spark):
+    data = _hard(spark)
+    model = churn.train_churn(data, rounds=60, depth=3, patience=20)
+    trees = model.stages[-1]
+    assert trees.getNumTrees > 20
+    held = data.where("is_validation")
+
+    def auc(m):
+        return churn.auc(churn.churn_scores(m, held)).first()["auc"]
+
+    from pyspark.ml import PipelineModel
+    one = PipelineModel([*model.stages[:-1], churn._first_trees(trees, 1)])
+    assert auc(model) > auc(one) + 0.02
+    metrics = {(r["metric"], r["class"]): r["value"] for r in churn.training_metrics(churn.churn_scores(model, data)).collect()}
+    assert abs(metrics["auc", None] - auc(model)) < 1e-12
+    assert sum(v for (m, _), v in metrics.items() if m == "count") == held.count()
+
+
+def test_best_round_waits_with_patience():
+    assert churn.best_round([5, 4, 4.1, 4.2, 3, 3.5], patience=20) == 5
+    assert churn.best_round([5, 4, 4.1, 4.2, 3, 3.5], patience=2) == 2
+    assert churn.best_round([1.0]) == 1
+
+
+def test_indexer_sees_training_rows_only(spark):
+    data = _hard(spark, 200).withColumn(
+        "age_group", F.when(F.col("is_validation"), F.lit("seen in validation")).otherwise(F.col("age_group")))
+    model = churn.train_churn(data, model="logreg")
+    assert "seen in validation" not in model.stages[0].labels
+
+
+def test_fifty_thousand_levels_train(spark):
+    data = spark.range(50_000).selectExpr(
+        "cast(id as string) as customer_id", "concat('c', id) as cohort", "double(id % 100) as recency_days",
+        "int(id % 100 > 60) as churn_next_30d")
+    model = churn.train_churn(churn.churn_split(data), model="logreg")
+    assert churn.churn_scores(model, data.withColumn("is_validation", F.lit(True)).limit(10)).count() == 10

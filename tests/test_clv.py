@@ -52,9 +52,8 @@ def test_bgnbd_log_likelihood_matches_python(spark):
     rows = _simulate_bgnbd(300, 0.8, 4.0, 0.9, 2.5)
     df = spark.createDataFrame([(x, t, T, 1.0) for _, x, t, T in rows], "x long, rec double, age double, n double")
     r, alpha, a, b = 0.7, 3.0, 1.1, 2.0
-    pt = clv._bgnbd_point(np.log([r, alpha, a, b]))
-    got = clv._sum_by_trial(clv._trial_rows(df, [pt]),
-                            clv.bgnbd_log_likelihood(F.col("x"), F.col("rec"), F.col("age")), 1)[0]
+    got = clv.mean_by_point(df, lambda p: clv.bgnbd_log_likelihood(F.col("x"), F.col("rec"), F.col("age"), p),
+                            [clv.bgnbd_point(r, alpha, a, b)])[0]
     want = 0.0
     for _, x, t, T in rows:
         a12 = (math.lgamma(r + x) - math.lgamma(r) + r * math.log(alpha) + math.lgamma(a + b)
@@ -69,7 +68,9 @@ def test_bgnbd_recovers_parameters(spark):
     rows = _simulate_bgnbd(3000, 0.8, 4.0, 0.9, 2.5, seed=5)
     summary = spark.createDataFrame([(c, x, int(round(t)), int(T), 0.0) for c, x, t, T in rows],
                                     "customer_id string, frequency long, recency int, T int, monetary_value double")
-    p = clv.parameters(clv.fit_bgnbd(summary, ridge=0.0), "bgnbd")
+    fit = clv.fit_bgnbd(summary, ridge=0.0)
+    assert fit.first()["converged"] and fit.first()["gradient"] < 1e-4
+    p = clv.parameters(fit, "bgnbd")
     assert abs(p["r"] - 0.8) / 0.8 < 0.25 and abs(p["alpha"] - 4.0) / 4.0 < 0.3
     assert abs(p["a"] / (p["a"] + p["b"]) - 0.9 / 3.4) < 0.08
 
@@ -85,7 +86,7 @@ def test_gamma_gamma_recovers_parameters(spark):
     summary = spark.createDataFrame(rows, "customer_id string, frequency long, recency int, T int, monetary_value double")
     fit = clv.fit_gamma_gamma(summary, ridge=0.0)
     p = clv.parameters(fit, "gamma_gamma")
-    assert fit.first()["converged"]
+    assert fit.first()["converged"] and fit.first()["gradient"] < 1e-4
     assert abs(p["p"] - 6) / 6 < 0.25 and abs(p["q"] - 4) / 4 < 0.3 and abs(p["v"] - 15) / 15 < 0.35
 
 
@@ -99,7 +100,46 @@ def test_scores_and_parameter_store(spark, tmp_path):
     assert abs(es["b"] - 6 * (15 + 3 * 50) / (6 * 3 + 3)) < 1e-6
     ep = clv.expected_purchases(s, 30.0, 0.8, 4.0, 0.9, 2.5).collect()
     assert all(r["expected_purchases"] > 0 for r in ep)
-    params = clv._params(s, "bgnbd", {"r": 0.8, "alpha": 4.0, "a": 0.9, "b": 2.5}, 1.0, 0.0, 1.0, True, 3, 2)
+    params = clv._params(s, "bgnbd", {"r": 0.8, "alpha": 4.0, "a": 0.9, "b": 2.5}, 1.0, 0.0, 1.0, True, 3, 2, 0.0)
     path = str(tmp_path / "params")
     clv.save_parameters(params, path)
     assert clv.parameters(clv.read_parameters(spark, path), "bgnbd")["alpha"] == 4.0
+
+
+def _exact_purchases(x, t, T, h, r, alpha, a, b):
+    """The published formula, its series summed term by term until nothing changes."""
+    z = h / (alpha + T + h)
+    term = total = 1.0
+    k = 0
+    while abs(term) > 1e-18 * abs(total) or k < 50:
+        term *= (r + x + k) * (b + x + k) / ((a + b + x - 1 + k) * (k + 1)) * z
+        total += term
+        k += 1
+    first = (a + b + x - 1) / (a - 1) * (1 - ((alpha + T) / (alpha + T + h)) ** (r + x) * total)
+    return first / (1 + (a / (b + x - 1) * ((alpha + T) / (alpha + t)) ** (r + x) if x else 0.0))
+
+
+def test_expected_purchases_of_frequent_buyers(spark):
+    rows = [(99, 98, 100), (400, 429, 430), (900, 959, 960), (0, 0, 3), (1, 2, 700), (30, 30, 31)]
+    s = spark.createDataFrame([(str(k), x, t, T, 1.0) for k, (x, t, T) in enumerate(rows)],
+                              "customer_id string, frequency long, recency int, T int, monetary_value double")
+    for p in ((0.8, 40.0, 0.9, 2.5), (0.3, 5.0, 1.7, 1.1), (2.0, 100.0, 3.5, 0.6)):
+        got = {int(r["customer_id"]): r["expected_purchases"] for r in clv.expected_purchases(s, 365.0, *p).collect()}
+        for k, (x, t, T) in enumerate(rows):
+            want = _exact_purchases(x, t, T, 365.0, *p)
+            assert abs(got[k] - want) < 1e-5 * max(1.0, abs(want)), (p, rows[k], got[k], want)
+
+
+def test_both_models_in_one_call(spark):
+    s = spark.createDataFrame([("a", 0, 0, 30, 0.0), ("b", 0, 0, 20, 0.0)],
+                              "customer_id string, frequency long, recency int, T int, monetary_value double")
+    rows = {r["model"]: r for r in clv.fit_value_models(s).collect()}
+    assert not rows["gamma_gamma"]["converged"] and rows["gamma_gamma"]["params"] == {}
+    assert rows["bgnbd"]["customers"] == 2 and rows["bgnbd"]["params"]["r"] > 0
+
+
+def test_a_round_multiplies_no_rows(spark):
+    df = spark.createDataFrame([(1, 2.0, 3.0, 1.0)], "x long, rec double, age double, n double")
+    point = clv.bgnbd_point(0.7, 3.0, 1.1, 2.0)
+    ll = clv.bgnbd_log_likelihood(F.col("x"), F.col("rec"), F.col("age"), point)
+    assert "Generate" not in df.agg(F.sum(ll * F.col("n")))._jdf.queryExecution().executedPlan().toString()

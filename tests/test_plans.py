@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 QUERIES = ["customer_rfm", "customer_lifetime_value", "customer_features", "items_per_customer",
            "returns_per_customer", "cohort_retention", "return_drivers", "revenue_by_day", "purchase_summary",
-           "churn_labels", "chi_square", "welch_t"]
+           "churn_labels", "chi_square", "welch_t", "order_kpis", "num_orders_histogram", "customer_describe"]
 
 
 @pytest.fixture(scope="module")
@@ -19,9 +19,29 @@ def big_table_planning(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def _plan(spark, name):
+    return REGISTRY[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name, table, scans", [
+    ("customer_features", "orders", 1), ("customer_features", "lineitem", 1), ("revenue_by_day", "orders", 1),
+    ("revenue_by_month", "orders", 1), ("orders_by_day", "orders", 1), ("customer_describe", "orders", 1)])
+def test_one_scan_per_table(spark, big_table_planning, name, table, scans):
+    assert len(re.findall(rf"FileScan.*/{table}\.parquet", _plan(spark, name))) == scans
+
+
+@pytest.mark.parametrize("name, absent", [
+    ("order_kpis", ["customer", "part", "events", "supplier"]), ("welch_t", ["lineitem", "part", "events", "supplier"]),
+    ("num_orders_histogram", ["lineitem", "part", "events", "supplier"]), ("returns_by_reason", ["customer", "part", "events"]),
+    ("revenue_pivot", ["lineitem", "part", "events", "supplier"])])
+def test_summaries_read_only_their_tables(spark, big_table_planning, name, absent):
+    plan = _plan(spark, name)
+    assert not [t for t in absent if f"/{t}.parquet" in plan]
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_cartesian_and_pruned_scans(spark, big_table_planning, name):
-    plan = REGISTRY[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = _plan(spark, name)
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
     for cols in re.findall(r"FileScan parquet \[([^\]]*)\].*?lineitem\.parquet", plan):
         # lineitem has 11 columns; no query needs all of them

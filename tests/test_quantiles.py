@@ -8,12 +8,12 @@ from basketry.operators.quantiles import column_quantiles, grouped_quantiles
 QS = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("small", [100_000, 10])  # bounded percentile path / ranged path
-def test_grouped_quantiles_exact(spark, small):
+@pytest.mark.parametrize("ranges", [2, 16, 200])
+def test_grouped_quantiles_exact(spark, ranges):
     rnd = random.Random(1)
     rows = ([("a", rnd.gauss(0, 1)) for _ in range(5000)] + [("b", float(rnd.randint(0, 5))) for _ in range(801)]
             + [("c", None), ("c", 2.0)])
-    got = grouped_quantiles(spark.createDataFrame(rows, "g string, v double"), QS, small=small, buckets=16)
+    got = grouped_quantiles(spark.createDataFrame(rows, "g string, v double"), QS, ranges=ranges)
     for g in "abc":
         vals = np.array([v for gg, v in rows if gg == g and v is not None])
         assert np.allclose(got[g], np.quantile(vals, QS), rtol=0, atol=1e-12)
@@ -23,3 +23,10 @@ def test_column_quantiles_skip_nulls(spark):
     df = spark.createDataFrame([(1.0, 5), (2.0, None), (3.0, None), (10.0, 7), (None, 9)], "x double, y int")
     got = column_quantiles(df, ["x", "y"], [0.5])
     assert got == {"x": [2.5], "y": [7.0]}
+
+
+def test_weights_count_values(spark):
+    rows = [("a", 1.0, 3), ("a", 5.0, 1), ("a", 9.0, 2), ("b", 2.0, 0), ("b", 7.0, 5), ("c", None, 4)]
+    got = grouped_quantiles(spark.createDataFrame(rows, "g string, v double, w long"), [0.25, 0.5, 0.75])
+    assert np.allclose(got["a"], np.quantile([1, 1, 1, 5, 9, 9], [0.25, 0.5, 0.75]))
+    assert got["b"] == [7.0, 7.0, 7.0] and "c" not in got

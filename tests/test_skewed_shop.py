@@ -1,7 +1,6 @@
 """A shop where one customer places a third of all orders and one order
 holds a third of all items: results must equal a brute-force pandas
-computation (the operators pre-aggregate and split hot keys; nothing is
-capped or sampled)."""
+computation (the operators pre-aggregate; nothing is capped or sampled)."""
 
 import datetime as dt
 import random
@@ -12,7 +11,6 @@ import pandas as pd
 from conftest import CUST_SCHEMA, ITEM_SCHEMA, ORDER_SCHEMA
 
 from basketry.operators import marts, summaries
-from basketry.operators.joins import skew_join
 
 
 def _shop(spark):
@@ -58,11 +56,3 @@ def test_hot_customer_and_hot_order(spark):
     for c, row in want_items.iterrows():
         assert (got_items[c]["total_items"], got_items[c]["unique_products"], got_items[c]["total_quantity"]) == \
             (row["n"], row["u"], row["q"])
-
-
-def test_hot_customer_split_join_equals_plain(spark):
-    cust, ords, _, _, _ = _shop(spark)
-    side = cust.select("customer_id", "gender")
-    plain = sorted(map(tuple, ords.join(side, "customer_id", "left").select("order_id", "gender").collect()))
-    split = skew_join(ords, side, "customer_id", "left", hot_rows=100, split=True)
-    assert sorted(map(tuple, split.select("order_id", "gender").collect())) == plain

@@ -1,9 +1,10 @@
+from basketry import schemas
 from basketry.operators import fills, summaries
 
 
 def test_mode_tie_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "v string")
-    assert fills.modes(df, ["v"]) == {"v": "a"}
+    assert [tuple(r) for r in fills.modes(df, ["v"]).collect()] == [("v", "a")]
     assert [r[0] for r in fills.mode_fill(df, ["v"]).collect()] == ["b", "a", "b", "a", "a"]
 
 
@@ -13,10 +14,30 @@ def test_median_interpolates(spark):
     assert fills.median_fill(df, ["x"]).collect()[-1][0] == 2.5
 
 
-def test_one_job_statistics_match_separate(spark):
-    df = spark.createDataFrame([(1.0, "x"), (None, "y"), (3.0, None), (4.0, "y")], "n double, t string")
-    med, mode = fills.fill_statistics(df, ["n"], ["t"])
-    assert med == fills.medians(df, ["n"]) and mode == fills.modes(df, ["t"])
+def test_weighted_statistics_match_repeated_rows(spark):
+    rows = [("a", 1.0, "x", 3), ("b", 4.0, "y", 2), ("c", 9.0, "x", 1), ("d", None, None, 5)]
+    df = spark.createDataFrame(rows, "k string, n double, t string, _w long")
+    long = spark.createDataFrame([r[:3] for r in rows for _ in range(r[3])], "k string, n double, t string")
+    assert fills.weighted_medians(fills.stacked(df, ["n"], "double", "_w")) == fills.medians(long, ["n"])
+    pairs = fills.stacked(df, ["t"], "string", "_w")
+    assert fills.mode_table(pairs).collect() == fills.modes(long, ["t"]).collect()
+
+
+def test_fill_values_of_narrow_sides_equal_those_of_the_wide_table(spark, small_inputs):
+    raw = summaries.order_summary(small_inputs, fill="none")
+    numeric = ["num_returns", "num_interactions", "total_spend"]
+    texts = ["return_reasons", "interaction_texts", "channel"]
+    want = fills.mode_fill(fills.median_fill(raw, numeric), texts)
+    got = summaries.order_summary(small_inputs)
+    cols = ["order_id", *numeric, *texts]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_columns_limit_the_sides(spark, small_inputs):
+    full = summaries.customer_summary(small_inputs)
+    few = summaries.customer_summary(small_inputs, columns=["customer_id", "num_orders", "channel"])
+    assert few.columns == ["customer_id", "num_orders", "channel"]
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, full.select(*few.columns).collect()))
 
 
 def test_null_profile(spark):
@@ -38,7 +59,7 @@ def test_customer_summary_one_row_per_customer(spark, small_inputs):
     cs = summaries.customer_summary(small_inputs)
     assert cs.count() == small_inputs["customers_dim"].count()
     nulls = {r["column"]: r["nulls"] for r in fills.null_profile(cs).collect()}
-    for c in summaries.CUSTOMER_NUMERIC_FILL + summaries.CUSTOMER_MODE_FILL:
+    for c in schemas.CUSTOMER_NUMERIC_FILL + schemas.CUSTOMER_MODE_FILL:
         assert nulls[c] == 0, c
 
 
