@@ -39,8 +39,9 @@ def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = 8, sigmas: float =
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                       site_col: str = "source", keep_first: bool = True) -> DataFrame:
-    """One row per input row: doc_id, text (without boilerplate lines), n_lines, n_removed.
+                       site_col: str = "source", keep_first: bool = True, carry: bool = False) -> DataFrame:
+    """One row per input row: doc_id, text (without boilerplate lines), n_lines,
+    n_removed; ``carry`` adds the input row as the struct ``row``.
 
     A line counts without leading and trailing blanks; lines without a word are
     neither counted nor removed.  The first occurrence of a boilerplate line (by
@@ -48,7 +49,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 5, id_col: str = "doc_i
     is false.  A null site is no site; a null text stays null with no lines.
     Repeated rows are treated alike.  Empty table: no rows.
     """
-    own = pick(docs, doc_id=id_col, text=f"{text_col}:string", site=f"{site_col}:string").withColumn(
+    source = docs.select("*", F.struct("*").alias("row")) if carry else docs
+    named = {"row": "row"} if carry else {}
+    own = pick(source, doc_id=id_col, text=f"{text_col}:string", site=f"{site_col}:string", **named).withColumn(
         "t", F.xxhash64("text"))
     lines = materialise(_lines(own), "lines")
     marked = lines.join(boilerplate(lines, min_sites), "line").select("doc_id", "t", "pos", "line")
@@ -65,7 +68,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 5, id_col: str = "doc_i
     return joined.select(
         "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.greatest(F.coalesce(n_lines, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), *named)
 
 
 def line_sql(min_sites: int = 5) -> str:

@@ -36,7 +36,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("t", "stays")
 
 
 def op8_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,14 +67,16 @@ def fingerprints(text: pa.Array, shingle: int) -> np.ndarray:
 
 
 def fingerprint_table(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) per row, fp the fingerprint's bits as a signed long; null text: empty, fp 0."""
+    """(doc_id, t, fp) per row: t the text's hash, fp the fingerprint's bits as a
+    signed long; null text: empty, fp 0."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, text=1):
             fp = fingerprints(texts(batch.column(1)), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp)], ["doc_id", "t", "fp"])
 
-    return pick(docs, doc_id=f"{id_col}:long", text=f"{text_col}:string").mapInArrow(run, "doc_id long, fp long")
+    own = pick(docs, doc_id=f"{id_col}:long", text=f"{text_col}:string").withColumn("t", F.xxhash64("text"))
+    return own.mapInArrow(run, "doc_id long, t long, fp long")
 
 
 def covering_masks(free: int, radius: int) -> list[int]:
@@ -194,7 +196,9 @@ def near_edges(fps: DataFrame, radius: int = 4, bucket_rows: int = 4096) -> Data
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id",
                     text_col: str = "text", bucket_rows: int = 4096) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
+    """One row per input row: doc_id, t (hash of the text), fingerprint (16 hex
+    digits), component_id, stays (one document of each component: least id,
+    nulls last, then least t).
 
     Rows link at ``radius`` or fewer differing bits; the component's id is its
     least doc_id (nulls count only where a component has no other id).  Texts
@@ -202,11 +206,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col:
     count as empty.  Repeated rows share a fingerprint.  Empty table: no rows.
     """
     fps = materialise(fingerprint_table(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    nodes = materialise(fps.groupBy("fp").agg(F.min(_place()).alias("first")), "nodes")
     labels = components(near_edges(nodes.select("fp"), radius, bucket_rows))
     roots = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = roots.select("fp", "root").join(least, "root").select("fp", "component_id")
+    least = roots.groupBy("root").agg(F.min("first").alias("least"))
+    named = roots.select("fp", "root").join(least, "root").select("fp", "least")
     return fps.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", "t", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("least.doc_id").alias("component_id"), _place().eqNullSafe(F.col("least")).alias("stays"))
+
+
+def _place():
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
