@@ -203,23 +203,27 @@ def _first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationMode
 
 
 def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", patience: int = 20, **kw) -> PipelineModel:
-    """M-11: fit on the training rows of ``churn_split``.  Boosting runs all
-    ``rounds`` there; the loss of every prefix of the ensemble on the validation
-    rows then decides how many trees stay (``patience`` rounds without gain end
-    the search)."""
+    """M-11: fit on the training rows of ``churn_split``; the loss of every prefix
+    of the ensemble on the validation rows decides how many of at most ``rounds``
+    trees stay (``patience`` rounds without gain end the search).
+
+    A round does not depend on later ones, so the search first fits few rounds
+    and doubles them until it ends inside what is fitted; the model is the one
+    that fitting all rounds at once would give."""
     # boosting keeps a growing lineage of per-round predictions; with a
     # checkpoint folder Spark ML cuts it every ``checkpointInterval`` rounds
     ensure_checkpoint_dir(data.sparkSession)
     data = materialise(data, "training")
-    fitted = churn_pipeline(data, rounds=rounds, model=model, **kw).fit(data.where(~F.col("is_validation")))
-    if model != "gbt":
-        return fitted
-    *prepare, trees = fitted.stages
-    held = PipelineModel(prepare).transform(data.where(F.col("is_validation")))
-    if held.isEmpty():
-        return fitted
-    keep = best_round(trees.evaluateEachIteration(held), patience)
-    return PipelineModel([*prepare, _first_trees(trees, keep)])
+    train, held = data.where(~F.col("is_validation")), data.where(F.col("is_validation"))
+    if model != "gbt" or held.isEmpty():
+        return churn_pipeline(data, rounds=rounds, model=model, **kw).fit(train)
+    n = min(rounds, 2 * patience + 10)
+    while True:
+        *prepare, trees = churn_pipeline(data, rounds=n, **kw).fit(train).stages
+        keep = best_round(trees.evaluateEachIteration(PipelineModel(prepare).transform(held)), patience)
+        if n == rounds or n - keep >= patience:
+            return PipelineModel([*prepare, _first_trees(trees, keep)])
+        n = min(rounds, 2 * n)
 
 
 def churn_scores(model: PipelineModel, data: DataFrame) -> DataFrame:
