@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,28 +104,12 @@ def split_gram(level: DataFrame) -> DataFrame:
 class HashModel:
     """The two tables of a model in sorted hash arrays."""
 
-    def __init__(self, grams: pd.DataFrame, contexts: pd.DataFrame, depth: int):
+    def __init__(self, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray],
+                 groups: list[str], depth: int):
         self.depth = depth
-        self.groups = {g: k for k, g in enumerate(sorted(set(grams["grp"])))}
-        keys, values, ckeys, cvalues = [], [], [], []
-        for g, k in self.groups.items():
-            own = grams[grams["grp"] == g]
-            points, _ = symbols(own["sym"].tolist(), marks=False)
-            keys.append(_gram_key(context_hashes(own["ctx"].tolist(), k), _hash_symbols(points)))
-            values.append(own["logp"].to_numpy(np.float64))
-            mine = contexts[contexts["grp"] == g]
-            ckeys.append(context_hashes(mine["ctx"].tolist(), k))
-            cvalues.append(mine["logw"].to_numpy(np.float64))
-        self.keys, self.logp = self._sorted(keys, values)
-        self.ckeys, self.logw = self._sorted(ckeys, cvalues)
-
-    @staticmethod
-    def _sorted(keys: list, values: list) -> tuple[np.ndarray, np.ndarray]:
-        if not keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.float32)
-        k, v = np.concatenate(keys), np.concatenate(values)
-        order = np.argsort(k)
-        return k[order], v[order].astype(np.float32)
+        self.groups = {g: k for k, g in enumerate(groups)}
+        self.keys, self.logp = grams
+        self.ckeys, self.logw = contexts
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,6 +137,20 @@ class HashModel:
         h = _hash_symbols(points)
         at = spread(offsets[:-1] + 1, lengths)
         reach = np.minimum(at - np.repeat(offsets[:-1], lengths), self.depth)
+        longest = np.zeros(len(at), np.uint64)
+        for k in range(self.depth):
+            has = reach > k
+            longest[has] += h[at[has] - 1 - k] * _POWERS[k]
+        # positions with the same history and symbol are looked up once
+        key = _gram_key(_context_key(longest, reach.astype(np.uint64), group), h[at])
+        _, first, own = np.unique(key, return_index=True, return_inverse=True)
+        logp = self._lookup(h, at[first], reach[first], group)[own]
+        total = np.concatenate([[0.0], np.cumsum(logp)])
+        ends = np.cumsum(lengths)
+        return total[ends] - total[ends - lengths]
+
+    def _lookup(self, h: np.ndarray, at: np.ndarray, reach: np.ndarray, group: int) -> np.ndarray:
+        """log10 probability of the symbol at each position, from the longest context known."""
         context = [np.zeros(len(at), np.uint64)]
         for k in range(self.depth):
             step = context[-1].copy()
@@ -173,9 +170,31 @@ class HashModel:
             done[here[found]] = True
             open_ = open_[~done[open_]]
         logp[open_] -= np.log10(CODE_POINTS)
-        total = np.concatenate([[0.0], np.cumsum(logp)])
-        ends = np.cumsum(lengths)
-        return total[ends] - total[ends - lengths]
+        return logp
+
+
+def _hashed(rows: DataFrame, groups: list[str], value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (sorted) and values of a table, hashed on the executors."""
+    grams = "sym" in rows.columns
+    index = {g: k for k, g in enumerate(groups)}
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(parts):
+            group, ctx = np.array([index[g] for g in batch.column(0).to_pylist()]), batch.column(1).to_pylist()
+            key = np.zeros(len(ctx), np.uint64)
+            for g in np.unique(group).tolist():
+                some = np.flatnonzero(group == g)
+                key[some] = context_hashes([ctx[k] for k in some.tolist()], g)
+            if grams:
+                points, _ = symbols(batch.column(3).to_pylist(), marks=False)
+                key = _gram_key(key, _hash_symbols(points))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(2).cast(pa.float32())], ["key", "value"])
+
+    picked = rows.select("grp", "ctx", value, *(["sym"] if grams else []))
+    out = picked.mapInArrow(run, "key long, value float").toArrow()
+    key, values = out["key"].to_numpy().view(np.uint64), out["value"].to_numpy()
+    order = np.argsort(key)
+    return key[order], values[order]
 
 
 def collect_model(grams: DataFrame, contexts: DataFrame, depth: int, max_bytes: int) -> HashModel | None:
@@ -183,8 +202,8 @@ def collect_model(grams: DataFrame, contexts: DataFrame, depth: int, max_bytes:
     (12 bytes per entry); nothing above that size reaches the driver."""
     if 12 * (grams.count() + contexts.count()) > max_bytes:
         return None
-    return HashModel(grams.select("grp", "ctx", "sym", "logp").toPandas(),
-                     contexts.select("grp", "ctx", "logw").toPandas(), depth)
+    groups = sorted(r["grp"] for r in contexts.select("grp").distinct().collect())
+    return HashModel(_hashed(grams, groups, "logp"), _hashed(contexts, groups, "logw"), groups, depth)
 
 
 def score_words(words: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int,
