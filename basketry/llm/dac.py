@@ -247,6 +247,6 @@ def tokens_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFra
         dac = Dac.unpack(held["levels"].iloc[0])
         return pd.DataFrame({"position": asked["position"], "token": dac.access(asked["at"].to_numpy()).astype(np.int64)})
 
-    return found.groupBy("part", "segment").cogroup(
-        segments.select("part", "segment", "levels").groupBy("part", "segment")).applyInPandas(
-            run, "position long, token long")
+    payload = open_tokens(spark, folder).select(F.col("part").alias("p"), F.col("segment").alias("s"), "levels")
+    return found.groupBy("part", "segment").cogroup(payload.groupBy("p", "s")).applyInPandas(
+        run, "position long, token long")

@@ -41,12 +41,14 @@ _NAME = r"^\p{Lu}\p{Ll}+('s)?$"
 WORD, NUM, NAME, UNIT = 0, 1, 2, 3
 
 
-def canonical(text: pa.Array, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+def canonical(text: pa.Array, names: pa.Array, known: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Canonical words of the texts: owner, hash, kind, code of the lower-case core, cores.
 
     A capitalised word inside a sentence is a name; at a sentence's start, or in
-    lower case, a word is a name only if ``names`` has it.  A unit is a unit
-    word after a number.
+    lower case, a word is a name if ``names`` has it.  With ``known`` (the words
+    of the benchmark) a capitalised word that it lacks is a name at a sentence's
+    start too: as a word it could match nothing.  A unit is a unit word after a
+    number.
     """
     words, offsets = split_words(text)
     codes, raw = encode(words)
@@ -69,6 +71,9 @@ def canonical(text: pa.Array, names: pa.Array) -> tuple[np.ndarray, np.ndarray,
     codes, own, starts = codes[kept], own[kept], starts[kept]
     kind = np.zeros(len(codes), np.int8)
     kind[(title[codes] & ~starts) | listed[codes]] = NAME
+    if known is not None:
+        new = title & ~pc.is_in(low, known).to_numpy(zero_copy_only=False)
+        kind[new[codes]] = NAME
     kind[number[codes]] = NUM
     if len(codes) > 1:
         after = np.flatnonzero(unit[codes[1:]] & (kind[:-1] == NUM) & (own[1:] == own[:-1])) + 1
@@ -117,15 +122,17 @@ def _rows(own, h, kind, core, cores, size, wanted=None):
 WINDOWS = "doc_id long, t long, pos long, h long, slots array<string>"
 
 
-def _windows(docs: DataFrame, size: int, names: list[str], wanted: np.ndarray | None) -> DataFrame:
+def _windows(docs: DataFrame, size: int, names: list[str], wanted: np.ndarray | None,
+             known: list[str] | None = None) -> DataFrame:
     """Windows of ``docs`` (doc_id, t, text); every window if ``wanted`` is None."""
-    held = docs.sparkSession.sparkContext.broadcast((names, wanted))
+    held = docs.sparkSession.sparkContext.broadcast((names, wanted, known))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names_, wanted_ = held.value
+        names_, wanted_, known_ = held.value
         lexicon = pa.array(names_, pa.string())
+        words = None if known_ is None else pa.array(known_, pa.string())
         for batch in batches(rows, text=2):
-            own, pos, key, slots = _rows(*canonical(texts(batch.column(2)), lexicon), size, wanted_)
+            own, pos, key, slots = _rows(*canonical(texts(batch.column(2)), lexicon, words), size, wanted_)
             take = pa.array(own)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(pos),
                                               pa.array(key), slots], ["doc_id", "t", "pos", "h", "slots"])
@@ -134,7 +141,8 @@ def _windows(docs: DataFrame, size: int, names: list[str], wanted: np.ndarray |
 
 
 def _lexicon(items: DataFrame) -> DataFrame:
-    """Names: words capitalised inside a sentence of an item and in lower case in none."""
+    """(word, name): the items' words in lower case; a name is capitalised inside
+    a sentence of an item and in lower case in none."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, text=0):
@@ -143,12 +151,14 @@ def _lexicon(items: DataFrame) -> DataFrame:
             named = np.unique(core[kind == NAME])
             plain = pc.unique(pc.utf8_trim(split_words(text)[0], characters=_TRIM))
             lower = pc.filter(plain, pc.equal(plain, pc.utf8_lower(plain)))
-            words = pa.concat_arrays([cores.take(pa.array(named)), lower])
-            flags = np.arange(len(words)) < len(named)
+            rest = np.setdiff1d(np.unique(core), named)
+            words = pa.concat_arrays([cores.take(pa.array(named)), cores.take(pa.array(rest)), lower])
+            flags = np.where(np.arange(len(words)) < len(named), 1, np.where(np.arange(len(words)) < len(named) + len(rest), 0, -1))
             yield pa.RecordBatch.from_arrays([words, pa.array(flags)], ["word", "name"])
 
-    found = items.select("text").mapInArrow(run, "word string, name boolean")
-    return found.groupBy("word").agg(F.min("name").alias("name")).where("name").select("word")
+    # 1: seen as a name, 0: seen at a sentence's start or otherwise, -1: seen in lower case
+    found = items.select("text").mapInArrow(run, "word string, name long")
+    return found.groupBy("word").agg(((F.max("name") == 1) & (F.min("name") >= 0)).alias("name"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -166,7 +176,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     The benchmark's window hashes are broadcast if there are at most
     ``max_windows`` (8 bytes each); else every window takes part in the join.
-    Its names (words) are broadcast under the same bound; a benchmark with more
+    Its words are broadcast under the same bound; a benchmark with more
     is refused, to be passed in parts.
     """
     own = pick(docs, doc_id=f"{id_col}:long", text=f"{text_col}:string").withColumn("t", F.xxhash64("text"))
@@ -174,8 +184,9 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         "text IS NOT NULL").distinct().withColumn("t", F.xxhash64("text")), "benchmark")
     lexicon = materialise(_lexicon(bench), "names")
     if lexicon.count() > max_windows:
-        raise ValueError("the benchmark has too many names to broadcast; call leaks() for parts of it")
-    names = [r["word"] for r in lexicon.collect()]
+        raise ValueError("the benchmark has too many words to broadcast; call leaks() for parts of it")
+    known = {r["word"]: r["name"] for r in lexicon.collect()}
+    names = sorted(w for w, name in known.items() if name)
     sized = materialise(_sizes(bench, names), "items")
     lengths = [r["w"] for r in sized.select(F.least("n", F.lit(window)).cast("int").alias("w")).distinct().collect() if r["w"]]
     found = None
@@ -188,7 +199,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         few_windows = asked.count() <= max_windows
         wanted = np.unique(np.array([r[0] for r in asked.select("h").distinct().collect()], np.int64).view(np.uint64)) if (
             few_windows) else None
-        hits = _windows(own, size, names, wanted).join(asked, "h")
+        hits = _windows(own, size, names, wanted, sorted(known)).join(asked, "h")
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         return docs.sparkSession.createDataFrame(

@@ -408,7 +408,7 @@ def test_shards_against_brute_force(spark, docs, none):
 
 
 ITEM = ("Alice has 5 apples and buys 12 more apples from Bob at the market. How many apples does Alice have after she gives 3 kg "
-        "of them to Carol in Paris yesterday evening?")
+        "of them to Carol in Paris yesterday evening and feeds 5 cats?")
 
 
 def test_leaks_exact_and_reparameterised(spark, docs, none):
@@ -416,7 +416,7 @@ def test_leaks_exact_and_reparameterised(spark, docs, none):
     items = spark.createDataFrame([(1, ITEM), (2, PROSE), (3, None), (4, ""), (5, "only four words here")],
                                   "item_id long, text string")
     changed = ITEM.replace("Alice", "Dora").replace("Bob", "Emil").replace("5", "7").replace("12", "30").replace("3 kg", "9 kg")
-    torn = changed.replace("does Dora", "does Fred")      # one item value, two document values
+    torn = changed.replace("7 cats", "8 cats")            # one item value, two document values
     data = [(10, f"Before it. {ITEM} After it."), (11, f"Intro words here. {changed} The end."), (12, "unrelated " * 50), (13, None),
             (14, ""), (15, ITEM.upper()), (16, "x only four words here y"), (17, " ".join(ITEM.split()[:9]))]
     found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(
