@@ -22,7 +22,7 @@ def _normal(rows):
     return sorted((tuple(sorted(r.items())) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", ["op1_extendible_shards", "op3_line_spread"])
+@pytest.mark.parametrize("name", ["op1_extendible_shards", "op3_line_spread", "op6_license_scan"])
 def test_oracle_agrees(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
