@@ -207,18 +207,20 @@ class Merges:
 
 
 def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
-                  text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+                  text_col: str = "text", keep_ids: bool = False, keep_decoded: bool = False) -> DataFrame:
     """Ids and decoded text of every row: n_tokens, ids_sha256, decoded_sha256.
 
-    One row per input row.  ``keep_ids`` adds ``ids`` (array<int>) and
-    ``decoded`` (string).  A null or empty text has no token; both digests are
+    One row per input row.  ``keep_ids`` adds ``ids`` (array<int>),
+    ``keep_decoded`` adds ``decoded`` (string).  A null or empty text has no token; both digests are
     then those of the empty string.  Repeated rows are encoded each; an id may
     be null.  Other columns of the input are not read.
     """
     path = path or tokenizer_path()
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if keep_ids:
-        schema += ", ids array<int>, decoded string"
+        schema += ", ids array<int>"
+    if keep_decoded:
+        schema += ", decoded string"
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = Merges.load(path)
@@ -246,16 +248,18 @@ def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
                 digests[0].append(hashlib.sha256(" ".join([numbers[c] for c in own]).encode()).hexdigest())
                 text = " ".join([strings[c] for c in own])
                 digests[1].append(hashlib.sha256(text.encode()).hexdigest())
-                if keep_ids:
+                if keep_decoded:
                     decoded.append(text)
             out = [batch.column(0).cast(pa.int64()), pa.array(np.diff(counts)), pa.array(digests[0], pa.string()),
                    pa.array(digests[1], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
                 flat = ids[spread(at[codes], n[codes])] if len(codes) else np.zeros(0, np.int64)
-                out += [pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(flat.astype(np.int32))),
-                        pa.array(decoded, pa.string())]
-                names += ["ids", "decoded"]
+                out.append(pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(flat.astype(np.int32))))
+                names.append("ids")
+            if keep_decoded:
+                out.append(pa.array(decoded, pa.string()))
+                names.append("decoded")
             yield pa.RecordBatch.from_arrays(out, names)
 
     return pick(docs, doc_id=f"{id_col}:long", text=f"{text_col}:string").mapInArrow(run, schema)

@@ -70,7 +70,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def bpe_encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, with the digests of ids and decoded text."""
     ship(spark)
-    return bpe.encode_decode(docs, keep_ids=True).drop("decoded")
+    return bpe.encode_decode(docs, keep_ids=True)
 
 
 STAGES = [

@@ -69,7 +69,7 @@ def test_bpe_equals_library(docs, none):
         text = library.decode(ids, skip_special_tokens=False)
         expected.append((r[0], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
                          hashlib.sha256(text.encode()).hexdigest(), ids, text))
-    out = bpe.encode_decode(docs, keep_ids=True)
+    out = bpe.encode_decode(docs, keep_ids=True, keep_decoded=True)
     assert got(out, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded") == want(expected)
     assert bpe.encode_decode(none).count() == 0
 
