@@ -1,8 +1,8 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is planned and executed in full (``noop`` sink, so nothing is
-collected): one warm-up, then the median of three runs.  Prints one JSON
-line.  ``BENCH_QUERIES`` (comma list) overrides the set; ``BENCH_RUNS`` the
+collected): one warm-up, then the median of three runs (one run if the warm-up
+took longer than 20 seconds).  Prints one JSON line.  ``BENCH_QUERIES`` (comma list) overrides the set; ``BENCH_RUNS`` the
 number of timed runs.
 """
 
@@ -43,8 +43,8 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()
-        times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        first = once()
+        times[name] = round(statistics.median(once() for _ in range(runs if first < 20 else 1)), 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
