@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from basketry.llm.common import batches, materialise, per_text, pick, raw_bytes, texts
 from basketry.llm.components import components
 
-_CHUNK = 1 << 19
+_CHUNK = 1 << 16
 _FULL = (1 << 64) - 1
 
 
