@@ -1,6 +1,3 @@
-import importlib.util
-import zlib
-
 import duckdb
 import pytest
 
@@ -70,7 +67,3 @@ def docs_extra():
 def test_run_equals_the_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert len({r["doc_id"] for r in out}) == len(out) > 0
-
-
-def test_crc_matches_the_contract():
-    assert zlib.crc32(b"0") % 10 in range(10) and importlib.util.find_spec("corpus_pipeline")
