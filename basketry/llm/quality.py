@@ -25,6 +25,8 @@ DEPTH = 4
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: words handled at once, to bound the arrays
+_WORDS, _RUN = 150_000, 1 << 19
 
 
 def _groups(column: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -45,9 +47,10 @@ def count_grams(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             key, n = np.unique(lang[owners(offsets)] * len(vocabulary) + codes, return_counts=True)
             for g, name in enumerate(names):
                 own = key // len(vocabulary) == g
-                if own.any():
+                which, weight = key[own] % len(vocabulary), n[own]
+                for a in range(0, len(which), _WORDS):
                     grams, counts = charmodel.gram_counts(
-                        vocabulary.take(pa.array(key[own] % len(vocabulary))).to_pylist(), n[own], depth)
+                        vocabulary.take(pa.array(which[a:a + _WORDS])).to_pylist(), weight[a:a + _WORDS], depth)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(counts)],
                         ["grp", "gram", "c"])
@@ -95,6 +98,15 @@ def kneser_ney(grams: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFra
 
 def _repeated(codes: np.ndarray, offsets: np.ndarray, size: int = 5) -> np.ndarray:
     """Per text: words in windows of ``size`` words that stand twice or more in it."""
+    out, a = [np.zeros(0, np.int64)], 0
+    while a < len(offsets) - 1:  # runs of texts with about _RUN words, or one longer text
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _RUN, side="right")) - 1)
+        out.append(_repeated_run(codes[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], size))
+        a = b
+    return np.concatenate(out)
+
+
+def _repeated_run(codes: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
     n = len(codes)
     if n < size:
         return np.zeros(len(offsets) - 1, np.int64)
