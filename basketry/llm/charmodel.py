@@ -1,8 +1,10 @@
-"""Character models of words: gram counts, sorted hash arrays, scoring.
+"""Character models: gram counts, sorted hash arrays, scoring.
 
-A word is read as a start mark, its characters and an end mark; a character's
-context never reaches beyond the start mark, so a word's probability does not
-depend on its neighbours and each distinct word is counted and scored once.
+A string is read as a start mark, its characters and an end mark; a character's
+context never reaches beyond the start mark.  The strings are words (a word's
+probability does not depend on its neighbours, and each distinct word is counted
+and scored once) or running texts (``running``: words joined by single spaces,
+contexts run across them, and each position is counted and scored).
 A model is two tables: ``grams`` (grp, ctx, sym, logp) with interpolated log10
 probabilities and ``contexts`` (grp, ctx, logw) with the log10 weight a context
 leaves to its next shorter one.
@@ -13,7 +15,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +27,8 @@ START, END = "\x02", "\x03"
 #: any character a model has not seen shares its unseen mass with this many others
 CODE_POINTS = 1_114_112
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: positions of running texts handled at once, to bound the arrays
+_RANGE = 1 << 20
 _POWERS = [np.uint64(pow(int(_BASE), k, 1 << 64)) for k in range(65)]
 
 
@@ -80,6 +86,51 @@ def gram_counts(words: list[str], weights: np.ndarray, depth: int) -> tuple[list
     return [text[a:b + 1] for a, b in zip(begin[first].tolist(), at[first].tolist())], counts
 
 
+def running(words: pa.Array, offsets: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points (with marks) and offsets of the texts ``some``, their words joined by spaces."""
+    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), words)
+    return symbols(pc.binary_join(lists.take(pa.array(some)), " ").to_pylist())
+
+
+def _histories(points: np.ndarray, offsets: np.ndarray, a: int, b: int, depth: int):
+    """Positions ``a`` to ``b`` but for start marks: text, place in the symbol
+    hashes, length and hash of the history, and those symbol hashes."""
+    low = max(a - depth, 0)
+    h = np.concatenate([np.zeros(depth - (a - low), np.uint64), _hash_symbols(points[low:b])])
+    t, z = int(np.searchsorted(offsets, a, side="right")) - 1, int(np.searchsorted(offsets, b))
+    text = np.repeat(np.arange(t, z), np.diff(np.clip(offsets[t:z + 1], a, b)))
+    reach = np.minimum(np.arange(a, b) - offsets[text], depth)
+    history = np.zeros(b - a, np.uint64)
+    for k in range(depth):
+        history += h[depth - 1 - k:depth - 1 - k + b - a] * _POWERS[k] * (reach > k)
+    at = np.flatnonzero(reach)
+    return text[at], at + depth, reach[at], history[at], h
+
+
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the keys, and the first place of each code."""
+    codes, kinds = pd.factorize(key)
+    first = np.empty(len(kinds), np.int64)
+    first[codes[::-1]] = np.arange(len(key) - 1, -1, -1)
+    return codes, first
+
+
+def running_grams(points: np.ndarray, offsets: np.ndarray, depth: int,
+                  apart: bool = False) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+    """(text, gram, count) of the longest grams of running texts, in pieces that
+    may repeat a gram; ``apart`` counts each text by itself, else text means nothing."""
+    for a in range(0, len(points), _RANGE):
+        b = min(a + _RANGE, len(points))
+        text, at, reach, history, h = _histories(points, offsets, a, b, depth)
+        key = mix(_gram_key(history, h[at]) ^ reach.astype(np.uint64))
+        codes, first = _distinct(mix(key + text.astype(np.uint64) * _BASE) if apart else key)
+        low = max(a - depth, 0)
+        chars = points[low:b].tobytes().decode("utf-32-le", "surrogatepass")
+        end = at[first] - depth + a - low
+        yield text[first], [chars[x:y] for x, y in zip((end - reach[first]).tolist(), (end + 1).tolist())], np.bincount(
+            codes, minlength=len(first))
+
+
 def level_counts(grams: DataFrame, depth: int, continuation: bool) -> list[DataFrame]:
     """Counts per context length 0..depth as (grp, gram, c), from the longest grams.
 
@@ -149,6 +200,17 @@ class HashModel:
         ends = np.cumsum(lengths)
         return total[ends] - total[ends - lengths]
 
+    def score_running(self, points: np.ndarray, offsets: np.ndarray, group: str) -> np.ndarray:
+        """log10 probability of each running text (an unknown group scores nan)."""
+        out = np.full(len(offsets) - 1, 0.0 if group in self.groups else np.nan)
+        for a in range(0, len(points) if group in self.groups else 0, _RANGE):
+            text, at, reach, history, h = _histories(points, offsets, a, min(a + _RANGE, len(points)), self.depth)
+            codes, first = _distinct(_gram_key(_context_key(history, reach.astype(np.uint64), self.groups[group]), h[at]))
+            logp = self._lookup(h, at[first], reach[first], self.groups[group])[codes]
+            if len(text):
+                out[text[0]:text[-1] + 1] += np.bincount(text - text[0], weights=logp)
+        return out
+
     def _lookup(self, h: np.ndarray, at: np.ndarray, reach: np.ndarray, group: int) -> np.ndarray:
         """log10 probability of the symbol at each position, from the longest context known."""
         context = [np.zeros(len(at), np.uint64)]
@@ -234,15 +296,27 @@ def score_by_join(words: DataFrame, grams: DataFrame, contexts: DataFrame, depth
     at = marked.select("*", F.explode(F.expr("sequence(1, length(s) - 1)")).alias("i"))
     tries = at.select("grp", "word", "i", F.explode(F.expr(f"sequence(0, least(i, {depth}))")).alias("k"), "s").select(
         "grp", "word", "i", "k", F.expr("substring(s, i - k + 1, k)").alias("ctx"), F.expr("substring(s, i + 1, 1)").alias("sym"))
+    steps = _tried(tries, ["grp", "word", "i"], grams, contexts)
+    scored = steps.groupBy("grp", "word").agg(F.sum("logp").alias("logp"))
+    return words.select("grp", "word").join(scored, ["grp", "word"]).join(known.withColumn("known", F.lit(True)), "grp", "left").select(
+        "grp", "word", F.when(F.col("known"), F.col("logp")).otherwise(F.lit(float("nan"))).alias("logp"))
+
+
+def grams_by_join(asked: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(grp, gram, logp) of the last symbol of each (grp, gram) after the others, by hash joins."""
+    tries = asked.select("grp", "gram", F.explode(F.expr("sequence(0, length(gram) - 1)")).alias("k")).select(
+        "grp", "gram", "k", F.expr("substring(gram, length(gram) - k, k)").alias("ctx"), F.expr("right(gram, 1)").alias("sym"))
+    return _tried(tries, ["grp", "gram"], grams, contexts)
+
+
+def _tried(tries: DataFrame, key: list[str], grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(key, logp) from the contexts (ctx of length k, sym) tried for each key."""
     looked = (tries.join(contexts.select("grp", "ctx", "logw"), ["grp", "ctx"], "left")
               .join(grams.select("grp", "ctx", "sym", "logp"), ["grp", "ctx", "sym"], "left"))
     hit = F.max(F.when(F.col("logp").isNotNull(), F.col("k")))
-    steps = looked.groupBy("grp", "word", "i").agg(
+    steps = looked.groupBy(*key).agg(
         hit.alias("hit"), F.max_by("logp", F.when(F.col("logp").isNotNull(), F.col("k"))).alias("logp"),
         F.collect_list(F.when(F.col("logw").isNotNull(), F.struct("k", "logw"))).alias("w"))
     passed = F.aggregate(F.filter("w", lambda x: x["k"] > F.coalesce(F.col("hit"), F.lit(-1))), F.lit(0.0),
                          lambda a, x: a + x["logw"])
-    one = passed + F.coalesce("logp", F.lit(-float(np.log10(CODE_POINTS))))
-    scored = steps.groupBy("grp", "word").agg(F.sum(one).alias("logp"))
-    return words.select("grp", "word").join(scored, ["grp", "word"]).join(known.withColumn("known", F.lit(True)), "grp", "left").select(
-        "grp", "word", F.when(F.col("known"), F.col("logp")).otherwise(F.lit(float("nan"))).alias("logp"))
+    return steps.select(*key, (passed + F.coalesce("logp", F.lit(-float(np.log10(CODE_POINTS))))).alias("logp"))

@@ -1,8 +1,9 @@
 """Document quality: counts of the text itself and n-gram perplexity bands.
 
-The language model is an interpolated modified Kneser-Ney model of characters
-inside words, one per language, counted by Spark over all documents and stored
-in sorted hash arrays.  Every language gets lower and upper perplexity bounds
+The language model is an interpolated modified Kneser-Ney model of the
+characters of running text, one per language: words are joined by single spaces
+and contexts run across them, so the order of words is judged.  It is counted by
+Spark over all documents and stored in sorted hash arrays.  Every language gets lower and upper perplexity bounds
 (per character and per word) from the quartiles of its own documents; a
 document outside is rejected.
 """
@@ -26,7 +27,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: words handled at once, to bound the arrays
-_WORDS, _RUN = 150_000, 1 << 19
+_RUN = 1 << 19
 
 
 def _groups(column: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -34,23 +35,22 @@ def _groups(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary.to_pylist()
 
 
+def _running(words: pa.Array, offsets: np.ndarray, column: pa.Array) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per language: its texts with words, their code points and offsets."""
+    lang, names = _groups(column)
+    for g, name in enumerate(names):
+        some = np.flatnonzero((lang == g) & (np.diff(offsets) > 0))
+        if len(some):
+            yield name, some, *charmodel.running(words, offsets, some)
+
+
 def count_grams(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(grp, gram, c) over all words of ``docs`` (text, lang), summed by Spark."""
+    """(grp, gram, c) over the running texts of ``docs`` (text, lang), summed by Spark."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, text=0):
-            words, offsets = split_words(texts(batch.column(0)))
-            codes, vocabulary = encode(words)
-            lang, names = _groups(batch.column(1))
-            if not len(codes):
-                continue
-            key, n = np.unique(lang[owners(offsets)] * len(vocabulary) + codes, return_counts=True)
-            for g, name in enumerate(names):
-                own = key // len(vocabulary) == g
-                which, weight = key[own] % len(vocabulary), n[own]
-                for a in range(0, len(which), _WORDS):
-                    grams, counts = charmodel.gram_counts(
-                        vocabulary.take(pa.array(which[a:a + _WORDS])).to_pylist(), weight[a:a + _WORDS], depth)
+            for name, _, points, ends in _running(*split_words(texts(batch.column(0))), batch.column(1)):
+                for _, grams, counts in charmodel.running_grams(points, ends, depth):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(counts)],
                         ["grp", "gram", "c"])
@@ -153,15 +153,10 @@ def features(docs: DataFrame, model=None) -> DataFrame:
             data, ends = raw_bytes(text)
             marks = np.diff(np.searchsorted(np.flatnonzero(_SYMBOL[data]), ends))
             logp = np.full(len(text), np.nan)
-            if model is not None and len(codes):
-                lang, names = _groups(batch.column(2))
-                by_word = lang[owners(offsets)]
-                value = np.zeros(len(codes))
-                for g, name in enumerate(names):
-                    own = np.flatnonzero(by_word == g)
-                    used, inverse = np.unique(codes[own], return_inverse=True)
-                    value[own] = model.value.score(vocabulary.take(pa.array(used)).to_pylist(), name)[inverse]
-                logp = per_text(value, offsets)
+            if model is not None:
+                logp[np.diff(offsets) == 0] = 0.0
+                for name, some, points, starts in _running(words, offsets, batch.column(2)):
+                    logp[some] = model.value.score_running(points, starts, name)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), batch.column(1), texts(batch.column(2)), pa.array(np.diff(offsets)),
                  pa.array(per_text(chars[codes], offsets)), pa.array(marks.astype(np.int64)),
@@ -173,12 +168,22 @@ def features(docs: DataFrame, model=None) -> DataFrame:
 
 def _logp_by_join(docs: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int) -> DataFrame:
     """(doc_id, t, grp, joined_logp) without a broadcast model."""
-    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    each = docs.select("doc_id", "t", F.coalesce("lang", F.lit("")).alias("grp"), F.explode(split).alias("word"))
-    counted = each.groupBy("doc_id", "t", "grp", "word").agg(F.count("*").alias("n"))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, text=3):
+            for name, some, points, ends in _running(*split_words(texts(batch.column(3))), batch.column(2)):
+                for text, own, counts in charmodel.running_grams(points, ends, depth, apart=True):
+                    take = pa.array(some[text])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(take).cast(pa.int64()), batch.column(1).take(take),
+                         pa.array([name] * len(own), pa.string()), pa.array(own, pa.string()), pa.array(counts)],
+                        ["doc_id", "t", "grp", "gram", "n"])
+
+    counted = materialise(docs.select("doc_id", "t", "lang", "text").mapInArrow(
+        run, "doc_id long, t long, grp string, gram string, n long"), "asked")
     copies = docs.groupBy("doc_id", "t", F.coalesce("lang", F.lit("")).alias("grp")).agg(F.count("*").alias("copies"))
-    scored = charmodel.score_by_join(counted.select("grp", "word").distinct(), grams, contexts, depth)
-    summed = counted.join(scored, ["grp", "word"]).groupBy("doc_id", "t", "grp").agg(
+    scored = charmodel.grams_by_join(counted.select("grp", "gram").distinct(), grams, contexts)
+    summed = counted.join(scored, ["grp", "gram"]).groupBy("doc_id", "t", "grp").agg(
         F.sum(F.col("n") * F.col("logp")).alias("joined_logp"))
     same = [summed[c].eqNullSafe(copies[c]) for c in ("doc_id", "t", "grp")]
     return summed.join(copies, same[0] & same[1] & same[2]).select(
@@ -191,6 +196,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """One row per input row: doc_id, t (hash of the text), lang, the counts,
     base_failed, kept, and the perplexity per character (word ends included)
     and per word with the bounds that hold for the row (null without words).
+    Both are of the running text: words in an unusual order raise them.
 
     base_failed: fewer than 10 words, or more than 20 % of them in repeated
     five-word windows.  A language's bounds are, for each of the two

@@ -437,3 +437,52 @@ def test_leaks_exact_and_reparameterised(spark, docs, none):
 def test_no_tokenizer_file_in_the_repository():
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     assert not [f for _, _, files in os.walk(root) for f in files if f.endswith((".tiktoken", "_49k.json", ".model"))]
+
+
+def sentences(rnd, n):
+    """Words of 60, each of which only three others follow."""
+    order = [a + b for a in ("ri", "hou", "mo", "an", "lit", "bre") for b in ("ver", "se", "tain", "d", "tle", "ad", "win", "ter", "k", "gar")]
+    k, out = rnd.randrange(60), []
+    for _ in range(n):
+        out.append(order[k])
+        k = (7 * k + rnd.choice([1, 18, 41])) % 60
+    return out
+
+
+def test_quality_rejects_words_in_random_order(spark):
+    import random
+    ship(spark)
+    rnd = random.Random(6)
+    fluent = [(k, " ".join(sentences(rnd, 120)), "en") for k in range(200)]
+    salad = []
+    for k in range(10):
+        w = fluent[k][1].split()
+        rnd.shuffle(w)
+        salad.append((1000 + k, " ".join(w), "en"))
+    frame = spark.createDataFrame(fluent + salad, "doc_id long, text string, lang string")
+    out = {r["doc_id"]: r for r in quality.judge(frame).collect()}
+    assert all(out[1000 + k]["perplexity"] > 1.2 * out[k]["perplexity"] for k in range(10))
+    plain = [out[k] for k in range(200) if not out[k]["base_failed"]]
+    assert not any(out[1000 + k]["kept"] for k in range(10))
+    assert len(plain) > 150 and sum(r["kept"] for r in plain) >= 0.97 * len(plain)
+    joined = {r["doc_id"]: r for r in quality.judge(frame, max_model_bytes=0).collect()}
+    assert all(abs(out[k]["perplexity"] - joined[k]["perplexity"]) < 1e-3 and out[k]["kept"] == joined[k]["kept"] for k in out)
+
+
+def test_running_ranges_equal_one_range(monkeypatch):
+    import pyarrow as pa
+    words = pa.array("a bb é the 🙂🙂 end x y z".split())
+    points, ends = charmodel.running(words, np.array([0, 3, 3, 7, 9]), np.array([0, 2, 3]))
+    total = collections.Counter()
+    for _, grams, counts in charmodel.running_grams(points, ends, 4):
+        total.update(dict(zip(grams, counts.tolist())))
+    brute = collections.Counter()
+    for s in ("\x02a bb é\x03", "\x02the 🙂🙂 end x\x03", "\x02y z\x03"):
+        brute.update(s[max(0, i - 4):i + 1] for i in range(1, len(s)))
+    assert total == brute
+    monkeypatch.setattr(charmodel, "_RANGE", 5)
+    pieces = collections.Counter()
+    for _, grams, counts in charmodel.running_grams(points, ends, 4):
+        for g, c in zip(grams, counts.tolist()):
+            pieces[g] += c
+    assert pieces == brute
