@@ -3,8 +3,8 @@
 The language model is an interpolated modified Kneser-Ney model of the
 characters of running text, one per language: words are joined by single spaces
 and contexts run across them, so the order of words is judged.  It is counted by
-Spark over all documents and stored in sorted hash arrays.  Every language gets lower and upper perplexity bounds
-(per character and per word) from the quartiles of its own documents; a
+Spark over all distinct texts and stored in sorted hash arrays.  Every language gets lower and upper perplexity bounds
+(per character and per word) from the quartiles of its own texts; a
 document outside is rejected.
 """
 
@@ -23,6 +23,8 @@ from basketry.llm.common import (batches, encode, materialise, mix, owners, per_
                                  texts)
 
 DEPTH = 4
+#: least quartile distances of the two log-perplexities, about half of those of ordinary text
+FLOOR = {"char": 0.05, "word": 0.5}
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -191,6 +193,15 @@ def _logp_by_join(docs: DataFrame, grams: DataFrame, contexts: DataFrame, depth:
         (F.col("joined_logp") / F.col("copies")).alias("joined_logp"))
 
 
+def _distinct_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` (t, lang, text) with one row of each text and language; only texts that stand twice are shuffled."""
+    copied = materialise(docs.groupBy("t", F.col("lang").alias("g")).agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("t").alias("u"), "g"), "copied")
+    same = (F.col("t") == F.col("u")) & F.col("lang").eqNullSafe(F.col("g"))
+    return docs.join(copied, same, "left_anti").unionByName(
+        docs.join(copied, same, "left_semi").dropDuplicates(["t", "lang"]))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           spread: float = 5.0, even_words: int = 1000, depth: int = DEPTH, max_model_bytes: int = 256 << 20) -> DataFrame:
     """One row per input row: doc_id, t (hash of the text), lang, the counts,
@@ -202,15 +213,16 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     five-word windows.  A language's bounds are, for each of the two
     log-perplexities, its median plus and minus ``spread`` times the distance to
     the quartile on that side, scaled by sqrt(1/words + 1/even_words): a short
-    text's average scatters more.  They are taken over all documents that pass
-    the base rules; a value on a bound is kept.  Null texts count as empty
-    (base_failed), null languages form a language of their own; repeated rows
-    are judged each and count each in the statistics.  An empty table gives no
-    rows.
+    text's average scatters more.  They are taken over the distinct texts that
+    pass the base rules, and the distance is at least ``FLOOR``, so that neither
+    copies nor near copies draw the bounds together; a value on a bound is kept.
+    Null texts count as empty (base_failed), null languages form a language of
+    their own; repeated rows are judged each and count once in the model and in
+    the bounds.  An empty table gives no rows.
     """
     own = pick(docs, doc_id=id_col, text=f"{text_col}:string", lang=f"{lang_col}:string").withColumn(
         "t", F.xxhash64("text"))
-    grams, contexts = kneser_ney(materialise(count_grams(own, depth), "counts"), depth)
+    grams, contexts = kneser_ney(materialise(count_grams(_distinct_texts(own), depth), "counts"), depth)
     model = charmodel.collect_model(grams, contexts, depth, max_model_bytes)
     if model is not None:
         counted = features(own, docs.sparkSession.sparkContext.broadcast(model))
@@ -226,7 +238,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         .withColumn("by_word", F.when(worded, -F.col("logp") / F.col("n_words")))
         .withColumn("scale", F.when(worded, F.sqrt(1 / F.col("n_words") + F.lit(1 / even_words))))
         .withColumn("base_failed", failed).drop("logp"), "quality")
-    good = counted.where(~F.col("base_failed"))
+    good = counted.where(~F.col("base_failed")).select("lang", "t", "by_char", "by_word", "scale").dropDuplicates(["lang", "t"])
     quartile = lambda c: F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10000))
     middle = good.groupBy("lang").agg(quartile("by_char")[1].alias("m_char"), quartile("by_word")[1].alias("m_word"))
     off = {m: (F.col(f"by_{m}") - F.col(f"m_{m}")) / F.col("scale") for m in ("char", "word")}
@@ -235,9 +247,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     judged = counted.join(bands, "lang", "left")
     inside = F.lit(True)
     for m in ("char", "word"):
-        for side, k in (("lower", 0), ("upper", 2)):
-            judged = judged.withColumn(
-                f"{side}_{m}", F.col(f"m_{m}") + spread * F.col("scale") * F.col(f"q_{m}")[k])
+        # without documents that pass the base rules there are no quartiles and no bounds
+        distance = {"lower": F.least(F.col(f"q_{m}")[0], F.lit(-FLOOR[m])), "upper": F.greatest(F.col(f"q_{m}")[2], F.lit(FLOOR[m]))}
+        for side, d in distance.items():
+            judged = judged.withColumn(f"{side}_{m}", F.col(f"m_{m}") + spread * F.col("scale") * d)
         inside = inside & F.coalesce(F.col(f"by_{m}").between(F.col(f"lower_{m}"), F.col(f"upper_{m}")), F.lit(False))
     ten = lambda c, name: F.pow(F.lit(10.0), c).alias(name)
     return judged.select(

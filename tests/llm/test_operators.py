@@ -486,3 +486,32 @@ def test_running_ranges_equal_one_range(monkeypatch):
         for g, c in zip(grams, counts.tolist()):
             pieces[g] += c
     assert pieces == brute
+
+
+def test_quality_copies_do_not_reject_clean_texts(spark):
+    import random
+    ship(spark)
+    rnd = random.Random(12)
+    easy = ["mountain", "walking", "winter", "garden", "little", "house", "bread", "river"]
+    clean = [[rnd.choice(easy if k < 96 else "abcdefghijklmnopqrst") for _ in range(150)] for k in range(160)]
+    data = [(k, " ".join(w), "en") for k, w in enumerate(clean)]
+    # one text in a third of all rows, 55 % of its language
+    same = " ".join(rnd.choice(easy + list("abcdefgh")) for _ in range(150))
+    data += [(1000 + k, same, "en") for k in range(200)]
+    data += [(2000 + k, " ".join(rnd.choice(["lune", "soleil", "maison", "et", "pain", "le"]) + str(rnd.randrange(9)) for _ in range(150)), "fr")
+             for k in range(240)]
+    out = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
+    assert not any(out[k]["base_failed"] for k in range(160))
+    assert all(out[k]["kept"] for k in range(160))
+    assert all(out[1000 + k]["kept"] for k in range(200))
+
+
+def test_quality_copied_prose_stays(spark):
+    import random
+    ship(spark)
+    rnd = random.Random(13)
+    vocabulary = ["the", "river", "house", "mountain", "and", "little", "bread", "winter", "walking", "a", "of", "garden"]
+    clean = [" ".join(rnd.choice(vocabulary) + rnd.choice(["", "", "", "s", "."]) for _ in range(150)) for _ in range(161)]
+    data = [(k, x, "en") for k, x in enumerate(clean)] + [(1000 + k, clean[160], "en") for k in range(200)]
+    out = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
+    assert sum(out[k] for k in range(161)) >= 157 and all(out[1000 + k] for k in range(200))
