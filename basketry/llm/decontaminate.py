@@ -6,7 +6,9 @@ hash-joined with the benchmark's windows.  Windows of one document that lie on
 one diagonal of one item are read together: a slot value of the item must stand
 for one value of the document throughout, else its windows do not count.  So a
 question with other numbers or names is still caught, and a chance match of
-slots is not.
+slots is not.  A window of almost only slots says nothing as a template: with
+fewer than ``LITERAL`` different literal words (also in a short item) it is
+matched by its words and values instead.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from basketry.llm.common import batches, encode, materialise, mix, owners, pick,
 
 WINDOW = 8
 COVERED = 13
+#: windows with fewer different literal words are matched by their values
+LITERAL = 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 # fixed values: unit words that count as units after a number
@@ -41,8 +45,10 @@ _NAME = r"^\p{Lu}\p{Ll}+('s)?$"
 WORD, NUM, NAME, UNIT = 0, 1, 2, 3
 
 
-def canonical(text: pa.Array, names: pa.Array, known: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Canonical words of the texts: owner, hash, kind, code of the lower-case core, cores.
+def canonical(text: pa.Array, names: pa.Array, known: pa.Array | None = None) -> tuple[
+        np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Canonical words of the texts: owner, hash, hash of the word itself, kind,
+    code of the lower-case core, cores.
 
     A capitalised word inside a sentence is a name; at a sentence's start, or in
     lower case, a word is a name if ``names`` has it.  With ``known`` (the words
@@ -79,28 +85,35 @@ def canonical(text: pa.Array, names: pa.Array, known: pa.Array | None = None) ->
         after = np.flatnonzero(unit[codes[1:]] & (kind[:-1] == NUM) & (own[1:] == own[:-1])) + 1
         kind[after] = UNIT
     h = mix(text_hash[low_codes[codes]].astype(np.uint64) if len(codes) else np.zeros(0, np.uint64))
+    value = h.copy()
     for k in (NUM, NAME, UNIT):
         h[kind == k] = mix(np.array([k], np.uint64))
-    return own, h, kind, low_codes[codes] if len(codes) else codes, cores
+    return own, h, value, kind, low_codes[codes] if len(codes) else codes, cores
 
 
-def window_hashes(own: np.ndarray, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every window of ``size`` words inside one text."""
+def window_hashes(own: np.ndarray, h: np.ndarray, value: np.ndarray, literal: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every window of ``size`` words inside one text: of its
+    template, or of its values if it has fewer than ``LITERAL`` different literal words."""
     n = len(h) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    key = np.zeros(n, np.uint64)
+    back = np.full(len(h), size, np.int8)  # words back to the last equal one
+    for k in range(size - 1, 0, -1):
+        back[k:][h[k:] == h[:-k]] = k
+    key, exact, words = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.int8)
     for k in range(size):
         key = key * _STEP + h[k:n + k]
+        exact = exact * _STEP + value[k:n + k]
+        words += literal[k:n + k] & (back[k:n + k] > k)
     at = np.flatnonzero(own[:n] == own[size - 1:])
-    return at, mix(key[at])
+    return at, mix(np.where(words[at] < LITERAL, ~mix(exact[at]), key[at]))
 
 
-def _rows(own, h, kind, core, cores, size, wanted=None):
+def _rows(own, h, value, kind, core, cores, size, wanted=None):
     """Windows as columns: owner, position in the text, hash, slots.  With
     ``wanted`` (sorted hashes) only those windows are kept."""
     first = np.searchsorted(own, np.arange(int(own[-1]) + 2)) if len(own) else np.zeros(1, np.int64)
-    at, key = window_hashes(own, h, size)
+    at, key = window_hashes(own, h, value, kind == WORD, size)
     if wanted is not None and len(key):
         filt = np.zeros(1 << 20, bool)
         filt[wanted >> np.uint64(44)] = True
@@ -147,7 +160,7 @@ def _lexicon(items: DataFrame) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, text=0):
             text = texts(batch.column(0))
-            _, _, kind, core, cores = canonical(text, pa.array([], pa.string()))
+            _, _, _, kind, core, cores = canonical(text, pa.array([], pa.string()))
             named = np.unique(core[kind == NAME])
             plain = pc.unique(pc.utf8_trim(split_words(text)[0], characters=_TRIM))
             lower = pc.filter(plain, pc.equal(plain, pc.utf8_lower(plain)))
@@ -169,7 +182,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     A passage is held if windows of ``window`` canonical words with consistent
     slots cover ``covered`` words of the item, or all of an item shorter than
-    that; items shorter than a window are matched whole.  ``exact`` is true if
+    that; items shorter than a window are matched whole.  A window with fewer
+    than ``LITERAL`` different literal words needs the item's values.  ``exact`` is true if
     every slot has the item's own value.  t is the hash of the document's text,
     so different rows of one id stay apart; equal rows give one row.  Null or
     empty texts and items without words match nothing.

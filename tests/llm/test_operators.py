@@ -515,3 +515,19 @@ def test_quality_copied_prose_stays(spark):
     data = [(k, x, "en") for k, x in enumerate(clean)] + [(1000 + k, clean[160], "en") for k in range(200)]
     out = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
     assert sum(out[k] for k in range(161)) >= 157 and all(out[1000 + k] for k in range(200))
+
+
+def leaked(spark, items, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame, bench).collect()}
+
+
+def test_leaks_need_literal_words(spark):
+    ship(spark)
+    table = " ".join(str(7 * k + 3) for k in range(20))
+    items = [f"Values {table} end.", "42", "Is 17 prime?", ITEM, "row 1 row 2 row 3 row 4 row 5 row 6 row 7 row 8"]
+    texts = [" ".join(str(11 * k + 500) for k in range(60)),          # another number table
+             f"see {table} here", "the answer is 42 of course", "we paid 43 of it", "is 19 prime?", "is 17 prime?",
+             "row 21 row 22 row 23 row 24 row 25 row 26 row 27 row 28", ITEM.replace("12", "31")]
+    assert leaked(spark, items, texts) == {(1, 0), (2, 1), (5, 2), (7, 3)}
