@@ -1,7 +1,9 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, names and units become typed placeholders (slots), other words their
-lower-case core; punctuation falls away.  Windows of canonical words are
+lower-case core; punctuation falls away.  A unit glued to a number (15%, 5kg, £5,
+5-year) is a slot of its own; a name or number of several words (John Smith,
+twenty five, 5 million) is one slot.  Windows of canonical words are
 hash-joined with the benchmark's windows.  Windows of one document that lie on
 one diagonal of one item are read together: a slot value of the item must stand
 for one value of the document throughout, else its windows do not count.  So a
@@ -13,6 +15,7 @@ matched by its words and values instead.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,18 +37,74 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 UNITS = ["%", "cm", "days", "dollars", "eur", "euros", "feet", "ft", "g", "gb", "grams", "hours", "hz", "inches", "kb",
          "kg", "kilograms", "kilometers", "km", "kwh", "l", "lb", "lbs", "liters", "m", "mb", "meters", "mg", "miles",
          "minutes", "ml", "mm", "months", "mph", "ms", "percent", "pounds", "seconds", "tb", "usd", "volts", "watts",
-         "weeks", "years", "°c", "°f"]
+         "weeks", "years", "°c", "°f", "£", "€", "$", "¥", "‰", "°", "cent", "cents", "centimeter", "day", "dollar", "euro", "foot",
+         "gram", "hour", "inch", "kilogram", "kilometer", "liter", "meter", "mile", "minute", "month", "pound", "second", "volt",
+         "watt", "week", "year"]
 # fixed values: number words
 NUMBERS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve",
            "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty",
            "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion"]
 _TRIM = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "%") + "“”‘’«»…–—"
-_NUMBER = r"^[0-9]+([.,:/][0-9]+)*(st|nd|rd|th)?$"
-_NAME = r"^\p{Lu}\p{Ll}+('s)?$"
+_WORDED = "|".join(NUMBERS)
+_NUMBER = rf"^([0-9]+([.,:/–-][0-9]+)*(st|nd|rd|th)?|({_WORDED})(-({_WORDED}))*)$"
+_NUMBER_WORD = rf"^({_WORDED})(-({_WORDED}))*$"
+#: Smith, McDonald, O'Brien, Jean-Luc; words in capitals count apart
+_NAME = r"^\p{Lu}(\p{L}+|['’]\p{Lu}\p{L}+)(['’-]\p{Lu}\p{L}+)*(['’]s)?$"
+_CAPITALS = r"^\p{Lu}\p{Lu}+(['’]s)?$"
+_GLUED = r"[0-9][%‰°£€$¥\p{L}-]|[£€$¥][0-9]"
+_PARTS = re.compile(r"^(\W*?)([£€$¥]?)([0-9]+(?:[.,:/–-][0-9]+)*)(?:-?(°?[^\W\d_]+|[%‰°£€$¥])(?:-([^\W\d_][\w-]*))?)?(\W*)$")
 WORD, NUM, NAME, UNIT = 0, 1, 2, 3
 
 
-def canonical(text: pa.Array, names: pa.Array, known: pa.Array | None = None) -> tuple[
+def _parts(word: str) -> list[str]:
+    """A word with a unit glued to its number as number and unit (and rest: 5-year-old), else the word."""
+    m = _PARTS.match(word)
+    if not m or not (m[2] or m[4] and m[4].lower() in UNITS):
+        return [word]
+    if m[4] and m[4].lower() not in UNITS:
+        return [word]
+    out = [m[1] + m[3], *([m[2]] if m[2] else []), *([m[4]] if m[4] else []), *([m[5]] if m[5] else [])]
+    return out[:-1] + [out[-1] + m[6]]
+
+
+def _unglued(words: pa.Array, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Codes, distinct words and offsets after ``_parts``."""
+    codes, raw = encode(words)
+    some = np.flatnonzero(pc.match_substring_regex(raw, _GLUED).to_numpy(zero_copy_only=False))
+    parts = {k: p for k, p in zip(some.tolist(), map(_parts, raw.take(pa.array(some)).to_pylist())) if len(p) > 1}
+    if not parts:
+        return codes, raw, offsets
+    pieces = sorted({x for p in parts.values() for x in p})
+    number = {x: len(raw) + k for k, x in enumerate(pieces)}
+    size = np.ones(len(raw), np.int64)
+    for k, p in parts.items():
+        size[k] = len(p)
+    start = np.cumsum(size) - size
+    flat = np.repeat(np.arange(len(raw)), size)
+    for k, p in parts.items():
+        flat[start[k]:start[k] + len(p)] = [number[x] for x in p]
+    out = flat[spread(start[codes], size[codes])]
+    offsets = np.concatenate([[0], np.cumsum(size[codes])])[offsets]
+    # a piece may equal a word: one code for both
+    once, all_words = encode(pa.concat_arrays([raw, pa.array(pieces, pa.string())]))
+    return once[out], all_words, offsets
+
+
+def _collapsed(follows: np.ndarray, codes: np.ndarray, cores: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Runs of words that follow on as one: places kept, their codes and the cores with the runs' texts."""
+    kept = np.flatnonzero(~follows)
+    size = np.diff(np.append(kept, len(follows)))
+    longer = np.flatnonzero(size > 1)
+    values = cores.take(pa.array(codes[spread(kept[longer], size[longer])])).to_pylist()
+    ends = np.cumsum(size[longer]).tolist()
+    joined = pa.array([" ".join(values[b - n:b]) for b, n in zip(ends, size[longer].tolist())], pa.string())
+    own, runs = encode(joined)
+    out = codes[kept]
+    out[longer] = len(cores) + own
+    return kept, out, pa.concat_arrays([cores, runs])
+
+
+def canonical(text: pa.Array, names: pa.Array, known: pa.Array | None = None, collapse: bool = True) -> tuple[
         np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Canonical words of the texts: owner, hash, hash of the word itself, kind,
     code of the lower-case core, cores.
@@ -53,42 +112,59 @@ def canonical(text: pa.Array, names: pa.Array, known: pa.Array | None = None) ->
     A capitalised word inside a sentence is a name; at a sentence's start, or in
     lower case, a word is a name if ``names`` has it.  With ``known`` (the words
     of the benchmark) a capitalised word that it lacks is a name at a sentence's
-    start too: as a word it could match nothing.  A unit is a unit word after a
-    number.
+    start too: as a word it could match nothing.  A word in capitals is a name if
+    no word beside it is in capitals.  A unit is a unit word after a number.  With
+    ``collapse`` names without punctuation between them are one name, and number
+    words after a number are one number with it.
     """
-    words, offsets = split_words(text)
-    codes, raw = encode(words)
+    codes, raw, offsets = _unglued(*split_words(text))
     own = owners(offsets)
     core = pc.utf8_trim(raw, characters=_TRIM)
+    core = pc.if_else(pc.is_in(raw, pa.array(["$"])), raw, core)
     low = pc.utf8_lower(core)
     empty = pc.equal(pc.binary_length(core), 0).to_numpy(zero_copy_only=False)
-    number = (pc.or_(pc.match_substring_regex(low, _NUMBER), pc.is_in(low, pa.array(NUMBERS)))).to_numpy(zero_copy_only=False)
+    number = pc.match_substring_regex(low, _NUMBER).to_numpy(zero_copy_only=False)
+    worded = pc.match_substring_regex(low, _NUMBER_WORD).to_numpy(zero_copy_only=False)
     unit = pc.is_in(low, pa.array(UNITS)).to_numpy(zero_copy_only=False)
-    title = pc.match_substring_regex(core, _NAME).to_numpy(zero_copy_only=False)
+    capitals = pc.match_substring_regex(core, _CAPITALS).to_numpy(zero_copy_only=False)
+    title = pc.match_substring_regex(core, _NAME).to_numpy(zero_copy_only=False) & ~capitals
     listed = pc.is_in(low, names).to_numpy(zero_copy_only=False)
     ends = pc.match_substring_regex(raw, r"[.?!:]['\")\]”’»]*$").to_numpy(zero_copy_only=False)
+    broken = pc.match_substring_regex(raw, r"[.?!:;,)\]}]['\")\]”’»]*$").to_numpy(zero_copy_only=False)
+    opened = pc.match_substring_regex(raw, r"^['\"(\[{“‘«]").to_numpy(zero_copy_only=False)
     low_codes, cores = encode(low)
-    text_hash = pd.util.hash_array(np.array(cores.to_pylist(), dtype=object), categorize=False) if len(cores) else (
-        np.zeros(0, np.uint64))
     starts = np.ones(len(codes), bool)
     if len(codes):
         starts[1:] = (own[1:] != own[:-1]) | ends[codes[:-1]]
     kept = ~empty[codes] if len(codes) else np.zeros(0, bool)
     codes, own, starts = codes[kept], own[kept], starts[kept]
     kind = np.zeros(len(codes), np.int8)
-    kind[(title[codes] & ~starts) | listed[codes]] = NAME
+    big = capitals[codes]
+    lone = big.copy()
+    if len(codes) > 1:
+        lone[1:] &= ~(big[:-1] & (own[1:] == own[:-1]))
+        lone[:-1] &= ~(big[1:] & (own[1:] == own[:-1]))
+    kind[(title[codes] & ~starts) | lone | listed[codes]] = NAME
     if known is not None:
         new = title & ~pc.is_in(low, known).to_numpy(zero_copy_only=False)
         kind[new[codes]] = NAME
     kind[number[codes]] = NUM
+    follows = np.zeros(len(codes), bool)
+    if collapse and len(codes) > 1:
+        joins = (own[1:] == own[:-1]) & ~broken[codes[:-1]] & ~opened[codes[1:]] & (kind[1:] == kind[:-1])
+        follows[1:] = joins & ((kind[1:] == NAME) | ((kind[1:] == NUM) & worded[codes[1:]]))
+    kept, core_codes, cores = _collapsed(follows, low_codes[codes], cores)
+    own, codes, kind = own[kept], codes[kept], kind[kept]
     if len(codes) > 1:
         after = np.flatnonzero(unit[codes[1:]] & (kind[:-1] == NUM) & (own[1:] == own[:-1])) + 1
         kind[after] = UNIT
-    h = mix(text_hash[low_codes[codes]].astype(np.uint64) if len(codes) else np.zeros(0, np.uint64))
+    text_hash = pd.util.hash_array(np.array(cores.to_pylist(), dtype=object), categorize=False) if len(cores) else (
+        np.zeros(0, np.uint64))
+    h = mix(text_hash[core_codes].astype(np.uint64) if len(codes) else np.zeros(0, np.uint64))
     value = h.copy()
     for k in (NUM, NAME, UNIT):
         h[kind == k] = mix(np.array([k], np.uint64))
-    return own, h, value, kind, low_codes[codes] if len(codes) else codes, cores
+    return own, h, value, kind, core_codes, cores
 
 
 def window_hashes(own: np.ndarray, h: np.ndarray, value: np.ndarray, literal: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +236,7 @@ def _lexicon(items: DataFrame) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, text=0):
             text = texts(batch.column(0))
-            _, _, _, kind, core, cores = canonical(text, pa.array([], pa.string()))
+            _, _, _, kind, core, cores = canonical(text, pa.array([], pa.string()), collapse=False)
             named = np.unique(core[kind == NAME])
             plain = pc.unique(pc.utf8_trim(split_words(text)[0], characters=_TRIM))
             lower = pc.filter(plain, pc.equal(plain, pc.utf8_lower(plain)))

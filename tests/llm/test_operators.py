@@ -531,3 +531,24 @@ def test_leaks_need_literal_words(spark):
              f"see {table} here", "the answer is 42 of course", "we paid 43 of it", "is 19 prime?", "is 17 prime?",
              "row 21 row 22 row 23 row 24 row 25 row 26 row 27 row 28", ITEM.replace("12", "31")]
     assert leaked(spark, items, texts) == {(1, 0), (2, 1), (5, 2), (7, 3)}
+
+
+def test_leaks_glued_units_and_names_of_several_words(spark):
+    ship(spark)
+    item = ("A shop raised prices by 15% when John Smith bought 6kg of rice for £3 and met McDonald at NASA after twenty five days "
+            "at 20°c near a 5-year bond that paid $7.50 to O'Brien yesterday.")
+    swaps = [("15%", "20 %"), ("John Smith", "Maria"), ("6kg", "12 kg"), ("£3", "€9"), ("McDonald", "Anna Lee"), ("NASA", "Berlin"),
+             ("twenty five", "30"), ("20°c", "31 °c"), ("5-year", "2 month"), ("$7.50", "8 dollars"), ("O'Brien", "IBM")]
+    changed = item
+    for a, b in swaps:
+        assert a in changed
+        changed = changed.replace(a, b)
+    texts = [f"Intro words here. {item.replace(a, b)} The end." for a, b in swaps] + [f"Intro words here. {changed} The end.", item.upper()]
+    assert leaked(spark, [item], texts) == {(k, 0) for k in range(len(texts))}
+    assert decontaminate._parts("(5-year-old),") == ["(5", "year", "old),"] and decontaminate._parts("3d") == ["3d"]
+    found = decontaminate.leaks(spark.createDataFrame([(0, texts[-2]), (1, texts[0])], "doc_id long, text string"),
+                                spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
+    tokens = {r["doc_id"]: (r["n_tokens"], r["item_tokens"]) for r in found}
+    assert all(a == b for a, b in tokens.values()) and len(tokens) == 2
+
+
