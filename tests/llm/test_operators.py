@@ -552,3 +552,13 @@ def test_leaks_glued_units_and_names_of_several_words(spark):
     assert all(a == b for a, b in tokens.values()) and len(tokens) == 2
 
 
+def test_licenses_broken_over_lines(spark):
+    ship(spark)
+    texts = ["Intro here.\nLicensed under the Apache License,\nVersion 2.0.\nmore", "x\nThis work is licensed under the Creative Commons\nAttribution "
+             "4.0\nInternational License. y", "all\nrights\nreserved", "all\n\nrights reserved", "All rights reserved.\nAll rights reserved.",
+             "all of us have\nno rights here and so\nnothing was left that is reserved"]
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [out[k]["labels"] for k in range(6)] == ["apache,apache-2.0", "cc-by-4.0", "rights-reserved", "", "rights-reserved", ""]
+    assert abs(out[1]["score"] - 12 / 13) < 1e-9 and out[2]["score"] == 1.0
+    assert [(m["first_word"], m["words"]) for m in out[4]["matches"]] == [(0, 3), (3, 3)]
+    assert [(m["first_word"], m["words"]) for m in out[0]["matches"]] == [(2, 8)]
