@@ -82,14 +82,17 @@ class Dac:
         """Ones before each position: the block's count, then whole bytes, then bits."""
         if len(at) == 0:
             return at
-        before = np.concatenate([np.zeros(1, np.int64), np.cumsum(_ONES[bitmap])]) if len(at) > 64 else None
-        byte, block = at >> 3, at // BLOCK_BITS
+        size, byte = BLOCK_BITS // 8, at >> 3
+        block, own = np.unique(at // BLOCK_BITS, return_inverse=True)
         part = _ONES[bitmap[byte] & ((1 << (at & 7)) - 1).astype(np.uint8)]
-        first = block * (BLOCK_BITS // 8)
-        if before is not None:
-            inside = before[byte] - before[first]
-        else:
-            inside = np.array([_ONES[bitmap[a:b]].sum() for a, b in zip(first, byte)], np.int64)
+        inside = np.zeros(len(at), np.int64)
+        for a in range(0, len(block), 1 << 14):  # only the blocks that are asked for
+            some = np.flatnonzero((own >= a) & (own < a + (1 << 14)))
+            places = block[a:a + (1 << 14), None] * size + np.arange(size)
+            ones = np.cumsum(_ONES[bitmap[np.minimum(places, len(bitmap) - 1)]], axis=1, dtype=np.int64)
+            k = byte[some] % size
+            inside[some] = np.where(k > 0, ones[own[some] - a, k - 1], 0)
+        block = block[own]
         return ranks[block].astype(np.int64) + inside + part
 
     def pack(self) -> list[dict]:

@@ -562,3 +562,22 @@ def test_licenses_broken_over_lines(spark):
     assert abs(out[1]["score"] - 12 / 13) < 1e-9 and out[2]["score"] == 1.0
     assert [(m["first_word"], m["words"]) for m in out[4]["matches"]] == [(0, 3), (3, 3)]
     assert [(m["first_word"], m["words"]) for m in out[0]["matches"]] == [(2, 8)]
+
+
+def test_dac_access_reads_only_the_blocks_asked_for(monkeypatch):
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 1 << 17, 400_000).astype(np.uint32)
+    d = dac.Dac.unpack(dac.Dac.build(ids).pack())
+    ones, looked = dac._ONES, []
+
+    class Counted:
+        def __getitem__(self, at):
+            looked.append(np.size(at))
+            return ones[at]
+
+    monkeypatch.setattr(dac, "_ONES", Counted())
+    at = rng.integers(0, len(ids), 100)
+    assert (d.access(at) == ids[at]).all()
+    assert sum(looked) <= len(d.levels) * 100 * (dac.BLOCK_BITS // 8 + 1) < len(ids) // 8
+    every = np.arange(len(ids))
+    assert (d.access(every) == ids).all() and (d.access(every[::-1]) == ids[::-1]).all()
