@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, dac, decontaminate, licenses, line_spread, quality, repeats, sharding, simhash, suffix_tree
+from basketry.llm import (bpe, conversations, dac, decontaminate, langnet, licenses, line_spread, quality, repeats, resample,
+                          sharding, simhash, suffix_tree)
 from basketry.llm.common import scratch, table
 
 
@@ -53,12 +54,26 @@ def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("t")
 
 
+def op11_byte_conv_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langnet.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_crc_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_repairs(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_extendible_shards, op2_suffix_tree_scores, op3_line_spread, op4_bpe_segment_tree, op5_quality_bands,
-    op6_license_scan, op7_simhash_covering, op8_dac_tokens, op9_bwt_repeats, op10_template_leaks)}
+    op6_license_scan, op7_simhash_covering, op8_dac_tokens, op9_bwt_repeats, op10_template_leaks,
+    op11_byte_conv_language, op12_crc_resample, op13_auction_repair)}
 
 SQL: dict[str, str] = {
     "op1_extendible_shards": sharding.shard_sql(),
     "op3_line_spread": line_spread.line_sql(),
     "op6_license_scan": licenses.license_sql(),
+    "op12_crc_resample": resample.resample_sql(),
 }
