@@ -27,8 +27,8 @@ START, END = "\x02", "\x03"
 #: any character a model has not seen shares its unseen mass with this many others
 CODE_POINTS = 1_114_112
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-#: positions of running texts handled at once, to bound the arrays
-_RANGE = 1 << 20
+#: positions of running texts counted and scored at once, to bound the arrays
+_RANGE, _SCORED = 1 << 19, 1 << 18
 _POWERS = [np.uint64(pow(int(_BASE), k, 1 << 64)) for k in range(65)]
 
 
@@ -203,8 +203,8 @@ class HashModel:
     def score_running(self, points: np.ndarray, offsets: np.ndarray, group: str) -> np.ndarray:
         """log10 probability of each running text (an unknown group scores nan)."""
         out = np.full(len(offsets) - 1, 0.0 if group in self.groups else np.nan)
-        for a in range(0, len(points) if group in self.groups else 0, _RANGE):
-            text, at, reach, history, h = _histories(points, offsets, a, min(a + _RANGE, len(points)), self.depth)
+        for a in range(0, len(points) if group in self.groups else 0, _SCORED):
+            text, at, reach, history, h = _histories(points, offsets, a, min(a + _SCORED, len(points)), self.depth)
             codes, first = _distinct(_gram_key(_context_key(history, reach.astype(np.uint64), self.groups[group]), h[at]))
             logp = self._lookup(h, at[first], reach[first], self.groups[group])[codes]
             if len(text):

@@ -49,8 +49,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 5, id_col: str = "doc_i
     is false.  A null site is no site; a null text stays null with no lines.
     Repeated rows are treated alike.  Empty table: no rows.
     """
-    source = docs.select("*", F.struct("*").alias("row")) if carry else docs
-    named = {"row": "row"} if carry else {}
+    free = "_" * (1 + max(map(len, docs.columns), default=0))
+    source = docs.select("*", F.struct("*").alias(free)) if carry else docs
+    named = {"row": free} if carry else {}
     own = pick(source, doc_id=id_col, text=f"{text_col}:string", site=f"{site_col}:string", **named).withColumn(
         "t", F.xxhash64("text"))
     lines = materialise(_lines(own), "lines")

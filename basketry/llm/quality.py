@@ -29,7 +29,9 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: words handled at once, to bound the arrays
-_RUN = 1 << 19
+_RUN = 1 << 18
+#: bytes of text handled at once
+_TEXT = 4 << 20
 
 
 def _groups(column: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -50,7 +52,7 @@ def count_grams(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(grp, gram, c) over the running texts of ``docs`` (text, lang), summed by Spark."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows, text=0):
+        for batch in batches(rows, text=0, max_bytes=_TEXT):
             for name, _, points, ends in _running(*split_words(texts(batch.column(0))), batch.column(1)):
                 for _, grams, counts in charmodel.running_grams(points, ends, depth):
                     yield pa.RecordBatch.from_arrays(
@@ -64,7 +66,8 @@ def count_grams(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 def kneser_ney(grams: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
     """Interpolated modified Kneser-Ney tables (grams, contexts) of ``charmodel``.
 
-    Discounts come from the counts of counts of each group and order; where one
+    The logarithms are floats, as in the hash arrays, so joins with the tables
+    score alike.  Discounts come from the counts of counts of each group and order; where one
     is zero, half the count is taken off, and every discount stays inside
     (0, count).
     """
@@ -91,8 +94,8 @@ def kneser_ney(grams: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFra
                 below.select("grp", F.col("ctx").alias("short"), "sym", "p"), ["grp", "short", "sym"])
         below = materialise(lower.select("grp", "ctx", "sym", (
             (F.col("c") - F.col("d")) / F.col("total") + F.col("w") * F.col("p")).alias("p")), "probabilities")
-        one = below.select("grp", "ctx", "sym", F.log10("p").alias("logp"))
-        two = context.select("grp", "ctx", F.log10("w").alias("logw"))
+        one = below.select("grp", "ctx", "sym", F.log10("p").cast("float").alias("logp"))
+        two = context.select("grp", "ctx", F.log10("w").cast("float").alias("logw"))
         grams_out = one if grams_out is None else grams_out.union(one)
         contexts_out = two if contexts_out is None else contexts_out.union(two)
     return materialise(grams_out, "grams"), materialise(contexts_out, "contexts")
@@ -147,7 +150,7 @@ def features(docs: DataFrame, model=None) -> DataFrame:
     """Counts of each row of ``docs`` (doc_id, t, lang, text); ``logp`` with a broadcast model."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows, text=3):
+        for batch in batches(rows, text=3, max_bytes=_TEXT):
             text = texts(batch.column(3))
             words, offsets = split_words(text)
             codes, vocabulary = encode(words)
@@ -172,7 +175,7 @@ def _logp_by_join(docs: DataFrame, grams: DataFrame, contexts: DataFrame, depth:
     """(doc_id, t, grp, joined_logp) without a broadcast model."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows, text=3):
+        for batch in batches(rows, text=3, max_bytes=_TEXT):
             for name, some, points, ends in _running(*split_words(texts(batch.column(3))), batch.column(2)):
                 for text, own, counts in charmodel.running_grams(points, ends, depth, apart=True):
                     take = pa.array(some[text])
@@ -203,7 +206,7 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          spread: float = 5.0, even_words: int = 1000, depth: int = DEPTH, max_model_bytes: int = 256 << 20) -> DataFrame:
+          spread: float = 5.0, even_words: int = 1000, depth: int = DEPTH, max_model_bytes: int = 64 << 20) -> DataFrame:
     """One row per input row: doc_id, t (hash of the text), lang, the counts,
     base_failed, kept, and the perplexity per character (word ends included)
     and per word with the bounds that hold for the row (null without words).
@@ -216,12 +219,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     text's average scatters more.  They are taken over the distinct texts that
     pass the base rules, and the distance is at least ``FLOOR``, so that neither
     copies nor near copies draw the bounds together; a value on a bound is kept.
-    Null texts count as empty (base_failed), null languages form a language of
-    their own; repeated rows are judged each and count once in the model and in
+    Null texts count as empty (base_failed), a null language is the empty one;
+    repeated rows are judged each and count once in the model and in
     the bounds.  An empty table gives no rows.
     """
-    own = pick(docs, doc_id=id_col, text=f"{text_col}:string", lang=f"{lang_col}:string").withColumn(
-        "t", F.xxhash64("text"))
+    own = pick(docs, doc_id=id_col, text=f"{text_col}:string", lang=f"{lang_col}:string").withColumns(
+        {"t": F.xxhash64("text"), "lang": F.coalesce("lang", F.lit(""))})
+    # each of an executor's workers holds a model: beyond ``max_model_bytes`` texts meet it by joins
     grams, contexts = kneser_ney(materialise(count_grams(_distinct_texts(own), depth), "counts"), depth)
     model = charmodel.collect_model(grams, contexts, depth, max_model_bytes)
     if model is not None:

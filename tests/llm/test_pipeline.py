@@ -5,11 +5,12 @@ import __spark_entry__ as E
 import corpus_pipeline
 from basketry.llm import decontaminate, line_spread, quality, simhash
 from conftest import SF_SMALL
+from tests.llm.test_operators import PROSE, rows
 
 
 def test_registered():
     names = set(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and 4 <= len(corpus_pipeline.STAGES) <= 5
     assert set(E.oracle_sql()) <= names
@@ -19,10 +20,11 @@ def _normal(rows):
     return sorted((tuple(sorted(r.items())) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", ["op1_extendible_shards", "op3_line_spread", "op6_license_scan"])
+@pytest.mark.parametrize("name", ["op1_extendible_shards", "op3_line_spread", "op6_license_scan", "op12_crc_resample"])
 def test_oracle_agrees(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     mine = _normal(r.asDict() for r in E.queries()[name](spark, SF_SMALL).collect())
     res = con.execute(E.oracle_sql()[name])
     names = [d[0] for d in res.description]
@@ -67,3 +69,39 @@ def docs_extra():
 def test_run_equals_the_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert len({r["doc_id"] for r in out}) == len(out) > 0
+
+
+CLASH = ("doc_id long, text string, lang string, source string, n_chars long, row int, t long, stays string, __t int, _ int, "
+         "g int, u int, gone string, logp double, component_id long")
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_hard_rows(spark, tmp_path, name):
+    """Nulls in every column, empty and long texts, repeated rows and ids, clashing
+    names, missing columns and an empty table: no stage fails or loses a row it should keep."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    last = name == corpus_pipeline.STAGES[-1][0]
+    data = [(*r[:5], 1, 2, "x", 3, 4, 5, 6, "g", 0.5, 7) for r in rows()]
+    data += [(None,) * 15, (400, PROSE.upper(), None, None, None, *[None] * 10)]
+    frame = spark.createDataFrame(data, CLASH).repartition(3)
+    out = stage(spark, frame, SF_SMALL)
+    kept = out.collect()
+    if last:
+        assert len(kept) == len(data)
+    else:
+        assert out.columns == frame.columns
+        texts = {r[1] for r in data}
+        assert name == "line_dedup" or {r["text"] for r in kept} <= texts
+        assert all(r["row"] in (1, None) and r["__t"] in (3, None) for r in kept)
+    if name == "line_dedup":
+        assert len(kept) == len(data)
+    if name == "simhash_dedup":
+        # one row of each text stays, near copies go with it, other texts stay
+        assert len(kept) == len({r["text"] for r in kept}) and "one two" in {r["text"] for r in kept}
+    if name == "decontamination":
+        assert len(kept) == len(data)
+    bare = frame.select("doc_id", "text")
+    left = stage(spark, bare, SF_SMALL)
+    assert last or left.columns == bare.columns
+    assert left.count() == len(kept) or name in ("quality_rules", "line_dedup")
+    assert stage(spark, frame.where("false"), SF_SMALL).count() == 0
