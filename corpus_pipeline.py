@@ -5,7 +5,8 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept.  All but the last return the columns of ``documents``: rejected, near
 duplicate and contaminated documents go, boilerplate lines are cut out of the
 text (``n_chars`` follows).  Rows are matched by id and hash of the text, so
-null and repeated ids do no harm.
+null and repeated ids do no harm; a missing column counts as null, extra
+columns of any name are kept, an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -20,13 +21,26 @@ from basketry.llm.common import materialise, ship, table
 ORACLE_SQL = None
 
 
+def _free(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    return "_" * (1 + max(map(len, docs.columns), default=0))
+
+
+def _key(docs: DataFrame, name: str) -> F.Column:
+    """A key as the operators have it (a missing column counts as null)."""
+    have = {c.lower(): c for c in docs.columns}
+    source = {"t": "text"}.get(name, name)
+    col = docs[f"`{have[source]}`"] if source in have else F.lit(None)
+    return {"t": F.xxhash64(col.cast("string")), "lang": F.coalesce(col.cast("string"), F.lit(""))}.get(name, col)
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, text hash[, lang]) is in ``gone``."""
-    marked = gone.select(*(F.col(c).alias(f"__{c}") for c in gone.columns)).distinct()
-    keys = {"doc_id": docs["doc_id"], "t": F.xxhash64(docs["text"]), "lang": F.coalesce(docs["lang"], F.lit(""))}
+    """``docs`` without the rows whose keys (of doc_id, text hash t, lang) are in ``gone``."""
+    free = _free(docs)
+    marked = gone.select(*(F.col(c).alias(f"{free}{c}") for c in gone.columns)).distinct()
     same = F.lit(True)
     for c in gone.columns:
-        same = same & keys[c].eqNullSafe(marked[f"__{c}"])
+        same = same & _key(docs, c).eqNullSafe(marked[f"{free}{c}"])
     return docs.join(marked, same, "left_anti")
 
 
@@ -58,7 +72,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if twice.isEmpty():
         return left
     # rows equal in id and text: one of them stays
-    return left.withColumn("__t", F.xxhash64("text")).dropDuplicates(["doc_id", "__t"]).drop("__t")
+    i, t = _free(docs), f"{_free(docs)}t"
+    return left.withColumns({i: _key(left, "doc_id"), t: _key(left, "t")}).dropDuplicates([i, t]).drop(i, t)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
