@@ -8,10 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.special import chi_square_tail, normal_two_sided, t_two_sided
+
 
 def welch_t(df: DataFrame, value: str, group: str, a: str, b: str) -> DataFrame:
-    """X-01: Welch two-sample t statistic and degrees of freedom of ``value``
-    between groups ``a`` and ``b`` of ``group`` (rounded to 6 decimals).
+    """X-01: Welch two-sample t statistic, degrees of freedom (6 decimals) and
+    two-sided p-value (9 decimals) of ``value`` between groups ``a`` and ``b`` of
+    ``group``; null where a group has fewer than two values or none varies.
     One conditional aggregate over both groups; variances by ``var_samp``,
     which does not subtract large squares."""
     x = F.col(value).cast("decimal(18,2)")
@@ -26,18 +29,19 @@ def welch_t(df: DataFrame, value: str, group: str, a: str, b: str) -> DataFrame:
 
     va, vb = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
     mean_a, mean_b = F.col("s_a") / F.col("n_a"), F.col("s_b") / F.col("n_b")
-    t = (mean_a - mean_b) / F.sqrt(va + vb)
-    dof = (va + vb) * (va + vb) / (va * va / (F.col("n_a") - 1) + vb * vb / (F.col("n_b") - 1))
+    t = F.try_divide(mean_a - mean_b, F.sqrt(va + vb))
+    dof = F.try_divide((va + vb) * (va + vb), va * va / (F.col("n_a") - 1) + vb * vb / (F.col("n_b") - 1))
     return m.select(F.lit(a).alias("group_a"), F.lit(b).alias("group_b"),
                     F.col("n_a"), F.col("n_b"), F.round(mean_a, 6).alias("mean_a"),
                     F.round(mean_b, 6).alias("mean_b"), F.round(t, 6).alias("t"),
-                    F.round(dof, 6).alias("dof"))
+                    F.round(dof, 6).alias("dof"), F.round(t_two_sided(t, dof), 9).alias("p_value"))
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     """X-02: Pearson chi-square statistic of independence of two categorical
     columns (rows with a null in either are left out): sum(O^2 / E) - N over
-    the observed cells, degrees of freedom (R - 1)(C - 1)."""
+    the observed cells, degrees of freedom (R - 1)(C - 1), and its p-value (null
+    without degrees of freedom)."""
     base = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     cells = base.groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("o"))
     ra = cells.groupBy(a).agg(F.sum("o").alias("ra"))
@@ -48,12 +52,15 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
         F.count_distinct(a).alias("_r"), F.count_distinct(b).alias("_c"),
     ).select(F.round(F.col("_q") * F.col("_n") - F.col("_n"), 6).alias("chi_square"),
              ((F.col("_r") - 1) * (F.col("_c") - 1)).cast("bigint").alias("dof"),
-             F.col("_n").cast("bigint").alias("n"))
+             F.col("_n").cast("bigint").alias("n"),
+             F.round(chi_square_tail(F.col("_q") * F.col("_n") - F.col("_n"), (F.col("_r") - 1) * (F.col("_c") - 1)), 9)
+             .alias("p_value"))
 
 
 def ab_two_proportion(df: DataFrame, variant: str, success: F.Column, a: str, b: str) -> DataFrame:
     """X-03: two-proportion z test of ``success`` between variants ``a`` and
-    ``b`` (pooled standard error), from one conditional aggregate."""
+    ``b`` (pooled standard error) with its two-sided p-value, from one
+    conditional aggregate; null where no variant or every one succeeds."""
     v = F.col(variant)
     ok = F.coalesce(success.cast("boolean"), F.lit(False))
     both = df.where(v.isin(a, b)).agg(
@@ -64,7 +71,7 @@ def ab_two_proportion(df: DataFrame, variant: str, success: F.Column, a: str, b:
     z = F.try_divide(p_a - p_b, F.sqrt(pool * (1 - pool) * (1 / F.col("n_a") + 1 / F.col("n_b"))))
     return both.select(F.lit(a).alias("variant_a"), F.lit(b).alias("variant_b"), "n_a", "n_b",
                        F.round(p_a, 6).alias("p_a"), F.round(p_b, 6).alias("p_b"),
-                       F.round(z, 6).alias("z"))
+                       F.round(z, 6).alias("z"), F.round(normal_two_sided(z), 9).alias("p_value"))
 
 
 def stratified_effect(df: DataFrame, outcome: str, treated: F.Column, stratum: str) -> DataFrame:
