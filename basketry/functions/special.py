@@ -62,27 +62,50 @@ def log_gamma_ratio(a, b) -> Column:
     return shifted
 
 
-def digamma(z) -> Column:
-    """Derivative of ln Gamma, z > 0."""
-    z = _column(z)
-    w = z + F.lit(float(SHIFT))
-    out = F.log(w) - 0.5 / w - _horner(w, [b / (2 * k) for k, b in enumerate(BERNOULLI, 1)]) / (w * w)
-    for k in range(SHIFT):
-        out = out - 1.0 / (z + F.lit(float(k)))
-    return out
+def _double(v: float) -> str:
+    return f"{float(v)!r}D"
 
 
-def trigamma(z) -> Column:
-    """Second derivative of ln Gamma, z > 0."""
-    z = _column(z)
-    w = z + F.lit(float(SHIFT))
-    out = 1.0 / w + 0.5 / (w * w) + _horner(w, list(BERNOULLI)) / (w * w * w)
-    for k in range(SHIFT):
-        v = z + F.lit(float(k))
-        out = out + 1.0 / (v * v)
+def _horner_text(w: str, coefficients: list[float]) -> str:
+    out = _double(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = f"({out} / ({w} * {w}) + {_double(c)})"
     return out
 
 
+def log_gamma_text(z: str) -> str:
+    """``log_gamma`` as SQL text of the column ``z`` (moderate values): the fits
+    build their expressions as text, which plans much faster than columns."""
+    w = f"({z} + {_double(SHIFT)})"
+    series = _horner_text(w, [b / (2 * k * (2 * k - 1)) for k, b in enumerate(BERNOULLI, 1)])
+    product = " * ".join([z, *(f"({z} + {_double(k)})" for k in range(1, SHIFT))])
+    half = _double(0.5 * math.log(2 * math.pi))
+    return f"(({w} - 0.5D) * ln({w}) - {w} + {half} + {series} / {w} - ln({product}))"
+
+
+def digamma_text(z: str) -> str:
+    """Derivative of ln Gamma as SQL text, z > 0."""
+    w = f"({z} + {_double(SHIFT)})"
+    series = _horner_text(w, [b / (2 * k) for k, b in enumerate(BERNOULLI, 1)])
+    shifted = " - ".join(f"1D / ({z} + {_double(k)})" for k in range(SHIFT))
+    return f"(ln({w}) - 0.5D / {w} - {series} / ({w} * {w}) - {shifted})"
+
+
+def trigamma_text(z: str) -> str:
+    """Second derivative of ln Gamma as SQL text, z > 0."""
+    w = f"({z} + {_double(SHIFT)})"
+    shifted = " + ".join(f"1D / (({z} + {_double(k)}) * ({z} + {_double(k)}))" for k in range(SHIFT))
+    return f"(1D / {w} + 0.5D / ({w} * {w}) + {_horner_text(w, list(BERNOULLI))} / ({w} * {w} * {w}) + {shifted})"
+
+
+def digamma(z: str) -> Column:
+    return F.expr(digamma_text(z))
+
+
+def trigamma(z: str) -> Column:
+    return F.expr(trigamma_text(z))
+
+
 def _steps(size: Column, base: int, factor: float) -> Column:
     """1, 2, ... up to a number that grows with the square root of ``size``."""
     return F.sequence(F.lit(1), (base + factor * F.sqrt(F.greatest(size, F.lit(1.0)))).cast("int"))

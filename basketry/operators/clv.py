@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import lgamma
-from basketry.operators.fit import minimise
+from basketry.functions.special import digamma_text, log_gamma_text, trigamma_text
+from basketry.operators.fit import Derivatives, maximise, mean_derivatives
 from basketry.operators.quantiles import column_quantiles
 from basketry.session import materialise
 
@@ -66,18 +66,6 @@ def clv_fit_input(summary: DataFrame, cap_quantile: float = 0.99) -> DataFrame:
 
 # --- fits -------------------------------------------------------------------------
 
-def mean_by_point(data: DataFrame, likelihood, points: list[dict]) -> list[float]:
-    """Count-weighted mean log-likelihood at each point, in one job.  A row holds
-    its values at all points in one small array, so no row is repeated and the
-    formula stands in the plan once."""
-    fields = list(points[0])
-    trial = F.array(*[F.struct(*[F.lit(float(p[f])).alias(f) for f in fields]) for p in points])
-    rows = data.select("n", F.transform(trial, lambda p: likelihood({f: p[f] for f in fields})).alias("_ll"))
-    row = rows.agg(F.sum("n").alias("_n"), *[
-        F.sum(F.col("_ll")[i] * F.col("n")).alias(f"s{i}") for i in range(len(points))]).first()
-    return [math.nan if row[f"s{i}"] is None else row[f"s{i}"] / row["_n"] for i in range(len(points))]
-
-
 def _number(v) -> F.Column:
     return v if isinstance(v, F.Column) else F.lit(float(v))
 
@@ -107,12 +95,62 @@ def bgnbd_likelihood(summary: DataFrame, r: float, alpha: float, a: float, b: fl
     return summary.agg(F.round(F.sum(ll), 4).alias("log_likelihood"), F.count(F.lit(1)).alias("customers"))
 
 
+def bgnbd_derivatives(data: DataFrame, r: float, alpha: float, a: float, b: float, scale: float = 1.0) -> Derivatives:
+    """Mean log-likelihood over (x, rec, age, n) and its first and second
+    derivatives by (r, alpha, a, b), in one job.  Times are multiplied by ``scale``."""
+    d = lambda v: f"({float(v)!r}D)"
+    base = data.selectExpr(
+        "n", "cast(x AS double) AS x", "CASE WHEN x > 0 THEN 1D ELSE 0D END AS back", f"x + {d(r)} AS rx",
+        f"greatest(x, 1D) + {d(b - 1)} AS bx", f"rec * {d(scale)} + {d(alpha)} AS u", f"age * {d(scale)} + {d(alpha)} AS w",
+        f"x + {d(b)} AS xb", f"x + {d(a + b)} AS xab")
+    # the two ways to be silent since the last purchase: still alive, or gone
+    logs = base.selectExpr("*", "-rx * ln(w) AS alive", f"{d(math.log(a))} - ln(bx) - rx * ln(u) AS gone",
+                           "ln(u) - ln(w) AS dr", "-rx * (1 / w - 1 / u) AS da")
+    odds = logs.selectExpr("*", "CASE WHEN back > 0 THEN greatest(alive, gone) ELSE alive END AS top").selectExpr(
+        "*", "exp(alive - top) AS ea", "back * exp(gone - top) AS eg")
+    terms = odds.selectExpr(
+        "n", "rx", "u", "w", "dr", "da", "1 / bx AS db", "ea / (ea + eg) AS p", "eg / (ea + eg) AS q", "top + ln(ea + eg) AS mix",
+        f"{log_gamma_text('rx')} AS g_rx", f"{log_gamma_text('xb')} AS g_b", f"{log_gamma_text('xab')} AS g_ab",
+        f"{digamma_text('rx')} AS d_rx", f"{digamma_text('xb')} AS d_b", f"{digamma_text('xab')} AS d_ab",
+        f"{trigamma_text('rx')} AS t_rx", f"{trigamma_text('xb')} AS t_b", f"{trigamma_text('xab')} AS t_ab")
+    ab, tab = _digamma(a + b), _trigamma(a + b)
+    fixed = r * math.log(alpha) - math.lgamma(r) + math.lgamma(a + b) - math.lgamma(b)
+    first = [f"d_rx + {d(math.log(alpha) - _digamma(r))} - p * ln(w) - q * ln(u)",
+             f"{d(r / alpha)} - rx * (p / w + q / u)",
+             f"{d(ab)} - d_ab + q / {d(a)}",
+             f"d_b - d_ab + {d(ab - _digamma(b))} - q * db"]
+    # the mixture of the two adds p q times the product of the differences (alive minus gone) by each parameter
+    gap = ["dr", "da", d(-1 / a), "db"]
+    second = {(i, j): f"p * q * {gap[i]} * {gap[j]}" for i in range(4) for j in range(i, 4)}
+    for at, own in {(0, 0): f"t_rx - {d(_trigamma(r))}", (0, 1): f"{d(1 / alpha)} - p / w - q / u",
+                    (1, 1): f"{d(-r / alpha ** 2)} + rx * (p / (w * w) + q / (u * u))",
+                    (2, 2): f"{d(tab)} - t_ab - q / {d(a * a)}", (2, 3): f"{d(tab)} - t_ab",
+                    (3, 3): f"{d(tab - _trigamma(b))} - t_ab + t_b + q * db * db"}.items():
+        second[at] = f"{own} + {second[at]}"
+    return mean_derivatives(terms, f"g_rx + g_b - g_ab + {d(fixed)} + mix", first, second)
+
+
+def _digamma(z: float) -> float:
+    """For the part of a derivative that no customer changes (the shift is long
+    enough for double precision)."""
+    w = z + 30
+    tail = 1 / (12 * w ** 2) - 1 / (120 * w ** 4) + 1 / (252 * w ** 6) - 1 / (240 * w ** 8)
+    return math.log(w) - 0.5 / w - tail - math.fsum(1 / (z + k) for k in range(30))
+
+
+def _trigamma(z: float) -> float:
+    w = z + 30
+    tail = 1 / (6 * w ** 3) - 1 / (30 * w ** 5) + 1 / (42 * w ** 7) - 1 / (30 * w ** 9)
+    return 1 / w + 0.5 / w ** 2 + tail + math.fsum(1 / (z + k) ** 2 for k in range(30))
+
+
 def fit_bgnbd(summary: DataFrame, ridge: float = 1.0, max_rounds: int = 60) -> DataFrame:
     """V-03: BG/NBD by penalised maximum likelihood: minimise
     -mean ln L + ridge * sum(theta^2) over (r, alpha, a, b) with time scaled
     so the largest T is 10 (the scale is stored; alpha is reported in days).
     One row: model, params, scale, ridge, neg_log_likelihood, converged,
-    rounds, customers, gradient (largest absolute slope at the end)."""
+    rounds (jobs), customers, gradient (largest absolute slope at the end),
+    std_error (per parameter)."""
     # (column names are case-insensitive: recency -> rec, T -> age)
     data = materialise(summary.groupBy(
         F.col("frequency").alias("x"), F.col("recency").cast("double").alias("rec"),
@@ -121,17 +159,16 @@ def fit_bgnbd(summary: DataFrame, ridge: float = 1.0, max_rounds: int = 60) -> D
     if not stats["n"]:
         return _params(summary, "bgnbd", {}, 1.0, ridge, math.nan, False, 0, 0, math.nan)
     scale = 10.0 / stats["mt"] if stats["mt"] else 1.0
-    x, rec, age = F.col("x"), F.col("rec") * scale, F.col("age") * scale
+    fit = maximise(lambda theta: bgnbd_derivatives(data, *theta.tolist(), scale=scale), 4, ridge, stats["n"], max_rounds)
+    unit = dict(zip(("r", "alpha", "a", "b"), (1.0, scale, 1.0, 1.0)))
+    return _fitted(summary, "bgnbd", fit, unit, scale, ridge, stats["n"])
 
-    def objective(thetas):
-        means = mean_by_point(data, lambda p: bgnbd_log_likelihood(x, rec, age, p),
-                              [bgnbd_point(*np.exp(th)) for th in thetas])
-        return [-m + ridge * float(np.sum(np.exp(th) ** 2)) for m, th in zip(means, thetas)]
 
-    theta, value, converged, rounds, slope = minimise(objective, np.zeros(4), max_rounds=max_rounds)
-    r, alpha, a, b = np.exp(theta)
-    return _params(summary, "bgnbd", {"r": r, "alpha": alpha / scale, "a": a, "b": b},
-                   scale, ridge, value, converged, rounds, stats["n"], slope)
+def _fitted(summary, model, fit, unit, scale, ridge, n) -> DataFrame:
+    """Parameters and errors in the units of the data."""
+    params = {k: v / u for (k, u), v in zip(unit.items(), fit.params)}
+    errors = {k: v / u for (k, u), v in zip(unit.items(), fit.errors)}
+    return _params(summary, model, params, scale, ridge, fit.value, fit.converged, fit.rounds, n, fit.slope, errors)
 
 
 def gamma_gamma_log_likelihood(x: F.Column, m: F.Column, p: dict) -> F.Column:
@@ -159,6 +196,21 @@ def gamma_gamma_likelihood(summary: DataFrame, p: float, q: float, v: float) ->
     return _spenders(summary).agg(F.round(F.sum(ll), 4).alias("log_likelihood"), F.count(F.lit(1)).alias("customers"))
 
 
+def gamma_gamma_derivatives(data: DataFrame, p: float, q: float, v: float, scale: float = 1.0) -> Derivatives:
+    """Mean log-likelihood over (x, m, n) and its first and second derivatives
+    by (p, q, v), in one job.  Amounts are multiplied by ``scale``."""
+    d = lambda v: f"({float(v)!r}D)"
+    base = data.selectExpr("n", "cast(x AS double) AS x", f"m * {d(scale)} AS m", f"x * {d(p)} AS px", f"x * {d(p)} + {d(q)} AS pq",
+                           f"x * m * {d(scale)} + {d(v)} AS s")
+    terms = base.selectExpr("*", f"{log_gamma_text('pq')} AS g_pq", f"{log_gamma_text('px')} AS g_px", f"{digamma_text('pq')} AS d_pq",
+                            f"{digamma_text('px')} AS d_px", f"{trigamma_text('pq')} AS t_pq", f"{trigamma_text('px')} AS t_px")
+    fixed = q * math.log(v) - math.lgamma(q)
+    first = ["x * (d_pq - d_px + ln(m) + ln(x) - ln(s))", f"d_pq + {d(math.log(v) - _digamma(q))} - ln(s)", f"{d(q / v)} - pq / s"]
+    second = {(0, 0): "x * x * (t_pq - t_px)", (0, 1): "x * t_pq", (0, 2): "-x / s", (1, 1): f"t_pq - {d(_trigamma(q))}",
+              (1, 2): f"{d(1 / v)} - 1 / s", (2, 2): f"{d(-q / v ** 2)} + pq / (s * s)"}
+    return mean_derivatives(terms, f"g_pq - g_px + {d(fixed)} + (px - 1) * ln(m) + px * ln(x) - pq * ln(s)", first, second)
+
+
 def fit_gamma_gamma(summary: DataFrame, ridge: float = 0.01, max_rounds: int = 60, scale_money: bool = True) -> DataFrame:
     """V-04: Gamma-Gamma spend model (p, q, v) on repeat buyers.
 
@@ -171,17 +223,8 @@ def fit_gamma_gamma(summary: DataFrame, ridge: float = 0.01, max_rounds: int = 6
     if not stats["n"]:
         return _params(summary, "gamma_gamma", {}, 1.0, ridge, math.nan, False, 0, 0, math.nan)
     scale = 1.0 / stats["mean"] if scale_money else 1.0
-    x, m = F.col("x"), F.col("m") * scale
-
-    def objective(thetas):
-        means = mean_by_point(data, lambda p: gamma_gamma_log_likelihood(x, m, p),
-                              [gamma_gamma_point(*np.exp(th)) for th in thetas])
-        return [-v + ridge * float(np.sum(np.exp(th) ** 2)) for v, th in zip(means, thetas)]
-
-    theta, value, converged, rounds, slope = minimise(objective, np.zeros(3), max_rounds=max_rounds)
-    p, q, v = np.exp(theta)
-    return _params(summary, "gamma_gamma", {"p": p, "q": q, "v": v / scale},
-                   scale, ridge, value, converged, rounds, stats["n"], slope)
+    fit = maximise(lambda theta: gamma_gamma_derivatives(data, *theta.tolist(), scale=scale), 3, ridge, stats["n"], max_rounds)
+    return _fitted(summary, "gamma_gamma", fit, {"p": 1.0, "q": 1.0, "v": scale}, scale, ridge, stats["n"])
 
 
 def fit_value_models(summary: DataFrame, bg_ridge: float = 1.0, gg_ridge: float = 0.01) -> DataFrame:
@@ -192,12 +235,14 @@ def fit_value_models(summary: DataFrame, bg_ridge: float = 1.0, gg_ridge: float
 
 
 PARAM_SCHEMA = ("model string, params map<string,double>, scale double, ridge double, "
-                "neg_log_likelihood double, converged boolean, rounds int, customers bigint, gradient double")
+                "neg_log_likelihood double, converged boolean, rounds int, customers bigint, gradient double, "
+                "std_error map<string,double>")
 
 
-def _params(summary, model, params, scale, ridge, value, converged, rounds, n, slope) -> DataFrame:
+def _params(summary, model, params, scale, ridge, value, converged, rounds, n, slope, errors=None) -> DataFrame:
     row = [(model, {k: float(v) for k, v in params.items()}, float(scale), float(ridge),
-            float(value), bool(converged), int(rounds), int(n), float(slope))]
+            float(value), bool(converged), int(rounds), int(n), float(slope),
+            {k: float(v) for k, v in (errors or {}).items()})]
     return summary.sparkSession.createDataFrame(row, PARAM_SCHEMA)
 
 

@@ -2,9 +2,9 @@
 
 Values are counted per distinct value (a shuffle with partial sums; a weight
 counts a value several times) and written once.  Each group's values are cut
-into ranges at approximate quantiles; the range totals say in which range each
-wanted rank lies, and only those ranges are ordered, each by its own window
-task.  Results equal the linear-interpolation quantile (pandas' default, SQL
+into ranges at the quantiles of a mergeable KLL sketch, and a value finds its
+range by binary search; the range totals say in which range each wanted rank
+lies, and only those ranges are ordered, each by its own window task.  Results equal the linear-interpolation quantile (pandas' default, SQL
 ``quantile_cont``).
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.session import materialise
@@ -23,6 +23,30 @@ def range_count(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def sketched_cuts(value: str, ranges: int) -> Column:
+    """Aggregate: the cuts between ``ranges`` ranges of ``value``, from a KLL
+    sketch whose size (and rank error, about 2 / size) follows the ranges; null
+    without values.  Cuts may repeat."""
+    size = min(max(200, 8 * ranges), 65_535)
+    sketch = F.kll_sketch_agg_double(value, F.lit(size))
+    ranks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    return F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, ranks))
+
+
+def range_of(value: Column, cuts: Column) -> Column:
+    """How many of the sorted ``cuts`` are below ``value``, by binary search."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + F.lit(1.0))).cast("int") + 1)
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+
+    def halve(s, _):
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        below = (s["low"] < s["high"]) & (F.get(cuts, middle) < value)
+        return F.struct(F.when(below, middle + 1).otherwise(s["low"]).alias("low"),
+                        F.when(below | (s["low"] >= s["high"]), s["high"]).otherwise(middle).alias("high"))
+
+    return F.aggregate(steps, start, halve, lambda s: s["low"])
+
+
 def grouped_quantiles(pairs: DataFrame, qs: list[float], ranges: int | None = None) -> dict:
     """``pairs`` has columns ``g`` (group key, as few values as a caller asks
     statistics for), ``v`` (number) and optionally ``w`` (how often it counts).
@@ -32,15 +56,14 @@ def grouped_quantiles(pairs: DataFrame, qs: list[float], ranges: int | None = No
         pairs.where(F.col("v").isNotNull()).groupBy("g", F.col("v").cast("double").alias("v"))
         .agg(F.sum(weight.cast("bigint")).alias("c")).where(F.col("c") > 0), "value-counts")
     k = ranges or range_count(pairs)
-    cuts = F.percentile_approx("v", [i / k for i in range(1, k)], 10_000)
-    meta = {r["g"]: r for r in counted.groupBy("g").agg(F.sum("c").alias("n"), cuts.alias("cuts")).collect()}
+    meta = {r["g"]: r for r in counted.groupBy("g").agg(F.sum("c").alias("n"), sketched_cuts("v", k).alias("cuts")).collect()}
     if not meta:
         return {}
     spark = counted.sparkSession
     kind = f"g {dict(counted.dtypes)['g']}"
     # one row per group asked for, each with fewer cuts than ranges
     edges = spark.createDataFrame([(g, sorted(set(r["cuts"]))) for g, r in meta.items()], f"{kind}, cuts array<double>")
-    tagged = counted.join(edges, "g").withColumn("b", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts")
+    tagged = counted.join(edges, "g").withColumn("b", range_of(F.col("v"), F.col("cuts"))).drop("cuts")
     totals: dict = {}
     for r in tagged.groupBy("g", "b").agg(F.sum("c").alias("t")).orderBy("g", "b").collect():
         totals.setdefault(r["g"], []).append((r["b"], r["t"]))

@@ -1,7 +1,7 @@
 """Distributed running sums over an ordered key.
 
 A window ordered over a whole table runs in one task.  Here the keys are cut
-into ranges (as many as a shuffle has partitions) at approximate quantiles;
+into ranges (as many as a shuffle has partitions) at the quantiles of a sketch;
 each range is summed on its own, the range totals give each range its starting
 offset, and the running sum inside a range is a window partitioned by range.
 The input is written once, since the cuts, the totals and the result read it.
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.quantiles import range_count
+from basketry.operators.quantiles import range_count, range_of, sketched_cuts
 from basketry.session import materialise
 
 
@@ -22,10 +22,9 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], ranges: i
     row (group by it first)."""
     df = materialise(df, "running")
     k = ranges or range_count(df)
-    cuts = df.agg(F.percentile_approx(order_col, [i / k for i in range(1, k)], 10_000).alias("c")).first()["c"]
-    cuts = sorted(set(cuts or []))
-    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    tagged = df.withColumn("_range", F.size(F.filter(edges, lambda x: x < F.col(order_col))))
+    # the cuts stay in the plan, as a scalar subquery of one small array
+    edges = F.coalesce(df.agg(F.array_distinct(sketched_cuts(order_col, k)).alias("c")).scalar(), F.array().cast("array<double>"))
+    tagged = df.withColumn("_range", range_of(F.col(order_col), edges))
     totals = tagged.groupBy("_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     # one row per range
     over = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
