@@ -28,7 +28,7 @@ def sketched_cuts(value: str, ranges: int) -> Column:
     sketch whose size (and rank error, about 2 / size) follows the ranges; null
     without values.  Cuts may repeat."""
     size = min(max(200, 8 * ranges), 65_535)
-    sketch = F.kll_sketch_agg_double(value, F.lit(size))
+    sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(size))
     ranks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     return F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, ranks))
 

@@ -22,8 +22,8 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], ranges: i
     row (group by it first)."""
     df = materialise(df, "running")
     k = ranges or range_count(df)
-    # the cuts stay in the plan, as a scalar subquery of one small array
-    edges = F.coalesce(df.agg(F.array_distinct(sketched_cuts(order_col, k)).alias("c")).scalar(), F.array().cast("array<double>"))
+    # one number per range reaches the driver
+    edges = F.lit(sorted(set(df.agg(sketched_cuts(order_col, k).alias("c")).first()["c"] or []))).cast("array<double>")
     tagged = df.withColumn("_range", range_of(F.col(order_col), edges))
     totals = tagged.groupBy("_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     # one row per range
