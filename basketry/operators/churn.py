@@ -348,10 +348,11 @@ def classification_report(scores: DataFrame, label: str = LABEL, pred: str = "pr
 
 
 def churn_risk_bands(scores: DataFrame, segments: DataFrame, segment: str = "acquisition_channel",
-                     cuts=(0.33, 0.66)) -> DataFrame:
-    """X-10: scores banded low / mid / high and counted per segment."""
-    s = F.col("score")
+                     cuts=(0.33, 0.66), score: str = "score") -> DataFrame:
+    """X-10: scores banded low / mid / high and counted per segment (a share of
+    churners only if ``score`` is a calibrated probability)."""
+    s = F.col(score)
     band = F.when(s < cuts[0], "low").when(s < cuts[1], "mid").otherwise("high")
     return (scores.join(segments.select("customer_id", segment), "customer_id", "left")
             .groupBy(segment, band.alias("risk_band"))
-            .agg(F.count(F.lit(1)).alias("customers"), F.avg("score").alias("mean_score")))
+            .agg(F.count(F.lit(1)).alias("customers"), F.avg(score).alias("mean_score")))

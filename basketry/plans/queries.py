@@ -357,6 +357,15 @@ def _split_training(spark, sf_dir):
     return churn.churn_split(_training(spark, sf_dir, wide=False))
 
 
+from basketry.operators import calibration  # noqa: E402
+
+
+@query("churn_calibration")
+def q_churn_calibration(spark, sf_dir):
+    labelled = churn.churn_split(_labelled(spark, sf_dir))
+    return calibration.churn_calibration(churn.rule_scores(labelled.where(F.col("is_validation"))))
+
+
 @query("churn_scores")
 def q_churn_scores(spark, sf_dir):
     data = _split_training(spark, sf_dir)
@@ -382,7 +391,8 @@ def q_churn_risk_bands(spark, sf_dir):
     data = _split_training(spark, sf_dir)
     model = churn.train_churn(data)
     scores = churn.churn_scores(model, data)
-    return churn.churn_risk_bands(scores, _in(spark, sf_dir)["customers_dim"])
+    model = calibration.fit_calibration(scores.where(F.col("is_validation")))
+    return churn.churn_risk_bands(calibration.calibrated(model, scores), _in(spark, sf_dir)["customers_dim"], score="calibrated")
 
 
 # --- lifetime value ----------------------------------------------------------------
@@ -460,9 +470,14 @@ def q_clv_by_cohort(spark, sf_dir):
     return clv.clv_by_cohort(scores, i["customers_dim"])
 
 
+@query("clv_holdout")
+def q_clv_holdout(spark, sf_dir):
+    return clv.clv_holdout(_in(spark, sf_dir)["orders_fact"], 180, **BGNBD_FIXED)
+
+
 # --- statistics ---------------------------------------------------------------------
 
-from basketry.operators import stats  # noqa: E402
+from basketry.operators import inference, rules, stats, survival  # noqa: E402
 
 
 @query("welch_t")
@@ -488,6 +503,39 @@ def q_stratified_effect(spark, sf_dir):
                                    F.col("loyalty_status").isNotNull(), "age_group")
 
 
+EFFECT_COLUMNS = ["customer_id", "total_order_amount", "loyalty_status", "age_group", "gender", "acquisition_channel"]
+
+
+@query("bootstrap_effect")
+def q_bootstrap_effect(spark, sf_dir):
+    return inference.bootstrap_difference(_cs(spark, sf_dir, EFFECT_COLUMNS), "customer_id", "total_order_amount",
+                                          F.col("loyalty_status").isNotNull())
+
+
+@query("causal_effect")
+def q_causal_effect(spark, sf_dir):
+    return inference.causal_effect(_cs(spark, sf_dir, EFFECT_COLUMNS), "customer_id", "total_order_amount",
+                                   F.col("loyalty_status").isNotNull(), ["age_group", "gender", "acquisition_channel"])
+
+
+@query("retention_survival")
+def q_retention_survival(spark, sf_dir):
+    return survival.retention_survival(_in(spark, sf_dir)["orders_fact"])
+
+
+@query("retention_log_rank")
+def q_retention_log_rank(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    lives = survival.lifetimes(i["orders_fact"]).join(i["customers_dim"].select("customer_id", "gender"), "customer_id")
+    return survival.log_rank(lives, "gender", "F", "M")
+
+
+@query("return_rules")
+def q_return_rules(spark, sf_dir):
+    i = _in(spark, sf_dir)
+    return rules.return_rules(rules.order_baskets(i["orders_fact"], i["order_items"], i["products_dim"], i["returns_refunds"]))
+
+
 @query("cohort_retention")
 def q_cohort_retention(spark, sf_dir):
     return stats.cohort_retention(_in(spark, sf_dir)["orders_fact"])
