@@ -7,7 +7,9 @@ aggregates (exact AUC by a distributed running sum).
 
 from __future__ import annotations
 
+import json
 import math
+import re
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,6 +31,7 @@ DROP = ["signup_date", "return_reasons", "interaction_types", "interaction_texts
 #: window, so they leak the label (D12) and are left out unless ``leaky``
 LEAKY = ["num_orders", "total_order_amount", "total_discounts", "total_items",
          "unique_products", "total_quantity", "total_item_price", "total_returns"]
+LEAVES = "leaves"
 TRAIN_NUMERIC = ["train_num_orders", "train_total_sales", "train_avg_order_value",
                  "train_num_returns", "train_total_quantity", "recency_days"]
 
@@ -169,7 +172,7 @@ def churn_pipeline(data: DataFrame, rounds: int = 300, step: float = 0.05, depth
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     if model == "gbt":
         stages.append(GBTClassifier(labelCol=LABEL, featuresCol="features", stepSize=step,
-                                    maxDepth=depth, maxIter=rounds, seed=seed, checkpointInterval=10))
+                                    maxDepth=depth, maxIter=rounds, seed=seed, checkpointInterval=10, leafCol=LEAVES))
     elif model == "logreg":
         stages.append(LogisticRegression(labelCol=LABEL, featuresCol="features", maxIter=100))
     else:
@@ -177,17 +180,49 @@ def churn_pipeline(data: DataFrame, rounds: int = 300, step: float = 0.05, depth
     return Pipeline(stages=stages)
 
 
-def best_round(losses: list[float], patience: int = 20) -> int:
-    """Rounds to keep: the best one before ``patience`` rounds without gain."""
+def best_round(gains: list[float], patience: int = 20) -> int:
+    """Rounds to keep: the first best one before ``patience`` rounds without gain."""
     best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
+    for k, gain in enumerate(gains):
+        if gain > gains[best]:
             best = k
         elif k - best >= patience:
             break
     return best + 1
 
 
+def _leaf_values(model: GBTClassificationModel) -> list[list[float]]:
+    """What each leaf of each tree adds to the margin, leaves from left to
+    right (at most rounds x 2^depth numbers, as the model itself)."""
+    trees = re.split(r"Tree \d+ \(weight [^)]*\):", model.toDebugString)[1:]
+    return [[w * float(v) for v in re.findall(r"Predict: (\S+)", text)] for w, text in zip(model.treeWeights, trees)]
+
+
+def prefix_margins(model: GBTClassificationModel, rows: DataFrame, label: str = LABEL) -> DataFrame:
+    """(round, label, margin) of every row after each round, from one pass: the
+    model gives a row's leaf in every tree, and margins are running sums of the
+    leaves' values."""
+    leaves = vector_to_array(F.col(LEAVES))
+    values = F.from_json(F.lit(json.dumps(_leaf_values(model))), "array<array<double>>")
+    added = F.transform(leaves, lambda leaf, k: F.get(F.get(values, k), leaf.cast("int")))
+    start = F.struct(F.array().cast("array<double>").alias("all"), F.lit(0.0).alias("last"))
+    summed = F.aggregate(added, start, lambda s, x: F.struct(F.array_append(s["all"], s["last"] + x).alias("all"),
+                                                             (s["last"] + x).alias("last")), lambda s: s["all"])
+    return model.transform(rows).select(label, F.posexplode(summed).alias("k", "margin")).select(
+        (F.col("k") + 1).alias("round"), label, "margin")
+
+
+def prefix_auc(model: GBTClassificationModel, rows: DataFrame, label: str = LABEL) -> DataFrame:
+    """(round, auc): exact AUC on ``rows`` after each round (ties count one half).
+    Margins are counted per round and value before the running sums; a round
+    without both labels has a null."""
+    per = prefix_margins(model, rows, label).groupBy("round", "margin").agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    ranked = running_sums(per, "margin", ["neg"], group="round")
+    wins = F.sum(F.col("pos").cast("decimal(38,0)") * (2 * F.col("neg_before") + F.col("neg")).cast("decimal(38,0)")).cast("double")
+    return ranked.groupBy("round").agg(F.try_divide(wins, 2.0 * F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
+
+
 def _first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
     """The ensemble's first ``n`` trees as a model of its own."""
     java, sc = model._java_obj, SparkContext.getOrCreate()
@@ -199,13 +234,15 @@ def _first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationMode
     cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
         java.uid(), trees, weights, java.numFeatures(), java.numClasses())
     cut.setFeaturesCol(java.getFeaturesCol())
+    cut.setLeafCol(LEAVES)
     return GBTClassificationModel(cut)
 
 
 def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", patience: int = 20, **kw) -> PipelineModel:
-    """M-11: fit on the training rows of ``churn_split``; the loss of every prefix
+    """M-11: fit on the training rows of ``churn_split``; the AUC of every prefix
     of the ensemble on the validation rows decides how many of at most ``rounds``
-    trees stay (``patience`` rounds without gain end the search).
+    trees stay (``patience`` rounds without gain end the search; where validation
+    rows have one label only, all stay).
 
     A round does not depend on later ones, so the search first fits few rounds
     and doubles them until it ends inside what is fitted; the model is the one
@@ -215,17 +252,24 @@ def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", patience
     ensure_checkpoint_dir(data.sparkSession)
     data = materialise(data, "training")
     train, held = data.where(~F.col("is_validation")), data.where(F.col("is_validation"))
-    if model != "gbt" or held.isEmpty():
+    if model != "gbt" or held.select(LABEL).distinct().count() < 2:
         return churn_pipeline(data, rounds=rounds, model=model, **kw).fit(train)
     n = min(rounds, 2 * patience + 10)
     while True:
         *prepare, trees = churn_pipeline(data, rounds=n, **kw).fit(train).stages
-        keep = best_round(trees.evaluateEachIteration(PipelineModel(prepare).transform(held)), patience)
+        curve = {r["round"]: r["auc"] for r in prefix_auc(trees, PipelineModel(prepare).transform(held)).collect()}
+        keep = best_round([curve[k] for k in sorted(curve)], patience)
         if n == rounds or n - keep >= patience:
             return PipelineModel([*prepare, _first_trees(trees, keep)])
         n = min(rounds, 2 * n)
 
 
+def auc_curve(model: PipelineModel, data: DataFrame) -> DataFrame:
+    """(round, auc) of a boosted model on the validation rows, after each kept round."""
+    *prepare, trees = model.stages
+    return prefix_auc(trees, PipelineModel(prepare).transform(data.where(F.col("is_validation"))))
+
+
 def churn_scores(model: PipelineModel, data: DataFrame) -> DataFrame:
     """M-13: churn probability and 0/1 prediction (p > 0.5) for every row."""
     scored = model.transform(data)
@@ -249,8 +293,9 @@ def churn_metrics(scores: DataFrame) -> dict[str, DataFrame]:
             "classification_report": classification_report(scores)}
 
 
-def training_metrics(scores: DataFrame) -> DataFrame:
-    """M-11: the metrics of a training run as one table (metric, class, value)."""
+def training_metrics(scores: DataFrame, curve: DataFrame | None = None) -> DataFrame:
+    """M-11: the metrics of a training run as one table (metric, class, value);
+    ``curve`` (round, auc) adds the AUC after each round (its number as class)."""
     got = churn_metrics(scores)
     line = lambda metric, cls, v: F.struct(F.lit(metric).alias("metric"), cls.cast("string").alias("class"),
                                            v.cast("double").alias("value"))
@@ -260,6 +305,8 @@ def training_metrics(scores: DataFrame) -> DataFrame:
     parts.append(got["confusion_matrix"].select(line("count", cell, F.col("count")).alias("m")))
     for c in ("precision", "recall", "f1_score", "support"):
         parts.append(got["classification_report"].select(line(c, F.col("class"), F.col(c)).alias("m")))
+    if curve is not None:
+        parts.append(curve.select(line("auc_after_round", F.col("round"), F.col("auc")).alias("m")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

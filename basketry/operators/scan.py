@@ -16,21 +16,32 @@ from basketry.operators.quantiles import range_count, range_of, sketched_cuts
 from basketry.session import materialise
 
 
-def running_sums(df: DataFrame, order_col: str, value_cols: list[str], ranges: int | None = None) -> DataFrame:
+def running_sums(df: DataFrame, order_col: str, value_cols: list[str], ranges: int | None = None,
+                 group: str | None = None) -> DataFrame:
     """Add ``<v>_before`` = sum of ``v`` over rows with a strictly smaller
     ``order_col`` for each value column.  ``order_col`` must be unique per
-    row (group by it first)."""
+    row (group by it first); with ``group`` both hold inside each of its values
+    (as few as fit a broadcast table of their cuts)."""
     df = materialise(df, "running")
     k = ranges or range_count(df)
-    # one number per range reaches the driver
-    edges = F.lit(sorted(set(df.agg(sketched_cuts(order_col, k).alias("c")).first()["c"] or []))).cast("array<double>")
-    tagged = df.withColumn("_range", range_of(F.col(order_col), edges))
-    totals = tagged.groupBy("_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    if group is None:
+        # one number per range reaches the driver
+        edges = F.lit(sorted(set(df.agg(sketched_cuts(order_col, k).alias("c")).first()["c"] or []))).cast("array<double>")
+        tagged = df.withColumn("_range", range_of(F.col(order_col), edges))
+    else:
+        edges = df.groupBy(F.col(group).alias("_g")).agg(F.array_distinct(sketched_cuts(order_col, k)).alias("_cuts"))
+        tagged = df.join(F.broadcast(edges), F.col(group).eqNullSafe(F.col("_g"))).withColumn(
+            "_range", range_of(F.col(order_col), F.col("_cuts"))).drop("_g", "_cuts")
+    by = [group] if group else []
+    totals = tagged.groupBy(*by, "_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     # one row per range
-    over = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{v}").over(over), F.lit(0)).alias(f"_o_{v}")
-                                        for v in value_cols])
-    inside = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = tagged.join(F.broadcast(offsets), "_range", "left")
+    over = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(g).alias("_g") for g in by], F.col("_range").alias("_r"),
+                            *[F.coalesce(F.sum(f"_t_{v}").over(over), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
+    inside = Window.partitionBy(*by, "_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("_range") == F.col("_r")
+    if group:
+        same = same & F.col(group).eqNullSafe(F.col("_g"))
+    out = tagged.join(F.broadcast(offsets), same, "left")
     return out.select(*df.columns, *[
         (F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_before") for v in value_cols])

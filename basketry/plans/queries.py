@@ -376,7 +376,8 @@ def q_churn_scores(spark, sf_dir):
 @query("churn_metrics")
 def q_churn_metrics(spark, sf_dir):
     data = _split_training(spark, sf_dir)
-    return churn.training_metrics(churn.churn_scores(churn.train_churn(data), data))
+    model = churn.train_churn(data)
+    return churn.training_metrics(churn.churn_scores(model, data), churn.auc_curve(model, data))
 
 
 @query("churn_logreg")

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -113,15 +114,33 @@ def test_boosting_keeps_many_trees_and_beats_one(spark):
     from pyspark.ml import PipelineModel
     one = PipelineModel([*model.stages[:-1], churn._first_trees(trees, 1)])
     assert auc(model) > auc(one) + 0.02
+    # the curve is the AUC of each prefix as a model of its own, and no kept prefix is better
+    curve = {r["round"]: r["auc"] for r in churn.auc_curve(model, data).collect()}
+    assert sorted(curve) == list(range(1, trees.getNumTrees + 1))
+    for k in (1, 2, 9, trees.getNumTrees):
+        assert abs(curve[k] - auc(PipelineModel([*model.stages[:-1], churn._first_trees(trees, k)]))) < 1e-12
+    assert max(curve.values()) == curve[trees.getNumTrees] > max(v for k, v in curve.items() if k < trees.getNumTrees)
+    # margins rebuilt from the leaves are the model's
+    ready = PipelineModel(model.stages[:-1]).transform(held)
+    margins = sorted(r["margin"] for r in churn.prefix_margins(trees, ready).where(F.col("round") == trees.getNumTrees).collect())
+    from pyspark.ml.functions import vector_to_array
+    raw = sorted(r["r"] / 2 for r in trees.transform(ready).select((vector_to_array("rawPrediction")[1] * 2).alias("r")).collect())
+    assert np.allclose(margins, raw, atol=1e-12)
     metrics = {(r["metric"], r["class"]): r["value"] for r in churn.training_metrics(churn.churn_scores(model, data)).collect()}
     assert abs(metrics["auc", None] - auc(model)) < 1e-12
     assert sum(v for (m, _), v in metrics.items() if m == "count") == held.count()
 
 
+def test_one_label_in_validation_keeps_all_rounds(spark):
+    data = _hard(spark, 200).withColumn("is_validation", F.col("is_validation") & (F.col(churn.LABEL) == 1))
+    assert churn.train_churn(data, rounds=3, depth=2).stages[-1].getNumTrees == 3
+
+
 def test_best_round_waits_with_patience():
-    assert churn.best_round([5, 4, 4.1, 4.2, 3, 3.5], patience=20) == 5
-    assert churn.best_round([5, 4, 4.1, 4.2, 3, 3.5], patience=2) == 2
+    assert churn.best_round([-5, -4, -4.1, -4.2, -3, -3.5], patience=20) == 5
+    assert churn.best_round([-5, -4, -4.1, -4.2, -3, -3.5], patience=2) == 2
     assert churn.best_round([1.0]) == 1
+    assert churn.best_round([0.7, 0.8, 0.8, 0.8], patience=20) == 2     # the first of equals
 
 
 def test_indexer_sees_training_rows_only(spark):
