@@ -209,3 +209,16 @@ def customer_features(inputs: dict[str, DataFrame], mode: str = "compat",
         F.col("_spend").cast("double").alias("marketing_spend"),
         F.col("_impressions").cast("bigint").alias("total_impressions"),
         F.col("_clicks").cast("bigint").alias("total_clicks"))
+
+
+def join_marts(stored: dict[str, DataFrame]) -> DataFrame:
+    """J-07 from existing marts: ``customer_base`` (the customers) left-joined
+    to the seven marts on customer_id, one row per delivered payment method."""
+    influence = stored["marketing_influence"].select(
+        "customer_id", F.col("total_spend").alias("marketing_spend"), "total_impressions", "total_clicks")
+    out = stored["customer_base"]
+    for mart in (stored["customer_rfm"].select("customer_id", "recency_days", "frequency", "monetary"),
+                 stored["customer_lifetime_value"], stored["segment_profitability"].select("customer_id", "segment_profit"),
+                 stored["revenue_by_payment"], stored["repeat_purchase"], stored["customer_engagement"], influence):
+        out = out.join(mart, "customer_id", "left")
+    return out.select(*CUSTOMER_COLS, *[c for c in out.columns if c not in CUSTOMER_COLS])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import marts, summaries
-from basketry.sources.sinks import drop_table, publish, register_inputs, write_csv, write_parquet
+from basketry.sources.sinks import publish, register_inputs, write_csv, write_parquet
 
 MART_NAMES = ["customer_rfm", "customer_lifetime_value", "segment_profitability",
               "revenue_by_payment", "repeat_purchase", "customer_engagement",
@@ -35,18 +35,26 @@ def mart_frames(inputs: dict[str, DataFrame], mode: str = "compat") -> dict[str,
 def publish_marts(spark: SparkSession, inputs: dict[str, DataFrame], base_path: str | None = None,
                   prefix: str = "", mode: str = "compat", buckets: int = 0) -> list[str]:
     """Register the inputs as views and store every mart as a table named
-    ``prefix + mart``; with ``buckets`` the tables are bucketed on
-    customer_id so later joins between them need no exchange.  Returns the
-    table names."""
+    ``prefix + mart``.  With ``buckets`` the tables, and the customers as
+    ``prefix + customer_base``, are bucketed on customer_id, and in compat mode
+    the wide mart is joined from the stored ones without an exchange.  Returns
+    the marts' table names."""
     register_inputs(inputs)
-    names = []
-    for name, df in mart_frames(inputs, mode).items():
+    frames = mart_frames(inputs, mode)
+    stored = {"customer_base": inputs["customers_dim"].select(*marts.CUSTOMER_COLS)} if buckets else {}
+    for name, df in (stored | frames).items():
         table = prefix + name
-        drop_table(spark, table)
+        if name == "customer_features" and buckets and mode == "compat":
+            df = features_from_marts(spark, prefix)
         publish(df, table, path=f"{base_path.rstrip('/')}/{table}" if base_path else None,
                 bucket_by="customer_id" if buckets else None, buckets=buckets)
-        names.append(table)
-    return names
+    return [prefix + name for name in frames]
+
+
+def features_from_marts(spark: SparkSession, prefix: str = "") -> DataFrame:
+    """J-07 as stored: the wide mart (compat) from the published marts.  Bucketed
+    alike, they are joined bucket by bucket without an exchange."""
+    return marts.join_marts({name: spark.table(prefix + name) for name in ("customer_base", *MART_NAMES[:-1])})
 
 
 def write_summaries(inputs: dict[str, DataFrame], directory: str, fmt: str = "csv",

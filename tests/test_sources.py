@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from basketry import sources
 from basketry.operators import clean
 
@@ -69,3 +71,48 @@ def test_write_summaries_csv(spark, small_inputs, tmp_path):
     o, c = write_summaries(small_inputs, str(tmp_path / "data"))
     assert sources.read_orders(spark, o).count() == small_inputs["orders_fact"].count()
     assert sources.read_customers(spark, c).count() == small_inputs["customers_dim"].count()
+
+
+def test_wide_mart_from_stored_marts(spark, small_inputs, tmp_path):
+    """Joined bucket by bucket, equal to the mart computed from the inputs."""
+    from basketry.operators import marts
+    from basketry.plans.publish import features_from_marts, publish_marts
+    names = publish_marts(spark, small_inputs, base_path=str(tmp_path / "wh"), prefix="w_", buckets=4)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = features_from_marts(spark, "w_")
+        assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
+        direct = marts.customer_features(small_inputs)
+        assert wide.columns == direct.columns
+        as_rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        assert as_rows(wide) == as_rows(direct) == as_rows(spark.table("w_customer_features").select(*direct.columns))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    for n in [*names, "w_customer_base"]:
+        sources.drop_table(spark, n)
+
+
+def test_failed_publish_leaves_the_old_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    name, path = "basketry_swap", str(tmp_path / "swap")
+    sources.publish(spark.range(4), name, path=path)
+    reading = spark.table(name)
+    bad = spark.range(10).withColumn("x", F.when(F.col("id") == 9, F.raise_error(F.lit("no"))).otherwise(F.lit("y")))
+    with pytest.raises(Exception):
+        sources.publish(bad, name, path=path)
+    assert sources.read_table(spark, name).count() == 4 and name in sources.list_tables(spark)
+    for n in (5, 6):
+        sources.publish(spark.range(n), name, path=path)
+        # whoever found the version before can still read it
+        assert reading.count() == n - 1
+        reading = spark.table(name)
+    assert reading.count() == 6 and [t for t in sources.list_tables(spark) if t.startswith(name)] == [name]
+    assert len(list((tmp_path / "swap").iterdir())) == 2        # the last two versions
+    sources.drop_table(spark, name)
+    assert not list((tmp_path / "swap").iterdir()) and name not in sources.list_tables(spark)
+    # a table stored by other means is replaced
+    spark.range(2).write.saveAsTable(name, path=str(tmp_path / "plain"))
+    sources.publish(spark.range(7), name, path=path)
+    assert spark.table(name).count() == 7
+    sources.drop_table(spark, name)
