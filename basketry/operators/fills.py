@@ -61,10 +61,11 @@ def fill_medians(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in values.items()})
 
 
-def fill_modes(df: DataFrame, table: DataFrame, cols: list[str]) -> DataFrame:
-    """C-04 with a table (g, v) of modes: nulls -> mode, cast to the column's type."""
+def fill_modes(df: DataFrame, table: DataFrame, cols: list[str], written: bool = False) -> DataFrame:
+    """C-04 with a table (g, v) of modes: nulls -> mode, cast to the column's type.
+    The table is read once per column, so it is written first unless it is."""
     types = dict(df.dtypes)
-    table = materialise(table, "modes")
+    table = table if written else materialise(table, "modes")
     return df.withColumns({c: F.coalesce(F.col(c), table.where(F.col("g") == c).select("v").scalar().cast(types[c]))
                            for c in cols})
 

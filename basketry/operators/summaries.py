@@ -8,6 +8,9 @@ Distinct text lists are sorted before joining (D15).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from basketry.operators import fills
 from basketry.schemas import (CUSTOMER_MODE_FILL, CUSTOMER_NUMERIC_FILL, ORDER_DOUBLE, ORDER_MODE_FILL,
                               ORDER_NUMERIC_FILL, ORDER_SIDE_ITEMS, ORDER_SIDE_RETURNS, SIDE_CHANNEL,
                               SIDE_CUSTOMER_ITEMS, SIDE_CUSTOMER_ORDERS, SIDE_CUSTOMER_RETURNS, SIDE_INTERACTIONS)
+from basketry.session import materialise
 
 
 def _psum(c: str) -> F.Column:
@@ -154,13 +158,38 @@ def _fill(df: DataFrame, numeric: list[str], text: list[str], fill: str, narrow)
         raise ValueError(f"fill must be one of {FILLS}, not {fill!r}")
     if fill == "zero":
         return fills.zero_fill(df, numeric)
-    if fill in ("stat", "median") and numeric:
-        rows = _united(narrow, numeric, "double")
-        found = fills.weighted_medians(rows)
-        df = fills.fill_medians(df, {c: found.get(c) for c in numeric})
-    if fill in ("stat", "mode") and text:
-        df = fills.fill_modes(df, fills.mode_table(_united(narrow, text, "string")), text)
-    return df
+    medians, table = _together(
+        lambda: fills.weighted_medians(_united(narrow, numeric, "double")) if fill in ("stat", "median") and numeric else None,
+        lambda: materialise(fills.mode_table(_united(narrow, text, "string")), "modes") if fill in ("stat", "mode") and text else None)
+    if medians is not None:
+        df = fills.fill_medians(df, {c: medians.get(c) for c in numeric})
+    return df if table is None else fills.fill_modes(df, table, text, written=True)
+
+
+def _together(*steps: Callable) -> list:
+    """Results of independent steps, whose jobs run at the same time."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return list(pool.map(lambda step: step(), steps))
+
+
+def _filled(numeric: list[str], text: list[str], fill: str) -> set[str]:
+    """Columns whose fill value is a statistic of the data."""
+    return set(numeric if fill in ("stat", "median") else []) | set(text if fill in ("stat", "mode") else [])
+
+
+def _once(build, key: str, own: list[str], wanted: set[str], filled: set[str], label: str):
+    """A side as a function.  One with fill values is read by them and by the
+    join: it is written once, with the columns wanted of it, and read back."""
+    kept: list[DataFrame] = []
+
+    def side() -> DataFrame:
+        if not filled & set(own):
+            return build()
+        if not kept:
+            kept.append(materialise(build().select(key, *[c for c in own if c in wanted]), label))
+        return kept[0]
+
+    return side
 
 
 def _united(narrow, cols: list[str], kind: str) -> DataFrame:
@@ -207,11 +236,17 @@ def order_summary(inputs: dict[str, DataFrame], fill: str = "stat",
                     + ORDER_SIDE_ITEMS + ORDER_SIDE_RETURNS + SIDE_INTERACTIONS + SIDE_CHANNEL, columns, "order")
     wanted = set(cols)
 
-    def returns():
-        return returns_per_order(inputs["returns_refunds"])
+    numeric, text = ([c for c in fillable if c in wanted] for fillable in (ORDER_NUMERIC_FILL, ORDER_MODE_FILL))
+    filled = _filled(numeric, text, fill)
+    returns = _once(lambda: returns_per_order(inputs["returns_refunds"]), "order_id", ORDER_SIDE_RETURNS, wanted, filled, "returns")
+    interactions = _once(lambda: interactions_per_customer(inputs["customer_interactions"]), "customer_id", SIDE_INTERACTIONS,
+                         wanted, filled, "interactions")
+    channels = _once(lambda: _channels(inputs["marketing_spend"]), "acquisition_channel", SIDE_CHANNEL, wanted, filled, "channels")
 
-    def interactions():
-        return interactions_per_customer(inputs["customer_interactions"])
+    per_customer = _once(lambda: orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_w")).join(
+        customers.select("customer_id", "acquisition_channel"), "customer_id"), "customer_id", ["acquisition_channel", "_w"],
+        {"acquisition_channel", "_w"}, {"_w"} if filled & set(SIDE_INTERACTIONS + SIDE_CHANNEL) else set(), "weights")
+    _together(returns, interactions, channels, per_customer)
 
     joined = orders
     if wanted & set(ORDER_SIDE_ITEMS):
@@ -223,21 +258,16 @@ def order_summary(inputs: dict[str, DataFrame], fill: str = "stat",
         if wanted & set(SIDE_INTERACTIONS):
             side = side.join(interactions(), "customer_id", "left")
         if wanted & set(SIDE_CHANNEL):
-            side = side.join(_channels(inputs["marketing_spend"]), "acquisition_channel", "left")
+            side = side.join(channels(), "acquisition_channel", "left")
         joined = joined.join(side, "customer_id", "left")
     out = _as_double(joined.select(*cols), [c for c in ORDER_DOUBLE if c in wanted])
 
-    def per_customer():
-        return orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_w")).join(
-            customers.select("customer_id", "acquisition_channel"), "customer_id")
-
     narrow = [
         (lambda: orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("_w")).join(returns(), "order_id"), ORDER_SIDE_RETURNS),
         (lambda: per_customer().join(interactions(), "customer_id"), SIDE_INTERACTIONS),
         (lambda: per_customer().groupBy("acquisition_channel").agg(F.sum("_w").alias("_w")).join(
-            _channels(inputs["marketing_spend"]), "acquisition_channel"), SIDE_CHANNEL)]
-    return _fill(out, [c for c in ORDER_NUMERIC_FILL if c in wanted], [c for c in ORDER_MODE_FILL if c in wanted],
-                 fill, narrow)
+            channels(), "acquisition_channel"), SIDE_CHANNEL)]
+    return _fill(out, numeric, text, fill, narrow)
 
 
 def customer_summary(inputs: dict[str, DataFrame], fill: str = "stat",
@@ -253,19 +283,22 @@ def customer_summary(inputs: dict[str, DataFrame], fill: str = "stat",
         (lambda: interactions_per_customer(inputs["customer_interactions"]), SIDE_INTERACTIONS)]
     cols = _limited(customers.columns + [c for _, own in sides for c in own] + SIDE_CHANNEL, columns, "customer")
     wanted = set(cols)
+    numeric, text = ([c for c in fillable if c in wanted] for fillable in (CUSTOMER_NUMERIC_FILL, CUSTOMER_MODE_FILL))
+    filled = _filled(numeric, text, fill)
+    sides = [(_once(build, "customer_id", own, wanted, filled, "side"), own) for build, own in sides]
+    channels = _once(lambda: _channels(inputs["marketing_spend"]), "acquisition_channel", SIDE_CHANNEL, wanted, filled, "channels")
+    _together(channels, *(side for side, _ in sides))
     joined = customers
     for side, own in sides:
         if wanted & set(own):
             joined = joined.join(side(), "customer_id", "left")
     if wanted & set(SIDE_CHANNEL):
-        joined = joined.join(_channels(inputs["marketing_spend"]), "acquisition_channel", "left")
-    numeric = [c for c in CUSTOMER_NUMERIC_FILL if c in wanted]
+        joined = joined.join(channels(), "acquisition_channel", "left")
     out = _as_double(joined.select(*cols), numeric)
 
     def counted(key: str):
         return customers.groupBy(key).agg(F.count(F.lit(1)).alias("_w"))
 
     narrow = [(lambda side=side: counted("customer_id").join(side(), "customer_id"), own) for side, own in sides]
-    narrow.append((lambda: counted("acquisition_channel").join(_channels(inputs["marketing_spend"]),
-                                                               "acquisition_channel"), SIDE_CHANNEL))
-    return _fill(out, numeric, [c for c in CUSTOMER_MODE_FILL if c in wanted], fill, narrow)
+    narrow.append((lambda: counted("acquisition_channel").join(channels(), "acquisition_channel"), SIDE_CHANNEL))
+    return _fill(out, numeric, text, fill, narrow)
