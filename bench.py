@@ -21,6 +21,7 @@ HEADLINE = [
     "customer_summary", "churn_training_set", "purchase_summary", "revenue_by_day",
     "cohort_retention", "return_drivers", "auc_from_scores", "gamma_gamma_fit",
     "churn_scores", "churn_logreg", "churn_risk_bands", "bgnbd_fit", "median_fill", "ltv_bucket_box",
+    "retention_survival", "return_rules", "clv_holdout", "bootstrap_effect",
 ]
 
 
