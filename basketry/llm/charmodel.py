@@ -107,7 +107,7 @@ def _histories(points: np.ndarray, offsets: np.ndarray, a: int, b: int, depth: i
     return text[at], at + depth, reach[at], history[at], h
 
 
-def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the keys, and the first place of each code."""
     codes, kinds = pd.factorize(key)
     first = np.empty(len(kinds), np.int64)
@@ -122,8 +122,8 @@ def running_grams(points: np.ndarray, offsets: np.ndarray, depth: int,
     for a in range(0, len(points), _RANGE):
         b = min(a + _RANGE, len(points))
         text, at, reach, history, h = _histories(points, offsets, a, b, depth)
-        key = mix(_gram_key(history, h[at]) ^ reach.astype(np.uint64))
-        codes, first = _distinct(mix(key + text.astype(np.uint64) * _BASE) if apart else key)
+        key = mix(_gram_key(mix(history), h[at]) ^ reach.astype(np.uint64))
+        codes, first = distinct(mix(key + text.astype(np.uint64) * _BASE) if apart else key)
         low = max(a - depth, 0)
         chars = points[low:b].tobytes().decode("utf-32-le", "surrogatepass")
         end = at[first] - depth + a - low
@@ -205,12 +205,18 @@ class HashModel:
         out = np.full(len(offsets) - 1, 0.0 if group in self.groups else np.nan)
         for a in range(0, len(points) if group in self.groups else 0, _SCORED):
             text, at, reach, history, h = _histories(points, offsets, a, min(a + _SCORED, len(points)), self.depth)
-            codes, first = _distinct(_gram_key(_context_key(history, reach.astype(np.uint64), self.groups[group]), h[at]))
+            codes, first = distinct(_gram_key(_context_key(history, reach.astype(np.uint64), self.groups[group]), h[at]))
             logp = self._lookup(h, at[first], reach[first], self.groups[group])[codes]
             if len(text):
                 out[text[0]:text[-1] + 1] += np.bincount(text - text[0], weights=logp)
         return out
 
+    def look_up(self, points: np.ndarray, at: np.ndarray, reach: np.ndarray, group: str = "") -> np.ndarray:
+        """log10 probability of ``points[at]``, each after the ``reach`` symbols before it."""
+        window = points[np.maximum(at[:, None] - np.arange(self.depth, -1, -1), 0)]
+        own = np.arange(1, len(at) + 1) * (self.depth + 1) - 1
+        return self._lookup(_hash_symbols(window.ravel()), own, reach, self.groups[group])
+
     def _lookup(self, h: np.ndarray, at: np.ndarray, reach: np.ndarray, group: int) -> np.ndarray:
         """log10 probability of the symbol at each position, from the longest context known."""
         context = [np.zeros(len(at), np.uint64)]

@@ -1,33 +1,28 @@
-"""Probabilistic suffix tree for texts: words over characters, contexts by divergence.
-
-Two levels share one rule: a context is retained if it is frequent and its
-next-symbol counts diverge from those of its suffix (count-weighted
-Kullback-Leibler divergence), and a state's distribution leaves mass to that of
-its suffix.
-
-* Characters: contexts are strings of up to ``depth`` characters, never beyond
-  the start of the word.  With a retained context go all its suffixes, so the
-  longest retained suffix of a history is found by walking down.  States are
-  smoothed with their parent (Witten-Bell), the root with a uniform
-  distribution over all code points.  The tree learns each training word once
-  and spells out rare and new words.
-* Words: the root counts whole words less an absolute discount and leaves the
-  discounted mass to the character tree.  Its contexts are the languages of the
-  training documents; a text is scored as the mixture of its probabilities from
-  the root and from each retained context, so scoring reads the text alone.
-
-Words are counted once per distinct word.  Each Arrow batch of documents is a
-block: its distinct words are requests that meet the global counts and scores
-by a join and come back to the block, so no vocabulary is broadcast.
+"""Probabilistic suffix tree for texts: characters of running text, contexts by divergence.
+
+A text is read as a start mark, its lower-case words joined by single spaces and
+an end mark; a symbol is a character.  Contexts are the up to ``depth``
+characters before it, across word ends, so a token is scored from the words
+before it.  All counts are occurrences in the whole training text.  A context is
+retained if it is frequent and its next-symbol counts diverge from those of its
+suffix (count-weighted Kullback-Leibler divergence); with it go all its
+suffixes, so the longest retained suffix of a history is found by walking down.
+States are smoothed with their parent (Witten-Bell), the root with a uniform
+distribution over all code points.  A text's score is the log10 probability of
+all its characters and its end.
+
+The base counts whole words.  Each Arrow batch of documents is a block: its
+distinct words are requests that meet the global counts by a join and come back
+to the block, so no vocabulary is broadcast.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from math import log, log10
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -37,11 +32,13 @@ from pyspark.sql import functions as F
 from basketry.llm import charmodel
 from basketry.llm.common import batches, encode, materialise, owners, per_text, pick, split_words, texts
 
-#: the end token, as a word of its own
-END_TOKEN = "\x04"
-BLOCK_BYTES = 24 << 20
-BLOCKS = ("block long, doc_id long, held_out boolean, n_tokens long, codes binary, grp string, word string, code int, "
-          "seen long, asks boolean")
+BLOCK_BYTES = 16 << 20
+#: positions counted and scored at once: more repeat each other more, and bound the arrays
+_PIECE = 1 << 21
+#: distinct grams held by a counting task before it passes them on
+_HOLD = 1 << 20
+BLOCKS = ("block long, place int, doc_id long, held_out boolean, n_tokens long, codes binary, score double, word string, "
+          "code int, seen long, gram string")
 
 
 def held_out(doc_id) -> bool:
@@ -66,8 +63,8 @@ def _unpacked_codes(raw: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return low.astype(np.int64) | high.astype(np.int64) << 16, offsets
 
 
-def _packed_answers(states: int, hold: int = 200_000):
-    """(asker, code, c, logp) -> rows of many answers to one block, as binary columns."""
+def _packed_answers(hold: int = 200_000):
+    """(asker, code, c) -> rows of many answers to one block, as binary columns."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -75,15 +72,13 @@ def _packed_answers(states: int, hold: int = 200_000):
         def flush() -> pa.RecordBatch:
             t = pa.Table.from_batches(held).combine_chunks()
             asker, code, c = (t[k].to_numpy() for k in ("asker", "code", "c"))
-            logp = t["logp"].combine_chunks().flatten().to_numpy().reshape(-1, states)
             order = np.argsort(asker, kind="stable")
             asker = asker[order]
             cut = np.flatnonzero(np.concatenate([[True], asker[1:] != asker[:-1]])).tolist() + [len(asker)]
             parts = [order[a:b] for a, b in zip(cut, cut[1:])]
             return pa.RecordBatch.from_arrays(
                 [pa.array(asker[cut[:-1]]), pa.array([code[p].astype("<u4").tobytes() for p in parts], pa.binary()),
-                 pa.array([c[p].astype("<i8").tobytes() for p in parts], pa.binary()),
-                 pa.array([logp[p].astype("<f4").tobytes() for p in parts], pa.binary())], ["asker", "code", "c", "logp"])
+                 pa.array([c[p].astype("<i8").tobytes() for p in parts], pa.binary())], ["asker", "code", "c"])
 
         size = 0
         for batch in batches(rows):
@@ -98,83 +93,151 @@ def _packed_answers(states: int, hold: int = 200_000):
     return run
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """Documents (doc_id, text, grp) as word codes of their block, and the words
-    of each block with their occurrences in documents that are not held out, by
-    group; ``asks`` marks one row of each word."""
-    names = ["block", "doc_id", "held_out", "n_tokens", "codes", "grp", "word", "code", "seen", "asks"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64(),
-             pa.bool_()]
-
-    def rows_of(n: int, **columns) -> pa.RecordBatch:
+def _pieces(points: np.ndarray, offsets: np.ndarray, depth: int):
+    """Positions of running texts but for start marks, in pieces: the text of each,
+    the code of its longest gram, and of each code the first position and its
+    number of context symbols.  Grams are packed symbol by symbol, and made dense
+    before they outgrow 63 bits, so equal codes are equal grams."""
+    for a in range(0, len(points), _PIECE):
+        b = min(a + _PIECE, len(points))
+        low, n = max(a - depth, 0), b - a
+        present = np.flatnonzero(np.bincount(points[low:b]))
+        table = np.zeros(int(present[-1]) + 1, np.int64)
+        table[present] = np.arange(1, len(present) + 1)
+        symbol = np.concatenate([np.zeros(depth - (a - low), np.int64), table[points[low:b]]])
+        bits = width = len(present).bit_length()
+        t, z = int(np.searchsorted(offsets, a, side="right")) - 1, int(np.searchsorted(offsets, b))
+        text = np.repeat(np.arange(t, z), np.diff(np.clip(offsets[t:z + 1], a, b)))
+        near = (offsets[t:z, None] + np.arange(depth)).ravel()
+        reach = np.tile(np.arange(depth), z - t)
+        inside = (near >= a) & (near < np.minimum(offsets[t + 1:z + 1].repeat(depth), b))
+        near, reach = near[inside] - a, reach[inside]
+        key = symbol[depth:].copy()
+        for k in range(1, depth + 1):
+            if width + bits > 63:
+                key = pd.factorize(key)[0].astype(np.int64)
+                width = n.bit_length()
+            older = symbol[depth - k:depth - k + n].copy()
+            older[near[reach < k]] = 0
+            key = key << bits | older
+            width += bits
+        whole = np.full(n, depth, np.int8)
+        whole[near] = reach
+        real = np.flatnonzero(whole)
+        codes, first = charmodel.distinct(key[real])
+        first = real[first]
+        yield text[real], codes, first + a, whole[first].astype(np.int64)
+
+
+def running_grams(points: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[tuple[list[str], np.ndarray]]:
+    """(grams, counts) of the longest grams, in pieces that may repeat a gram."""
+    for _, codes, at, reach in _pieces(points, offsets, depth):
+        low = max(int(at.min(initial=0)) - depth, 0)
+        chars = points[low:int(at.max(initial=-1)) + 1].tobytes().decode("utf-32-le", "surrogatepass")
+        yield [chars[x:y] for x, y in zip((at - reach - low).tolist(), (at + 1 - low).tolist())], np.bincount(codes, minlength=len(at))
+
+
+def running_scores(model: charmodel.HashModel, points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """log10 probability of each running text; each distinct gram of a piece is looked up once."""
+    out = np.zeros(len(offsets) - 1)
+    for text, codes, at, reach in _pieces(points, offsets, model.depth):
+        if len(text):
+            logp = model.look_up(points, at, reach)
+            out[text[0]:text[-1] + 1] += np.bincount(text - text[0], weights=logp[codes])
+    return out
+
+
+def _words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    return split_words(pc.ascii_lower(texts(batch.column(1))))
+
+
+def _held(batch: pa.RecordBatch) -> np.ndarray:
+    return np.array([held_out(i) for i in batch.column(0).to_pylist()], bool)
+
+
+def blocks(docs: DataFrame, model, depth: int) -> DataFrame:
+    """Documents (doc_id, text) with their scores as word codes of their block, and
+    the words of each block with their occurrences in documents that are not held
+    out.  Without a broadcast model the documents' grams follow instead of scores."""
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.float64(), pa.string(), pa.int32(),
+             pa.int64(), pa.string()]
+
+    def rows_of(n: int, block: int, **columns) -> pa.RecordBatch:
+        columns["block"] = pa.array(np.full(n, block))
         return pa.RecordBatch.from_arrays(
             [columns[c] if c in columns else pa.nulls(n, kind) for c, kind in zip(names, kinds)], names)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for k, batch in enumerate(batches(rows, text=1, max_bytes=BLOCK_BYTES)):
-            words, offsets = split_words(pc.ascii_lower(texts(batch.column(1))))
+            words, offsets = _words(batch)
+            held, n, block = _held(batch), batch.num_rows, (part << 32) + k
+            points, starts = charmodel.running(words, offsets, np.arange(n))
+            score = pa.nulls(n, pa.float64())
+            if model is not None:
+                score = pa.array(running_scores(model.value, points, starts))
+            else:
+                for text, grams, counts in charmodel.running_grams(points, starts, depth, apart=True):
+                    yield rows_of(len(grams), block, place=pa.array(text.astype(np.int32)), gram=pa.array(grams, pa.string()),
+                                  seen=pa.array(counts.astype(np.int64)))
+            del points
             codes, vocabulary = encode(words)
             # the most frequent words get the smallest codes
             order = np.argsort(-np.bincount(codes, minlength=len(vocabulary)), kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             codes, vocabulary = rank[codes], vocabulary.take(pa.array(order))
-            ids = batch.column(0).to_pylist()
-            held = np.array([held_out(i) for i in ids], bool)
-            n, v, block = len(ids), max(len(vocabulary), 1), (part << 32) + k
-            group = texts(batch.column(2)).dictionary_encode()
-            own = group.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            learns = ~held[owners(offsets)]
-            key, seen = np.unique(own[owners(offsets)][learns] * v + codes[learns], return_counts=True)
-            silent = np.setdiff1d(np.arange(len(vocabulary)), key % v)
-            key, seen = np.concatenate([key, silent]), np.concatenate([seen, np.zeros(len(silent), np.int64)])
-            code = key % v
-            asks = np.zeros(len(key), bool)
-            asks[np.unique(code, return_index=True)[1]] = True
+            seen = np.bincount(codes[~held[owners(offsets)]], minlength=len(vocabulary)).astype(np.int64)
             yield rows_of(
-                n, block=pa.array(np.full(n, block)), doc_id=batch.column(0).cast(pa.int64()), held_out=pa.array(held),
-                n_tokens=pa.array(np.diff(offsets) + 1), grp=texts(batch.column(2)),
+                n, block, place=pa.array(np.arange(n, dtype=np.int32)), doc_id=batch.column(0).cast(pa.int64()),
+                held_out=pa.array(held), n_tokens=pa.array(np.diff(offsets) + 1), score=score,
                 codes=pa.array(_packed_codes(codes, offsets), pa.binary()))
-            m = len(key)
-            yield rows_of(
-                m, block=pa.array(np.full(m, block)), grp=group.dictionary.take(pa.array(key // v)),
-                word=vocabulary.take(pa.array(code)), code=pa.array(code.astype(np.int32)), seen=pa.array(seen),
-                asks=pa.array(asks))
+            yield rows_of(len(vocabulary), block, word=vocabulary, code=pa.array(np.arange(len(vocabulary), dtype=np.int32)),
+                          seen=pa.array(seen))
 
-    return docs.select("doc_id", "text", "grp").mapInArrow(run, BLOCKS)
+    return docs.select("doc_id", "text").mapInArrow(run, BLOCKS)
 
 
-def count_grams(words: DataFrame, depth: int, hold: int = 400_000) -> DataFrame:
-    """(grp, gram, c) from (word, c), pre-summed over ``hold`` words at a time."""
+def count_grams(docs: DataFrame, depth: int) -> DataFrame:
+    """(grp, gram, c): occurrences of the longest grams in the texts of (doc_id,
+    text) that are not held out, pre-summed in each task; ``grp`` is empty."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> pa.RecordBatch:
-            grams, counts = charmodel.gram_counts(own, np.concatenate(weights), depth)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([""] * len(grams)), pa.array(grams, pa.string()), pa.array(counts)], ["grp", "gram", "c"])
-
-        own: list[str] = []
-        weights: list[np.ndarray] = []
-        for batch in batches(rows):
-            own += batch.column(0).to_pylist()
-            weights.append(batch.column(1).to_numpy())
-            if len(own) >= hold:
-                yield flush()
-                own, weights = [], []
+        own: list[pa.Table] = []
+
+        def merged() -> pa.Table:
+            one = pa.concat_tables(own).group_by("gram").aggregate([("c", "sum")])
+            return pa.table({"gram": one["gram"], "c": one["c_sum"]})
+
+        def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            for batch in table.to_batches(max_chunksize=1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array([""] * batch.num_rows), *batch.columns], ["grp", "gram", "c"])
+
+        for batch in batches(rows, text=1, max_bytes=BLOCK_BYTES):
+            words, offsets = _words(batch)
+            points, starts = charmodel.running(words, offsets, np.flatnonzero(~_held(batch)))
+            for grams, counts in running_grams(points, starts, depth):
+                own.append(pa.table({"gram": pa.array(grams, pa.string()), "c": counts.astype(np.int64)}))
+                if sum(t.num_rows for t in own[1:]) > _HOLD:
+                    own = [merged()]
+                    if own[0].num_rows > _HOLD:
+                        yield from out(own.pop())
         if own:
-            yield flush()
+            yield from out(merged())
 
-    return words.select("word", "c").mapInArrow(run, "grp string, gram string, c long").groupBy("grp", "gram").agg(
+    return docs.select("doc_id", "text").mapInArrow(run, "grp string, gram string, c long").groupBy("grp", "gram").agg(
         F.sum("c").alias("c"))
 
 
-def learn(words: DataFrame, depth: int = 6, min_count: int = 20, min_divergence: float = 12.0) -> tuple[DataFrame, DataFrame]:
-    """The tree over (word, c) as the tables (grams, contexts) of ``charmodel``.
+def learn(docs: DataFrame, depth: int, min_count: int, min_divergence: float) -> tuple[DataFrame, DataFrame]:
+    """The tree over the texts of (doc_id, text) that are not held out, as the
+    tables (grams, contexts) of ``charmodel``.
 
-    ``min_divergence`` is in nats, weighted by the context's count.
+    ``min_divergence`` is in nats, weighted by the context's count.  The logarithms
+    are floats, as in the hash arrays, so joins with the tables score alike.
     """
-    counts = materialise(count_grams(words, depth), "counts", free=True)
+    counts = materialise(count_grams(docs, depth), "counts", free=True)
     levels = [materialise(charmodel.split_gram(x), "level") for x in charmodel.level_counts(counts, depth, continuation=False)]
     stats = [x.groupBy("ctx").agg(F.sum("c").alias("n"), F.count("*").alias("kinds")) for x in levels]
     kept: list[DataFrame | None] = [None] * (depth + 1)
@@ -199,99 +262,59 @@ def learn(words: DataFrame, depth: int = 6, min_count: int = 20, min_divergence:
                 below.select(F.col("ctx").alias("short"), "sym", "p"), ["short", "sym"])
         p = (F.col("c") + F.col("kinds") * F.col("p")) / (F.col("n") + F.col("kinds"))
         below = materialise(own.select("ctx", "sym", p.alias("p"), "n", "kinds"), "probabilities")
-        one = below.select(F.lit("").alias("grp"), "ctx", "sym", F.log10("p").alias("logp"))
-        two = below.select(F.lit("").alias("grp"), "ctx", F.log10(F.col("kinds") / (F.col("n") + F.col("kinds"))).alias("logw")).distinct()
+        one = below.select(F.lit("").alias("grp"), "ctx", "sym", F.log10("p").cast("float").alias("logp"))
+        two = below.select(F.lit("").alias("grp"), "ctx", F.log10(
+            F.col("kinds") / (F.col("n") + F.col("kinds"))).cast("float").alias("logw")).distinct()
         grams = one if grams is None else grams.union(one)
         contexts = two if contexts is None else contexts.union(two)
     return materialise(grams, "grams", free=True), materialise(contexts, "contexts")
 
 
-def _discount(once: int, twice: int) -> float:
-    return once / (once + 2 * twice) if once else 0.5
-
-
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_col: str = "lang", depth: int = 6,
-                min_count: int = 20, min_divergence: float = 12.0, max_model_bytes: int = 256 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, min_count: int = 8,
+                min_divergence: float = 6.0, max_model_bytes: int = 64 << 20) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
     Learns from the rows that are not held out.  Null texts are empty (one
-    token, the end); a null id counts as the empty id text, a null group as a
-    group of its own.  Repeated rows are counted and scored each; without
-    training rows the base is uniform and the tree knows no symbol.  An empty
-    table gives no rows.  One number set per group reaches the driver.  Scores add
-    up log-probabilities kept in single precision.
+    token, the end); a null id counts as the empty id text.  Repeated rows are
+    counted and scored each; without training rows the base is uniform and the
+    tree knows no symbol.  An empty table gives no rows.  The tree is broadcast
+    up to ``max_model_bytes``; beyond it the same scores come from joins.
     """
     spark = docs.sparkSession
-    parts = materialise(blocks(pick(docs, doc_id=f"{id_col}:long", text=f"{text_col}:string", grp=f"{group_col}:string")),
-                        "blocks")
-    asked = parts.where("word IS NOT NULL").select("word", "grp", "block", "code", "seen", "asks")
-    rows = parts.where("codes IS NOT NULL").select("block", "doc_id", "held_out", "n_tokens", "codes", "grp")
-    per = asked.groupBy("word", "grp").agg(F.sum("seen").alias("n"))
-    vocabulary = materialise(per.groupBy("word").agg(
-        F.sum("n").alias("c"), F.collect_list(F.when(F.col("n") > 0, F.struct("grp", "n"))).alias("by")), "vocabulary", free=True)
-    total, kinds, once, twice = vocabulary.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), *(F.count_if(x) for x in (F.col("c") > 0, F.col("c") == 1, F.col("c") == 2))).first()
-    ended = {r["grp"]: r["n"] for r in rows.where("NOT held_out").groupBy("grp").agg(F.count("*").alias("n")).collect()}
-    ends = sum(ended.values())
+    own = pick(docs, doc_id=f"{id_col}:long", text=f"{text_col}:string")
+    grams, contexts = learn(own, depth, min_count, min_divergence)
+    model = charmodel.collect_model(grams, contexts, depth, max_model_bytes)
+    if model is not None:
+        model.groups.setdefault("", 0)      # without training rows: every symbol is new
+        model = spark.sparkContext.broadcast(model)
+    parts = materialise(blocks(own, model, depth), "blocks")
+    rows = parts.where("codes IS NOT NULL").select("block", "place", "doc_id", "held_out", "n_tokens", "codes", "score")
+    if model is None:
+        asked = parts.where("gram IS NOT NULL").select(F.lit("").alias("grp"), "block", "place", "gram", "seen")
+        logp = charmodel.grams_by_join(asked.select("grp", "gram").distinct(), grams, contexts)
+        summed = asked.join(logp, ["grp", "gram"]).groupBy("block", "place").agg(F.sum(F.col("seen") * F.col("logp")).alias("score"))
+        rows = rows.drop("score").join(summed, ["block", "place"])
+    words = parts.where("word IS NOT NULL").select("word", "block", "code", "seen")
+    vocabulary = materialise(words.groupBy("word").agg(F.sum("seen").alias("c")), "vocabulary", free=True)
+    total, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    ends = rows.where("NOT held_out").count()
     n_train, v = total + ends, kinds + (ends > 0)
-
-    trained = vocabulary.where("c > 0").select("word", F.lit(1).cast("long").alias("c"))
-    end = spark.createDataFrame([(END_TOKEN, 1)], "word string, c long")
-    grams, contexts = learn(trained.union(end) if ends else trained, depth, min_count, min_divergence)
-    words = vocabulary.select("word").union(end.select("word")).distinct()
-    scored = materialise(charmodel.score_words(words.select(F.lit("").alias("grp"), "word"), grams, contexts, depth,
-                                               max_model_bytes).select("word", "logp"), "scores", free=True)
-
-    split = vocabulary.select("c", F.explode("by").alias("g")).select("c", "g.*")
-    groups = split.groupBy("grp").agg(
-        F.sum("n").alias("total"), F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("once"),
-        F.count_if(F.col("n") == 2).alias("twice"),
-        F.sum(F.col("n") * F.log(F.col("n") / F.col("c"))).alias("gain")).orderBy("grp").collect()
-    kept = [g for g in groups if g["total"] >= min_count
-            and g["gain"] + g["total"] * log(total / g["total"]) >= min_divergence]
-    off = _discount(once, twice)
-    novel = off * v / n_train if n_train else 1.0
-    spelled = F.pow(F.lit(10.0), F.nanvl("logp", F.lit(-log10(charmodel.CODE_POINTS))))
-    root = lambda c: F.greatest(c - F.lit(off), F.lit(0.0)) / max(n_train, 1) + F.lit(novel) * spelled
-
-    def states(p, count):
-        """log10 of a token's probability from the root and from each retained context."""
-        out = [F.log10(p)]
-        for g in kept:
-            size, d = g["total"] + ended.get(g["grp"], 0), _discount(g["once"], g["twice"])
-            out.append(F.log10(F.greatest(count(g["grp"]) - d, F.lit(0.0)) / size + d * (g["kinds"] + 1) / size * p))
-        return F.array(*out)
-
-    end_states = scored.where(F.col("word") == END_TOKEN).select(
-        states(root(F.lit(ends)), lambda g: F.lit(ended.get(g, 0)))).first()[0]
-    inside = sum(ended.get(g["grp"], 0) for g in kept)
-    prior = np.log10(np.array([ends - inside + 1] + [max(ended.get(g["grp"], 0), 1e-3) for g in kept]) / (ends + 1))
-    known = vocabulary.join(scored, "word").withColumn("at", F.map_from_entries("by")).select(
-        "word", "c", states(root(F.col("c")), lambda g: F.coalesce(F.col("at")[g], F.lit(0))).alias("logp"))
     # many answers to one block travel in one row
-    answers = asked.where("asks").select("word", "block", "code").join(known, "word").select(
-        F.col("block").alias("asker"), "code", "c", "logp").mapInArrow(
-            _packed_answers(len(kept) + 1), "asker long, code binary, c binary, logp binary")
-    held = spark.sparkContext.broadcast((n_train, v, ends, np.array(end_states), prior))
+    answers = words.join(vocabulary, "word").select(F.col("block").alias("asker"), "code", "c").mapInArrow(
+        _packed_answers(), "asker long, code binary, c binary")
 
     def run(docs_: pa.Table, words_: pa.Table) -> pa.Table:
-        total_, kinds_, ends_, end_, prior_ = held.value
-        code, c, logp = (np.frombuffer(b"".join(words_[k].to_pylist()), kind) for k, kind in (
-            ("code", "<u4"), ("c", "<i8"), ("logp", "<f4")))
-        at = np.empty(len(code), np.int64)
-        at[code] = np.arange(len(code))
-        c, logp = c[at], logp.reshape(len(code), len(end_))[at].astype(np.float64)
-        base = np.log10((np.append(c, ends_) + 0.1) / (total_ + 0.1 * (kinds_ + 1)))
+        code, counts = (np.frombuffer(b"".join(words_[k].to_pylist()), kind) for k, kind in (("code", "<u4"), ("c", "<i8")))
+        c = np.empty(len(code), np.int64)
+        c[code] = counts
+        base = np.log10((np.append(c, ends) + 0.1) / (n_train + 0.1 * (v + 1)))
         codes, offsets = _unpacked_codes(docs_["codes"].combine_chunks())
-        sums = np.stack([per_text(logp[codes, k], offsets) + end_[k] + prior_[k] for k in range(len(end_))])
-        best = sums.max(0)
         return pa.table({
             "doc_id": docs_["doc_id"], "held_out": docs_["held_out"], "n_tokens": docs_["n_tokens"],
-            "n_known": per_text((c > 0).astype(np.int64)[codes], offsets) + int(ends_ > 0),
-            "train_tokens": np.full(len(offsets) - 1, total_, np.int64),
-            "base_score": per_text(base[:-1][codes], offsets) + base[-1],
-            "score": best + np.log10((10.0 ** (sums - best)).sum(0))})
+            "n_known": per_text((c > 0).astype(np.int64)[codes], offsets) + int(ends > 0),
+            "train_tokens": np.full(len(offsets) - 1, n_train, np.int64),
+            "base_score": per_text(base[:-1][codes], offsets) + base[-1], "score": docs_["score"]})
 
-    return rows.drop("grp").groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(
+    return rows.drop("place").groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

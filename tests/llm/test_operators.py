@@ -263,29 +263,83 @@ def test_suffix_tree_contract_columns(docs, none):
     assert suffix_tree.score_texts(none).count() == 0
 
 
-def test_suffix_tree_joins_equal_arrays(spark, docs):
-    words = spark.createDataFrame([(w, 1) for w in sorted(set(WORDS.findall(PROSE + " " + LONG)))], "word string, c long")
-    grams, contexts = suffix_tree.learn(words, depth=4, min_count=3, min_divergence=1.0)
-    ask = spark.createDataFrame([("", w) for w in ["the", "w12x3", "unseen", "éé", "w"]], "grp string, word string")
-    a = dict(got(charmodel.score_words(ask, grams, contexts, 4), "word", "logp"))
-    b = dict(got(charmodel.score_words(ask, grams, contexts, 4, max_bytes=0), "word", "logp"))
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-4 for k in a)
-    kept = {r["ctx"] for r in contexts.collect()}
-    assert all(c[1:] in kept for c in kept if c)      # with a context go its suffixes
-
-
-def test_suffix_tree_beats_the_base_on_held_out_text(spark):
+def brute_tree_scores(data, depth, min_count, min_divergence):
+    """Scores of (doc_id, text) by a suffix tree grown context by context."""
+    runs, learns = [], []
+    for i, text in data:
+        runs.append("\x02" + " ".join(WORDS.findall(low(text or ""))) + "\x03")
+        learns.append(zlib.crc32(("" if i is None else str(i)).encode()) % 10 != 0)
+    counts = collections.defaultdict(collections.Counter)
+    for run, own in zip(runs, learns):
+        for k in range(1, len(run) if own else 0):
+            for n in range(min(depth, k) + 1):
+                counts[run[k - n:k]][run[k]] += 1
+    kept = {""}
+    for ctx in counts:
+        n, parent = sum(counts[ctx].values()), counts[ctx[1:]]
+        gain = sum(c * math.log(c / n / (parent[s] / sum(parent.values()))) for s, c in counts[ctx].items()) if ctx else 0
+        if ctx and n >= min_count and gain >= min_divergence:
+            kept |= {ctx[k:] for k in range(len(ctx))}
+
+    def p(ctx, s):
+        below = p(ctx[1:], s) if ctx else 1 / charmodel.CODE_POINTS
+        kinds, n = len(counts[ctx]), sum(counts[ctx].values())
+        return (counts[ctx][s] + kinds * below) / (n + kinds) if n else below
+
+    return [sum(math.log10(p(next(run[k - n:k] for n in range(min(depth, k), -1, -1) if run[k - n:k] in kept), run[k]))
+                for k in range(1, len(run))) for run in runs]
+
+
+@pytest.mark.parametrize("piece", [1 << 21, 50])
+def test_suffix_tree_against_brute_force(spark, docs, monkeypatch, piece):
+    monkeypatch.setattr(suffix_tree, "_PIECE", piece)
+    data = [(r[0], r[1]) for r in rows()]
+    expected = [(i, round(s, 2)) for (i, _), s in zip(data, brute_tree_scores(data, 4, 3, 1.0))]
+    for size in (64 << 20, 0):                            # broadcast arrays, joins
+        out = suffix_tree.score_texts(docs, depth=4, min_count=3, min_divergence=1.0, max_model_bytes=size).collect()
+        assert want((r["doc_id"], round(r["score"], 2)) for r in out) == want(expected)
+
+
+def test_running_grams_against_brute_force():
+    import random
+    rnd = random.Random(3)
+    # so many symbols that packed grams must be made dense on the way
+    words = [["".join(chr(rnd.randrange(0x4E00, 0x4E00 + size)) for _ in range(200))] for size in (4, 20000)] + [[], ["\x00\x00a"]]
+    runs = ["\x02" + " ".join(w) + "\x03" for w in words]
+    points = np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32)
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+    expected = collections.Counter(r[max(k - 6, 0):k + 1] for r in runs for k in range(1, len(r)))
+    found = collections.Counter()
+    for grams, counts in suffix_tree.running_grams(points, offsets, 6):
+        found.update(dict(zip(grams, counts.tolist())))
+    assert found == expected
+    for apart in (False, True):
+        found = collections.Counter()
+        for _, grams, counts in charmodel.running_grams(points, offsets, 6, apart):
+            found.update(dict(zip(grams, counts.tolist())))
+        assert found == expected
+
+
+def test_suffix_tree_hears_the_order_of_words(spark):
     import random
     ship(spark)
     rnd = random.Random(4)
-    parts = {"x": ["ka", "to", "mi", "ra", "ne"], "y": ["sch", "un", "ge", "ber", "lich"]}
+    follows = {w: [w + "ka", "to" + w[:2]] for w in ["mi", "ra", "ne", "lu"]}
     data = []
     for k in range(400):
-        g = rnd.choice("xy")
-        data.append((k, " ".join("".join(rnd.choice(parts[g]) for _ in range(rnd.randint(1, 4))) for _ in range(60)), g))
-    out = suffix_tree.score_texts(spark.createDataFrame(data, "doc_id long, text string, lang string")).where("held_out")
-    r = out.selectExpr("sum(base_score) b", "sum(score) s", "count(*) n").first()
-    assert r["n"] > 20 and r["s"] > r["b"]
+        first = [rnd.choice(list(follows)) for _ in range(40)]
+        data.append((k, " ".join(f"{w} {rnd.choice(follows[w])}" for w in first)))
+    held = [k for k, _ in data if zlib.crc32(str(k).encode()) % 10 == 0]
+    for k in held:                                        # the same words in another order, held out too
+        words = data[k][1].split()
+        rnd.shuffle(words)
+        data.append((next(n for n in range(1000 + 100 * k, 10 ** 6) if zlib.crc32(str(n).encode()) % 10 == 0), " ".join(words)))
+    out = {r["doc_id"]: r for r in suffix_tree.score_texts(spark.createDataFrame(data, "doc_id long, text string"))
+           .where("held_out").collect()}
+    shuffled = [i for i, _ in data[400:]]
+    assert len(held) > 20 and all(abs(out[a]["base_score"] - out[b]["base_score"]) < 1e-6 and out[a]["score"] > out[b]["score"] + 1
+                                  for a, b in zip(held, shuffled))
+    assert all(out[a]["score"] > out[a]["base_score"] for a in held)
 
 
 def brute_repeats(items, length):
