@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import charmodel
-from basketry.llm.common import batches, encode, materialise, owners, per_text, pick, split_words, texts
+from basketry.llm.common import batches, encode, give_back, materialise, owners, per_text, pick, split_words, texts
 
 BLOCK_BYTES = 16 << 20
 #: positions counted and scored at once: more repeat each other more, and bound the arrays
-_PIECE = 1 << 21
+_PIECE = 1 << 19
 #: distinct grams held by a counting task before it passes them on
-_HOLD = 1 << 20
+_HOLD = 1 << 19
+#: words of the texts turned into code points at once, or one longer text
+_WORDS = 1 << 19
 BLOCKS = ("block long, place int, doc_id long, held_out boolean, n_tokens long, codes binary, score double, word string, "
           "code int, seen long, gram string")
 
@@ -151,6 +153,14 @@ def _words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
     return split_words(pc.ascii_lower(texts(batch.column(1))))
 
 
+def _runs(words: pa.Array, offsets: np.ndarray, some: np.ndarray):
+    """Runs of the texts ``some``, each with its code points and offsets."""
+    run = np.cumsum(np.diff(offsets)[some]) // _WORDS
+    for part in np.split(some, np.flatnonzero(np.diff(run)) + 1):
+        yield part, *charmodel.running(words, offsets, part)
+        give_back()
+
+
 def _held(batch: pa.RecordBatch) -> np.ndarray:
     return np.array([held_out(i) for i in batch.column(0).to_pylist()], bool)
 
@@ -173,15 +183,14 @@ def blocks(docs: DataFrame, model, depth: int) -> DataFrame:
         for k, batch in enumerate(batches(rows, text=1, max_bytes=BLOCK_BYTES)):
             words, offsets = _words(batch)
             held, n, block = _held(batch), batch.num_rows, (part << 32) + k
-            points, starts = charmodel.running(words, offsets, np.arange(n))
-            score = pa.nulls(n, pa.float64())
-            if model is not None:
-                score = pa.array(running_scores(model.value, points, starts))
-            else:
+            score = np.zeros(n)
+            for some, points, starts in _runs(words, offsets, np.arange(n)):
+                if model is not None:
+                    score[some] = running_scores(model.value, points, starts)
+                    continue
                 for text, grams, counts in charmodel.running_grams(points, starts, depth, apart=True):
-                    yield rows_of(len(grams), block, place=pa.array(text.astype(np.int32)), gram=pa.array(grams, pa.string()),
-                                  seen=pa.array(counts.astype(np.int64)))
-            del points
+                    yield rows_of(len(grams), block, place=pa.array(some[text].astype(np.int32)),
+                                  gram=pa.array(grams, pa.string()), seen=pa.array(counts.astype(np.int64)))
             codes, vocabulary = encode(words)
             # the most frequent words get the smallest codes
             order = np.argsort(-np.bincount(codes, minlength=len(vocabulary)), kind="stable")
@@ -191,7 +200,7 @@ def blocks(docs: DataFrame, model, depth: int) -> DataFrame:
             seen = np.bincount(codes[~held[owners(offsets)]], minlength=len(vocabulary)).astype(np.int64)
             yield rows_of(
                 n, block, place=pa.array(np.arange(n, dtype=np.int32)), doc_id=batch.column(0).cast(pa.int64()),
-                held_out=pa.array(held), n_tokens=pa.array(np.diff(offsets) + 1), score=score,
+                held_out=pa.array(held), n_tokens=pa.array(np.diff(offsets) + 1), score=pa.array(score),
                 codes=pa.array(_packed_codes(codes, offsets), pa.binary()))
             yield rows_of(len(vocabulary), block, word=vocabulary, code=pa.array(np.arange(len(vocabulary), dtype=np.int32)),
                           seen=pa.array(seen))
@@ -216,13 +225,13 @@ def count_grams(docs: DataFrame, depth: int) -> DataFrame:
 
         for batch in batches(rows, text=1, max_bytes=BLOCK_BYTES):
             words, offsets = _words(batch)
-            points, starts = charmodel.running(words, offsets, np.flatnonzero(~_held(batch)))
-            for grams, counts in running_grams(points, starts, depth):
-                own.append(pa.table({"gram": pa.array(grams, pa.string()), "c": counts.astype(np.int64)}))
-                if sum(t.num_rows for t in own[1:]) > _HOLD:
-                    own = [merged()]
-                    if own[0].num_rows > _HOLD:
-                        yield from out(own.pop())
+            for _, points, starts in _runs(words, offsets, np.flatnonzero(~_held(batch))):
+                for grams, counts in running_grams(points, starts, depth):
+                    own.append(pa.table({"gram": pa.array(grams, pa.string()), "c": counts.astype(np.int64)}))
+                    if sum(t.num_rows for t in own[1:]) > _HOLD:
+                        own = [merged()]
+                        if own[0].num_rows > _HOLD:
+                            yield from out(own.pop())
         if own:
             yield from out(merged())
 
