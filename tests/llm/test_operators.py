@@ -9,7 +9,9 @@ import os
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import bpe, charmodel, dac, decontaminate, licenses, line_spread, quality, repeats, sharding, simhash, suffix_tree
@@ -392,35 +394,101 @@ def test_repeats_against_brute_force(spark, docs, none):
     assert got(repeats.remove_repeats(again), "doc_id", "n_removed") == [(1, 0), (1, 0), (2, 900)]
 
 
-def test_licenses_against_brute_force(docs, none):
-    expected = []
-    for r in rows():
-        text = r[1] or ""
-        w = licenses.words_of(text)
-        places, labels = [], set()
-        for phrase, label in licenses.PHRASES.items():
-            p = phrase.split()
-            hits = [k for k in range(len(w) - len(p) + 1) if w[k:k + len(p)] == p]
-            places += hits
-            labels |= {label} if hits else set()
-        base, score = set(labels), 1.0 if labels else 0.0
-        for label, notice in licenses.TEMPLATES:
-            own = set(licenses.words_of(notice))
-            blocks = text.split("\n")
-            if len(own) > licenses.LINE_WORDS:
-                blocks = re.split(r"\n(?:[^0-9A-Za-z\x80-\U0010ffff]*\n)+", text)
+def plain_licenses(text):
+    """The digest columns of one text, every block and every run tried."""
+    text = text or ""
+    w = licenses.words_of(text)
+    places, labels = [], set()
+    for phrase, label in licenses.PHRASES.items():
+        p = phrase.split()
+        hits = [k for k in range(len(w) - len(p) + 1) if w[k:k + len(p)] == p]
+        places += hits
+        labels |= {label} if hits else set()
+    base, score = set(labels), 1.0 if labels else 0.0
+    paragraphs = [licenses.words_of(b) for b in re.split(r"\n(?:[^0-9A-Za-z\x80-\U0010ffff]*\n)+", text)]
+    for label, notice, signs in licenses.TEMPLATES:
+        own = list(dict.fromkeys(licenses.words_of(notice)))
+        signs = [" " + " ".join(licenses.words_of(x)) + " " for x in signs]
+        short = len(own) <= licenses.RUN_WORDS
+        size = licenses.reach(len(licenses.words_of(notice)))
+        for p in paragraphs:
+            blocks = [p[i:i + n] for i in range(len(p)) if p[i] in own for n in range(1, size + 1)] if short else [p]
             for b in blocks:
-                share = len(own & set(licenses.words_of(b))) / len(own)
-                if share >= 0.8 - 1e-9:
-                    labels.add(label)
-                    score = max(score, share)
-        expected.append((r[0], len(w), len(places), min(places, default=None), max(places, default=None),
-                         ",".join(sorted(base)), ",".join(sorted(labels)), score))
-    out = licenses.scan(docs)
-    assert got(out, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score") == want(expected)
+                first = [b.index(x) for x in own if x in b]
+                if (not short or first == sorted(first)) and all(x in f" {' '.join(b)} " for x in signs):
+                    if len(first) / len(own) >= 0.8 - 1e-9:
+                        labels.add(label)
+                        score = max(score, len(first) / len(own))
+    return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(
+        sorted(labels)), score
+
+
+DIGEST = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def test_licenses_against_brute_force(docs, none):
+    expected = [(r[0], *plain_licenses(r[1])) for r in rows()]
+    assert got(licenses.scan(docs), *DIGEST) == want(expected)
     assert licenses.scan(none).count() == 0
 
 
+def license_texts():
+    """Every notice whole, wrapped, with words lost, added and swapped, and beside others."""
+    rng = np.random.default_rng(5)
+    out = []
+    for _, notice, _ in licenses.TEMPLATES:
+        w = notice.split()
+        out += [notice, "\n".join(w), "Some words before it.\n" + " ".join(w[:len(w) // 2]) + "\n# " + " ".join(w[len(w) // 2:])]
+        for _ in range(3):
+            x = list(w)
+            del x[int(rng.integers(len(x)))]
+            x.insert(int(rng.integers(len(x) + 1)), "really")
+            a, b = rng.integers(len(x), size=2)
+            out.append(" ".join(x) + " the end")
+            x[a], x[b] = x[b], x[a]
+            out.append(" ".join(x))
+        out.append("\n\n".join([notice, *(licenses.TEMPLATES[int(k)][1] for k in rng.integers(len(licenses.TEMPLATES), size=2))]))
+        out.append(" ".join([notice, licenses.TEMPLATES[int(rng.integers(len(licenses.TEMPLATES)))][1]]))
+    return out
+
+
+def test_licenses_in_many_forms(spark):
+    ship(spark)
+    data = list(enumerate(license_texts()))
+    expected = [(k, *plain_licenses(x)) for k, x in data]
+    table = spark.createDataFrame(data, "doc_id long, text string")
+    found = got(licenses.scan(table), *DIGEST)
+    assert found == want(expected)
+    own = duckdb.connect()
+    own.register("documents", pa.table({"doc_id": [k for k, _ in data], "text": [x for _, x in data]}))
+    columns = ", ".join(DIGEST)
+    assert want(own.execute(f"SELECT {columns} FROM ({licenses.license_sql()})").fetchall()) == found
+
+
+def test_licenses_tell_versions_and_variants_apart(spark):
+    ship(spark)
+    texts = {
+        "Licensed under CC BY 4.0.": "cc-by,cc-by-4.0", "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa-4.0",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc-4.0", "Licensed under CC BY-NC 2.5.": "cc-by",
+        "This work is licensed under the GNU General Public License, version 2.": "gpl,gpl-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "lgpl-3.0",
+        "Released under the BSD License.": "bsd", "Released under the MIT License.": "mit,mit-notice",
+        "Creative Commons Attribution-ShareAlike 4.0 International": "",
+        "The work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "cc-by-sa-4.0",
+        "All the rights of the tenants were reserved by the city.": "", "Reserved rights for all.": "",
+        "Licensed under the Apache License, Version 1.1.": "apache", "SPDX-License-Identifier: LGPL-2.1-only": "lgpl-2.1",
+    }
+    data = list(enumerate(texts))
+    out = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert {x: out[k] for k, x in data} == texts
+    # a notice gets the labels of no other version or variant of its family
+    notices = [(k, label, notice) for k, (label, notice, _) in enumerate(licenses.TEMPLATES)]
+    out = licenses.scan(spark.createDataFrame([(k, n) for k, _, n in notices], "doc_id long, text string")).collect()
+    found = {r["doc_id"]: set(r["labels"].split(",")) - set(licenses.PHRASES.values()) for r in out}
+    assert all(found[k] == {label} for k, label, _ in notices)
+
+
 def test_line_spread_against_brute_force(docs, none):
     data = rows()
     sites = collections.defaultdict(set)
@@ -538,7 +606,6 @@ def test_quality_rejects_words_in_random_order(spark):
 
 
 def test_running_ranges_equal_one_range(monkeypatch):
-    import pyarrow as pa
     words = pa.array("a bb é the 🙂🙂 end x y z".split())
     points, ends = charmodel.running(words, np.array([0, 3, 3, 7, 9]), np.array([0, 2, 3]))
     total = collections.Counter()
