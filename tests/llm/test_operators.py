@@ -716,3 +716,39 @@ def test_dac_access_reads_only_the_blocks_asked_for(monkeypatch):
     assert sum(looked) <= len(d.levels) * 100 * (dac.BLOCK_BITS // 8 + 1) < len(ids) // 8
     every = np.arange(len(ids))
     assert (d.access(every) == ids).all() and (d.access(every[::-1]) == ids[::-1]).all()
+
+
+def test_licenses_list_runs_that_overlap(spark):
+    ship(spark)
+    rng = np.random.default_rng(11)
+    notice = "This work is licensed under a Creative Commons Attribution 4.0 International License."
+    texts = [f"This work is licensed {notice}", f"{notice} License. {notice}", " ".join([notice] * 40)]
+    own = {k: licenses.words_of(n) for k, (_, n, _) in enumerate(licenses.TEMPLATES) if len(set(licenses.words_of(n))) <= licenses.RUN_WORDS}
+    for k in own:
+        w = own[k] + own[k][:int(rng.integers(1, len(own[k]) + 1))] + own[k]
+        del w[int(rng.integers(len(w)))]
+        texts.append(" ".join(w))
+
+    def every(text):
+        """The longest run from each start, without those inside another."""
+        w, out = licenses.words_of(text), set()
+        for k, words in own.items():
+            distinct, size, found = list(dict.fromkeys(words)), licenses.reach(len(words)), []
+            signs = [" " + " ".join(licenses.words_of(x)) + " " for x in licenses.TEMPLATES[k][2]]
+            for a in (a for a in range(len(w)) if w[a] in words):
+                best = None
+                for z in range(a + 1, min(a + size, len(w)) + 1):
+                    first = [w[a:z].index(x) for x in distinct if x in w[a:z]]
+                    if first == sorted(first) and len(first) >= 0.8 * len(distinct) - 1e-9 and all(x in f" {' '.join(w[a:z])} " for x in signs):
+                        if best is None or len(first) > best[2] or not all(x in f" {' '.join(w[a:best[1]])} " for x in signs):
+                            best = (a, z, len(first))
+                if best:
+                    found.append(best)
+            out |= {(k, a, z - a, n / len(distinct)) for a, z, n in found
+                    if not any((x, y) != (a, z) and x <= a and z <= y for x, y, _ in found)}
+        return out
+
+    out = {r["doc_id"]: r["matches"] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    listed = {k: {(m["template"], m["first_word"], m["words"], m["containment"]) for m in ms if m["template"] in own} for k, ms in out.items()}
+    assert {(m["first_word"], m["words"], m["containment"]) for m in out[0] if m["label"] == "cc-by-4.0"} == {(0, 16, 12 / 13), (4, 13, 1.0)}
+    assert [listed[k] for k in range(len(texts))] == [every(x) for x in texts]
