@@ -245,8 +245,9 @@ def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", patience
     rows have one label only, all stay).
 
     A round does not depend on later ones, so the search first fits few rounds
-    and doubles them until it ends inside what is fitted; the model is the one
-    that fitting all rounds at once would give."""
+    and, if it does not end inside those, all of them: an ensemble is fitted
+    twice at most, and the model is the one that fitting all rounds at once
+    would give."""
     # boosting keeps a growing lineage of per-round predictions; with a
     # checkpoint folder Spark ML cuts it every ``checkpointInterval`` rounds
     ensure_checkpoint_dir(data.sparkSession)
@@ -261,7 +262,7 @@ def train_churn(data: DataFrame, rounds: int = 300, model: str = "gbt", patience
         keep = best_round([curve[k] for k in sorted(curve)], patience)
         if n == rounds or n - keep >= patience:
             return PipelineModel([*prepare, _first_trees(trees, keep)])
-        n = min(rounds, 2 * n)
+        n = rounds
 
 
 def auc_curve(model: PipelineModel, data: DataFrame) -> DataFrame:

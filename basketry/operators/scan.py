@@ -1,10 +1,10 @@
 """Distributed running sums over an ordered key.
 
-A window ordered over a whole table runs in one task.  Here the keys are cut
-into ranges (as many as a shuffle has partitions) at the quantiles of a sketch;
-each range is summed on its own, the range totals give each range its starting
-offset, and the running sum inside a range is a window partitioned by range.
-The input is written once, since the cuts, the totals and the result read it.
+A window ordered over a whole table runs in one task.  Here the rows are dealt
+by ranges of the key (as many as a shuffle has partitions) and written once with
+the number of their range; each range is summed on its own, the range totals
+give each range its starting offset, and the running sum inside a range is a
+window partitioned by range.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.quantiles import range_count, range_of, sketched_cuts
+from basketry.operators.quantiles import range_count
 from basketry.session import materialise
 
 
@@ -20,19 +20,12 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], ranges: i
                  group: str | None = None) -> DataFrame:
     """Add ``<v>_before`` = sum of ``v`` over rows with a strictly smaller
     ``order_col`` for each value column.  ``order_col`` must be unique per
-    row (group by it first); with ``group`` both hold inside each of its values
-    (as few as fit a broadcast table of their cuts)."""
-    df = materialise(df, "running")
-    k = ranges or range_count(df)
-    if group is None:
-        # one number per range reaches the driver
-        edges = F.lit(sorted(set(df.agg(sketched_cuts(order_col, k).alias("c")).first()["c"] or []))).cast("array<double>")
-        tagged = df.withColumn("_range", range_of(F.col(order_col), edges))
-    else:
-        edges = df.groupBy(F.col(group).alias("_g")).agg(F.array_distinct(sketched_cuts(order_col, k)).alias("_cuts"))
-        tagged = df.join(F.broadcast(edges), F.col(group).eqNullSafe(F.col("_g"))).withColumn(
-            "_range", range_of(F.col(order_col), F.col("_cuts"))).drop("_g", "_cuts")
+    row (group by it first); with ``group`` both hold inside each of its values,
+    and a range may hold several groups or a part of one."""
     by = [group] if group else []
+    dealt = df.repartitionByRange(ranges or range_count(df), *by, order_col)
+    # the partition is the range
+    tagged = materialise(dealt.withColumn("_range", F.spark_partition_id()), "running")
     totals = tagged.groupBy(*by, "_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     # one row per range
     over = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

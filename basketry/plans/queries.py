@@ -353,11 +353,18 @@ def q_report(spark, sf_dir):
     return churn.classification_report(churn.rule_scores(_labelled(spark, sf_dir)))
 
 
+from basketry.operators import calibration  # noqa: E402
+from basketry.session import materialise, scratch_folder  # noqa: E402
+
+
 def _split_training(spark, sf_dir):
-    return churn.churn_split(_training(spark, sf_dir, wide=False))
+    """Written once: training, scoring and the metrics read it."""
+    return materialise(churn.churn_split(_training(spark, sf_dir, wide=False)), "split")
 
 
-from basketry.operators import calibration  # noqa: E402
+def _scores(model, data):
+    """Scores that several jobs read, written once."""
+    return materialise(churn.churn_scores(model, data), "scores")
 
 
 @query("churn_calibration")
@@ -377,7 +384,7 @@ def q_churn_scores(spark, sf_dir):
 def q_churn_metrics(spark, sf_dir):
     data = _split_training(spark, sf_dir)
     model = churn.train_churn(data)
-    return churn.training_metrics(churn.churn_scores(model, data), churn.auc_curve(model, data))
+    return churn.training_metrics(_scores(model, data), churn.auc_curve(model, data))
 
 
 @query("churn_logreg")
@@ -391,7 +398,7 @@ def q_churn_logreg(spark, sf_dir):
 def q_churn_risk_bands(spark, sf_dir):
     data = _split_training(spark, sf_dir)
     model = churn.train_churn(data)
-    scores = churn.churn_scores(model, data)
+    scores = _scores(model, data)
     model = calibration.fit_calibration(scores.where(F.col("is_validation")))
     return churn.churn_risk_bands(calibration.calibrated(model, scores), _in(spark, sf_dir)["customers_dim"], score="calibrated")
 
@@ -563,7 +570,6 @@ def q_revenue_pivot(spark, sf_dir):
 
 # --- sources and sinks ----------------------------------------------------------------
 
-from basketry.session import scratch_folder  # noqa: E402
 from basketry.sources import readers, sinks  # noqa: E402
 
 

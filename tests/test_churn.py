@@ -156,3 +156,23 @@ def test_fifty_thousand_levels_train(spark):
         "int(id % 100 > 60) as churn_next_30d")
     model = churn.train_churn(churn.churn_split(data), model="logreg")
     assert churn.churn_scores(model, data.withColumn("is_validation", F.lit(True)).limit(10)).count() == 10
+
+
+def test_search_fits_an_ensemble_twice_at_most(spark, monkeypatch):
+    data = _hard(spark, 200)
+    fitted, pipeline = [], churn.churn_pipeline
+    monkeypatch.setattr(churn, "churn_pipeline", lambda data, rounds, **kw: fitted.append(rounds) or pipeline(data, rounds=rounds, **kw))
+    # a curve that rises to the last round
+    monkeypatch.setattr(churn, "prefix_auc", lambda model, rows: rows.sparkSession.range(1, model.getNumTrees + 1).selectExpr(
+        "id AS round", "id / 100.0D AS auc"))
+    model = churn.train_churn(data, rounds=40, depth=1, patience=1)
+    assert fitted == [12, 40] and model.stages[-1].getNumTrees == 40
+
+
+def test_risk_bands_read_the_shop_once(spark, monkeypatch):
+    from basketry.plans.queries import REGISTRY
+    train = churn.train_churn
+    monkeypatch.setattr(churn, "train_churn", lambda data: train(data, rounds=2, depth=2))
+    read = {f.rsplit("/", 1)[-1] if ".parquet/" not in f else f.split(".parquet/")[0].rsplit("/", 1)[-1] + ".parquet"
+            for f in REGISTRY["churn_risk_bands"](spark, "/root/testdata/sf0.001").inputFiles()}
+    assert "customer.parquet" in read and not read & {"orders.parquet", "lineitem.parquet", "events.parquet", "supplier.parquet"}
