@@ -37,17 +37,23 @@ def _text_set(c: str, sep: str) -> F.Column:
 
 
 def items_per_order(items: DataFrame, products: DataFrame) -> DataFrame:
-    """A-09: items and their products per order."""
+    """A-09: items and their products per order.
+
+    An order gathers its distinct products once, each with its categories; the
+    three text sets are taken from those (nulls do not show in joined texts)."""
     prod = products.select("product_id", "category", "subcategory")
     joined = items.where(F.col("order_id").isNotNull()).join(prod, "product_id", "left")
-    return joined.groupBy("order_id").agg(
-        F.count("order_item_id").alias("num_items"),
-        _text_set("product_id", ",").alias("products_in_order"),
-        _psum("quantity").cast("bigint").alias("total_quantity"),
-        _psum("price").cast("double").alias("total_item_price"),
-        _text_set("category", ",").alias("categories"),
-        _text_set("subcategory", ",").alias("subcategories"),
-    )
+    own = F.struct(*[F.col(c).cast("string").alias(c) for c in ("product_id", "category", "subcategory")])
+    gathered = joined.groupBy("order_id").agg(
+        F.count("order_item_id").alias("num_items"), F.collect_set(own).alias("_products"),
+        _psum("quantity").cast("bigint").alias("total_quantity"), _psum("price").cast("double").alias("total_item_price"))
+
+    def texts(c: str, name: str) -> F.Column:
+        return _join_text(F.array_distinct(F.col("_products")[c]), ",").alias(name)
+
+    return gathered.select(
+        "order_id", "num_items", texts("product_id", "products_in_order"), "total_quantity", "total_item_price",
+        texts("category", "categories"), texts("subcategory", "subcategories"))
 
 
 def returns_per_order(returns: DataFrame, with_dates: bool = False) -> DataFrame:

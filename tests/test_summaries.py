@@ -71,3 +71,16 @@ def test_items_per_customer_counts_distinct_products(spark):
     r = summaries.items_per_customer(items, orders).collect()
     assert len(r) == 1
     assert (r[0]["total_items"], r[0]["unique_products"], r[0]["total_quantity"]) == (3, 2, 4)
+
+
+def test_items_per_order_gathers_each_product_once(spark):
+    items = spark.createDataFrame(
+        [("1", "o1", "p2", 1, 1.5), ("2", "o1", "p1", 2, 2.5), ("3", "o1", "p2", 3, 3.5), ("4", "o2", None, None, None),
+         ("5", "o3", "gone", 1, 1.0), ("6", "o3", "p3", 1, 1.0), ("7", "o3", "p1", 1, 1.0), ("8", None, "p1", 1, 1.0)],
+        "order_item_id string, order_id string, product_id string, quantity long, price double").repartition(3)
+    products = spark.createDataFrame([("p1", "b", "x"), ("p2", "a", "x"), ("p3", None, "y"), ("p4", "c", "z")],
+                                     "product_id string, category string, subcategory string")
+    out = summaries.items_per_order(items, products)
+    assert sorted(map(tuple, out.collect())) == [
+        ("o1", 3, "p1,p2", 6, 7.5, "a,b", "x"), ("o2", 1, "", 0, 0.0, "", ""), ("o3", 3, "gone,p1,p3", 3, 3.0, "b", "x,y")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("collect_set(") == 1
