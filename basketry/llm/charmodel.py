@@ -44,8 +44,16 @@ def symbols(words: list[str], marks: bool = True) -> tuple[np.ndarray, np.ndarra
     return points, np.concatenate([[0], np.cumsum(lengths)])
 
 
+#: hashes of the code points below 2^16
+_HASHES = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
 def _hash_symbols(points: np.ndarray) -> np.ndarray:
-    return mix(points.astype(np.uint64) + np.uint64(1))
+    out = _HASHES[points & 0xFFFF]
+    high = np.flatnonzero(points >> 16)
+    if len(high):
+        out[high] = mix(points[high].astype(np.uint64) + np.uint64(1))
+    return out
 
 
 def context_hashes(words: list[str], group: int) -> np.ndarray:
@@ -60,7 +68,9 @@ def context_hashes(words: list[str], group: int) -> np.ndarray:
 
 
 def _context_key(h: np.ndarray, length, group: int) -> np.ndarray:
-    return mix(h ^ mix(np.asarray(length, np.uint64) + np.uint64(group << 8)))
+    length = np.asarray(length, np.int64)
+    kinds = mix(np.arange(int(length.max(initial=0)) + 1, dtype=np.uint64) + np.uint64(group << 8))
+    return mix(h ^ kinds[length])
 
 
 def _gram_key(context: np.ndarray, symbol_hash: np.ndarray) -> np.ndarray:
@@ -102,7 +112,11 @@ def _histories(points: np.ndarray, offsets: np.ndarray, a: int, b: int, depth: i
     reach = np.minimum(np.arange(a, b) - offsets[text], depth)
     history = np.zeros(b - a, np.uint64)
     for k in range(depth):
-        history += h[depth - 1 - k:depth - 1 - k + b - a] * _POWERS[k] * (reach > k)
+        history += h[depth - 1 - k:depth - 1 - k + b - a] * _POWERS[k]
+    near = np.flatnonzero(reach < depth)        # histories that a start mark cuts
+    history[near] = 0
+    for k in range(depth):
+        history[near] += h[near + (depth - 1 - k)] * _POWERS[k] * (reach[near] > k)
     at = np.flatnonzero(reach)
     return text[at], at + depth, reach[at], history[at], h
 
@@ -152,6 +166,34 @@ def split_gram(level: DataFrame) -> DataFrame:
                         F.expr("right(gram, 1)").alias("sym"), "c")
 
 
+class Keys:
+    """Sorted hashes, with the place where each value of their leading bits
+    begins: a look-up goes there at once and tries the few keys behind it."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.full((1 << bits) + 1, len(keys), np.int32)
+        for a in range(0, 1 << bits, 1 << 16):      # in pieces, to bound the arrays
+            b = min(a + (1 << 16), 1 << bits)
+            self.first[a:b] = np.searchsorted(keys, np.arange(a, b, dtype=np.uint64) << self.shift)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the wanted keys, and which of them are there."""
+        lead = (wanted >> self.shift).astype(np.int64)
+        at, stop = self.first[lead], self.first[lead + 1]
+        known = np.zeros(len(wanted), bool)
+        left = np.flatnonzero(at < stop)
+        while len(left):
+            same = self.keys[at[left]] == wanted[left]
+            known[left[same]] = True
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
+        return at, known
+
+
 class HashModel:
     """The two tables of a model in sorted hash arrays."""
 
@@ -162,12 +204,14 @@ class HashModel:
         self.keys, self.logp = grams
         self.ckeys, self.logw = contexts
 
-    @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return at, keys[at] == wanted
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_index"}
+
+    def _find(self) -> tuple[Keys, Keys]:
+        """Grams and contexts, indexed once in each process."""
+        if "_index" not in self.__dict__:
+            self._index = Keys(self.keys), Keys(self.ckeys)
+        return self._index
 
     def score(self, words: list[str], group: str) -> np.ndarray:
         """log10 probability of each word (an unknown group scores nan)."""
@@ -213,27 +257,30 @@ class HashModel:
 
     def look_up(self, points: np.ndarray, at: np.ndarray, reach: np.ndarray, group: str = "") -> np.ndarray:
         """log10 probability of ``points[at]``, each after the ``reach`` symbols before it."""
-        window = points[np.maximum(at[:, None] - np.arange(self.depth, -1, -1), 0)]
-        own = np.arange(1, len(at) + 1) * (self.depth + 1) - 1
-        return self._lookup(_hash_symbols(window.ravel()), own, reach, self.groups[group])
+        if not len(at):
+            return np.zeros(0)
+        low = max(int(at.min()) - self.depth, 0)
+        return self._lookup(_hash_symbols(points[low:int(at.max()) + 1]), at - low, reach, self.groups[group])
 
     def _lookup(self, h: np.ndarray, at: np.ndarray, reach: np.ndarray, group: int) -> np.ndarray:
         """log10 probability of the symbol at each position, from the longest context known."""
         context = [np.zeros(len(at), np.uint64)]
         for k in range(self.depth):
             step = context[-1].copy()
-            has = reach > k
+            has = np.flatnonzero(reach > k)
             step[has] += h[at[has] - 1 - k] * _POWERS[k]
             context.append(step)
+        grams, contexts = self._find()
+        symbol = h[at] * _BASE
         logp, open_ = np.zeros(len(at)), np.arange(len(at))
         for k in range(self.depth, -1, -1):
-            here = open_[reach[open_] >= k]
+            here = open_ if k == 0 else open_[reach[open_] >= k]
             key = _context_key(context[k][here], np.uint64(k), group)
-            where, known = self._find(self.ckeys, key)
-            here, key, where = here[known], key[known], where[known]
-            found_at, found = self._find(self.keys, _gram_key(key, h[at[here]]))
-            logp[here[found]] += self.logp[found_at[found]]
-            logp[here[~found]] += self.logw[where[~found]]
+            # a known gram has a known context
+            place, found = grams.find(mix(key + symbol[here]))
+            logp[here[found]] += self.logp[place[found]]
+            place, known = contexts.find(key[~found])
+            logp[here[~found][known]] += self.logw[place[known]]
             done = np.zeros(len(at), bool)
             done[here[found]] = True
             open_ = open_[~done[open_]]

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 
 from basketry.llm import bpe, charmodel, dac, decontaminate, licenses, line_spread, quality, repeats, sharding, simhash, suffix_tree
-from basketry.llm.common import scratch, ship, tokenizer_path
+from basketry.llm.common import mix, scratch, ship, tokenizer_path
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, h long, t long, word string, row int, "
           "fp string, block string, grp string")
@@ -752,3 +752,18 @@ def test_licenses_list_runs_that_overlap(spark):
     listed = {k: {(m["template"], m["first_word"], m["words"], m["containment"]) for m in ms if m["template"] in own} for k, ms in out.items()}
     assert {(m["first_word"], m["words"], m["containment"]) for m in out[0] if m["label"] == "cc-by-4.0"} == {(0, 16, 12 / 13), (4, 13, 1.0)}
     assert [listed[k] for k in range(len(texts))] == [every(x) for x in texts]
+
+
+def test_model_keys_are_found_by_their_leading_bits():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        keys = np.unique(np.concatenate([rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2), np.arange(n, dtype=np.uint64),
+                                         np.uint64((1 << 64) - 1) - np.arange(n, dtype=np.uint64)]))
+        wanted = np.concatenate([keys, keys + np.uint64(1), keys ^ np.uint64(1 << 40), np.array([0, 7, (1 << 64) - 1], np.uint64)])
+        at, known = charmodel.Keys(keys).find(wanted)
+        assert (known == np.isin(wanted, keys)).all() and (keys[at[known]] == wanted[known]).all()
+
+
+def test_symbol_hashes_of_all_planes():
+    points = np.array([0, 2, 97, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF], np.uint32)
+    assert (charmodel._hash_symbols(points) == mix(points.astype(np.uint64) + np.uint64(1))).all()
