@@ -34,9 +34,9 @@ from basketry.llm.common import batches, encode, give_back, materialise, owners,
 
 BLOCK_BYTES = 16 << 20
 #: positions counted and scored at once: more repeat each other more, and bound the arrays
-_PIECE = 1 << 19
+_PIECE = 1 << 20
 #: distinct grams held by a counting task before it passes them on
-_HOLD = 1 << 19
+_HOLD = 1 << 20
 #: words of the texts turned into code points at once, or one longer text
 _WORDS = 1 << 19
 BLOCKS = ("block long, place int, doc_id long, held_out boolean, n_tokens long, codes binary, score double, word string, "
