@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import charmodel
-from basketry.llm.common import batches, encode, give_back, materialise, owners, per_text, pick, split_words, texts
+from basketry.llm.common import batches, encode, give_back, materialise, owners, per_text, pick, split_words, string_array, texts
 
 BLOCK_BYTES = 16 << 20
 #: positions counted and scored at once: more repeat each other more, and bound the arrays
 _PIECE = 1 << 20
-#: distinct grams held by a counting task before it passes them on
+#: distinct grams held by a counting task before it passes them on, or by a scoring task
 _HOLD = 1 << 20
+#: numbers of windows held by a task before it begins anew
+_NUMBERS = 1 << 19
 #: words of the texts turned into code points at once, or one longer text
 _WORDS = 1 << 19
 BLOCKS = ("block long, place int, doc_id long, held_out boolean, n_tokens long, codes binary, score double, word string, "
@@ -95,58 +97,168 @@ def _packed_answers(hold: int = 200_000):
     return run
 
 
-def _pieces(points: np.ndarray, offsets: np.ndarray, depth: int):
-    """Positions of running texts but for start marks, in pieces: the text of each,
-    the code of its longest gram, and of each code the first position and its
-    number of context symbols.  Grams are packed symbol by symbol, and made dense
-    before they outgrow 63 bits, so equal codes are equal grams."""
-    for a in range(0, len(points), _PIECE):
-        b = min(a + _PIECE, len(points))
-        low, n = max(a - depth, 0), b - a
-        present = np.flatnonzero(np.bincount(points[low:b]))
-        table = np.zeros(int(present[-1]) + 1, np.int64)
-        table[present] = np.arange(1, len(present) + 1)
-        symbol = np.concatenate([np.zeros(depth - (a - low), np.int64), table[points[low:b]]])
-        bits = width = len(present).bit_length()
-        t, z = int(np.searchsorted(offsets, a, side="right")) - 1, int(np.searchsorted(offsets, b))
-        text = np.repeat(np.arange(t, z), np.diff(np.clip(offsets[t:z + 1], a, b)))
-        near = (offsets[t:z, None] + np.arange(depth)).ravel()
-        reach = np.tile(np.arange(depth), z - t)
-        inside = (near >= a) & (near < np.minimum(offsets[t + 1:z + 1].repeat(depth), b))
-        near, reach = near[inside] - a, reach[inside]
-        key = symbol[depth:].copy()
-        for k in range(1, depth + 1):
-            if width + bits > 63:
-                key = pd.factorize(key)[0].astype(np.int64)
-                width = n.bit_length()
-            older = symbol[depth - k:depth - k + n].copy()
-            older[near[reach < k]] = 0
-            key = key << bits | older
-            width += bits
-        whole = np.full(n, depth, np.int8)
-        whole[near] = reach
-        real = np.flatnonzero(whole)
-        codes, first = charmodel.distinct(key[real])
-        first = real[first]
-        yield text[real], codes, first + a, whole[first].astype(np.int64)
+class _Numbers:
+    """Numbers of values, kept from call to call; the value 0 has the number 0."""
 
+    def __init__(self):
+        self.values = np.zeros(1, np.int64)             # by number
+        self.sorted, self.numbers = self.values, self.values
 
-def running_grams(points: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[tuple[list[str], np.ndarray]]:
-    """(grams, counts) of the longest grams, in pieces that may repeat a gram."""
-    for _, codes, at, reach in _pieces(points, offsets, depth):
-        low = max(int(at.min(initial=0)) - depth, 0)
-        chars = points[low:int(at.max(initial=-1)) + 1].tobytes().decode("utf-32-le", "surrogatepass")
-        yield [chars[x:y] for x, y in zip((at - reach - low).tolist(), (at + 1 - low).tolist())], np.bincount(codes, minlength=len(at))
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        codes, kinds = pd.factorize(values)
+        at = np.searchsorted(self.sorted, kinds)
+        new = np.sort(kinds[self.sorted[np.minimum(at, len(self.sorted) - 1)] != kinds])
+        if len(new):
+            at = np.searchsorted(self.sorted, new)
+            self.numbers = np.insert(self.numbers, at, np.arange(len(self.values), len(self.values) + len(new)))
+            self.sorted = np.insert(self.sorted, at, new)
+            self.values = np.concatenate([self.values, new])
+        return self.numbers[np.searchsorted(self.sorted, kinds)][codes]
+
+
+class Grams:
+    """The longest grams of running texts as integers, equal in all pieces if the grams are.
+
+    A gram is cut from its end into windows of three symbols (a code point plus 1,
+    or 0 before the text), which have numbers; beyond two windows, pairs of numbers
+    have numbers too.  ``full`` tells when to ``clear`` them, which makes integers
+    new: a piece adds less than 2^20 + 2^4 numbers, so numbers stay below 2^21.
+    """
 
+    def __init__(self, depth: int):
+        self.depth = depth
+        self.sizes = [depth % 3 + 1] + [3] * (depth // 3)       # oldest window first
+        self.clear()
+
+    def clear(self) -> None:
+        self.windows = {size: _Numbers() for size in self.sizes}
+        self.pairs = [_Numbers() for _ in self.sizes[2:]]
+
+    def full(self) -> bool:
+        return any(len(x.values) > _NUMBERS for x in (*self.windows.values(), *self.pairs))
+
+    def pieces(self, points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(first position, integers of the grams that end at it and after it); a start mark has 0."""
+        for a in range(0, len(points), _PIECE):
+            b = min(a + _PIECE, len(points))
+            low, n = max(a - self.depth, 0), b - a
+            symbol = np.concatenate([np.zeros(self.depth - (a - low), np.int64), points[low:b].astype(np.int64) + 1])
+            begin = offsets[np.searchsorted(offsets, low):np.searchsorted(offsets, b)]
+            reach = np.tile(np.arange(self.depth + 1), len(begin))
+            near = begin.repeat(self.depth + 1) + reach         # places that few symbols of their text precede
+            near, reach = near[near < b] - a, reach[near < b]
+            numbers: dict[int, tuple[np.ndarray, int]] = {}
+            key = None
+            for k, size in enumerate(self.sizes):
+                back = 3 * (len(self.sizes) - 1 - k)            # symbols between the window and the gram's end
+                if size not in numbers:
+                    window = symbol[self.depth - back:].copy()
+                    for j in range(1, size):
+                        older = symbol[self.depth - back - j:len(symbol) - j].copy()
+                        cut = near[reach < j] + back
+                        older[cut[cut >= 0]] = 0
+                        window |= older << (21 * j)
+                    numbers[size] = self.windows[size](window), back
+                own, first = numbers[size]
+                own = own[first - back:first - back + n]
+                if back:
+                    own = own.copy()
+                    cut = near[reach < back]
+                    own[cut[cut >= 0]] = 0
+                if k > 1:
+                    key = self.pairs[k - 2](key)
+                key = own if key is None else key << 21 | own
+            key = key.copy()
+            key[near[(reach == 0) & (near >= 0)]] = 0
+            yield a, key
+
+    def texts(self, keys: np.ndarray) -> pa.Array:
+        """The grams of the integers."""
+        points = np.zeros((len(keys), self.depth + 1), np.int64)
+        end = self.depth + 1
+        for k in range(len(self.sizes) - 1, -1, -1):
+            window = self.windows[self.sizes[k]].values[keys & 0x1FFFFF if k else keys]
+            for j in range(self.sizes[k]):
+                points[:, end - 1 - j] = window >> (21 * j) & 0x1FFFFF
+            end -= self.sizes[k]
+            if k:
+                keys = keys >> 21
+            if k > 1:
+                keys = self.pairs[k - 2].values[keys]
+        real = points > 0
+        points -= 1
+        width = (real * (1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))).sum(axis=1)
+        data = points[real].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        return string_array(np.frombuffer(data, np.uint8), np.concatenate([[0], np.cumsum(width)]))
+
+
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    """Where equal values begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]]))
+
+
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of a piece in their order, and how often each occurs."""
+    key = np.sort(key)
+    key = key[np.searchsorted(key, 1):]                 # without start marks
+    cut = _changes(key)
+    return key[cut], np.diff(np.append(cut, len(key)))
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    key, count = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key)
+    key, count = key[order], count[order]
+    cut = _changes(key)
+    return key[cut], np.add.reduceat(count, cut) if len(cut) else count
 
-def running_scores(model: charmodel.HashModel, points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """log10 probability of each running text; each distinct gram of a piece is looked up once."""
-    out = np.zeros(len(offsets) - 1)
-    for text, codes, at, reach in _pieces(points, offsets, model.depth):
-        if len(text):
-            logp = model.look_up(points, at, reach)
-            out[text[0]:text[-1] + 1] += np.bincount(text - text[0], weights=logp[codes])
-    return out
+
+def running_grams(points: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[tuple[list[str], np.ndarray]]:
+    """(grams, counts) of the longest grams, in pieces that may repeat a gram."""
+    grams = Grams(depth)
+    for _, key in grams.pieces(points, offsets):
+        kinds, counts = _counted(key)
+        yield grams.texts(kinds).to_pylist(), counts
+        if grams.full():
+            grams.clear()
+
+
+class RunningScores:
+    """log10 probabilities of running texts; a gram met before is not looked up again."""
+
+    def __init__(self, model: charmodel.HashModel):
+        self.model, self.grams = model, Grams(model.depth)
+        self.clear()
+
+    def clear(self) -> None:
+        self.grams.clear()
+        self.known, self.logp = np.zeros(1, np.int64), np.zeros(1)      # start marks cost nothing
+
+    def __call__(self, points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(offsets) - 1)
+        for a, key in self.grams.pieces(points, offsets):
+            n, bits = len(key), len(key).bit_length()
+            both = np.sort(key << bits | np.arange(n))
+            at, key = both & ((1 << bits) - 1), both >> bits
+            cut = _changes(key)
+            kinds = key[cut]
+            place = np.searchsorted(self.known, kinds)
+            new = self.known[np.minimum(place, len(self.known) - 1)] != kinds
+            if new.any():
+                first = at[cut[new]] + a
+                reach = np.minimum(first - offsets[np.searchsorted(offsets, first, side="right") - 1], self.model.depth)
+                self.logp = np.insert(self.logp, place[new], self.model.look_up(points, first, reach))
+                self.known = np.insert(self.known, place[new], kinds[new])
+                place += np.cumsum(new) - new
+            logp = np.empty(n)
+            logp[at] = np.repeat(self.logp[place], np.diff(np.append(cut, n)))
+            t, z = int(np.searchsorted(offsets, a, side="right")) - 1, int(np.searchsorted(offsets, a + n))
+            out[t:z] += np.add.reduceat(logp, np.maximum(offsets[t:z], a) - a)
+            if self.grams.full() or len(self.known) > _HOLD:
+                self.clear()
+        return out
 
 
 def _words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
@@ -180,13 +292,14 @@ def blocks(docs: DataFrame, model, depth: int) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
+        running_scores = None if model is None else RunningScores(model.value)
         for k, batch in enumerate(batches(rows, text=1, max_bytes=BLOCK_BYTES)):
             words, offsets = _words(batch)
             held, n, block = _held(batch), batch.num_rows, (part << 32) + k
             score = np.zeros(n)
             for some, points, starts in _runs(words, offsets, np.arange(n)):
-                if model is not None:
-                    score[some] = running_scores(model.value, points, starts)
+                if running_scores is not None:
+                    score[some] = running_scores(points, starts)
                     continue
                 for text, grams, counts in charmodel.running_grams(points, starts, depth, apart=True):
                     yield rows_of(len(grams), block, place=pa.array(some[text].astype(np.int32)),
@@ -213,27 +326,30 @@ def count_grams(docs: DataFrame, depth: int) -> DataFrame:
     text) that are not held out, pre-summed in each task; ``grp`` is empty."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: list[pa.Table] = []
-
-        def merged() -> pa.Table:
-            one = pa.concat_tables(own).group_by("gram").aggregate([("c", "sum")])
-            return pa.table({"gram": one["gram"], "c": one["c_sum"]})
+        own: list[tuple[np.ndarray, np.ndarray]] = []
+        held = Grams(depth)
 
-        def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            for batch in table.to_batches(max_chunksize=1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array([""] * batch.num_rows), *batch.columns], ["grp", "gram", "c"])
+        def out() -> Iterator[pa.RecordBatch]:
+            kinds, counts = _merged(own)
+            for a in range(0, len(kinds), 1 << 17):
+                some = held.texts(kinds[a:a + (1 << 17)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([""] * len(some)), some, pa.array(counts[a:a + (1 << 17)])], ["grp", "gram", "c"])
 
         for batch in batches(rows, text=1, max_bytes=BLOCK_BYTES):
             words, offsets = _words(batch)
             for _, points, starts in _runs(words, offsets, np.flatnonzero(~_held(batch))):
-                for grams, counts in running_grams(points, starts, depth):
-                    own.append(pa.table({"gram": pa.array(grams, pa.string()), "c": counts.astype(np.int64)}))
-                    if sum(t.num_rows for t in own[1:]) > _HOLD:
-                        own = [merged()]
-                        if own[0].num_rows > _HOLD:
-                            yield from out(own.pop())
+                for _, key in held.pieces(points, starts):
+                    own.append(_counted(key))
+                    if sum(len(kinds) for kinds, _ in own[1:]) > _HOLD:
+                        own = [_merged(own)]
+                    if len(own[0][0]) > _HOLD or held.full():
+                        yield from out()
+                        own = []
+                    if held.full():
+                        held.clear()
         if own:
-            yield from out(merged())
+            yield from out()
 
     return docs.select("doc_id", "text").mapInArrow(run, "grp string, gram string, c long").groupBy("grp", "gram").agg(
         F.sum("c").alias("c"))

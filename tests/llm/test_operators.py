@@ -322,6 +322,58 @@ def test_running_grams_against_brute_force():
         assert found == expected
 
 
+@pytest.mark.parametrize("numbers", [1 << 19, 12])
+def test_grams_keep_their_integers_from_piece_to_piece(monkeypatch, numbers):
+    monkeypatch.setattr(suffix_tree, "_PIECE", 64)
+    monkeypatch.setattr(suffix_tree, "_NUMBERS", numbers)
+    texts = ["\x02" + " ".join(x) + "\x03" for x in (["abé", "\U0010ffff漢", "abé"] * 60, [], ["\x00a"] * 90, ["abé", "漢\x00"] * 9)]
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    for depth in range(9):
+        expected = collections.Counter(x[max(k - depth, 0):k + 1] for x in texts for k in range(1, len(x)))
+        grams, parts, found, cleared = suffix_tree.Grams(depth), [], collections.Counter(), 0
+        for _, key in grams.pieces(points, offsets):
+            parts.append(suffix_tree._counted(key))
+            if grams.full():
+                kinds, counts = suffix_tree._merged(parts)
+                found.update(dict(zip(grams.texts(kinds).to_pylist(), counts.tolist())))
+                grams.clear()
+                parts, cleared = [], cleared + 1
+        if parts:
+            kinds, counts = suffix_tree._merged(parts)
+            assert len(set(kinds.tolist())) == len(kinds)
+            found.update(dict(zip(grams.texts(kinds).to_pylist(), counts.tolist())))
+        assert found == expected
+        assert cleared or numbers > 12 or depth < 2
+
+
+def test_a_gram_met_in_an_earlier_piece_is_not_looked_up_again(monkeypatch):
+    class Model:
+        depth = 5
+
+        def __init__(self):
+            self.asked = collections.Counter()
+
+        def look_up(self, points, at, reach):
+            for x, n in zip(at.tolist(), reach.tolist()):
+                self.asked["".join(map(chr, points[x - n:x + 1]))] += 1
+            return -(at - at + points[at] + reach / 8)
+
+    monkeypatch.setattr(suffix_tree, "_PIECE", 64)
+    texts = ["\x02" + " ".join(["abé", "漢", "abc"] * n) + "\x03" for n in (60, 0, 1, 40)]
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    for hold in (1 << 20, 10):
+        monkeypatch.setattr(suffix_tree, "_HOLD", hold)
+        model = Model()
+        score = suffix_tree.RunningScores(model)
+        for _ in range(2):                                # the second time from memory
+            assert score(points, offsets).tolist() == [
+                -sum(ord(x[k]) + min(k, 5) / 8 for k in range(1, len(x))) for x in texts]
+        grams = {x[max(k - 5, 0):k + 1] for x in texts for k in range(1, len(x))}
+        assert set(model.asked) == grams and (hold == 10 or set(model.asked.values()) == {1})
+
+
 def test_suffix_tree_hears_the_order_of_words(spark):
     import random
     ship(spark)
