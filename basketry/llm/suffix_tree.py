@@ -333,8 +333,7 @@ def count_grams(docs: DataFrame, depth: int) -> DataFrame:
             kinds, counts = _merged(own)
             for a in range(0, len(kinds), 1 << 17):
                 some = held.texts(kinds[a:a + (1 << 17)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([""] * len(some)), some, pa.array(counts[a:a + (1 << 17)])], ["grp", "gram", "c"])
+                yield pa.RecordBatch.from_arrays([some, pa.array(counts[a:a + (1 << 17)])], ["gram", "c"])
 
         for batch in batches(rows, text=1, max_bytes=BLOCK_BYTES):
             words, offsets = _words(batch)
@@ -351,8 +350,9 @@ def count_grams(docs: DataFrame, depth: int) -> DataFrame:
         if own:
             yield from out()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "grp string, gram string, c long").groupBy("grp", "gram").agg(
-        F.sum("c").alias("c"))
+    # a task has summed its grams: they are dealt as they are, and summed once more where they meet
+    return docs.select("doc_id", "text").mapInArrow(run, "gram string, c long").repartition("gram").groupBy("gram").agg(
+        F.sum("c").alias("c")).select(F.lit("").alias("grp"), "gram", "c")
 
 
 def learn(docs: DataFrame, depth: int, min_count: int, min_divergence: float) -> tuple[DataFrame, DataFrame]:
