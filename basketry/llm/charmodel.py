@@ -12,7 +12,7 @@ leaves to its next shorter one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -145,19 +145,21 @@ def running_grams(points: np.ndarray, offsets: np.ndarray, depth: int,
             codes, minlength=len(first))
 
 
-def level_counts(grams: DataFrame, depth: int, continuation: bool) -> list[DataFrame]:
+def level_counts(grams: DataFrame, depth: int, continuation: bool,
+                 keep: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> list[DataFrame]:
     """Counts per context length 0..depth as (grp, gram, c), from the longest grams.
 
     With ``continuation`` a shorter gram counts its distinct left neighbours
     (Kneser-Ney), else its occurrences; grams from the start mark on have no
-    left neighbour and count occurrences in either case.
+    left neighbour and count occurrences in either case.  ``keep`` may write a
+    level before the next one is made from it.
     """
     levels = {depth: grams.where(F.length("gram") == depth + 1)}
     for k in range(depth - 1, -1, -1):
         longer = levels[k + 1].select("grp", F.expr("substring(gram, 2)").alias("gram"),
                                       (F.lit(1).cast("long") if continuation else F.col("c")).alias("c"))
-        levels[k] = longer.unionByName(grams.where(F.length("gram") == k + 1)).groupBy("grp", "gram").agg(
-            F.sum("c").alias("c"))
+        levels[k] = keep(longer.unionByName(grams.where(F.length("gram") == k + 1)).groupBy("grp", "gram").agg(
+            F.sum("c").alias("c")))
     return [levels[k] for k in range(depth + 1)]
 
 
@@ -364,7 +366,8 @@ def grams_by_join(asked: DataFrame, grams: DataFrame, contexts: DataFrame) -> Da
 
 def _tried(tries: DataFrame, key: list[str], grams: DataFrame, contexts: DataFrame) -> DataFrame:
     """(key, logp) from the contexts (ctx of length k, sym) tried for each key."""
-    looked = (tries.join(contexts.select("grp", "ctx", "logw"), ["grp", "ctx"], "left")
+    # a known gram has a known context
+    looked = (tries.join(contexts.select("grp", "ctx", "logw"), ["grp", "ctx"], "left").where("logw IS NOT NULL OR k = 0")
               .join(grams.select("grp", "ctx", "sym", "logp"), ["grp", "ctx", "sym"], "left"))
     hit = F.max(F.when(F.col("logp").isNotNull(), F.col("k")))
     steps = looked.groupBy(*key).agg(

@@ -11,9 +11,11 @@ States are smoothed with their parent (Witten-Bell), the root with a uniform
 distribution over all code points.  A text's score is the log10 probability of
 all its characters and its end.
 
-The base counts whole words.  Each Arrow batch of documents is a block: its
-distinct words are requests that meet the global counts by a join and come back
-to the block, so no vocabulary is broadcast.
+The base counts whole words.  Each Arrow batch of documents is a block, packed
+in one row: its texts as codes of its distinct words.  The words are requests
+that meet where they are summed and come back to the block, so no vocabulary is
+broadcast.  The grams of a block ask likewise if the tree is not broadcast: once
+each, and the block's texts are made from its words again when the answers come.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm import charmodel
-from basketry.llm.common import batches, encode, give_back, materialise, owners, per_text, pick, split_words, string_array, texts
+from basketry.llm.common import (batches, discard, encode, give_back, materialise, owners, per_text, pick, split_words,
+                                 string_array, texts)
 
 BLOCK_BYTES = 16 << 20
 #: positions counted and scored at once: more repeat each other more, and bound the arrays
@@ -41,8 +44,12 @@ _HOLD = 1 << 20
 _NUMBERS = 1 << 19
 #: words of the texts turned into code points at once, or one longer text
 _WORDS = 1 << 19
-BLOCKS = ("block long, place int, doc_id long, held_out boolean, n_tokens long, codes binary, score double, word string, "
-          "code int, seen long, gram string")
+#: requests of a block in an Arrow batch
+_ASKED = 1 << 17
+#: a block's row is large: files are cut by size after each
+_LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.block.size": str(32 << 20)}
+#: of a block a row each for its texts, words and grams
+BLOCKS = "block long, kind string, n_train long, ends long, docs binary, codes binary, asked binary"
 
 
 def held_out(doc_id) -> bool:
@@ -50,39 +57,61 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 10 == 0
 
 
-def _packed_codes(codes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """Each text's codes (below 2^24: a block has fewer words) as two planes: the
-    low 16 bits, then the mostly empty high 8 bits, which compress away."""
-    low, high = (codes & 0xFFFF).astype("<u2").tobytes(), (codes >> 16).astype(np.uint8).tobytes()
-    return [low[2 * a:2 * b] + high[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+def _packed(**columns) -> bytes:
+    """Columns of one length, compressed."""
+    rows = pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()], list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
 
 
-def _unpacked_codes(raw: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all texts and the texts' offsets."""
-    size = pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64) // 3
-    offsets = np.concatenate([[0], np.cumsum(size)])
-    texts_ = raw.to_pylist()
-    low = np.frombuffer(b"".join([x[:2 * n] for x, n in zip(texts_, size.tolist())]), "<u2")
-    high = np.frombuffer(b"".join([x[2 * n:] for x, n in zip(texts_, size.tolist())]), np.uint8)
-    return low.astype(np.int64) | high.astype(np.int64) << 16, offsets
+def _unpacked(raw: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(raw).read_next_batch()
+
+
+def _packed_codes(codes: np.ndarray) -> bytes:
+    """Codes (below 2^24: a block has fewer words) as two planes: the low 16 bits
+    and the mostly empty high 8 bits, which compress away."""
+    return _packed(low=(codes & 0xFFFF).astype(np.uint16), high=(codes >> 16).astype(np.uint8))
+
+
+def _unpacked_codes(raw: bytes) -> np.ndarray:
+    rows = _unpacked(raw)
+    return rows["low"].to_numpy().astype(np.int64) | rows["high"].to_numpy().astype(np.int64) << 16
+
+
+def _requests(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, packed) -> a row for each request: block, code (its number in the block) and the packed columns."""
+    for batch in batches(rows):
+        for block, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+            asked = _unpacked(raw.as_py())
+            for a in range(0, asked.num_rows, _ASKED):
+                some = asked.slice(a, _ASKED)
+                code = np.arange(a, a + some.num_rows, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), block)), pa.array(code), *some.columns],
+                                                 ["block", "code", *some.schema.names])
 
 
 def _packed_answers(hold: int = 200_000):
-    """(asker, code, c) -> rows of many answers to one block, as binary columns."""
+    """(block, code, value, first) -> rows of n answers to one block, by code and compressed, and how many are the first of their kind."""
+    squeezed = lambda x: pa.compress(np.ascontiguousarray(x), codec="zstd", asbytes=True)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush() -> pa.RecordBatch:
             t = pa.Table.from_batches(held).combine_chunks()
-            asker, code, c = (t[k].to_numpy() for k in ("asker", "code", "c"))
-            order = np.argsort(asker, kind="stable")
-            asker = asker[order]
-            cut = np.flatnonzero(np.concatenate([[True], asker[1:] != asker[:-1]])).tolist() + [len(asker)]
+            block, code, value, first = (t[k].to_numpy() for k in ("block", "code", "value", "first"))
+            order = np.lexsort((code, block))
+            block = block[order]
+            cut = _changes(block).tolist() + [len(block)]
             parts = [order[a:b] for a, b in zip(cut, cut[1:])]
             return pa.RecordBatch.from_arrays(
-                [pa.array(asker[cut[:-1]]), pa.array([code[p].astype("<u4").tobytes() for p in parts], pa.binary()),
-                 pa.array([c[p].astype("<i8").tobytes() for p in parts], pa.binary())], ["asker", "code", "c"])
+                [pa.array(block[cut[:-1]]), pa.array([len(p) for p in parts], pa.int32()),
+                 pa.array([squeezed(np.diff(code[p].astype("<i4"), prepend=np.int32(0))) for p in parts], pa.binary()),
+                 pa.array([squeezed(value[p]) for p in parts], pa.binary()), pa.array([int(first[p].sum()) for p in parts])],
+                ["asker", "n", "code", "value", "kinds"])
 
         size = 0
         for batch in batches(rows):
@@ -192,6 +221,16 @@ class Grams:
         return string_array(np.frombuffer(data, np.uint8), np.concatenate([[0], np.cumsum(width)]))
 
 
+def _by_code(answers: pa.Table, kind: str) -> np.ndarray:
+    """The values of a block's packed answers, in the order of their codes."""
+    n = answers["n"].to_pylist()
+    out = np.empty(sum(n), kind)
+    for size, code, value in zip(n, answers["code"].to_pylist(), answers["value"].to_pylist()):
+        code = np.cumsum(np.frombuffer(pa.decompress(code, 4 * size, "zstd"), "<i4"))
+        out[code] = np.frombuffer(pa.decompress(value, 8 * size, "zstd"), kind)
+    return out
+
+
 def _changes(ordered: np.ndarray) -> np.ndarray:
     """Where equal values begin."""
     return np.flatnonzero(np.concatenate([np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]]))
@@ -261,6 +300,30 @@ class RunningScores:
         return out
 
 
+class _Asked:
+    """In place of a model: notes the grams that are looked up."""
+
+    def __init__(self, depth: int):
+        self.depth, self.grams = depth, []
+
+    def look_up(self, points: np.ndarray, at: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        low = max(int(at.min()) - self.depth, 0)
+        chars = points[low:int(at.max()) + 1].tobytes().decode("utf-32-le", "surrogatepass")
+        self.grams.append(pa.array([chars[a:b] for a, b in zip((at - reach - low).tolist(), (at + 1 - low).tolist())], pa.string()))
+        return np.zeros(len(at))
+
+
+class _Answered:
+    """In place of a model: the answers to the grams noted, which are looked up in the same order."""
+
+    def __init__(self, depth: int, logp: np.ndarray):
+        self.depth, self.logp, self.used = depth, logp, 0
+
+    def look_up(self, points: np.ndarray, at: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        self.used += len(at)
+        return self.logp[self.used - len(at):self.used]
+
+
 def _words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
     return split_words(pc.ascii_lower(texts(batch.column(1))))
 
@@ -278,32 +341,27 @@ def _held(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def blocks(docs: DataFrame, model, depth: int) -> DataFrame:
-    """Documents (doc_id, text) with their scores as word codes of their block, and
-    the words of each block with their occurrences in documents that are not held
-    out.  Without a broadcast model the documents' grams follow instead of scores."""
+    """Documents (doc_id, text) in blocks.  A block has a row for its texts (ids, sizes,
+    scores, words as codes, and how many words and texts are not held out) and one
+    for its distinct words with their occurrences in documents that are not held
+    out.  Without a broadcast model its distinct grams follow instead of scores."""
     names = [c.split()[0] for c in BLOCKS.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.float64(), pa.string(), pa.int32(),
-             pa.int64(), pa.string()]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
-    def rows_of(n: int, block: int, **columns) -> pa.RecordBatch:
-        columns["block"] = pa.array(np.full(n, block))
-        return pa.RecordBatch.from_arrays(
-            [columns[c] if c in columns else pa.nulls(n, kind) for c, kind in zip(names, kinds)], names)
+    def row(**columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([columns.get(c)], kind) for c, kind in zip(names, kinds)], names)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         running_scores = None if model is None else RunningScores(model.value)
         for k, batch in enumerate(batches(rows, text=1, max_bytes=BLOCK_BYTES)):
             words, offsets = _words(batch)
-            held, n, block = _held(batch), batch.num_rows, (part << 32) + k
+            held, n = _held(batch), batch.num_rows
+            asked = None if model is not None else _Asked(depth)
+            scores = RunningScores(asked) if running_scores is None else running_scores
             score = np.zeros(n)
             for some, points, starts in _runs(words, offsets, np.arange(n)):
-                if running_scores is not None:
-                    score[some] = running_scores(points, starts)
-                    continue
-                for text, grams, counts in charmodel.running_grams(points, starts, depth, apart=True):
-                    yield rows_of(len(grams), block, place=pa.array(some[text].astype(np.int32)),
-                                  gram=pa.array(grams, pa.string()), seen=pa.array(counts.astype(np.int64)))
+                score[some] = scores(points, starts)
             codes, vocabulary = encode(words)
             # the most frequent words get the smallest codes
             order = np.argsort(-np.bincount(codes, minlength=len(vocabulary)), kind="stable")
@@ -311,12 +369,12 @@ def blocks(docs: DataFrame, model, depth: int) -> DataFrame:
             rank[order] = np.arange(len(order))
             codes, vocabulary = rank[codes], vocabulary.take(pa.array(order))
             seen = np.bincount(codes[~held[owners(offsets)]], minlength=len(vocabulary)).astype(np.int64)
-            yield rows_of(
-                n, block, place=pa.array(np.arange(n, dtype=np.int32)), doc_id=batch.column(0).cast(pa.int64()),
-                held_out=pa.array(held), n_tokens=pa.array(np.diff(offsets) + 1), score=pa.array(score),
-                codes=pa.array(_packed_codes(codes, offsets), pa.binary()))
-            yield rows_of(len(vocabulary), block, word=vocabulary, code=pa.array(np.arange(len(vocabulary), dtype=np.int32)),
-                          seen=pa.array(seen))
+            block = (part << 32) + k
+            yield row(block=block, kind="texts", n_train=int(seen.sum()), ends=int((~held).sum()), codes=_packed_codes(codes), docs=_packed(
+                doc_id=batch.column(0).cast(pa.int64()), held_out=held, n_words=np.diff(offsets), score=score))
+            yield row(block=block, kind="words", asked=_packed(word=vocabulary, seen=seen))
+            if asked is not None:
+                yield row(block=block, kind="grams", asked=_packed(gram=pa.chunked_array(asked.grams, pa.string()).combine_chunks()))
 
     return docs.select("doc_id", "text").mapInArrow(run, BLOCKS)
 
@@ -362,8 +420,11 @@ def learn(docs: DataFrame, depth: int, min_count: int, min_divergence: float) ->
     ``min_divergence`` is in nats, weighted by the context's count.  The logarithms
     are floats, as in the hash arrays, so joins with the tables score alike.
     """
-    counts = materialise(count_grams(docs, depth), "counts", free=True)
-    levels = [materialise(charmodel.split_gram(x), "level") for x in charmodel.level_counts(counts, depth, continuation=False)]
+    scratch: list[str] = []
+    keep = lambda rows, name: materialise(rows, name, free=True, paths=scratch)
+    counts = keep(count_grams(docs, depth), "counts")
+    levels = [charmodel.split_gram(x) for x in charmodel.level_counts(
+        counts, depth, continuation=False, keep=lambda rows: keep(rows, "level"))]
     stats = [x.groupBy("ctx").agg(F.sum("c").alias("n"), F.count("*").alias("kinds")) for x in levels]
     kept: list[DataFrame | None] = [None] * (depth + 1)
     for k in range(depth, 0, -1):
@@ -376,7 +437,8 @@ def learn(docs: DataFrame, depth: int, min_count: int, min_divergence: float) ->
             F.col("gain") >= min_divergence).select("ctx")
         if k < depth:
             passed = passed.union(kept[k + 1].select(F.expr("substring(ctx, 2)").alias("ctx"))).distinct()
-        kept[k] = materialise(passed, "states")
+        kept[k] = keep(passed, "states")
+        del frequent, own, parent, passed       # their shuffles are freed by the next step
     below, grams, contexts = None, None, None
     for k in range(depth + 1):
         own = levels[k].join(stats[k], "ctx")
@@ -386,13 +448,16 @@ def learn(docs: DataFrame, depth: int, min_count: int, min_divergence: float) ->
             own = own.join(kept[k], "ctx", "left_semi").withColumn("short", F.expr("substring(ctx, 2)")).join(
                 below.select(F.col("ctx").alias("short"), "sym", "p"), ["short", "sym"])
         p = (F.col("c") + F.col("kinds") * F.col("p")) / (F.col("n") + F.col("kinds"))
-        below = materialise(own.select("ctx", "sym", p.alias("p"), "n", "kinds"), "probabilities")
+        below = keep(own.select("ctx", "sym", p.alias("p"), "n", "kinds"), "probabilities")
+        del own
         one = below.select(F.lit("").alias("grp"), "ctx", "sym", F.log10("p").cast("float").alias("logp"))
         two = below.select(F.lit("").alias("grp"), "ctx", F.log10(
             F.col("kinds") / (F.col("n") + F.col("kinds"))).cast("float").alias("logw")).distinct()
         grams = one if grams is None else grams.union(one)
         contexts = two if contexts is None else contexts.union(two)
-    return materialise(grams, "grams", free=True), materialise(contexts, "contexts")
+    out = materialise(grams, "grams"), materialise(contexts, "contexts", free=True)
+    discard(docs.sparkSession, scratch)
+    return out
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, min_count: int = 8,
@@ -413,33 +478,54 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if model is not None:
         model.groups.setdefault("", 0)      # without training rows: every symbol is new
         model = spark.sparkContext.broadcast(model)
-    parts = materialise(blocks(own, model, depth), "blocks")
-    rows = parts.where("codes IS NOT NULL").select("block", "place", "doc_id", "held_out", "n_tokens", "codes", "score")
-    if model is None:
-        asked = parts.where("gram IS NOT NULL").select(F.lit("").alias("grp"), "block", "place", "gram", "seen")
-        logp = charmodel.grams_by_join(asked.select("grp", "gram").distinct(), grams, contexts)
-        summed = asked.join(logp, ["grp", "gram"]).groupBy("block", "place").agg(F.sum(F.col("seen") * F.col("logp")).alias("score"))
-        rows = rows.drop("score").join(summed, ["block", "place"])
-    words = parts.where("word IS NOT NULL").select("word", "block", "code", "seen")
-    vocabulary = materialise(words.groupBy("word").agg(F.sum("seen").alias("c")), "vocabulary", free=True)
-    total, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    ends = rows.where("NOT held_out").count()
-    n_train, v = total + ends, kinds + (ends > 0)
-    # many answers to one block travel in one row
-    answers = words.join(vocabulary, "word").select(F.col("block").alias("asker"), "code", "c").mapInArrow(
-        _packed_answers(), "asker long, code binary, c binary")
-
-    def run(docs_: pa.Table, words_: pa.Table) -> pa.Table:
-        code, counts = (np.frombuffer(b"".join(words_[k].to_pylist()), kind) for k, kind in (("code", "<u4"), ("c", "<i8")))
-        c = np.empty(len(code), np.int64)
-        c[code] = counts
+    at: list[str] = []
+    parts = materialise(blocks(own, model, depth), "blocks", codec="uncompressed", paths=at, by="kind", options=_LARGE_ROWS)
+    by_join = model is None
+    if not by_join:
+        model.destroy()
+    texts_ = parts.where("kind = 'texts'")
+    n_train, ends = texts_.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
+
+    def asked(kind: str, columns: str) -> DataFrame:
+        return parts.where(F.col("kind") == kind).select("block", "asked").mapInArrow(_requests, f"block long, code int, {columns}")
+
+    def answered(rows: DataFrame, kind: str) -> DataFrame:
+        # many answers to one block travel in one row
+        return materialise(rows.mapInArrow(_packed_answers(), "asker long, n int, code binary, value binary, kinds long"),
+                           "answers", free=True).withColumn("kind", F.lit(kind))
+
+    word = Window.partitionBy("word")       # a block asks for a word once: the first of them counts it
+    answers = answered(asked("words", "word string, seen long").select(
+        "block", "code", F.sum("seen").over(word).alias("value"), F.min("block").over(word).alias("least")).select(
+        "block", "code", "value", F.expr("value > 0 AND block = least").alias("first")), "words")
+    kinds = answers.agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    if by_join:
+        distinct = materialise(asked("grams", "gram string").select(F.lit("").alias("grp"), "gram").distinct(), "asked", free=True)
+        logp = materialise(charmodel.grams_by_join(distinct, grams, contexts).select("gram", "logp"), "logp", free=True)
+        answers = answers.union(answered(asked("grams", "gram string").join(logp, "gram").select(
+            "block", "code", F.col("logp").alias("value"), F.lit(False).alias("first")), "grams"))
+    discard(spark, [f"{at[0]}/kind={'grams' if by_join else 'words'}"])
+    n_train, v = n_train + ends, kinds + (ends > 0)
+
+    def run(block: pa.Table, answers_: pa.Table) -> pa.Table:
+        of = lambda kind, values: _by_code(answers_.filter(pc.equal(answers_["kind"], kind)), values)
+        block = {x["kind"]: x for x in block.to_pylist()}
+        docs_, codes = _unpacked(block["texts"]["docs"]), _unpacked_codes(block["texts"]["codes"])
+        offsets = np.concatenate([[0], np.cumsum(docs_["n_words"].to_numpy())])
+        score = docs_["score"]
+        if by_join:     # the texts again, whose grams come in the same order
+            words = _unpacked(block["words"]["asked"])["word"].take(pa.array(codes))
+            scores, score = RunningScores(_Answered(depth, of("grams", "<f8"))), np.zeros(len(offsets) - 1)
+            for some, points, starts in _runs(words, offsets, np.arange(len(score))):
+                score[some] = scores(points, starts)
+        c = of("words", "<i8")
         base = np.log10((np.append(c, ends) + 0.1) / (n_train + 0.1 * (v + 1)))
-        codes, offsets = _unpacked_codes(docs_["codes"].combine_chunks())
         return pa.table({
-            "doc_id": docs_["doc_id"], "held_out": docs_["held_out"], "n_tokens": docs_["n_tokens"],
+            "doc_id": docs_["doc_id"], "held_out": docs_["held_out"], "n_tokens": np.diff(offsets) + 1,
             "n_known": per_text((c > 0).astype(np.int64)[codes], offsets) + int(ends > 0),
             "train_tokens": np.full(len(offsets) - 1, n_train, np.int64),
-            "base_score": per_text(base[:-1][codes], offsets) + base[-1], "score": docs_["score"]})
+            "base_score": per_text(base[:-1][codes], offsets) + base[-1], "score": score})
 
-    return rows.drop("place").groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(
+    rows = parts.where("kind != 'grams'") if by_join else texts_
+    return rows.select("block", "kind", "docs", "codes", "asked").groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

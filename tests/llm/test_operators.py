@@ -819,3 +819,27 @@ def test_model_keys_are_found_by_their_leading_bits():
 def test_symbol_hashes_of_all_planes():
     points = np.array([0, 2, 97, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF], np.uint32)
     assert (charmodel._hash_symbols(points) == mix(points.astype(np.uint64) + np.uint64(1))).all()
+
+
+def test_suffix_tree_keeps_little_on_disk(spark):
+    """Copies ask for their grams once a block, and tables of the learning are gone when the texts are scored."""
+    from pathlib import Path
+
+    from basketry.session import ensure_checkpoint_dir
+
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    rng = np.random.default_rng(5)
+    text = " ".join("".join(chr(97 + x) for x in rng.integers(26, size=5)) for _ in range(4000))
+    ids = [k for k in range(200) if not suffix_tree.held_out(k)]
+
+    def kept(copies):
+        old = {p.name for p in folder.iterdir()} if folder.is_dir() else set()
+        docs = spark.createDataFrame([(k, text) for k in ids[:copies]], "doc_id long, text string").coalesce(1)
+        out = suffix_tree.score_texts(docs, depth=2, max_model_bytes=0).collect()
+        assert len({(round(r["score"], 4), r["held_out"]) for r in out}) == 1 and len(out) == copies
+        new = [p for p in folder.iterdir() if p.name not in old]
+        return {p.name.rsplit("-", 1)[0] for p in new}, sum(f.stat().st_size for p in new for f in p.rglob("*.parquet"))
+
+    (names, one), (_, many) = kept(1), kept(60)
+    assert not names & {"counts", "level", "states", "probabilities"}
+    assert many < 3 * one
