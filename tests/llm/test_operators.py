@@ -843,3 +843,20 @@ def test_suffix_tree_keeps_little_on_disk(spark):
     (names, one), (_, many) = kept(1), kept(60)
     assert not names & {"counts", "level", "states", "probabilities"}
     assert many < 3 * one
+
+
+def test_licenses_list_blocks_without_their_phrase(spark):
+    """Blocks at the threshold that lack a telling phrase get no label, but are found."""
+    isc = next(n for label, n, _ in licenses.TEMPLATES if label == "isc")
+    notice = "This work is licensed under a Creative Commons Attribution 4.0 International License."
+    texts = [isc.replace("without fee", "without charge"), "Intro.\n\n" + notice.replace("4.0", "5.0"), isc, notice, "nothing here"]
+    data = list(enumerate(texts))
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    of = lambda k, column: {(m["label"], m["first_word"], m["words"], round(m["containment"], 9)) for m in out[k][column]}
+    w = len(set(licenses.words_of(isc)))
+    assert of(0, "near") == {("isc", 0, len(licenses.words_of(isc)), round((w - 1) / w, 9))}
+    assert ("cc-by-4.0", 1, 13, round(12 / 13, 9)) in of(1, "near")
+    assert all(not out[k]["matches"] and out[k]["labels"] == "" and out[k]["score"] == 0 for k in (0, 1, 4))
+    assert {x[0] for x in of(2, "matches")} == {"isc"} and not of(2, "near")
+    assert "cc-by-4.0" in {x[0] for x in of(3, "matches")} and "cc-by-4.0" not in {x[0] for x in of(3, "near")}
+    assert not out[4]["near"]
