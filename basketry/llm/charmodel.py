@@ -367,7 +367,7 @@ def grams_by_join(asked: DataFrame, grams: DataFrame, contexts: DataFrame) -> Da
 def _tried(tries: DataFrame, key: list[str], grams: DataFrame, contexts: DataFrame) -> DataFrame:
     """(key, logp) from the contexts (ctx of length k, sym) tried for each key."""
     # a known gram has a known context
-    looked = (tries.join(contexts.select("grp", "ctx", "logw"), ["grp", "ctx"], "left").where("logw IS NOT NULL OR k = 0")
+    looked = (tries.join(contexts.select("grp", "ctx", "logw", F.lit(True).alias("held")), ["grp", "ctx"], "left").where("held OR k = 0")
               .join(grams.select("grp", "ctx", "sym", "logp"), ["grp", "ctx", "sym"], "left"))
     hit = F.max(F.when(F.col("logp").isNotNull(), F.col("k")))
     steps = looked.groupBy(*key).agg(
